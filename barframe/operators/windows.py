@@ -61,7 +61,7 @@ def test_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H
     """
     targets = target_columns(category)
     rows = _blocked(indexed.filter(F.col("part") == part), L + H, block_rows)
-    w = Window.partitionBy("symbol", "_blk").orderBy("part_idx")
+    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
     frame = w.rowsBetween(0, L - 1)
     if len(targets) == 1:
         label = F.lead(targets[0], L).over(w)
@@ -89,7 +89,7 @@ def train_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW,
     """
     targets = target_columns(category)
     rows = _blocked(indexed.filter(F.col("part") == "train"), L + H, block_rows)
-    w = Window.partitionBy("symbol", "_blk").orderBy("part_idx")
+    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
     if len(targets) == 1:
         lab = norm(targets[0])
     else:
@@ -182,3 +182,18 @@ def window_counts(indexed: DataFrame, L: int = WINDOW, H: int = HORIZON) -> Data
             F.greatest(F.col("n") - F.col("n_train") - F.lit(L + H), F.lit(0)).cast("long").alias("n_test_windows"),
         )
     )
+
+
+def with_lead(indexed: DataFrame, cols: dict[str, Column], offset: int = 1, part: str | None = None,
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``<name>`` = value of ``cols[name]`` ``offset`` rows later in the same part.
+
+    Uses the same blocked layout as the windows, so the lookup never needs a
+    whole-series partition. With ``part=None`` both parts are kept; the lead
+    never crosses from train into test.
+    """
+    src = indexed if part is None else indexed.filter(F.col("part") == part)
+    rows = _blocked(src, offset, block_rows)
+    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
+    out = rows.select("*", *[F.lead(c, offset).over(w).alias(n) for n, c in cols.items()])
+    return out.filter(F.col("_blk") == F.col("_own_blk")).drop("_blk", "_own_blk")

@@ -1,7 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Every query reads the driver's tables (bars come from ``orders``) so its work
-grows with them. SQL twins live in ``oracle.py`` under the same keys.
+Every query reads the driver's tables (bars come from ``orders``, documents
+and requests from ``events``, vectors from ``embeddings``) so its work grows
+with them. SQL twins live in ``oracle.py`` under the same keys.
 """
 
 from __future__ import annotations
@@ -9,18 +10,128 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..config import FEATURES, HORIZONS, shared_dir
+from ..functions import calendar as C
+from ..operators import clean, mutate, normalize, splits, stats
 from ..operators import windows as W
 from ..operators.series import index_series
-from ..sources.bars import load_bars
+from ..sources import bars as B
+from ..sources import documents as D
+from . import forecast as FC
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the fixture queries.
+FILTER_SYMBOL = "3-MEDIUM"
+DOC_FIELD = "open"
+DOC_OLD = "6.55"
+DOC_NEW = "0"
+BAD_JSON = "{bad"
+CLASS_WIDTH = 5000.0
+CLASS_COUNT = 100
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
 
 def indexed_bars(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return index_series(load_bars(spark, sf_dir), **kw)
+    return index_series(B.load_bars(spark, sf_dir), **kw)
+
+
+def r(c, n):
+    return F.round(F.col(c), n).alias(c)
+
+
+# ---- sources, projections -------------------------------------------------
+
+def q_preview(spark, sf_dir):
+    return B.load_bars(spark, sf_dir).orderBy("symbol", "date").limit(20)
+
+
+def q_typed_bars(spark, sf_dir):
+    return B.typed_bars(B.bars_as_text(B.load_bars(spark, sf_dir)))
+
+
+def q_csv_bars_roundtrip(spark, sf_dir):
+    path = shared_dir(spark, "bars-csv")
+    B.write_bars_csv(B.load_bars(spark, sf_dir), path)
+    return B.read_bars_csv(spark, path)
+
+
+def q_alt_layout_bars(spark, sf_dir):
+    from ..config import LAYOUT_2
+
+    path = shared_dir(spark, "bars-csv-alt")
+    B.write_bars_csv(B.load_bars(spark, sf_dir), path, LAYOUT_2)
+    return B.read_alt_bars_csv(spark, path).select("symbol", "date", *FEATURES)
+
+
+def q_symbol_filter(spark, sf_dir):
+    return clean.symbol_filter(B.load_bars(spark, sf_dir), FILTER_SYMBOL)
+
+
+def q_drop_null_rows(spark, sf_dir):
+    text = B.bars_as_text(B.load_bars(spark, sf_dir)).select("symbol", "date", "open", "close")
+    typed = clean.parse_prices(text, ["open", "close"]).withColumn("date", F.col("date").cast("date"))
+    return clean.drop_null_rows(typed, ["open", "close"])
+
+
+def q_category_long(spark, sf_dir):
+    return clean.category_long(B.load_bars(spark, sf_dir), "all")
+
+
+# ---- aggregates -------------------------------------------------------------
+
+def q_symbol_counts(spark, sf_dir):
+    return stats.symbol_counts(B.load_bars(spark, sf_dir))
+
+
+def q_num_symbols(spark, sf_dir):
+    return stats.num_symbols(B.load_bars(spark, sf_dir))
+
+
+def q_feature_bounds(spark, sf_dir):
+    return stats.feature_bounds(B.load_bars(spark, sf_dir))
+
+
+def q_bounds_by_category(spark, sf_dir):
+    return stats.bounds_by_category(B.load_bars(spark, sf_dir), "all")
+
 
+def q_window_counts(spark, sf_dir):
+    return W.window_counts(indexed_bars(spark, sf_dir))
+
+
+# ---- normalisation, splits -------------------------------------------------
+
+def q_normalized_bars(spark, sf_dir):
+    return normalize.normalized_bars(indexed_bars(spark, sf_dir)).withColumn("idx", F.col("idx").cast("long"))
+
+
+def q_global_minmax(spark, sf_dir):
+    g = normalize.global_minmax(B.load_bars(spark, sf_dir))
+    return g.select("symbol", "date", *[r(c, 9) for c in normalize.PROFILE_ORDER])
+
+
+def q_denormalize_roundtrip(spark, sf_dir):
+    return normalize.denormalize_roundtrip(indexed_bars(spark, sf_dir))
+
+
+def q_hash_split(spark, sf_dir):
+    bars = B.load_bars(spark, sf_dir).select("symbol", "date")
+    key = F.concat_ws("|", F.col("symbol"), F.col("date").cast("string"))
+    return splits.hash_split(bars, key)
+
+
+def q_chrono_split(spark, sf_dir):
+    return splits.chrono_split(indexed_bars(spark, sf_dir))
+
+
+# ---- windows ------------------------------------------------------------------
 
 def q_test_windows(spark, sf_dir):
     return W.test_windows_long(W.test_windows(indexed_bars(spark, sf_dir), "close"))
@@ -38,16 +149,273 @@ def q_train_windows_all(spark, sf_dir):
     return W.windows_long(W.train_windows(indexed_bars(spark, sf_dir), "all"))
 
 
+def q_latest_window(spark, sf_dir):
+    lw = W.latest_window(indexed_bars(spark, sf_dir))
+    return lw.select("symbol", F.posexplode("window").alias("step", "bar")).select(
+        "symbol", F.col("step").cast("long").alias("step"), *[F.col(f"bar.{f}").alias(f) for f in FEATURES]
+    )
+
+
+def q_batch_assignment(spark, sf_dir):
+    return W.batch_assignment(W.train_windows(indexed_bars(spark, sf_dir), "close"))
+
+
+# ---- calendar -----------------------------------------------------------------
+
+def q_holiday_flag(spark, sf_dir):
+    bars = B.load_bars(spark, sf_dir).select("symbol", "date")
+    return bars.select("symbol", "date", C.is_holiday("date").alias("is_holiday"),
+                       C.is_weekend("date").alias("is_weekend"))
+
+
+def q_weekday_names(spark, sf_dir):
+    bars = B.load_bars(spark, sf_dir).select("symbol", "date")
+    return bars.select(
+        "symbol", "date", C.weekday_name("date").alias("weekday_name"),
+        C.weekday_number("date").cast("long").alias("weekday_number"),
+        C.minute_stamp(F.col("date").cast("timestamp")).alias("stamp"),
+    )
+
+
+def q_trading_calendar(spark, sf_dir):
+    n = HORIZONS[-1][1]
+    last = B.load_bars(spark, sf_dir).groupBy("symbol").agg(F.max("date").alias("as_of"))
+    return last.select("symbol", F.posexplode(C.next_trading_days("as_of", n)).alias("pos", "date")).select(
+        "symbol", (F.col("pos") + 1).cast("long").alias("step"), "date"
+    )
+
+
+# ---- models and forecasts -------------------------------------------------------
+
+def q_ar1_fit(spark, sf_dir):
+    co = FC.ar1_fit(indexed_bars(spark, sf_dir), "all")
+    return co.select("symbol", "category", r("slope", 6), r("intercept", 6), F.col("n_pairs").cast("long"))
+
+
+def q_close_on_open_fit(spark, sf_dir):
+    bars = B.load_bars(spark, sf_dir)
+    return bars.groupBy("symbol").agg(
+        F.round(F.regr_slope("close", "open"), 6).alias("slope"),
+        F.round(F.regr_intercept("close", "open"), 2).alias("intercept"),
+        F.regr_count("close", "open").cast("long").alias("n"),
+    )
+
+
+def _one_ahead(spark, sf_dir):
+    return FC.one_ahead(indexed_bars(spark, sf_dir), "close")
+
+
+def q_one_ahead(spark, sf_dir):
+    return _one_ahead(spark, sf_dir).select("symbol", "start_idx", r("prediction", 2), "actual")
+
+
+def q_one_ahead_all(spark, sf_dir):
+    return FC.one_ahead(indexed_bars(spark, sf_dir), "all").select(
+        "symbol", "start_idx", "category", "series_name", r("prediction", 2), "actual"
+    )
+
+
+def q_prediction_series(spark, sf_dir):
+    return FC.prediction_series(_one_ahead(spark, sf_dir)).select("symbol", "series", "x", r("y", 2))
+
+
+def q_chart_bounds(spark, sf_dir):
+    return stats.chart_bounds(_one_ahead(spark, sf_dir))
+
+
+def q_forecast_mse(spark, sf_dir):
+    return stats.mse(_one_ahead(spark, sf_dir)).select("symbol", r("mse", 0), "n")
+
+
+def q_next_value(spark, sf_dir):
+    return FC.next_value(indexed_bars(spark, sf_dir), "close").select("symbol", "as_of", r("prediction", 2))
+
+
+def _forecast(spark, sf_dir):
+    return FC.recursive_forecast(indexed_bars(spark, sf_dir), "close")
+
+
+def q_recursive_forecast(spark, sf_dir):
+    return FC.forecast_long(_forecast(spark, sf_dir)).select("symbol", "step", "date", r("prediction", 2))
+
+
+def q_forecast_payload(spark, sf_dir):
+    p = FC.forecast_payload(_forecast(spark, sf_dir))
+    mx = F.col("forecast.max")
+    prefix = F.lit(True)
+    for name, n in HORIZONS[:-1]:
+        prefix = prefix & (F.col(f"forecast.{name}") == F.slice(mx, 1, n))
+    return p.select(
+        "symbol",
+        *[F.size(f"forecast.{name}").cast("long").alias(f"{name}_n") for name, _ in HORIZONS],
+        F.element_at(mx, 1)["date"].alias("first_date"),
+        F.element_at(mx, -1)["date"].alias("last_date"),
+        prefix.alias("prefix_ok"),
+        F.round(F.aggregate(mx, F.lit(0.0), lambda acc, x: acc + x["prediction"]), 0).alias("sum_max"),
+        F.get_json_object("payload", "$.symbol").alias("json_symbol"),
+    )
+
+
+def q_forecast_horizons(spark, sf_dir):
+    p = FC.forecast_payload(_forecast(spark, sf_dir))
+    return FC.payload_horizons(p).select("symbol", "horizon", "step", "date", r("prediction", 2))
+
+
+def q_price_class_labels(spark, sf_dir):
+    from . import models as M
+
+    return M.price_class_frame(B.load_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT).select(
+        "symbol", "date", "open", F.col("label")
+    )
+
+
+def q_accuracy(spark, sf_dir):
+    from . import models as M
+
+    scored = M.previous_class_predictor(indexed_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT)
+    return stats.accuracy(scored)
+
+
+def q_price_class_mlp(spark, sf_dir):
+    from . import models as M
+
+    return M.price_class_mlp(B.load_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT)
+
+
+def q_vector_classifier(spark, sf_dir):
+    from . import models as M
+
+    return M.vector_classifier(_t(spark, sf_dir, "embeddings"))
+
+
+def q_window_regressor(spark, sf_dir):
+    from . import models as M
+
+    return M.window_regressor(indexed_bars(spark, sf_dir), "close", model_dir=shared_dir(spark, "window-model"))
+
+
+def q_libsvm_roundtrip(spark, sf_dir):
+    from . import models as M
+
+    path = shared_dir(spark, "libsvm")
+    M.write_libsvm(M.embedding_vectors(_t(spark, sf_dir, "embeddings")), path)
+    return M.read_libsvm(spark, path, 64)
+
+
+# ---- documents ------------------------------------------------------------------
+
+def _docs(spark, sf_dir):
+    return D.documents_from_events(_t(spark, sf_dir, "events"))
+
+
+def q_docs_scan(spark, sf_dir):
+    path = shared_dir(spark, "docs")
+    D.write_collection(_docs(spark, sf_dir), path)
+    return D.read_collection(spark, path)
+
+
+def q_json_insert(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select(F.col("event_id"), F.col("props").alias("text"))
+    bad = ev.groupBy().agg((F.max("event_id") + 1).alias("event_id")).select("event_id", F.lit(BAD_JSON).alias("text"))
+    accepted, rejected = D.insert_json(ev.unionByName(bad), "text")
+    return accepted.select("event_id", "k", F.lit("inserted").alias("status")).unionByName(
+        rejected.select("event_id", F.lit(None).cast("long").alias("k"), F.lit("rejected").alias("status"))
+    )
+
+
+def q_record_append(spark, sf_dir):
+    bars = B.load_bars(spark, sf_dir)
+    recs = bars.select(F.array(
+        F.col("date").cast("string"), *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")],
+        F.concat(F.lit("bar-"), F.col("symbol")),
+    ).alias("record"))
+    return D.append_records(_docs(spark, sf_dir), recs)
+
+
+def q_update_first_match(spark, sf_dir):
+    return mutate.update_by(_docs(spark, sf_dir), DOC_FIELD, DOC_OLD, DOC_NEW)
+
+
+def q_update_all_matches(spark, sf_dir):
+    return mutate.update_by(_docs(spark, sf_dir), DOC_FIELD, DOC_OLD, DOC_NEW, multi=True)
+
+
+def q_delete_by_field(spark, sf_dir):
+    return mutate.remove_by(_docs(spark, sf_dir), DOC_FIELD, DOC_OLD)
+
+
+# ---- requests -------------------------------------------------------------------
+
+def q_request_forecasts(spark, sf_dir):
+    from ..streaming import requests as K
+
+    req = K.requests_from_events(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "orders"))
+    return K.answer(req, FC.forecast_payload(_forecast(spark, sf_dir))).select(
+        "request_id", "symbol", "first_date", r("first_prediction", 2), "n_points"
+    )
+
+
+def q_stream_forecast_responses(spark, sf_dir):
+    from ..streaming import requests as K
+
+    return K.run_request_stream(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
+    "preview": q_preview,
+    "typed_bars": q_typed_bars,
+    "csv_bars_roundtrip": q_csv_bars_roundtrip,
+    "alt_layout_bars": q_alt_layout_bars,
+    "symbol_filter": q_symbol_filter,
+    "drop_null_rows": q_drop_null_rows,
+    "category_long": q_category_long,
+    "symbol_counts": q_symbol_counts,
+    "num_symbols": q_num_symbols,
+    "feature_bounds": q_feature_bounds,
+    "bounds_by_category": q_bounds_by_category,
+    "window_counts": q_window_counts,
+    "normalized_bars": q_normalized_bars,
+    "global_minmax": q_global_minmax,
+    "denormalize_roundtrip": q_denormalize_roundtrip,
+    "hash_split": q_hash_split,
+    "chrono_split": q_chrono_split,
     "test_windows": q_test_windows,
     "test_windows_all": q_test_windows_all,
     "train_windows_long": q_train_windows_long,
     "train_windows_all": q_train_windows_all,
+    "latest_window": q_latest_window,
+    "batch_assignment": q_batch_assignment,
+    "holiday_flag": q_holiday_flag,
+    "weekday_names": q_weekday_names,
+    "trading_calendar": q_trading_calendar,
+    "ar1_fit": q_ar1_fit,
+    "close_on_open_fit": q_close_on_open_fit,
+    "one_ahead": q_one_ahead,
+    "one_ahead_all": q_one_ahead_all,
+    "prediction_series": q_prediction_series,
+    "chart_bounds": q_chart_bounds,
+    "forecast_mse": q_forecast_mse,
+    "next_value": q_next_value,
+    "recursive_forecast": q_recursive_forecast,
+    "forecast_payload": q_forecast_payload,
+    "forecast_horizons": q_forecast_horizons,
+    "price_class_labels": q_price_class_labels,
+    "accuracy": q_accuracy,
+    "price_class_mlp": q_price_class_mlp,
+    "vector_classifier": q_vector_classifier,
+    "window_regressor": q_window_regressor,
+    "libsvm_roundtrip": q_libsvm_roundtrip,
+    "docs_scan": q_docs_scan,
+    "json_insert": q_json_insert,
+    "record_append": q_record_append,
+    "update_first_match": q_update_first_match,
+    "update_all_matches": q_update_all_matches,
+    "delete_by_field": q_delete_by_field,
+    "request_forecasts": q_request_forecasts,
+    "stream_forecast_responses": q_stream_forecast_responses,
 }
 
-SQL: dict[str, str] = {
-    "test_windows": O.test_windows_long("close"),
-    "test_windows_all": O.test_windows_long("all"),
-    "train_windows_long": O.train_windows_long("close"),
-    "train_windows_all": O.train_windows_long("all"),
-}
+SQL: dict[str, str] = O.build(
+    filter_symbol=FILTER_SYMBOL, doc_field=DOC_FIELD, doc_old=DOC_OLD, doc_new=DOC_NEW, bad_json=BAD_JSON,
+    class_width=CLASS_WIDTH, class_count=CLASS_COUNT,
+)

@@ -77,3 +77,203 @@ FROM pt a
 JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx BETWEEN a.part_idx AND a.part_idx + {L - 1}
 JOIN pt c ON c.symbol = a.symbol AND c.part = a.part AND c.part_idx = b.part_idx + 1
 WHERE a.part = 'train' AND a.part_idx < a.part_n - {L + H}"""
+
+
+def _holidays() -> str:
+    from ..config import HOLIDAYS
+
+    return ", ".join(f"'{h}'" for h in HOLIDAYS)
+
+
+def ar1(cols=("close",)) -> str:
+    """CTEs pr (training pairs) and co (per-symbol slope/intercept per category)."""
+    pairs = " UNION ALL ".join(
+        f"SELECT a.symbol, '{f}' AS category, {nz('a', f)} AS x, {nz('b', f)} AS y "
+        f"FROM pt a JOIN pt b ON b.symbol = a.symbol AND b.idx = a.idx + 1 WHERE b.idx < a.split"
+        for f in cols
+    )
+    return f"""pr AS ({pairs}),
+co AS (SELECT symbol, category, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
+              regr_count(y, x) AS n_pairs FROM pr GROUP BY symbol, category)"""
+
+
+def _one_ahead_rows(f: str) -> str:
+    return f"""SELECT s.symbol, CAST(s.part_idx AS BIGINT) AS start_idx, '{f}' AS category,
+       (co.intercept + co.slope * {nz('l', f)}) * (l.mx_{f} - l.mn_{f}) + l.mn_{f} AS prediction,
+       c.{f} AS actual
+FROM pt s
+JOIN pt l ON l.symbol = s.symbol AND l.part = s.part AND l.part_idx = s.part_idx + {L - 1}
+JOIN pt c ON c.symbol = s.symbol AND c.part = s.part AND c.part_idx = s.part_idx + {L}
+JOIN co ON co.symbol = s.symbol AND co.category = '{f}'
+WHERE s.part = 'test' AND s.part_idx < s.part_n - {L + H}"""
+
+
+def calendar(src: str, n: int) -> str:
+    """CTE cal(symbol, step, date): next n trading days after ``as_of`` of ``src``, first candidate as_of+2."""
+    from ..config import FIRST_OFFSET_DAYS
+
+    span = 2 * n + 30
+    return f"""days AS (
+  SELECT symbol, CAST(unnest(generate_series(CAST(as_of AS TIMESTAMP) + INTERVAL '{FIRST_OFFSET_DAYS} days',
+         CAST(as_of AS TIMESTAMP) + INTERVAL '{FIRST_OFFSET_DAYS + span} days', INTERVAL '1 day')) AS DATE) AS date
+  FROM {src}),
+cal0 AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS step FROM days
+         WHERE isodow(date) < 6 AND strftime(date, '%m-%d') NOT IN ({_holidays()})),
+cal AS (SELECT symbol, CAST(step AS BIGINT) AS step, date FROM cal0 WHERE step <= {n})"""
+
+
+def forecast_ctes(n: int) -> str:
+    """CTEs up to fc(symbol, step, date, prediction) for the recursive AR(1) close forecast."""
+    return f"""{indexed()},
+{ar1(('close',))},
+st AS (SELECT p.symbol, p.date AS as_of, {nz('p', 'close')} AS z0, co.intercept AS a, co.slope AS b,
+              p.mn_close AS mn, p.mx_close AS mx
+       FROM pt p JOIN co ON co.symbol = p.symbol AND co.category = 'close' WHERE p.idx = p.n - 1),
+rec AS (SELECT symbol, 1 AS step, a + b * z0 AS z FROM st
+        UNION ALL
+        SELECT rec.symbol, rec.step + 1, st.a + st.b * rec.z FROM rec JOIN st ON st.symbol = rec.symbol
+        WHERE rec.step < {n}),
+{calendar('st', n)},
+fc AS (SELECT rec.symbol, CAST(rec.step AS BIGINT) AS step, cal.date, rec.z * (st.mx - st.mn) + st.mn AS prediction
+       FROM rec JOIN st ON st.symbol = rec.symbol JOIN cal ON cal.symbol = rec.symbol AND cal.step = rec.step)"""
+
+
+def docs() -> str:
+    return """docs AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(value AS VARCHAR) AS open, CAST(value AS VARCHAR) AS high,
+         CAST(value AS VARCHAR) AS low, CAST(value AS VARCHAR) AS close, CAST(user_id AS VARCHAR) AS volume,
+         CAST(event_id AS VARCHAR) AS id
+  FROM events)"""
+
+
+def build(filter_symbol: str, doc_field: str, doc_old: str, doc_new: str, bad_json: str,
+          class_width: float, class_count: int) -> dict[str, str]:
+    from ..config import CHART_HIGH, CHART_LOW, HORIZONS, SERIES_NAMES
+
+    n_max = HORIZONS[-1][1]
+    cls = lambda a: f"CAST(least(greatest(floor({a}.close / {class_width!r}), 0), {class_count - 1}) AS DOUBLE)"
+    one_all = " UNION ALL ".join(_one_ahead_rows(f) for f in F5)
+    names = " ".join(f"WHEN '{f}' THEN '{SERIES_NAMES[f]}'" for f in F5)
+    horizons = ", ".join(f"('{name}', {n})" for name, n in HORIZONS)
+    stamp = "strftime(CAST({d} AS TIMESTAMP), '%Y-%m-%d %H:%M:00')"
+    doc_cols = "date, open, high, low, close, volume, id"
+    upd = lambda cond: ", ".join(
+        f"CASE WHEN {cond} THEN '{doc_new}' ELSE {c} END AS {c}" if c == doc_field else c
+        for c in doc_cols.split(", ")
+    )
+    q: dict[str, str] = {}
+    q["preview"] = f"WITH {BARS} SELECT * FROM bars ORDER BY symbol, date LIMIT 20"
+    q["typed_bars"] = f"WITH {BARS} SELECT * FROM bars"
+    q["csv_bars_roundtrip"] = f"WITH {BARS} SELECT date, symbol, open, close, low, high, volume FROM bars"
+    q["alt_layout_bars"] = f"WITH {BARS} SELECT * FROM bars"
+    q["symbol_filter"] = f"WITH {BARS} SELECT * FROM bars WHERE symbol = '{filter_symbol}'"
+    q["drop_null_rows"] = (f"WITH {BARS} SELECT symbol, date, open, close FROM bars "
+                           f"WHERE open IS NOT NULL AND close IS NOT NULL")
+    q["category_long"] = " UNION ALL ".join(
+        f"SELECT symbol, date, '{f}' AS category, {f} AS value FROM bars" for f in F5
+    ).replace("SELECT symbol", f"WITH {BARS} SELECT symbol", 1)
+    q["symbol_counts"] = f"WITH {BARS} SELECT symbol, count(date) AS count FROM bars GROUP BY symbol"
+    q["num_symbols"] = (f"WITH {BARS} SELECT count(*) AS num_symbols FROM "
+                        f"(SELECT symbol FROM bars GROUP BY symbol) g")
+    mm = ", ".join([f"min({f}) AS min_{f}" for f in F5] + [f"max({f}) AS max_{f}" for f in F5])
+    q["feature_bounds"] = f"WITH {BARS} SELECT symbol, {mm} FROM bars GROUP BY symbol"
+    q["bounds_by_category"] = f"WITH {BARS} " + " UNION ALL ".join(
+        f"SELECT symbol, '{f}' AS category, min({f}) AS min_value, max({f}) AS max_value FROM bars GROUP BY symbol"
+        for f in F5
+    )
+    q["window_counts"] = f"""WITH {indexed()}
+SELECT symbol, CAST(max(split) AS BIGINT) AS n_train,
+       CAST(greatest(max(split) - {L + H}, 0) AS BIGINT) AS n_train_windows,
+       CAST(greatest(max(n) - max(split) - {L + H}, 0) AS BIGINT) AS n_test_windows
+FROM pt GROUP BY symbol"""
+    q["normalized_bars"] = f"WITH {indexed()} SELECT symbol, date, CAST(idx AS BIGINT) AS idx, {norm_cols('pt')} FROM pt"
+    q["global_minmax"] = f"""WITH {BARS}, g AS (SELECT *, {', '.join(f'min({f}) OVER () AS gmn_{f}, max({f}) OVER () AS gmx_{f}' for f in F5)} FROM bars)
+SELECT symbol, date, {', '.join(f"round(CASE WHEN gmx_{f} = gmn_{f} THEN 0.5 ELSE ({f} - gmn_{f}) / (gmx_{f} - gmn_{f}) END, 9) AS {f}" for f in ('open', 'low', 'high', 'volume', 'close'))}
+FROM g"""
+    q["denormalize_roundtrip"] = (
+        f"WITH {indexed()} SELECT symbol, date, "
+        + ", ".join(f"{nz('pt', f)} * (mx_{f} - mn_{f}) + mn_{f} AS {f}" for f in F5)
+        + " FROM pt"
+    )
+    q["hash_split"] = f"""WITH {BARS}, h AS (
+  SELECT symbol, date, CAST(('0x' || substr(md5(symbol || '|' || CAST(date AS VARCHAR) || '|1234'), 1, 8)) AS BIGINT) % 100 AS bucket
+  FROM bars)
+SELECT symbol, date, CAST(bucket AS BIGINT) AS bucket, CASE WHEN bucket < 60 THEN 'train' ELSE 'test' END AS part FROM h"""
+    q["chrono_split"] = (f"WITH {indexed()} SELECT symbol, date, CAST(idx AS BIGINT) AS idx, part, "
+                         f"CAST(part_idx AS BIGINT) AS part_idx FROM pt")
+    q["test_windows"] = test_windows_long("close")
+    q["test_windows_all"] = test_windows_long("all")
+    q["train_windows_long"] = train_windows_long("close")
+    q["train_windows_all"] = train_windows_long("all")
+    q["latest_window"] = (f"WITH {indexed()} SELECT symbol, CAST(idx - (n - {L}) AS BIGINT) AS step, "
+                          f"{norm_cols('pt')} FROM pt WHERE idx >= n - {L}")
+    q["batch_assignment"] = f"""WITH {indexed()}
+SELECT symbol, CAST(floor(part_idx / 64) AS BIGINT) AS batch_id, count(*) AS n_windows,
+       CAST(min(part_idx) AS BIGINT) AS first_start, CAST(max(part_idx) AS BIGINT) AS last_start
+FROM pt WHERE part = 'train' AND part_idx < part_n - {L + H} GROUP BY 1, 2"""
+    q["holiday_flag"] = (f"WITH {BARS} SELECT symbol, date, strftime(date, '%m-%d') IN ({_holidays()}) AS is_holiday, "
+                         f"isodow(date) >= 6 AS is_weekend FROM bars")
+    q["weekday_names"] = (f"WITH {BARS} SELECT symbol, date, strftime(date, '%a') AS weekday_name, "
+                          f"CAST(dayofweek(date) + 1 AS BIGINT) AS weekday_number, {stamp.format(d='date')} AS stamp FROM bars")
+    q["trading_calendar"] = (f"WITH {BARS}, last AS (SELECT symbol, max(date) AS as_of FROM bars GROUP BY symbol), "
+                             f"{calendar('last', n_max)} SELECT symbol, step, date FROM cal")
+    q["ar1_fit"] = (f"WITH {indexed()}, {ar1(F5)} SELECT symbol, category, round(slope, 6) AS slope, "
+                    f"round(intercept, 6) AS intercept, CAST(n_pairs AS BIGINT) AS n_pairs FROM co")
+    q["close_on_open_fit"] = (f"WITH {BARS} SELECT symbol, round(regr_slope(close, open), 6) AS slope, "
+                              f"round(regr_intercept(close, open), 2) AS intercept, "
+                              f"CAST(regr_count(close, open) AS BIGINT) AS n FROM bars GROUP BY symbol")
+    oa = f"WITH {indexed()}, {ar1(('close',))}, oa AS ({_one_ahead_rows('close')})"
+    q["one_ahead"] = f"{oa} SELECT symbol, start_idx, round(prediction, 2) AS prediction, actual FROM oa"
+    q["one_ahead_all"] = f"""WITH {indexed()}, {ar1(F5)}, oa AS ({one_all})
+SELECT symbol, start_idx, category, CASE category {names} END AS series_name,
+       round(prediction, 2) AS prediction, actual FROM oa"""
+    q["prediction_series"] = (f"{oa} SELECT symbol, 'Predicts' AS series, start_idx AS x, round(prediction, 2) AS y FROM oa "
+                              f"UNION ALL SELECT symbol, 'Actuals', start_idx, round(actual, 2) FROM oa")
+    q["chart_bounds"] = (f"{oa} SELECT symbol, CAST(trunc(min(least(prediction, actual)) * {CHART_LOW!r}) AS BIGINT) AS y_min, "
+                         f"CAST(trunc(max(greatest(prediction, actual)) * {CHART_HIGH!r}) AS BIGINT) AS y_max "
+                         f"FROM oa GROUP BY symbol")
+    q["forecast_mse"] = (f"{oa} SELECT symbol, round(avg(pow(prediction - actual, 2)), 0) AS mse, count(*) AS n "
+                         f"FROM oa GROUP BY symbol")
+    q["next_value"] = f"""WITH {indexed()}, {ar1(('close',))}
+SELECT p.symbol, p.date AS as_of,
+       round((co.intercept + co.slope * {nz('p', 'close')}) * (p.mx_close - p.mn_close) + p.mn_close, 2) AS prediction
+FROM pt p JOIN co ON co.symbol = p.symbol AND co.category = 'close' WHERE p.idx = p.n - 1"""
+    rec = f"WITH RECURSIVE {forecast_ctes(n_max)}"
+    q["recursive_forecast"] = f"{rec} SELECT symbol, step, date, round(prediction, 2) AS prediction FROM fc"
+    q["forecast_payload"] = f"""{rec}
+SELECT symbol, {', '.join(f'CAST({n} AS BIGINT) AS {name}_n' for name, n in HORIZONS)},
+       {stamp.format(d='min(date)')} AS first_date, {stamp.format(d='max(date)')} AS last_date,
+       true AS prefix_ok, round(sum(prediction), 0) AS sum_max, symbol AS json_symbol
+FROM fc GROUP BY symbol"""
+    q["forecast_horizons"] = f"""{rec}, hz(horizon, len) AS (VALUES {horizons})
+SELECT fc.symbol, hz.horizon, fc.step, {stamp.format(d='fc.date')} AS date, round(fc.prediction, 2) AS prediction
+FROM fc JOIN hz ON fc.step <= hz.len"""
+    q["price_class_labels"] = f"WITH {BARS} SELECT symbol, date, open, {cls('bars')} AS label FROM bars"
+    q["accuracy"] = f"""WITH {indexed()}
+SELECT a.symbol, avg(CASE WHEN {cls('a')} = {cls('b')} THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n
+FROM pt a JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx = a.part_idx + 1
+WHERE a.part = 'test' GROUP BY a.symbol"""
+    q["docs_scan"] = f"WITH {docs()} SELECT * FROM docs"
+    q["json_insert"] = f"""WITH ev AS (SELECT event_id, props AS text FROM events
+                  UNION ALL SELECT max(event_id) + 1, '{bad_json}' FROM events)
+SELECT event_id, CASE WHEN json_valid(text) THEN CAST(json_extract(text, '$.k') AS BIGINT) END AS k,
+       CASE WHEN json_valid(text) THEN 'inserted' ELSE 'rejected' END AS status
+FROM ev"""
+    q["record_append"] = f"""WITH {docs()}, {BARS}
+SELECT {doc_cols} FROM docs
+UNION ALL
+SELECT CAST(date AS VARCHAR), CAST(open AS VARCHAR), CAST(high AS VARCHAR), CAST(low AS VARCHAR),
+       CAST(close AS VARCHAR), CAST(volume AS VARCHAR), 'bar-' || symbol FROM bars"""
+    q["update_first_match"] = f"""WITH {docs()},
+first AS (SELECT min(CAST(id AS BIGINT)) AS k FROM docs WHERE {doc_field} = '{doc_old}')
+SELECT {upd(f"{doc_field} = '{doc_old}' AND CAST(id AS BIGINT) = (SELECT k FROM first)")} FROM docs"""
+    q["update_all_matches"] = f"WITH {docs()} SELECT {upd(f'{doc_field} = {chr(39)}{doc_old}{chr(39)}')} FROM docs"
+    q["delete_by_field"] = f"WITH {docs()} SELECT * FROM docs WHERE {doc_field} IS DISTINCT FROM '{doc_old}'"
+    q["request_forecasts"] = f"""{rec},
+req AS (SELECT e.event_id AS request_id, o.o_orderpriority AS symbol FROM events e
+        LEFT JOIN orders o ON o.o_orderkey = e.event_id),
+f1 AS (SELECT symbol, {stamp.format(d='date')} AS first_date, round(prediction, 2) AS first_prediction FROM fc WHERE step = 1),
+nn AS (SELECT symbol, count(*) AS n_points FROM fc GROUP BY symbol)
+SELECT req.request_id, req.symbol, f1.first_date, f1.first_prediction, CAST(nn.n_points AS INTEGER) AS n_points
+FROM req LEFT JOIN f1 ON f1.symbol = req.symbol LEFT JOIN nn ON nn.symbol = req.symbol"""
+    return q
