@@ -27,14 +27,16 @@ ORDER = ("date",) + FEATURES
 
 
 def _bucket(date_col: str, bucket: str) -> Column:
+    """Integer calendar bucket; NOT NULL whenever the date is (no inferred null filters)."""
+    d = F.col(date_col)
     if bucket == "year":
-        return F.trunc(F.col(date_col), "year")
+        return F.year(d)
     if bucket == "month":
-        return F.trunc(F.col(date_col), "month")
+        return F.year(d) * 12 + F.month(d)
     if bucket == "week":
-        return F.date_trunc("week", F.col(date_col)).cast("date")
+        return F.floor((F.unix_date(d) + 3) / 7)
     if bucket == "day":
-        return F.col(date_col)
+        return F.unix_date(d)
     raise ValueError(f"unknown bucket {bucket!r}")
 
 
@@ -52,16 +54,24 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
     """
     if bounds_on not in ("all", "train"):
         raise ValueError("bounds_on must be 'all' or 'train'")
-    b = bars.withColumn("_bucket", _bucket("date", bucket))
-    local = b.withColumn(
-        "_rank",
-        F.row_number().over(Window.partitionBy("symbol", "_bucket").orderBy(*ORDER)) - 1,
+    # A bar without symbol or date has no place in a series.
+    b = bars.filter(F.col("symbol").isNotNull() & F.col("date").isNotNull())
+    b = b.withColumn("_bucket", _bucket("date", bucket)).filter(F.col("_bucket").isNotNull())
+    wb = Window.partitionBy("symbol", "_bucket")
+    # Rank and bucket statistics come from one window operator over one
+    # exchange; the small per-bucket table below is a filter of the same output,
+    # so both sides of the join share that exchange and the bars are built once.
+    local = b.select(
+        "*",
+        (F.row_number().over(wb.orderBy(*ORDER)) - 1).alias("_rank"),
+        F.count(F.lit(1)).over(wb).alias("_cnt"),
+        *[F.min(f).over(wb).alias(f"_mn_{f}") for f in FEATURES],
+        *[F.max(f).over(wb).alias(f"_mx_{f}") for f in FEATURES],
     )
-    per_bucket = b.groupBy("symbol", "_bucket").agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        *[F.min(f).alias(f"_mn_{f}") for f in FEATURES],
-        *[F.max(f).alias(f"_mx_{f}") for f in FEATURES],
+    per_bucket = local.filter(F.col("_rank") == 0).select(
+        "symbol", "_bucket", "_cnt", *[f"_mn_{f}" for f in FEATURES], *[f"_mx_{f}" for f in FEATURES]
     )
+    local = local.drop("_cnt", *[f"_mn_{f}" for f in FEATURES], *[f"_mx_{f}" for f in FEATURES])
     whole = Window.partitionBy("symbol")
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     meta = per_bucket.select(

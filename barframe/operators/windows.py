@@ -39,9 +39,12 @@ def _blocked(indexed: DataFrame, span: int, block_rows: int) -> DataFrame:
         raise ValueError("block_rows must exceed the window span")
     own = F.floor(F.col("part_idx") / F.lit(block_rows)).cast("long")
     copy = (F.col("part_idx") % F.lit(block_rows) < F.lit(span)) & (F.col("part_idx") >= F.lit(block_rows))
+    # The explicit distribution on all three keys keeps a hot symbol spread over
+    # its blocks even when the input already arrives clustered by symbol.
     return (
         indexed.withColumn("_own_blk", own)
         .withColumn("_blk", F.explode(F.when(copy, F.array(own, own - 1)).otherwise(F.array(own))))
+        .repartition("symbol", "part", "_blk")
     )
 
 
