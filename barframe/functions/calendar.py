@@ -45,6 +45,16 @@ def minute_stamp(ts: Column | str) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:00")
 
 
+def next_trading_days_sql(as_of: str, n: int, first_offset_days: int = FIRST_OFFSET_DAYS) -> str:
+    """SQL text of :func:`next_trading_days` for a column name or SQL expression ``as_of``."""
+    hol = ", ".join(f"'{h}'" for h in HOLIDAYS)
+    lo, hi = first_offset_days, first_offset_days + 2 * n + 30
+    return (
+        f"slice(filter(sequence(date_add({as_of}, {lo}), date_add({as_of}, {hi})), "
+        f"d -> weekday(d) < 5 AND NOT date_format(d, 'MM-dd') IN ({hol})), 1, {n})"
+    )
+
+
 def next_trading_days(as_of: Column | str, n: int, first_offset_days: int = FIRST_OFFSET_DAYS) -> Column:
     """array of the next ``n`` trading days, first candidate ``as_of + first_offset_days``.
 
@@ -52,7 +62,9 @@ def next_trading_days(as_of: Column | str, n: int, first_offset_days: int = FIRS
     9 holidays fall in a year, so this always holds n trading days), filters
     weekends and holidays, and keeps the first n.
     """
-    start = F.date_add(_c(as_of), first_offset_days)
+    if isinstance(as_of, str):
+        return F.expr(next_trading_days_sql(as_of, n, first_offset_days))
+    start = F.date_add(as_of, first_offset_days)
     days = F.sequence(start, F.date_add(start, 2 * n + 30))
     trading = F.filter(days, lambda d: (F.weekday(d) < 5) & ~F.date_format(d, "MM-dd").isin(list(HOLIDAYS)))
     return F.slice(trading, 1, n)

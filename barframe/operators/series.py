@@ -26,17 +26,17 @@ from ..config import FEATURES, INDEX_BUCKET, SERIES_SPLIT
 ORDER = ("date",) + FEATURES
 
 
-def _bucket(date_col: str, bucket: str) -> Column:
-    """Integer calendar bucket; NOT NULL whenever the date is (no inferred null filters)."""
-    d = F.col(date_col)
+def _bucket(date_col: str, bucket: str) -> str:
+    """Integer calendar bucket (SQL text); NOT NULL whenever the date is, so no null filter is inferred."""
+    d = date_col
     if bucket == "year":
-        return F.year(d)
+        return f"year({d})"
     if bucket == "month":
-        return F.year(d) * 12 + F.month(d)
+        return f"year({d}) * 12 + month({d})"
     if bucket == "week":
-        return F.floor((F.unix_date(d) + 3) / 7)
+        return f"floor((unix_date({d}) + 3) / 7)"
     if bucket == "day":
-        return F.unix_date(d)
+        return f"unix_date({d})"
     raise ValueError(f"unknown bucket {bucket!r}")
 
 
@@ -45,74 +45,78 @@ def split_point(n: Column, ratio: float) -> Column:
     return F.floor(n.cast("double") * F.lit(float(ratio)) + F.lit(0.5)).cast("long")
 
 
+def _mnmx(prefix_in: str, prefix_out: str, over: str = "") -> list[str]:
+    return [f"min({prefix_in}{f}){over} AS {prefix_out}mn_{f}" for f in FEATURES] + [
+        f"max({prefix_in}{f}){over} AS {prefix_out}mx_{f}" for f in FEATURES
+    ]
+
+
 def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = INDEX_BUCKET,
                  bounds_on: str = "all") -> DataFrame:
     """Add idx, n, split, part, part_idx, part_n and mn_<f>/mx_<f> bounds.
 
     bounds_on="all" takes bounds over the whole series (train and test, as the
     reference does); "train" takes them over the first part only.
+    Expressions are written as SQL text so building the plan costs a handful of
+    driver round trips, not one per expression node.
     """
     if bounds_on not in ("all", "train"):
         raise ValueError("bounds_on must be 'all' or 'train'")
+    order = ", ".join(ORDER)
     # A bar without symbol or date has no place in a series.
-    b = bars.filter(F.col("symbol").isNotNull() & F.col("date").isNotNull())
-    b = b.withColumn("_bucket", _bucket("date", bucket)).filter(F.col("_bucket").isNotNull())
-    wb = Window.partitionBy("symbol", "_bucket")
+    b = bars.filter("symbol IS NOT NULL AND date IS NOT NULL").selectExpr(
+        "*", f"{_bucket('date', bucket)} AS _bucket"
+    ).filter("_bucket IS NOT NULL")
+    wb = "OVER (PARTITION BY symbol, _bucket)"
     # Rank and bucket statistics come from one window operator over one
     # exchange; the small per-bucket table below is a filter of the same output,
     # so both sides of the join share that exchange and the bars are built once.
-    local = b.select(
+    local = b.selectExpr(
         "*",
-        (F.row_number().over(wb.orderBy(*ORDER)) - 1).alias("_rank"),
-        F.count(F.lit(1)).over(wb).alias("_cnt"),
-        *[F.min(f).over(wb).alias(f"_mn_{f}") for f in FEATURES],
-        *[F.max(f).over(wb).alias(f"_mx_{f}") for f in FEATURES],
+        f"row_number() OVER (PARTITION BY symbol, _bucket ORDER BY {order}) - 1 AS _rank",
+        f"count(1) {wb} AS _cnt",
+        *_mnmx("", "_", f" {wb}"),
     )
-    per_bucket = local.filter(F.col("_rank") == 0).select(
-        "symbol", "_bucket", "_cnt", *[f"_mn_{f}" for f in FEATURES], *[f"_mx_{f}" for f in FEATURES]
-    )
-    local = local.drop("_cnt", *[f"_mn_{f}" for f in FEATURES], *[f"_mx_{f}" for f in FEATURES])
-    whole = Window.partitionBy("symbol")
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    meta = per_bucket.select(
-        "symbol",
-        "_bucket",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_cnt").over(whole).alias("n"),
-        *[F.min(f"_mn_{f}").over(whole).alias(f"mn_{f}") for f in FEATURES],
-        *[F.max(f"_mx_{f}").over(whole).alias(f"mx_{f}") for f in FEATURES],
+    stat_cols = ["_cnt"] + [f"_mn_{f}" for f in FEATURES] + [f"_mx_{f}" for f in FEATURES]
+    per_bucket = local.filter("_rank = 0").select("symbol", "_bucket", *stat_cols)
+    local = local.drop(*stat_cols)
+    ws = "OVER (PARTITION BY symbol ORDER BY _bucket ROWS BETWEEN {lo} AND {hi})"
+    whole = ws.format(lo="UNBOUNDED PRECEDING", hi="UNBOUNDED FOLLOWING")
+    meta = per_bucket.selectExpr(
+        "symbol", "_bucket",
+        f"coalesce(sum(_cnt) {ws.format(lo='UNBOUNDED PRECEDING', hi='1 PRECEDING')}, 0) AS _offset",
+        f"sum(_cnt) {whole} AS n",
+        *[f"min(_mn_{f}) {whole} AS mn_{f}" for f in FEATURES],
+        *[f"max(_mx_{f}) {whole} AS mx_{f}" for f in FEATURES],
     )
+    r = float(ratio)
+    feat = [c for c in local.columns if c not in ("_bucket", "_rank")]
     out = (
         local.join(meta, ["symbol", "_bucket"])
-        .withColumn("idx", (F.col("_offset") + F.col("_rank")).cast("long"))
-        .withColumn("split", split_point(F.col("n"), ratio))
-        .withColumn("part", F.when(F.col("idx") < F.col("split"), F.lit("train")).otherwise(F.lit("test")))
-        .withColumn(
-            "part_idx",
-            F.when(F.col("idx") < F.col("split"), F.col("idx")).otherwise(F.col("idx") - F.col("split")),
-        )
-        .withColumn(
-            "part_n",
-            F.when(F.col("idx") < F.col("split"), F.col("split")).otherwise(F.col("n") - F.col("split")),
-        )
-        .drop("_bucket", "_rank", "_offset")
+        .selectExpr(*feat, "n", *[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES],
+                    "CAST(_offset + _rank AS BIGINT) AS idx",
+                    f"CAST(floor(CAST(n AS DOUBLE) * {r!r}D + 0.5D) AS BIGINT) AS split")
+        .selectExpr("*",
+                    "CASE WHEN idx < split THEN 'train' ELSE 'test' END AS part",
+                    "CASE WHEN idx < split THEN idx ELSE idx - split END AS part_idx",
+                    "CASE WHEN idx < split THEN split ELSE n - split END AS part_n")
     )
     if bounds_on == "train":
-        tb = (
-            out.filter(F.col("part") == "train")
-            .groupBy("symbol")
-            .agg(*[F.min(f).alias(f"mn_{f}") for f in FEATURES], *[F.max(f).alias(f"mx_{f}") for f in FEATURES])
-        )
+        tb = out.filter("part = 'train'").groupBy("symbol").agg(*[F.expr(e) for e in _mnmx("", "")])
         out = out.drop(*[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES]).join(tb, "symbol", "left")
     return out
 
 
+def norm_sql(f: str, bound_of: str | None = None) -> str:
+    g = bound_of or f
+    return f"try_divide({f} - mn_{g}, mx_{g} - mn_{g})"
+
+
 def norm(f: str, bound_of: str | None = None) -> Column:
     """(x - min) / (max - min); a constant feature gives NULL instead of 0/0."""
-    g = bound_of or f
-    return F.try_divide(F.col(f) - F.col(f"mn_{g}"), F.col(f"mx_{g}") - F.col(f"mn_{g}"))
+    return F.expr(norm_sql(f, bound_of))
 
 
 def denorm(value: Column, f: str) -> Column:
     """p * (max - min) + min."""
-    return value * (F.col(f"mx_{f}") - F.col(f"mn_{f}")) + F.col(f"mn_{f}")
+    return value * F.expr(f"mx_{f} - mn_{f}") + F.col(f"mn_{f}")

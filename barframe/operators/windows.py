@@ -8,15 +8,21 @@ row at most twice, and a very long series is spread over many tasks.
 
 Start positions follow the reference loops: ``start < part_n - (L + H)``
 (the last possible start is left out, as there); ``drop_last=False`` keeps it.
+
+Expressions are SQL text: one driver round trip per projection instead of one
+per expression node.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BLOCK_ROWS, FEATURES, HORIZON, MINI_BATCH, WINDOW
-from .series import norm
+from .series import norm_sql
+
+BOUNDS = tuple(f"mn_{f}" for f in FEATURES) + tuple(f"mx_{f}" for f in FEATURES)
+BLOCK_WINDOW = "PARTITION BY symbol, part, _blk ORDER BY part_idx"
 
 
 def target_columns(category: str) -> list[str]:
@@ -29,29 +35,31 @@ def target_columns(category: str) -> list[str]:
     return [c]
 
 
-def _bar_struct(normalised: bool = True) -> Column:
-    return F.struct(*[(norm(f) if normalised else F.col(f)).alias(f) for f in FEATURES])
+def bar_struct_sql(normalised: bool = True) -> str:
+    return "named_struct(" + ", ".join(
+        f"'{f}', {norm_sql(f) if normalised else f}" for f in FEATURES
+    ) + ")"
 
 
 def _blocked(indexed: DataFrame, span: int, block_rows: int) -> DataFrame:
-    """Assign rows to blocks; rows within ``span`` of a block start are copied to the previous block."""
+    """Assign rows to blocks; rows within ``span`` of a block start are copied to the previous block.
+
+    The explicit distribution on all three keys keeps a hot symbol spread over
+    its blocks even when the input already arrives clustered by symbol.
+    """
     if block_rows <= span:
         raise ValueError("block_rows must exceed the window span")
-    own = F.floor(F.col("part_idx") / F.lit(block_rows)).cast("long")
-    copy = (F.col("part_idx") % F.lit(block_rows) < F.lit(span)) & (F.col("part_idx") >= F.lit(block_rows))
-    # The explicit distribution on all three keys keeps a hot symbol spread over
-    # its blocks even when the input already arrives clustered by symbol.
-    return (
-        indexed.withColumn("_own_blk", own)
-        .withColumn("_blk", F.explode(F.when(copy, F.array(own, own - 1)).otherwise(F.array(own))))
-        .repartition("symbol", "part", "_blk")
-    )
+    own = f"CAST(floor(part_idx / {block_rows}) AS BIGINT)"
+    return indexed.selectExpr(
+        "*", f"{own} AS _own_blk",
+        f"explode(CASE WHEN part_idx >= {block_rows} AND part_idx % {block_rows} < {span} "
+        f"THEN array({own}, {own} - 1) ELSE array({own}) END) AS _blk",
+    ).repartition("symbol", "part", "_blk")
 
 
 def _starts(df: DataFrame, L: int, H: int, drop_last: bool) -> DataFrame:
-    last = F.col("part_n") - F.lit(L + H)
-    keep = (F.col("part_idx") < last) if drop_last else (F.col("part_idx") <= last)
-    return df.filter((F.col("_blk") == F.col("_own_blk")) & keep)
+    op = "<" if drop_last else "<="
+    return df.filter(f"_blk = _own_blk AND part_idx {op} part_n - {L + H}")
 
 
 def test_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H: int = HORIZON,
@@ -63,24 +71,15 @@ def test_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H
     bounds columns so predictions can be denormalised without another join.
     """
     targets = target_columns(category)
-    rows = _blocked(indexed.filter(F.col("part") == part), L + H, block_rows)
-    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
-    frame = w.rowsBetween(0, L - 1)
-    if len(targets) == 1:
-        label = F.lead(targets[0], L).over(w)
-    else:
-        label = F.lead(F.struct(*[F.col(f) for f in FEATURES]), L).over(w)
-    out = rows.select(
-        "symbol", "part_idx", "part_n", "_blk", "_own_blk", "date",
-        *[F.col(f"mn_{f}") for f in FEATURES], *[F.col(f"mx_{f}") for f in FEATURES],
-        F.collect_list(_bar_struct()).over(frame).alias("window"),
-        label.alias("label"),
+    rows = _blocked(indexed.filter(f"part = '{part}'"), L + H, block_rows)
+    label_of = targets[0] if len(targets) == 1 else bar_struct_sql(normalised=False)
+    out = rows.selectExpr(
+        "symbol", "part_idx", "part_n", "_blk", "_own_blk", "date", *BOUNDS,
+        f"collect_list({bar_struct_sql()}) OVER ({BLOCK_WINDOW} ROWS BETWEEN CURRENT ROW AND {L - 1} FOLLOWING) AS window",
+        f"lead({label_of}, {L}) OVER ({BLOCK_WINDOW}) AS label",
     )
-    return (
-        _starts(out, L, H, drop_last)
-        .withColumnRenamed("part_idx", "start_idx")
-        .withColumnRenamed("date", "start_date")
-        .drop("_blk", "_own_blk", "part_n")
+    return _starts(out, L, H, drop_last).selectExpr(
+        "symbol", "part_idx AS start_idx", "date AS start_date", *BOUNDS, "window", "label"
     )
 
 
@@ -91,50 +90,38 @@ def train_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW,
     For ALL every feature is normalised with its own bounds.
     """
     targets = target_columns(category)
-    rows = _blocked(indexed.filter(F.col("part") == "train"), L + H, block_rows)
-    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
-    if len(targets) == 1:
-        lab = norm(targets[0])
-    else:
-        lab = F.struct(*[norm(f).alias(f) for f in FEATURES])
-    out = rows.select(
+    rows = _blocked(indexed.filter("part = 'train'"), L + H, block_rows)
+    lab = norm_sql(targets[0]) if len(targets) == 1 else bar_struct_sql()
+    out = rows.selectExpr(
         "symbol", "part_idx", "part_n", "_blk", "_own_blk", "date",
-        F.collect_list(_bar_struct()).over(w.rowsBetween(0, L - 1)).alias("window"),
-        F.collect_list(lab).over(w.rowsBetween(1, L)).alias("labels"),
+        f"collect_list({bar_struct_sql()}) OVER ({BLOCK_WINDOW} ROWS BETWEEN CURRENT ROW AND {L - 1} FOLLOWING) AS window",
+        f"collect_list({lab}) OVER ({BLOCK_WINDOW} ROWS BETWEEN 1 FOLLOWING AND {L} FOLLOWING) AS labels",
     )
-    return (
-        _starts(out, L, H, drop_last)
-        .withColumnRenamed("part_idx", "start_idx")
-        .withColumnRenamed("date", "start_date")
-        .drop("_blk", "_own_blk", "part_n")
+    return _starts(out, L, H, drop_last).selectExpr(
+        "symbol", "part_idx AS start_idx", "date AS start_date", "window", "labels"
     )
 
 
 def windows_long(windows: DataFrame) -> DataFrame:
     """One row per (symbol, start_idx, step): the five window values and the step label."""
-    z = windows.select("symbol", "start_idx", F.posexplode(F.arrays_zip("window", "labels")).alias("step", "z"))
-    lab = z.schema["z"].dataType["labels"].dataType
-    label_cols = (
-        [F.col(f"z.labels.{f}").alias(f"label_{f}") for f in FEATURES]
-        if lab.typeName() == "struct" else [F.col("z.labels").alias("label")]
-    )
-    return z.select(
-        "symbol", "start_idx", F.col("step").cast("long").alias("step"),
-        *[F.col(f"z.window.{f}").alias(f) for f in FEATURES], *label_cols,
+    struct_label = windows.schema["labels"].dataType.elementType.typeName() == "struct"
+    label_cols = [f"z.labels.{f} AS label_{f}" for f in FEATURES] if struct_label else ["z.labels AS label"]
+    return windows.selectExpr(
+        "symbol", "start_idx", "posexplode(arrays_zip(window, labels)) AS (step, z)"
+    ).selectExpr(
+        "symbol", "start_idx", "CAST(step AS BIGINT) AS step", *[f"z.window.{f} AS {f}" for f in FEATURES],
+        *label_cols,
     )
 
 
 def test_windows_long(windows: DataFrame) -> DataFrame:
     """One row per (symbol, start_idx, step) of test windows; the label repeats on each step."""
-    z = windows.select("symbol", "start_idx", "label", F.posexplode("window").alias("step", "bar"))
-    lab = windows.schema["label"].dataType
-    label_cols = (
-        [F.col(f"label.{f}").alias(f"label_{f}") for f in FEATURES]
-        if lab.typeName() == "struct" else [F.col("label")]
-    )
-    return z.select(
-        "symbol", "start_idx", F.col("step").cast("long").alias("step"),
-        *[F.col(f"bar.{f}").alias(f) for f in FEATURES], *label_cols,
+    struct_label = windows.schema["label"].dataType.typeName() == "struct"
+    label_cols = [f"label.{f} AS label_{f}" for f in FEATURES] if struct_label else ["label"]
+    return windows.selectExpr(
+        "symbol", "start_idx", "label", "posexplode(window) AS (step, bar)"
+    ).selectExpr(
+        "symbol", "start_idx", "CAST(step AS BIGINT) AS step", *[f"bar.{f} AS {f}" for f in FEATURES], *label_cols,
     )
 
 
@@ -144,26 +131,26 @@ def latest_window(indexed: DataFrame, L: int = WINDOW) -> DataFrame:
     idx and n are known per row, so the last L rows are a plain filter; the
     group per symbol is bounded by L.
     """
-    last = indexed.filter(F.col("idx") >= F.col("n") - F.lit(L))
-    agg = last.groupBy("symbol").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("idx"), F.col("date"), *[norm(f).alias(f) for f in FEATURES],
-                                             *[F.col(f).alias(f"raw_{f}") for f in FEATURES]))).alias("_bars"),
+    raw = ", ".join(f"'raw_{f}', {f}" for f in FEATURES)
+    normed = ", ".join(f"'{f}', {norm_sql(f)}" for f in FEATURES)
+    agg = indexed.filter(f"idx >= n - {L}").groupBy("symbol").agg(
+        F.expr(f"sort_array(collect_list(named_struct('idx', idx, 'date', date, {normed}, {raw})))").alias("_bars"),
         F.max("date").alias("as_of"),
-        *[F.first(f"mn_{f}").alias(f"mn_{f}") for f in FEATURES],
-        *[F.first(f"mx_{f}").alias(f"mx_{f}") for f in FEATURES],
+        *[F.first(c).alias(c) for c in BOUNDS],
     )
-    return agg.select(
+    pick = lambda pre: ", ".join(f"'{f}', b.{pre}{f}" for f in FEATURES)
+    return agg.selectExpr(
         "symbol", "as_of",
-        F.transform("_bars", lambda b: F.struct(*[b[f].alias(f) for f in FEATURES])).alias("window"),
-        F.transform("_bars", lambda b: F.struct(*[b[f"raw_{f}"].alias(f) for f in FEATURES])).alias("raw_window"),
-        *[F.col(f"mn_{f}") for f in FEATURES], *[F.col(f"mx_{f}") for f in FEATURES],
+        f"transform(_bars, b -> named_struct({pick('')})) AS window",
+        f"transform(_bars, b -> named_struct({pick('raw_')})) AS raw_window",
+        *BOUNDS,
     )
 
 
 def batch_assignment(windows: DataFrame, batch: int = MINI_BATCH) -> DataFrame:
     """Mini-batches of ``batch`` consecutive windows per symbol; the last one may be short."""
     return (
-        windows.withColumn("batch_id", F.floor(F.col("start_idx") / F.lit(batch)).cast("long"))
+        windows.selectExpr("symbol", "start_idx", f"CAST(floor(start_idx / {batch}) AS BIGINT) AS batch_id")
         .groupBy("symbol", "batch_id")
         .agg(
             F.count(F.lit(1)).alias("n_windows"),
@@ -174,29 +161,31 @@ def batch_assignment(windows: DataFrame, batch: int = MINI_BATCH) -> DataFrame:
 
 
 def window_counts(indexed: DataFrame, L: int = WINDOW, H: int = HORIZON) -> DataFrame:
-    """Training examples per symbol, n_train - L - H, clamped at 0 (from the small per-symbol table)."""
-    return (
-        indexed.groupBy("symbol")
-        .agg(F.max("split").alias("n_train"), F.max("n").alias("n"))
-        .select(
-            "symbol",
-            F.col("n_train").cast("long").alias("n_train"),
-            F.greatest(F.col("n_train") - F.lit(L + H), F.lit(0)).cast("long").alias("n_train_windows"),
-            F.greatest(F.col("n") - F.col("n_train") - F.lit(L + H), F.lit(0)).cast("long").alias("n_test_windows"),
-        )
+    """Training examples per symbol, n_train - L - H, clamped at 0 (reference can go negative)."""
+    return indexed.groupBy("symbol").agg(F.max("split").alias("n_train"), F.max("n").alias("n")).selectExpr(
+        "symbol", "CAST(n_train AS BIGINT) AS n_train",
+        f"CAST(greatest(n_train - {L + H}, 0) AS BIGINT) AS n_train_windows",
+        f"CAST(greatest(n - n_train - {L + H}, 0) AS BIGINT) AS n_test_windows",
     )
 
 
-def with_lead(indexed: DataFrame, cols: dict[str, Column], offset: int = 1, part: str | None = None,
+def with_lead(indexed: DataFrame, cols: dict[str, Column | str], offset: int = 1, part: str | None = None,
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``<name>`` = value of ``cols[name]`` ``offset`` rows later in the same part.
 
     Uses the same blocked layout as the windows, so the lookup never needs a
     whole-series partition. With ``part=None`` both parts are kept; the lead
-    never crosses from train into test.
+    never crosses from train into test. Values may be SQL text or Columns.
     """
-    src = indexed if part is None else indexed.filter(F.col("part") == part)
+    src = indexed if part is None else indexed.filter(f"part = '{part}'")
     rows = _blocked(src, offset, block_rows)
-    w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
-    out = rows.select("*", *[F.lead(c, offset).over(w).alias(n) for n, c in cols.items()])
-    return out.filter(F.col("_blk") == F.col("_own_blk")).drop("_blk", "_own_blk")
+    exprs = []
+    for n, c in cols.items():
+        if isinstance(c, str):
+            exprs.append(F.expr(f"lead({c}, {offset}) OVER ({BLOCK_WINDOW})").alias(n))
+        else:
+            from pyspark.sql import Window
+
+            w = Window.partitionBy("symbol", "part", "_blk").orderBy("part_idx")
+            exprs.append(F.lead(c, offset).over(w).alias(n))
+    return rows.select("*", *exprs).filter("_blk = _own_blk").drop("_blk", "_own_blk")

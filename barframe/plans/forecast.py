@@ -9,25 +9,21 @@ measured table is small and keeps a sort-merge join otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (ACTUAL_SERIES, FEATURES, HORIZONS, PREDICT_SERIES, SERIES_NAMES, WINDOW)
-from ..functions.calendar import minute_stamp, next_trading_days
-from ..operators.series import denorm, norm
+from ..functions.calendar import minute_stamp, next_trading_days_sql
+from ..operators.series import norm_sql
 from ..operators.windows import latest_window, target_columns, test_windows, with_lead
 
 
 def ar1_fit(indexed: DataFrame, category: str = "close") -> DataFrame:
     """(symbol, category, slope, intercept, n_pairs) for each target feature."""
     cols = target_columns(category)
-    paired = with_lead(indexed, {f"_y_{f}": norm(f) for f in cols}, 1, part="train")
-    per = paired.select(
-        "symbol",
-        F.explode(F.array(*[
-            F.struct(F.lit(f).alias("category"), norm(f).alias("x"), F.col(f"_y_{f}").alias("y")) for f in cols
-        ])).alias("p"),
-    ).select("symbol", "p.*")
+    paired = with_lead(indexed, {f"_y_{f}": norm_sql(f) for f in cols}, 1, part="train")
+    pairs = ", ".join(f"named_struct('category', '{f}', 'x', {norm_sql(f)}, 'y', _y_{f})" for f in cols)
+    per = paired.selectExpr("symbol", f"inline(array({pairs}))")
     return per.groupBy("symbol", "category").agg(
         F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("intercept"),
@@ -36,14 +32,15 @@ def ar1_fit(indexed: DataFrame, category: str = "close") -> DataFrame:
 
 
 def _coef_wide(coef: DataFrame) -> DataFrame:
-    """One row per symbol with a_<f>/b_<f> columns (pivot over the fixed feature list)."""
+    """One row per symbol with <f>_a/<f>_b columns (pivot over the fixed feature list)."""
     return coef.groupBy("symbol").pivot("category", list(FEATURES)).agg(
         F.first("intercept").alias("a"), F.first("slope").alias("b")
     )
 
 
-def _pred(a: Column, b: Column, z: Column) -> Column:
-    return a + b * z
+def _pred_sql(f: str, z: str) -> str:
+    """Denormalised AR(1) prediction from normalised input ``z``."""
+    return f"({f}_a + {f}_b * {z}) * (mx_{f} - mn_{f}) + mn_{f}"
 
 
 def one_ahead(indexed: DataFrame, category: str = "close", coef: DataFrame | None = None,
@@ -51,43 +48,32 @@ def one_ahead(indexed: DataFrame, category: str = "close", coef: DataFrame | Non
     """M6/M7: score every test window one day ahead, denormalised, next to the actual.
 
     One category gives (symbol, start_idx, prediction, actual); ALL gives one
-    row per (symbol, start_idx, category).
+    row per (symbol, start_idx, category, series_name).
     """
     cols = target_columns(category)
     coef = coef if coef is not None else ar1_fit(indexed, category)
-    wins = test_windows(indexed, category, L=L)
-    wide = _coef_wide(coef)
-    j = wins.join(wide, "symbol")
-    last = F.element_at("window", -1)
+    j = test_windows(indexed, category, L=L).join(_coef_wide(coef), "symbol")
     if len(cols) == 1:
         f = cols[0]
-        return j.select(
-            "symbol", F.col("start_idx").cast("long").alias("start_idx"),
-            denorm(_pred(F.col(f"{f}_a"), F.col(f"{f}_b"), last[f]), f).alias("prediction"),
-            F.col("label").alias("actual"),
+        return j.selectExpr(
+            "symbol", "CAST(start_idx AS BIGINT) AS start_idx",
+            f"{_pred_sql(f, f'element_at(window, -1).{f}')} AS prediction", "label AS actual",
         )
-    return j.select(
-        "symbol", F.col("start_idx").cast("long").alias("start_idx"),
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(f).alias("category"),
-                F.lit(SERIES_NAMES[f]).alias("series_name"),
-                denorm(_pred(F.col(f"{f}_a"), F.col(f"{f}_b"), last[f]), f).alias("prediction"),
-                F.col("label")[f].alias("actual"),
-            ) for f in FEATURES
-        ])).alias("r"),
-    ).select("symbol", "start_idx", "r.*")
+    rows = ", ".join(
+        f"named_struct('category', '{f}', 'series_name', '{SERIES_NAMES[f]}', "
+        f"'prediction', {_pred_sql(f, f'element_at(window, -1).{f}')}, 'actual', label.{f})"
+        for f in FEATURES
+    )
+    return j.selectExpr("symbol", "CAST(start_idx AS BIGINT) AS start_idx", f"inline(array({rows}))")
 
 
 def prediction_series(scored: DataFrame) -> DataFrame:
     """M8: long (symbol, series, x, y) with x = 0..n-1 in window order, two series."""
-    return scored.select(
-        "symbol", F.col("start_idx").alias("x"),
-        F.explode(F.array(
-            F.struct(F.lit(PREDICT_SERIES).alias("series"), F.col("prediction").alias("y")),
-            F.struct(F.lit(ACTUAL_SERIES).alias("series"), F.col("actual").alias("y")),
-        )).alias("s"),
-    ).select("symbol", "s.series", "x", "s.y")
+    return scored.selectExpr(
+        "symbol", "start_idx AS x",
+        f"inline(array(named_struct('series', '{PREDICT_SERIES}', 'y', prediction), "
+        f"named_struct('series', '{ACTUAL_SERIES}', 'y', actual)))",
+    ).select("symbol", "series", "x", "y")
 
 
 def next_value(indexed: DataFrame, category: str = "close", coef: DataFrame | None = None,
@@ -95,10 +81,8 @@ def next_value(indexed: DataFrame, category: str = "close", coef: DataFrame | No
     """M9: one denormalised next-day value per symbol from its latest window."""
     f = target_columns(category)[0]
     coef = coef if coef is not None else ar1_fit(indexed, f)
-    lw = latest_window(indexed, L)
-    j = lw.join(_coef_wide(coef), "symbol")
-    z = F.element_at("window", -1)[f]
-    return j.select("symbol", "as_of", denorm(_pred(F.col(f"{f}_a"), F.col(f"{f}_b"), z), f).alias("prediction"))
+    j = latest_window(indexed, L).join(_coef_wide(coef), "symbol")
+    return j.selectExpr("symbol", "as_of", f"{_pred_sql(f, f'element_at(window, -1).{f}')} AS prediction")
 
 
 def recursive_forecast(indexed: DataFrame, category: str = "close", steps: int = HORIZONS[-1][1],
@@ -116,23 +100,19 @@ def recursive_forecast(indexed: DataFrame, category: str = "close", steps: int =
     f = target_columns(category)[0]
     coef = coef if coef is not None else ar1_fit(indexed, f)
     lw = latest_window(indexed, L).join(_coef_wide(coef), "symbol")
-    a, b = F.col(f"{f}_a"), F.col(f"{f}_b")
-    z0 = F.element_at("window", -1)[f]
-    init = F.struct(z0.alias("z"), F.array().cast("array<double>").alias("zs"))
-    fold = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
-        init,
-        lambda acc, _k: F.transform(
-            F.array(_pred(a, b, acc["z"])), lambda y: F.struct(y.alias("z"), F.concat(acc["zs"], F.array(y)).alias("zs"))
-        )[0],
-    )
-    span = F.col(f"mx_{f}") - F.col(f"mn_{f}")
-    points = F.transform(
-        F.arrays_zip(fold["zs"].alias("z"), next_trading_days("as_of", steps).alias("date")),
-        lambda p, i: F.struct((i + 1).cast("long").alias("step"), p["date"].alias("date"),
-                              (p["z"] * span + F.col(f"mn_{f}")).alias("prediction")),
+    # One fold over the trading days, emitting dated, denormalised points as it
+    # goes: the expensive expression appears once, so the optimiser cannot
+    # inline it into a per-element lambda.
+    point = (f"named_struct('step', CAST(size(acc.pts) + 1 AS BIGINT), 'date', d, "
+             f"'prediction', y * (mx_{f} - mn_{f}) + mn_{f})")
+    fold = (
+        f"aggregate({next_trading_days_sql('as_of', steps)}, "
+        f"named_struct('z', element_at(window, -1).{f}, "
+        f"'pts', CAST(array() AS ARRAY<STRUCT<step: BIGINT, date: DATE, prediction: DOUBLE>>)), "
+        f"(acc, d) -> transform(array({f}_a + {f}_b * acc.z), "
+        f"y -> named_struct('z', y, 'pts', concat(acc.pts, array({point}))))[0]).pts"
     )
-    return lw.select("symbol", "as_of", points.alias("points"))
+    return lw.selectExpr("symbol", "as_of", f"{fold} AS points")
 
 
 def forecast_long(fc: DataFrame) -> DataFrame:
