@@ -13,26 +13,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (ACTUAL_SERIES, FEATURES, HORIZONS, PREDICT_SERIES, SERIES_NAMES, WINDOW)
-from ..functions.calendar import minute_stamp, next_trading_days_sql
+from ..functions.calendar import next_trading_days_sql
 from ..operators.series import norm_sql
 from ..operators.windows import latest_window, target_columns, test_windows, with_lead
 
 
-def ar1_fit(indexed: DataFrame, category: str = "close") -> DataFrame:
-    """(symbol, category, slope, intercept, n_pairs) for each target feature."""
+def ar1_coefficients(indexed: DataFrame, category: str = "close") -> DataFrame:
+    """One row per symbol: <f>_a (intercept), <f>_b (slope), <f>_n (pairs) for each target feature.
+
+    A single partial/final aggregate per symbol over the training pairs
+    (both bars in train), so the fit moves one small row per symbol and task.
+    """
     cols = target_columns(category)
     paired = with_lead(indexed, {f"_y_{f}": norm_sql(f) for f in cols}, 1, part="train")
-    pairs = ", ".join(f"named_struct('category', '{f}', 'x', {norm_sql(f)}, 'y', _y_{f})" for f in cols)
-    per = paired.selectExpr("symbol", f"inline(array({pairs}))")
-    return per.groupBy("symbol", "category").agg(
-        F.regr_slope("y", "x").alias("slope"),
-        F.regr_intercept("y", "x").alias("intercept"),
-        F.regr_count("y", "x").alias("n_pairs"),
+    xs = paired.selectExpr("symbol", *[f"{norm_sql(f)} AS _x_{f}" for f in cols], *[f"_y_{f}" for f in cols])
+    return xs.groupBy("symbol").agg(*[
+        e for f in cols for e in (
+            F.regr_intercept(f"_y_{f}", f"_x_{f}").alias(f"{f}_a"),
+            F.regr_slope(f"_y_{f}", f"_x_{f}").alias(f"{f}_b"),
+            F.regr_count(f"_y_{f}", f"_x_{f}").alias(f"{f}_n"),
+        )
+    ])
+
+
+def ar1_fit(indexed: DataFrame, category: str = "close") -> DataFrame:
+    """(symbol, category, slope, intercept, n_pairs) for each target feature (long form)."""
+    cols = target_columns(category)
+    wide = ar1_coefficients(indexed, category)
+    rows = ", ".join(
+        f"named_struct('category', '{f}', 'slope', {f}_b, 'intercept', {f}_a, 'n_pairs', {f}_n)" for f in cols
     )
+    return wide.selectExpr("symbol", f"inline(array({rows}))")
 
 
 def _coef_wide(coef: DataFrame) -> DataFrame:
-    """One row per symbol with <f>_a/<f>_b columns (pivot over the fixed feature list)."""
+    """Wide coefficients from either form (long rows are pivoted over the fixed feature list)."""
+    if "category" not in coef.columns:
+        return coef
     return coef.groupBy("symbol").pivot("category", list(FEATURES)).agg(
         F.first("intercept").alias("a"), F.first("slope").alias("b")
     )
@@ -51,7 +68,7 @@ def one_ahead(indexed: DataFrame, category: str = "close", coef: DataFrame | Non
     row per (symbol, start_idx, category, series_name).
     """
     cols = target_columns(category)
-    coef = coef if coef is not None else ar1_fit(indexed, category)
+    coef = coef if coef is not None else ar1_coefficients(indexed, category)
     j = test_windows(indexed, category, L=L).join(_coef_wide(coef), "symbol")
     if len(cols) == 1:
         f = cols[0]
@@ -80,7 +97,7 @@ def next_value(indexed: DataFrame, category: str = "close", coef: DataFrame | No
                L: int = WINDOW) -> DataFrame:
     """M9: one denormalised next-day value per symbol from its latest window."""
     f = target_columns(category)[0]
-    coef = coef if coef is not None else ar1_fit(indexed, f)
+    coef = coef if coef is not None else ar1_coefficients(indexed, f)
     j = latest_window(indexed, L).join(_coef_wide(coef), "symbol")
     return j.selectExpr("symbol", "as_of", f"{_pred_sql(f, f'element_at(window, -1).{f}')} AS prediction")
 
@@ -98,7 +115,7 @@ def recursive_forecast(indexed: DataFrame, category: str = "close", steps: int =
     Result per symbol: as_of, points ARRAY<STRUCT<step, date, prediction>>.
     """
     f = target_columns(category)[0]
-    coef = coef if coef is not None else ar1_fit(indexed, f)
+    coef = coef if coef is not None else ar1_coefficients(indexed, f)
     lw = latest_window(indexed, L).join(_coef_wide(coef), "symbol")
     # One fold over the trading days, emitting dated, denormalised points as it
     # goes: the expensive expression appears once, so the optimiser cannot
@@ -116,27 +133,25 @@ def recursive_forecast(indexed: DataFrame, category: str = "close", steps: int =
 
 
 def forecast_long(fc: DataFrame) -> DataFrame:
-    return fc.select("symbol", F.inline("points")).select("symbol", "step", "date", "prediction")
+    return fc.selectExpr("symbol", "inline(points)").select("symbol", "step", "date", "prediction")
 
 
 def forecast_payload(fc: DataFrame) -> DataFrame:
-    """symbol + five nested horizons, each a prefix of the same forecast; JSON text in ``payload``."""
-    pts = F.transform(
-        "points", lambda p: F.struct(p["prediction"].alias("prediction"),
-                                     minute_stamp(p["date"].cast("timestamp")).alias("date"))
-    )
-    obj = F.struct(F.col("symbol"), *[F.slice(pts, 1, n).alias(name) for name, n in HORIZONS])
-    return fc.select("symbol", obj.alias("forecast")).select("symbol", "forecast", F.to_json("forecast").alias("payload"))
+    """symbol + five nested horizons, each a prefix of the same forecast; JSON text in ``payload``.
+
+    Points are {prediction, date} with the date stamped 'yyyy-MM-dd HH:mm:00'.
+    """
+    pts = ("transform(points, p -> named_struct('prediction', p.prediction, "
+           "'date', date_format(CAST(p.date AS TIMESTAMP), 'yyyy-MM-dd HH:mm:00')))")
+    horizons = ", ".join(f"'{name}', slice(_pts, 1, {n})" for name, n in HORIZONS)
+    return fc.selectExpr("symbol", f"{pts} AS _pts").selectExpr(
+        "symbol", f"named_struct('symbol', symbol, {horizons}) AS forecast"
+    ).selectExpr("symbol", "forecast", "to_json(forecast) AS payload")
 
 
 def payload_horizons(payload: DataFrame) -> DataFrame:
     """Long form of the payload: (symbol, horizon, step, date, prediction)."""
-    return payload.select(
-        "symbol",
-        F.explode(F.array(*[
-            F.struct(F.lit(name).alias("horizon"), F.col(f"forecast.{name}").alias("pts")) for name, _ in HORIZONS
-        ])).alias("h"),
-    ).select("symbol", F.col("h.horizon").alias("horizon"), F.posexplode("h.pts").alias("pos", "p")).select(
-        "symbol", "horizon", (F.col("pos") + 1).cast("long").alias("step"),
-        F.col("p.date").alias("date"), F.col("p.prediction").alias("prediction"),
-    )
+    hs = ", ".join(f"named_struct('horizon', '{name}', 'pts', forecast.{name})" for name, _ in HORIZONS)
+    return payload.selectExpr("symbol", f"inline(array({hs}))").selectExpr(
+        "symbol", "horizon", "posexplode(pts) AS (pos, p)"
+    ).selectExpr("symbol", "horizon", "CAST(pos + 1 AS BIGINT) AS step", "p.date AS date", "p.prediction AS prediction")
