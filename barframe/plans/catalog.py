@@ -294,6 +294,12 @@ def q_window_regressor(spark, sf_dir):
     return M.window_regressor(indexed_bars(spark, sf_dir), "close", model_dir=shared_dir(spark, "window-model"))
 
 
+def q_model_forecast(spark, sf_dir):
+    from . import models as M
+
+    return M.model_forecast(indexed_bars(spark, sf_dir), "close")
+
+
 def q_libsvm_roundtrip(spark, sf_dir):
     from . import models as M
 
@@ -404,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "price_class_mlp": q_price_class_mlp,
     "vector_classifier": q_vector_classifier,
     "window_regressor": q_window_regressor,
+    "model_forecast": q_model_forecast,
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "docs_scan": q_docs_scan,
     "json_insert": q_json_insert,

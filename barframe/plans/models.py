@@ -21,6 +21,22 @@ from ..operators.splits import hash_split
 from ..operators.windows import target_columns, test_windows, train_windows, with_lead
 
 
+def _fit(estimator, frame: DataFrame):
+    """Fit with the training frame persisted for the estimator's passes, then release it.
+
+    MLlib makes several passes (sizing, statistics, optimiser iterations,
+    summary); without this each pass recomputes the whole upstream plan.
+    MEMORY_AND_DISK keeps it spill-safe; lost blocks are recomputed from lineage.
+    """
+    from pyspark import StorageLevel
+
+    cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def price_class(price: Column, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES) -> Column:
     """Price to a class index in [0, classes-1]; MLlib needs integral, in-range labels."""
     return F.least(F.greatest(F.floor(price / F.lit(float(width))), F.lit(0)), F.lit(classes - 1)).cast("double")
@@ -57,7 +73,7 @@ def price_class_mlp(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes:
     split = hash_split(frame, F.concat_ws("|", F.col("symbol"), F.col("date").cast("string")), RANDOM_SPLIT, SEED)
     train = split.filter(F.col("part") == "train")
     test = split.filter(F.col("part") == "test")
-    model = _mlp([1, *PRICE_MLP_HIDDEN, classes], max_iter).fit(train)
+    model = _fit(_mlp([1, *PRICE_MLP_HIDDEN, classes], max_iter), train.select("features", "label"))
     return model.transform(test).select("symbol", "date", "label", "prediction")
 
 
@@ -78,7 +94,7 @@ def vector_classifier(embeddings: DataFrame, max_iter: int = MLP_MAX_ITER) -> Da
     split = hash_split(vec, F.col("vec_id"), RANDOM_SPLIT, SEED)
     train = split.filter(F.col("part") == "train")
     test = split.filter(F.col("part") == "test")
-    model = _mlp([dim, *PRICE_MLP_HIDDEN, classes], max_iter).fit(train)
+    model = _fit(_mlp([dim, *PRICE_MLP_HIDDEN, classes], max_iter), train.select("features", "label"))
     return model.transform(test).select("vec_id", "label", "prediction")
 
 
@@ -95,9 +111,14 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
     return r.load(path)
 
 
+def flat_window_sql(col: str = "window", feats=FEATURES) -> str:
+    """Step-major flattening of an ARRAY<STRUCT<features>> window; a NULL (constant feature) counts as 0."""
+    return f"flatten(transform({col}, b -> array({', '.join(f'coalesce(b.{f}, 0D)' for f in feats)})))"
+
+
 def flat_window(col: str = "window", feats=FEATURES) -> Column:
     """Flatten an ARRAY<STRUCT<features>> window into one vector (step-major)."""
-    return array_to_vector(F.flatten(F.transform(col, lambda b: F.array(*[b[f] for f in feats]))))
+    return array_to_vector(F.expr(flat_window_sql(col, feats)))
 
 
 def window_training_frame(indexed: DataFrame, category: str = "close", L: int = WINDOW) -> DataFrame:
@@ -118,7 +139,7 @@ def fit_window_regressor(train: DataFrame, kind: str = "linear"):
         est = GBTRegressor(maxIter=EPOCHS, seed=SEED)
     else:
         raise ValueError(kind)
-    return Pipeline(stages=[est]).fit(train)
+    return _fit(Pipeline(stages=[est]), train.select("features", "label"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -157,6 +178,45 @@ def window_regressor(indexed: DataFrame, category: str = "close", model_dir: str
     )
 
 
+def _dlit(x: float) -> str:
+    """A double as Spark SQL literal text (exponent form is already DOUBLE)."""
+    t = repr(float(x))
+    return f"CAST({t} AS DOUBLE)" if ("e" in t or "E" in t) else f"{t}D"
+
+
+def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 1200, L: int = WINDOW,
+                   model: PipelineModel | None = None) -> DataFrame:
+    """M10 with the fitted window regressor: roll each symbol's latest window forward ``steps`` times.
+
+    Each step scores the flattened window (intercept + dot product with the
+    model's L*5 coefficients, a model-sized literal), drops the oldest bar and
+    appends it again with the target replaced by the prediction. One fold per
+    symbol, bounded by ``steps``; symbols run in parallel.
+    Result: (symbol, step, date, prediction) in price units.
+    """
+    from ..functions.calendar import next_trading_days_sql
+    from ..operators.windows import latest_window
+
+    f = target_columns(category)[0]
+    model = model or fit_window_regressor(window_training_frame(indexed, f, L))
+    lr = model.stages[-1]
+    weights = "array(" + ", ".join(_dlit(w) for w in lr.coefficients.toArray()) + ")"
+    score = (f"{_dlit(lr.intercept)} + aggregate(zip_with({flat_window_sql('acc.win')}, {weights}, (x, w) -> x * w), "
+             f"0D, (s, v) -> s + v)")
+    old = "acc.win[0]"
+    appended = "named_struct(" + ", ".join(f"'{g}', {'y' if g == f else f'{old}.{g}'}" for g in FEATURES) + ")"
+    point = f"named_struct('step', CAST(size(acc.pts) + 1 AS BIGINT), 'date', d, 'prediction', y * (mx_{f} - mn_{f}) + mn_{f})"
+    fold = (
+        f"aggregate({next_trading_days_sql('as_of', steps)}, "
+        f"named_struct('win', window, 'pts', CAST(array() AS ARRAY<STRUCT<step: BIGINT, date: DATE, prediction: DOUBLE>>)), "
+        f"(acc, d) -> transform(array({score}), y -> named_struct("
+        f"'win', concat(slice(acc.win, 2, {L - 1}), array({appended})), "
+        f"'pts', concat(acc.pts, array({point}))))[0]).pts"
+    )
+    lw = latest_window(indexed, L).filter(f"size(window) = {L}")
+    return lw.selectExpr("symbol", f"inline({fold})")
+
+
 def rformula_features(bars: DataFrame, formula: str = "close ~ open") -> DataFrame:
     """M4: formula-built (features, label) columns."""
     return RFormula(formula=formula, featuresCol="features", labelCol="label").fit(bars).transform(bars)
