@@ -42,12 +42,43 @@ def answer(requests: DataFrame, payload: DataFrame) -> DataFrame:
     )
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """On-disk size of a path (file-system metadata only, any Hadoop scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def sized_join(spark: SparkSession, stream: DataFrame, static: DataFrame, static_path: str, key: str = "symbol",
+               salts: int = 16, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Stream-static left join with the strategy chosen from the static table's measured size.
+
+    Micro-batches run without adaptive execution, so there is no runtime
+    broadcast or skew split. The static side is broadcast only when its files
+    are under the limit (default: ``spark.sql.autoBroadcastJoinThreshold``);
+    beyond it the join is salted: each static row is copied to ``salts``
+    buckets and each request goes to one bucket chosen by its id, so a symbol
+    holding a third of the requests is spread over ``salts`` tasks.
+    """
+    if max_broadcast_bytes is None:
+        conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        max_broadcast_bytes = int(str(conf).rstrip("bB") or 0)
+    if 0 < path_bytes(spark, static_path) <= max_broadcast_bytes:
+        return stream.join(F.broadcast(static), key, "left")
+    salted_static = static.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
+    salted_stream = stream.selectExpr("*", f"pmod(xxhash64(request_id), {salts}) AS _salt")
+    return salted_stream.join(salted_static, [key, "_salt"], "left").drop("_salt")
+
+
 def start_request_stream(spark: SparkSession, requests_dir: str, forecast_dir: str, sink_dir: str,
-                         checkpoint_dir: str):
+                         checkpoint_dir: str, max_broadcast_bytes: int | None = None):
     """Start the streaming query; returns the StreamingQuery (trigger: all available, then stop)."""
     reqs = spark.readStream.schema(REQUEST_SCHEMA).parquet(requests_dir)
     fc = spark.read.parquet(forecast_dir).select("symbol", "payload")
-    out = reqs.join(fc, "symbol", "left").select("request_id", "symbol", F.col("payload").alias("response"))
+    out = sized_join(spark, reqs, fc, forecast_dir, max_broadcast_bytes=max_broadcast_bytes).select(
+        "request_id", "symbol", F.col("payload").alias("response")
+    )
     return (
         out.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint_dir)

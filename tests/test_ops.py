@@ -203,3 +203,21 @@ def test_vector_classifier_and_libsvm(spark, sf_small):
     back = M.read_libsvm(spark, path, 64)
     assert back.count() == emb.count()
     assert stats.accuracy(out, by=None).first()["n"] == out.count()
+
+
+@pytest.mark.parametrize("limit", [None, 1])
+def test_stream_join_broadcast_or_salted(spark, sf_small, limit):
+    """Both join strategies give the same answers (limit=1 byte forces the salted path)."""
+    base = shared_dir(spark, "test-stream-salt")
+    req_dir, fc_dir, sink, ckpt = f"{base}/in", f"{base}/fc", f"{base}/out", f"{base}/ckpt"
+    ix = index_series(B.load_bars(spark, sf_small))
+    FC.forecast_payload(FC.recursive_forecast(ix, "close", steps=5)).select("symbol", "payload") \
+        .write.mode("overwrite").parquet(fc_dir)
+    reqs = K.requests_from_events(spark.read.parquet(f"{sf_small}/events.parquet"),
+                                  spark.read.parquet(f"{sf_small}/orders.parquet"))
+    reqs.write.mode("overwrite").parquet(req_dir)
+    K.start_request_stream(spark, req_dir, fc_dir, sink, ckpt, max_broadcast_bytes=limit).awaitTermination()
+    out = spark.read.parquet(sink)
+    assert out.count() == reqs.count()
+    assert out.select("request_id").distinct().count() == reqs.count()
+    assert out.filter(F.col("response").isNull()).count() == 0
