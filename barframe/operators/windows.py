@@ -160,6 +160,19 @@ def batch_assignment(windows: DataFrame, batch: int = MINI_BATCH) -> DataFrame:
     )
 
 
+def export_training_windows(windows: DataFrame, path: str, batch: int = MINI_BATCH) -> None:
+    """W4 export: windows with their batch id, one directory per symbol (partition pruning for readers).
+
+    Rows are hash-distributed on (symbol, batch_id) before the write, so a hot
+    symbol is written by many tasks and each task writes few directories.
+    """
+    (
+        windows.selectExpr("*", f"CAST(floor(start_idx / {batch}) AS BIGINT) AS batch_id")
+        .repartition("symbol", "batch_id")
+        .write.mode("overwrite").partitionBy("symbol").parquet(path)
+    )
+
+
 def window_counts(indexed: DataFrame, L: int = WINDOW, H: int = HORIZON) -> DataFrame:
     """Training examples per symbol, n_train - L - H, clamped at 0 (reference can go negative)."""
     return indexed.groupBy("symbol").agg(F.max("split").alias("n_train"), F.max("n").alias("n")).selectExpr(

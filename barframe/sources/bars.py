@@ -47,6 +47,14 @@ def read_alt_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed_bars(raw)
 
 
+def counted(df: DataFrame, name: str = "rows"):
+    """Attach a row-count observation; read ``obs.get["n"]`` after the first action (no extra job)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
 def write_bars_csv(bars: DataFrame, path: str, layout: tuple[str, ...] = LAYOUT_1) -> None:
     """Write bars as text in one of the two layouts (header row)."""
     cols = [F.col(c).cast("string").alias(c) for c in layout]

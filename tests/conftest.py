@@ -23,7 +23,12 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder only where the session has none.
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
+        d = str(tmp_path_factory.mktemp("ckpt"))
+        try:
+            s.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001
+            pass
+        s.sparkContext.setCheckpointDir(d)
     yield s
 
 

@@ -221,3 +221,20 @@ def test_stream_join_broadcast_or_salted(spark, sf_small, limit):
     assert out.count() == reqs.count()
     assert out.select("request_id").distinct().count() == reqs.count()
     assert out.filter(F.col("response").isNull()).count() == 0
+
+
+def test_training_export_and_observed_count(spark, sf_small):
+    from barframe.operators import windows as W
+
+    ix = index_series(B.load_bars(spark, sf_small))
+    tw = W.train_windows(ix, "close")
+    path = shared_dir(spark, "test-export")
+    W.export_training_windows(tw, path)
+    back = spark.read.parquet(path)
+    assert back.count() == tw.count()
+    one = back.filter(F.col("symbol") == "2-HIGH")
+    assert "PartitionFilters: [isnotnull(symbol" in one._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    df, obs = B.counted(B.load_bars(spark, sf_small))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["n"] == B.load_bars(spark, sf_small).count()
