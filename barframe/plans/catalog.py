@@ -301,11 +301,16 @@ def q_model_forecast(spark, sf_dir):
 
 
 def q_libsvm_roundtrip(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
     from . import models as M
 
+    emb = _t(spark, sf_dir, "embeddings")
+    dim = emb.agg(F.max(F.size("embedding"))).first()[0]
     path = shared_dir(spark, "libsvm")
-    M.write_libsvm(M.embedding_vectors(_t(spark, sf_dir, "embeddings")), path)
-    return M.read_libsvm(spark, path, 64)
+    M.write_libsvm(M.embedding_vectors(emb), path)
+    back = M.read_libsvm(spark, path, dim).select("label", vector_to_array("features").alias("_v"))
+    return back.select("label", *[F.col("_v")[i].alias(f"f{i}") for i in range(dim)])
 
 
 # ---- documents ------------------------------------------------------------------
@@ -364,7 +369,17 @@ def q_request_forecasts(spark, sf_dir):
 def q_stream_forecast_responses(spark, sf_dir):
     from ..streaming import requests as K
 
-    return K.run_request_stream(spark, sf_dir)
+    out = K.run_request_stream(spark, sf_dir)
+    # Read the emitted JSON back: the same columns as the batch twin.
+    # Parse each response once (a referenced-twice parse is not inlined by the optimiser).
+    parsed = out.selectExpr(
+        "request_id", "symbol",
+        "from_json(response, 'max ARRAY<STRUCT<prediction: DOUBLE, date: STRING>>').max AS pts",
+    )
+    return parsed.selectExpr(
+        "request_id", "symbol", "pts[0].date AS first_date", "round(pts[0].prediction, 2) AS first_prediction",
+        "size(pts) AS n_points",
+    )
 
 
 QUERIES: dict[str, Query] = {

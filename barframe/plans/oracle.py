@@ -276,4 +276,8 @@ f1 AS (SELECT symbol, {stamp.format(d='date')} AS first_date, round(prediction,
 nn AS (SELECT symbol, count(*) AS n_points FROM fc GROUP BY symbol)
 SELECT req.request_id, req.symbol, f1.first_date, f1.first_prediction, CAST(nn.n_points AS INTEGER) AS n_points
 FROM req LEFT JOIN f1 ON f1.symbol = req.symbol LEFT JOIN nn ON nn.symbol = req.symbol"""
+    q["stream_forecast_responses"] = q["request_forecasts"]
+    q["libsvm_roundtrip"] = "SELECT CAST(label AS DOUBLE) AS label, " + ", ".join(
+        f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(64)
+    ) + " FROM embeddings"
     return q

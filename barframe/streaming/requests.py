@@ -97,7 +97,9 @@ def run_request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     req_dir, fc_dir, sink, ckpt = (f"{base}/in", f"{base}/forecast", f"{base}/out", f"{base}/checkpoint")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    requests_from_events(events, orders).write.mode("overwrite").parquet(req_dir)
+    # Requests land as many files (one per writer task), as they would from many producers.
+    parts = spark.sparkContext.defaultParallelism
+    requests_from_events(events, orders).repartition(parts, "request_id").write.mode("overwrite").parquet(req_dir)
     payload = forecast_payload(recursive_forecast(index_series(load_bars(spark, sf_dir)), "close"))
     payload.select("symbol", "payload").write.mode("overwrite").parquet(fc_dir)
     q = start_request_stream(spark, req_dir, fc_dir, sink, ckpt)
