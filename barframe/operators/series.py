@@ -18,7 +18,7 @@ order, which is a deterministic tie-break for duplicate dates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, INDEX_BUCKET, SERIES_SPLIT
@@ -40,9 +40,9 @@ def _bucket(date_col: str, bucket: str) -> str:
     raise ValueError(f"unknown bucket {bucket!r}")
 
 
-def split_point(n: Column, ratio: float) -> Column:
-    """Rows in the first part: round(n * ratio), halves rounded up."""
-    return F.floor(n.cast("double") * F.lit(float(ratio)) + F.lit(0.5)).cast("long")
+def split_sql(n: str, ratio: float) -> str:
+    """Rows in the first part: round(n * ratio), halves rounded up (SQL text)."""
+    return f"CAST(floor(CAST({n} AS DOUBLE) * {float(ratio)!r}D + 0.5D) AS BIGINT)"
 
 
 def _mnmx(prefix_in: str, prefix_out: str, over: str = "") -> list[str]:
@@ -89,13 +89,12 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
         *[f"min(_mn_{f}) {whole} AS mn_{f}" for f in FEATURES],
         *[f"max(_mx_{f}) {whole} AS mx_{f}" for f in FEATURES],
     )
-    r = float(ratio)
     feat = [c for c in local.columns if c not in ("_bucket", "_rank")]
     out = (
         local.join(meta, ["symbol", "_bucket"])
         .selectExpr(*feat, "n", *[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES],
                     "CAST(_offset + _rank AS BIGINT) AS idx",
-                    f"CAST(floor(CAST(n AS DOUBLE) * {r!r}D + 0.5D) AS BIGINT) AS split")
+                    f"{split_sql('n', ratio)} AS split")
         .selectExpr("*",
                     "CASE WHEN idx < split THEN 'train' ELSE 'test' END AS part",
                     "CASE WHEN idx < split THEN idx ELSE idx - split END AS part_idx",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import (EPOCHS, FEATURES, L2, MLP_BLOCK, MLP_MAX_ITER, PRICE_CLASS_WIDTH, PRICE_CLASSES,
                       PRICE_MLP_HIDDEN, RANDOM_SPLIT, SEED, WINDOW)
-from ..operators.series import denorm, norm
+from ..operators.series import denorm
 from ..operators.splits import hash_split
 from ..operators.windows import target_columns, test_windows, train_windows, with_lead
 
@@ -231,5 +231,5 @@ __all__ = [
     "price_class", "price_class_frame", "previous_class_predictor", "price_class_mlp", "embedding_vectors",
     "vector_classifier", "write_libsvm", "read_libsvm", "flat_window", "window_training_frame",
     "fit_window_regressor", "save_model", "model_exists", "load_model", "window_regressor",
-    "rformula_features", "assemble", "norm",
+    "rformula_features", "assemble", "model_forecast",
 ]

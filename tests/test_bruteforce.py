@@ -78,3 +78,29 @@ def test_windows_match_brute_force(spark, seed):
     ld = W.with_lead(ix, {"nxt": "close"}, 1, part="train", block_rows=BLOCK)
     got_pairs = {(r["symbol"], r["part_idx"], r["nxt"]) for r in ld.filter(F.col("nxt").isNotNull()).collect()}
     assert got_pairs == exp_pairs
+
+
+def _next_days_loop(as_of, n, holidays):
+    """Day-by-day loop: first candidate as_of + 2, skip Saturdays, Sundays and fixed month-day holidays."""
+    out, d = [], as_of + dt.timedelta(days=1)
+    while len(out) < n:
+        d += dt.timedelta(days=1)
+        if d.weekday() >= 5 or d.strftime("%m-%d") in holidays:
+            continue
+        out.append(d)
+    return out
+
+
+def test_calendar_matches_day_loop(spark):
+    from barframe.config import HOLIDAYS
+    from barframe.functions.calendar import next_trading_days
+
+    rnd = random.Random(11)
+    starts = [dt.date(2018, 12, 27), dt.date(2019, 12, 31), dt.date(2020, 2, 28)] + [
+        dt.date(1990, 1, 1) + dt.timedelta(days=rnd.randint(0, 15000)) for _ in range(40)
+    ]
+    df = spark.createDataFrame([(d,) for d in starts], "as_of date")
+    for n in (1, 7, 260):
+        got = {r["as_of"]: r["days"] for r in df.select("as_of", next_trading_days("as_of", n).alias("days")).collect()}
+        for d in starts:
+            assert got[d] == _next_days_loop(d, n, set(HOLIDAYS)), (d, n)
