@@ -53,7 +53,7 @@ def _mnmx(prefix_in: str, prefix_out: str, over: str = "") -> list[str]:
 
 def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = INDEX_BUCKET,
                  bounds_on: str = "all") -> DataFrame:
-    """Add idx, n, split, part, part_idx, part_n and mn_<f>/mx_<f> bounds.
+    """Add idx, n, split, part, part_idx, part_n, mn_<f>/mx_<f> bounds and next_<f> (successor bar).
 
     bounds_on="all" takes bounds over the whole series (train and test, as the
     reference does); "train" takes them over the first part only.
@@ -71,15 +71,23 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
     # Rank and bucket statistics come from one window operator over one
     # exchange; the small per-bucket table below is a filter of the same output,
     # so both sides of the join share that exchange and the bars are built once.
+    # The successor of each bar (next_<f>) comes from the same windows: the next
+    # row of the bucket, or for a bucket's last row the first row of the next
+    # bucket (carried by the small per-bucket table). Catalyst prunes these
+    # expressions from plans that do not read next_<f>.
+    rank_order = f"OVER (PARTITION BY symbol, _bucket ORDER BY {order})"
     local = b.selectExpr(
         "*",
-        f"row_number() OVER (PARTITION BY symbol, _bucket ORDER BY {order}) - 1 AS _rank",
+        f"row_number() {rank_order} - 1 AS _rank",
+        *[f"lead({f}) {rank_order} AS _nb_{f}" for f in FEATURES],
         f"count(1) {wb} AS _cnt",
         *_mnmx("", "_", f" {wb}"),
     )
     stat_cols = ["_cnt"] + [f"_mn_{f}" for f in FEATURES] + [f"_mx_{f}" for f in FEATURES]
-    per_bucket = local.filter("_rank = 0").select("symbol", "_bucket", *stat_cols)
-    local = local.drop(*stat_cols)
+    per_bucket = local.filter("_rank = 0").selectExpr(
+        "symbol", "_bucket", *stat_cols, *[f"{f} AS _first_{f}" for f in FEATURES]
+    )
+    local = local.drop(*stat_cols[1:])
     ws = "OVER (PARTITION BY symbol ORDER BY _bucket ROWS BETWEEN {lo} AND {hi})"
     whole = ws.format(lo="UNBOUNDED PRECEDING", hi="UNBOUNDED FOLLOWING")
     meta = per_bucket.selectExpr(
@@ -88,13 +96,16 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
         f"sum(_cnt) {whole} AS n",
         *[f"min(_mn_{f}) {whole} AS mn_{f}" for f in FEATURES],
         *[f"max(_mx_{f}) {whole} AS mx_{f}" for f in FEATURES],
+        *[f"lead(_first_{f}) OVER (PARTITION BY symbol ORDER BY _bucket) AS _nf_{f}" for f in FEATURES],
     )
-    feat = [c for c in local.columns if c not in ("_bucket", "_rank")]
+    internal = {"_bucket", "_rank", "_cnt"} | {f"_nb_{f}" for f in FEATURES}
+    feat = [c for c in local.columns if c not in internal]
     out = (
         local.join(meta, ["symbol", "_bucket"])
         .selectExpr(*feat, "n", *[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES],
                     "CAST(_offset + _rank AS BIGINT) AS idx",
-                    f"{split_sql('n', ratio)} AS split")
+                    f"{split_sql('n', ratio)} AS split",
+                    *[f"CASE WHEN _rank = _cnt - 1 THEN _nf_{f} ELSE _nb_{f} END AS next_{f}" for f in FEATURES])
         .selectExpr("*",
                     "CASE WHEN idx < split THEN 'train' ELSE 'test' END AS part",
                     "CASE WHEN idx < split THEN idx ELSE idx - split END AS part_idx",

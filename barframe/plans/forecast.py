@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 from ..config import (ACTUAL_SERIES, FEATURES, HORIZONS, PREDICT_SERIES, SERIES_NAMES, WINDOW)
 from ..functions.calendar import next_trading_days_sql
 from ..operators.series import norm_sql
-from ..operators.windows import latest_window, target_columns, test_windows, with_lead
+from ..operators.windows import latest_window, target_columns, test_windows
 
 
 def ar1_coefficients(indexed: DataFrame, category: str = "close") -> DataFrame:
     """One row per symbol: <f>_a (intercept), <f>_b (slope), <f>_n (pairs) for each target feature.
 
     A single partial/final aggregate per symbol over the training pairs
-    (both bars in train), so the fit moves one small row per symbol and task.
+    (both bars in train), so the fit moves one small row per symbol and task;
+    each bar's successor comes from ``index_series`` (``next_<f>``).
     """
     cols = target_columns(category)
-    paired = with_lead(indexed, {f"_y_{f}": norm_sql(f) for f in cols}, 1, part="train")
-    xs = paired.selectExpr("symbol", *[f"{norm_sql(f)} AS _x_{f}" for f in cols], *[f"_y_{f}" for f in cols])
+    # Pairs with both bars in train; the successor comes with the index (no extra shuffle).
+    xs = indexed.filter("idx + 1 < split").selectExpr(
+        "symbol", *[f"{norm_sql(f)} AS _x_{f}" for f in cols],
+        *[f"try_divide(next_{f} - mn_{f}, mx_{f} - mn_{f}) AS _y_{f}" for f in cols],
+    )
     return xs.groupBy("symbol").agg(*[
         e for f in cols for e in (
             F.regr_intercept(f"_y_{f}", f"_x_{f}").alias(f"{f}_a"),

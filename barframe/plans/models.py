@@ -18,7 +18,7 @@ from ..config import (EPOCHS, FEATURES, L2, MLP_BLOCK, MLP_MAX_ITER, PRICE_CLASS
                       PRICE_MLP_HIDDEN, RANDOM_SPLIT, SEED, WINDOW)
 from ..operators.series import denorm
 from ..operators.splits import hash_split
-from ..operators.windows import target_columns, test_windows, train_windows, with_lead
+from ..operators.windows import target_columns, test_windows, train_windows
 
 
 def _fit(estimator, frame: DataFrame):
@@ -54,11 +54,11 @@ def price_class_frame(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes
 
 def previous_class_predictor(indexed: DataFrame, width: float, classes: int) -> DataFrame:
     """An exact reference predictor for A6: today's class predicted as yesterday's (test part)."""
-    nxt = with_lead(indexed, {"_next_close": F.col("close")}, 1, part="test")
-    return nxt.filter(F.col("_next_close").isNotNull()).select(
+    pairs = indexed.filter("part = 'test' AND idx + 1 < n AND next_close IS NOT NULL")
+    return pairs.select(
         "symbol", "date",
         price_class(F.col("close"), width, classes).alias("prediction"),
-        price_class(F.col("_next_close"), width, classes).alias("label"),
+        price_class(F.col("next_close"), width, classes).alias("label"),
     )
 
 

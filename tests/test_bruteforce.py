@@ -104,3 +104,21 @@ def test_calendar_matches_day_loop(spark):
         got = {r["as_of"]: r["days"] for r in df.select("as_of", next_trading_days("as_of", n).alias("days")).collect()}
         for d in starts:
             assert got[d] == _next_days_loop(d, n, set(HOLIDAYS)), (d, n)
+
+
+@pytest.mark.parametrize("seed", [7, 8, 9])
+@pytest.mark.parametrize("bucket", ["day", "week", "month"])
+def test_next_bar_columns_match_sorted_successor(spark, seed, bucket):
+    rows = make_rows(seed)
+    ix = index_series(spark.createDataFrame(rows, BAR_SCHEMA).repartition(4), ratio=RATIO, bucket=bucket)
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r)
+    expected = set()
+    for sym, bars in by.items():
+        bars.sort(key=lambda r: (r[1],) + tuple(r[2:]))
+        for i, b in enumerate(bars):
+            nxt = bars[i + 1] if i + 1 < len(bars) else (None,) * 7
+            expected.add((sym, i, *nxt[2:]))
+    got = {(r["symbol"], r["idx"], *[r[f"next_{f}"] for f in FEATURES]) for r in ix.collect()}
+    assert got == expected
