@@ -185,7 +185,13 @@ def test_window_regressor_save_load_and_skill(spark):
     scored = M.window_regressor(ix, "close", model_dir=path)
     assert M.model_exists(spark, path)
     again = M.load_model(path)
-    assert again is not None
+    fitted = M.fit_window_regressor(M.window_training_frame(ix, "close"))
+    from barframe.operators import windows as W
+
+    tw = W.test_windows(ix, "close").select("symbol", "start_idx", M.flat_window().alias("features"))
+    a = {(r["symbol"], r["start_idx"]): r["prediction"] for r in fitted.transform(tw).collect()}
+    b = {(r["symbol"], r["start_idx"]): r["prediction"] for r in again.transform(tw).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) <= 1e-9 * max(1.0, abs(a[k])) for k in a)
     res = scored.agg(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2)).alias("mse"),
                      F.variance("actual").alias("var")).first()
     assert res["mse"] < res["var"]
