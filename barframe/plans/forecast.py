@@ -121,19 +121,22 @@ def recursive_forecast(indexed: DataFrame, category: str = "close", steps: int =
     f = target_columns(category)[0]
     coef = coef if coef is not None else ar1_coefficients(indexed, f)
     lw = latest_window(indexed, L).join(_coef_wide(coef), "symbol")
-    # One fold over the trading days, emitting dated, denormalised points as it
-    # goes: the expensive expression appears once, so the optimiser cannot
-    # inline it into a per-element lambda.
-    point = (f"named_struct('step', CAST(size(acc.pts) + 1 AS BIGINT), 'date', d, "
-             f"'prediction', y * (mx_{f} - mn_{f}) + mn_{f})")
+    # The fold accumulates a primitive ARRAY<DOUBLE> (cheap copies); dates are
+    # attached afterwards with zip_with, where the fold is a function argument
+    # evaluated once, never inside a per-element lambda.
     fold = (
-        f"aggregate({next_trading_days_sql('as_of', steps)}, "
-        f"named_struct('z', element_at(window, -1).{f}, "
-        f"'pts', CAST(array() AS ARRAY<STRUCT<step: BIGINT, date: DATE, prediction: DOUBLE>>)), "
-        f"(acc, d) -> transform(array({f}_a + {f}_b * acc.z), "
-        f"y -> named_struct('z', y, 'pts', concat(acc.pts, array({point}))))[0]).pts"
+        f"aggregate(sequence(1, {steps}), "
+        f"named_struct('z', element_at(window, -1).{f}, 'zs', CAST(array() AS ARRAY<DOUBLE>)), "
+        f"(acc, k) -> transform(array({f}_a + {f}_b * acc.z), "
+        f"y -> named_struct('z', y, 'zs', concat(acc.zs, array(y))))[0]).zs"
     )
-    return lw.selectExpr("symbol", "as_of", f"{fold} AS points")
+    points = (
+        f"transform(zip_with({fold}, {next_trading_days_sql('as_of', steps)}, "
+        f"(z, d) -> named_struct('z', z, 'd', d)), "
+        f"(p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), 'date', p.d, "
+        f"'prediction', p.z * (mx_{f} - mn_{f}) + mn_{f}))"
+    )
+    return lw.selectExpr("symbol", "as_of", f"{points} AS points")
 
 
 def forecast_long(fc: DataFrame) -> DataFrame:

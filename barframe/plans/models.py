@@ -205,16 +205,21 @@ def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 120
              f"0D, (s, v) -> s + v)")
     old = "acc.win[0]"
     appended = "named_struct(" + ", ".join(f"'{g}', {'y' if g == f else f'{old}.{g}'}" for g in FEATURES) + ")"
-    point = f"named_struct('step', CAST(size(acc.pts) + 1 AS BIGINT), 'date', d, 'prediction', y * (mx_{f} - mn_{f}) + mn_{f})"
     fold = (
-        f"aggregate({next_trading_days_sql('as_of', steps)}, "
-        f"named_struct('win', window, 'pts', CAST(array() AS ARRAY<STRUCT<step: BIGINT, date: DATE, prediction: DOUBLE>>)), "
-        f"(acc, d) -> transform(array({score}), y -> named_struct("
+        f"aggregate(sequence(1, {steps}), "
+        f"named_struct('win', window, 'ys', CAST(array() AS ARRAY<DOUBLE>)), "
+        f"(acc, k) -> transform(array({score}), y -> named_struct("
         f"'win', concat(slice(acc.win, 2, {L - 1}), array({appended})), "
-        f"'pts', concat(acc.pts, array({point}))))[0]).pts"
+        f"'ys', concat(acc.ys, array(y))))[0]).ys"
+    )
+    # Predictions accumulate as a primitive array; dates are attached once with zip_with.
+    points = (
+        f"transform(zip_with({fold}, {next_trading_days_sql('as_of', steps)}, (y, d) -> named_struct('y', y, 'd', d)), "
+        f"(p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), 'date', p.d, "
+        f"'prediction', p.y * (mx_{f} - mn_{f}) + mn_{f}))"
     )
     lw = latest_window(indexed, L).filter(f"size(window) = {L}")
-    return lw.selectExpr("symbol", f"inline({fold})")
+    return lw.selectExpr("symbol", f"inline({points})")
 
 
 def rformula_features(bars: DataFrame, formula: str = "close ~ open") -> DataFrame:

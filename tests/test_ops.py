@@ -244,3 +244,16 @@ def test_training_export_and_observed_count(spark, sf_small):
     df, obs = B.counted(B.load_bars(spark, sf_small))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["n"] == B.load_bars(spark, sf_small).count()
+
+
+def test_model_forecast_shape(spark):
+    n = 300
+    rows = [("T", dt.date(2003, 1, 1) + dt.timedelta(days=i), 50.0 + i, 50.5 + i, 49.0 + i, 51.0 + i,
+             500.0 + (i % 5)) for i in range(n)]
+    ix = index_series(spark.createDataFrame(rows, B.BAR_SCHEMA))
+    out = M.model_forecast(ix, "close", steps=30).orderBy("step").collect()
+    assert [r["step"] for r in out] == list(range(1, 31))
+    dates = [r["date"] for r in out]
+    assert all(a < b for a, b in zip(dates, dates[1:]))
+    assert all(d.weekday() < 5 for d in dates)
+    assert all(r["prediction"] == r["prediction"] and abs(r["prediction"]) < 1e9 for r in out)
