@@ -257,3 +257,16 @@ def test_model_forecast_shape(spark):
     assert all(a < b for a, b in zip(dates, dates[1:]))
     assert all(d.weekday() < 5 for d in dates)
     assert all(r["prediction"] == r["prediction"] and abs(r["prediction"]) < 1e9 for r in out)
+
+
+def test_bars_table_partition_pruning(spark, sf_small):
+    bars = B.load_bars(spark, sf_small)
+    path = shared_dir(spark, "test-bars-table")
+    B.write_bars_table(bars, path)
+    back = B.read_bars_table(spark, path)
+    assert sorted(back.collect()) == sorted(bars.select("symbol", "date", *FEATURES).collect())
+    one = clean.symbol_filter(back, "4-NOT SPECIFIED")
+    plan = one._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "4-NOT SPECIFIED" in plan
+    assert one.count() == bars.filter(F.col("symbol") == "4-NOT SPECIFIED").count()
