@@ -129,14 +129,14 @@ def window_training_frame(indexed: DataFrame, category: str = "close", L: int =
                      F.element_at("labels", -1).alias("label")).na.drop(subset=["label"])
 
 
-def fit_window_regressor(train: DataFrame, kind: str = "linear"):
-    """M5 (re-aimed): linear regression with the L2 weight of the reference net, or GBT."""
+def fit_window_regressor(train: DataFrame, kind: str = "linear", max_iter: int = EPOCHS):
+    """M5 (re-aimed): linear regression with the L2 weight of the reference net, or GBT (``max_iter`` trees)."""
     if kind == "linear":
         est = LinearRegression(solver="normal", regParam=L2, elasticNetParam=0.0)
     elif kind == "gbt":
         from pyspark.ml.regression import GBTRegressor
 
-        est = GBTRegressor(maxIter=EPOCHS, seed=SEED)
+        est = GBTRegressor(maxIter=max_iter, seed=SEED)
     else:
         raise ValueError(kind)
     return _fit(Pipeline(stages=[est]), train.select("features", "label"))

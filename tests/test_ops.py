@@ -270,3 +270,15 @@ def test_bars_table_partition_pruning(spark, sf_small):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PartitionFilters: [isnotnull(symbol" in plan and "4-NOT SPECIFIED" in plan
     assert one.count() == bars.filter(F.col("symbol") == "4-NOT SPECIFIED").count()
+
+
+def test_gbt_window_regressor_runs(spark, sf_small):
+    ix = index_series(B.load_bars(spark, sf_small))
+    model = M.fit_window_regressor(M.window_training_frame(ix, "close"), kind="gbt", max_iter=5)
+    from barframe.operators import windows as W
+
+    tw = W.test_windows(ix, "close").select(M.flat_window().alias("features"))
+    out = model.transform(tw).select("prediction").collect()
+    assert len(out) == tw.count() and all(r["prediction"] == r["prediction"] for r in out)
+    with pytest.raises(ValueError):
+        M.fit_window_regressor(M.window_training_frame(ix, "close"), kind="lstm")
