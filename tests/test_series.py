@@ -147,3 +147,17 @@ def test_unknown_category_raises(spark):
     with pytest.raises(ValueError):
         W.target_columns("price")
     assert math.isfinite(len(W.target_columns("ALL")))
+
+
+def test_hash_split_is_partitioning_independent(spark):
+    from barframe.operators.splits import hash_split, split_parts
+
+    b = bars_df(spark, 400).union(bars_df(spark, 300, symbol="BBB"))
+    key = F.concat_ws("|", F.col("symbol"), F.col("date").cast("string"))
+    one = hash_split(b.coalesce(1), key).select("symbol", "date", "part").collect()
+    many = hash_split(b.repartition(7), key).select("symbol", "date", "part").collect()
+    assert sorted(one) == sorted(many)
+    share = sum(r["part"] == "train" for r in one) / len(one)
+    assert 0.5 < share < 0.7
+    train, test = split_parts(b, key)
+    assert train.count() + test.count() == b.count()
