@@ -13,7 +13,10 @@ cut into calendar buckets (month by default):
    hash partitioning of step 1, so only the small table moves.
 
 ``idx`` is the 0-based position in (date, open, close, low, high, volume)
-order, which is a deterministic tie-break for duplicate dates.
+order, which is a deterministic tie-break for duplicate dates. ``next_<f>``
+is the successor bar's feature (NULL for the last bar), from ``lead`` inside
+the bucket window or, for a bucket's last row, from the next bucket's first
+row carried by the per-bucket table.
 """
 
 from __future__ import annotations
