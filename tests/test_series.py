@@ -161,3 +161,26 @@ def test_hash_split_is_partitioning_independent(spark):
     assert 0.5 < share < 0.7
     train, test = split_parts(b, key)
     assert train.count() + test.count() == b.count()
+
+
+def test_hot_symbol_is_spread_over_tasks(spark):
+    """A single symbol with 100k bars: the block layout spreads its window work over many partitions."""
+    from barframe.operators.windows import _blocked
+
+    n = 100_000
+    bars = spark.range(n).selectExpr(
+        "'HOT' AS symbol", "date_add(DATE'1800-01-01', CAST(id AS INT)) AS date",
+        *[f"CAST(id % 997 AS DOUBLE) + {k}.0 AS {f}" for k, f in enumerate(FEATURES)],
+    )
+    ix = index_series(bars, ratio=0.9)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = _blocked(ix.filter("part = 'train'"), L + H, 16_384)
+        sizes = rows.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    assert sum(sizes) > 0.9 * n
+    assert max(sizes) < 0.5 * sum(sizes)  # no single task holds the hot symbol
+    assert sum(1 for x in sizes if x) >= 3
+    assert W.test_windows(ix, "close").count() == n - int(n * 0.9 + 0.5) - L - H
