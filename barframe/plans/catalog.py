@@ -112,6 +112,11 @@ def q_normalized_bars(spark, sf_dir):
     return normalize.normalized_bars(indexed_bars(spark, sf_dir)).withColumn("idx", F.col("idx").cast("long"))
 
 
+def q_normalized_bars_train_bounds(spark, sf_dir):
+    ix = indexed_bars(spark, sf_dir, bounds_on="train")
+    return normalize.normalized_bars(ix).withColumn("idx", F.col("idx").cast("long"))
+
+
 def q_global_minmax(spark, sf_dir):
     g = normalize.global_minmax(B.load_bars(spark, sf_dir))
     return g.select("symbol", "date", *[r(c, 9) for c in normalize.PROFILE_ORDER])
@@ -396,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "bounds_by_category": q_bounds_by_category,
     "window_counts": q_window_counts,
     "normalized_bars": q_normalized_bars,
+    "normalized_bars_train_bounds": q_normalized_bars_train_bounds,
     "global_minmax": q_global_minmax,
     "denormalize_roundtrip": q_denormalize_roundtrip,
     "hash_split": q_hash_split,

@@ -276,6 +276,12 @@ f1 AS (SELECT symbol, {stamp.format(d='date')} AS first_date, round(prediction,
 nn AS (SELECT symbol, count(*) AS n_points FROM fc GROUP BY symbol)
 SELECT req.request_id, req.symbol, f1.first_date, f1.first_prediction, CAST(nn.n_points AS INTEGER) AS n_points
 FROM req LEFT JOIN f1 ON f1.symbol = req.symbol LEFT JOIN nn ON nn.symbol = req.symbol"""
+    tb = ", ".join(f"min({f}) AS tmn_{f}, max({f}) AS tmx_{f}" for f in F5)
+    q["normalized_bars_train_bounds"] = f"""WITH {indexed()},
+tb AS (SELECT symbol, {tb} FROM pt WHERE part = 'train' GROUP BY symbol)
+SELECT pt.symbol, pt.date, CAST(pt.idx AS BIGINT) AS idx,
+       {', '.join(f'(pt.{f} - tb.tmn_{f}) / nullif(tb.tmx_{f} - tb.tmn_{f}, 0) AS {f}' for f in F5)}
+FROM pt LEFT JOIN tb ON tb.symbol = pt.symbol"""
     q["stream_forecast_responses"] = q["request_forecasts"]
     q["libsvm_roundtrip"] = "SELECT CAST(label AS DOUBLE) AS label, " + ", ".join(
         f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(64)
