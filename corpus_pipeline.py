@@ -8,7 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barframe.llm import bpe_trie, common, mixing
+from barframe.llm import bpe_trie, common, gam, mixing, quality_rules, simhash
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules.keep_good(docs, common.read_table(spark, sf_dir, "labels"))
+
+
+def classifier_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts to be good."""
+    return gam.keep_good(docs, common.read_table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +37,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", quality_filter),
+    ("quality classifier", classifier_filter),
+    ("SimHash near-dedup", near_dedup),
     ("mixing sources to target weights", mix_sources),
     ("BPE encoding and decoding", encode),
 ]
