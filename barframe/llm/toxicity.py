@@ -9,7 +9,9 @@ slowly growing function of the text's length, and turned into a probability.
 The lexicon is learned: of the labelled rows (at most ``MAX_ROWS``, by the hash of their id) every word is counted by
 the documents of either label that hold it, words that are surely over-represented in toxic ones are candidates, and
 candidates are counted again by the distinct neighbourhoods they stand in, so that the words of one text copied a
-thousand times count once. What a word weighs is the logarithm of its odds.
+thousand times count once. Beginnings that many candidates share stand for all words that begin so, and are counted
+like a word ("stem*"): inflected forms the sample lacks are found by them. What an entry weighs is the logarithm of
+its odds.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ MAX_ENTRIES = 2_000
 # tested taken together.
 MIN_WEIGHT = 2.0
 CHANCE = 0.01
+# Letters of the beginnings that may stand for a family of words, and how many strong words must share one.
+STEM_SIZES, STEM_WORDS = (4, 5, 6, 7), 5
+# A beginning must weigh this much: it also stands for words that were never seen.
+MIN_STEM_WEIGHT = 6.0
 # Words per unit of length in the normalisation.
 LENGTH_UNIT = 200.0
 
@@ -94,7 +100,7 @@ def readings(folded: str) -> list[str]:
 
 
 class Matcher:
-    """Aho-Corasick automaton over a lexicon {word: weight} and exception phrases."""
+    """Aho-Corasick automaton over a lexicon {word or "stem*": weight} and exception phrases."""
 
     def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         import ahocorasick
@@ -102,30 +108,32 @@ class Matcher:
         self.auto = ahocorasick.Automaton()
         for phrase in exceptions:
             phrase = fold(phrase)
-            self.auto.add_word(phrase, (len(phrase), None))
-        for word, weight in lexicon.items():
-            word = fold(word)
-            if word and word not in self.auto:
-                self.auto.add_word(word, (len(word), weight))
+            self.auto.add_word(phrase, (len(phrase), None, True))
+        # A word goes before a stem of the same letters.
+        for word, weight in sorted(lexicon.items(), key=lambda x: x[0].endswith("*")):
+            text = fold(word.rstrip("*"))
+            if text and text not in self.auto:
+                self.auto.add_word(text, (len(text), weight, not word.endswith("*")))
         self.any = len(self.auto) > 0
         if self.any:
             self.auto.make_automaton()
 
-    def matches(self, text: str) -> dict[tuple[int, int], float]:
-        """{(start, end) in the folded text: weight} of the matches that count."""
-        out: dict[tuple[int, int], float] = {}
+    def matches(self, text: str) -> dict[int, float]:
+        """{start in the folded text: weight} of the matches that count."""
+        out: dict[int, float] = {}
         if not self.any:
             return out
         for reading in readings(fold(text)):
             found, harmless = [], []
-            for end, (size, weight) in self.auto.iter(reading):
+            for end, (size, weight, whole) in self.auto.iter(reading):
                 start = end + 1 - size
-                if (start and reading[start - 1].isalnum()) or reading[end + 1:end + 2].isalnum():
+                if (start and reading[start - 1].isalnum()) or (whole and reading[end + 1:end + 2].isalnum()):
                     continue
                 (harmless if weight is None else found).append((start, end + 1, weight))
             for s, e, weight in found:
                 if not any(a <= s and e <= b for a, b, _ in harmless):
-                    out[s, e] = weight
+                    # A word and the stems it begins with are one match, of the largest weight.
+                    out[s] = max(weight, out.get(s, 0.0))
         return out
 
     def strength(self, text: str | None) -> float:
@@ -171,20 +179,24 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
     def strong(df: DataFrame) -> DataFrame:
         return (df.withColumn("weight", F.expr(weight)).withColumn("evidence", F.expr(evidence))
-                .where(f"t > 0 and weight >= {MIN_WEIGHT!r}D and evidence >= {tested}")
+                .where(f"t > 0 and weight >= if(w like '%*', {MIN_STEM_WEIGHT!r}D, {MIN_WEIGHT!r}D) and evidence >= {tested}")
                 .orderBy(F.col("evidence").desc(), "w").limit(MAX_ENTRIES))
 
     candidates = {r["w"] for r in strong(counts).select("w").collect()}
     if not candidates:
         return {}
+    stems = shared_beginnings(candidates)
+
+    def entries(word: str) -> list[str]:
+        return ([word] if word in candidates else []) + [f"{word[:k]}*" for k in STEM_SIZES if word[:k] in stems]
 
     def contexts(batches):
         for b in batches:
             w, y, h = [], [], []
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for word, around in _contexts(text):
-                    if word in candidates:
-                        w.append(word)
+                    for entry in entries(word):
+                        w.append(entry)
                         y.append(label)
                         h.append(around)
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(y, pa.int64()), pa.array(h, pa.int64())],
@@ -197,6 +209,18 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     return {r["w"]: r["weight"] for r in strong(again).select("w", "weight").collect()}
 
 
+def shared_beginnings(words: set[str]) -> set[str]:
+    """Beginnings of ``STEM_SIZES`` letters that ``STEM_WORDS`` words or more share; of nested ones that stand for the
+    same words, the longest."""
+    of: dict[str, frozenset[str]] = {}
+    for size in STEM_SIZES:
+        for w in words:
+            if len(w) > size:
+                of.setdefault(w[:size], frozenset(x for x in words if x.startswith(w[:size])))
+    kept = {s: ws for s, ws in of.items() if len(ws) >= STEM_WORDS}
+    return {s for s, ws in kept.items() if not any(t != s and t.startswith(s) and v == ws for t, v in kept.items())}
+
+
 def calibrate(strength: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Logistic regression of the label on the strength, lightly pulled to (1, -3) so that it exists for any sample."""
     theta, prior, pull = np.array([1.0, -3.0]), np.array([1.0, -3.0]), np.diag([0.5, 0.5])
