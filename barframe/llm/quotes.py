@@ -47,7 +47,8 @@ def message_lines(messages: DataFrame) -> DataFrame:
 def own_text_sql(text: str = "text") -> str:
     """SQL text: a message without its quoted lines; runs of empty lines that this leaves become one."""
     kept = f"filter(split(coalesce({text}, ''), '\\r?\\n'), l -> not (l rlike '^[ \\\\t]*>'))"
-    return f"trim(regexp_replace(array_join({kept}, '\\n'), '\\\\n([ \\\\t]*\\\\n){{2,}}', '\\n\\n'))"
+    return (f"trim(BOTH ' \\n\\r\\t' FROM regexp_replace(array_join({kept}, '\\n'), "
+            "'\\\\n([ \\\\t]*\\\\n){2,}', '\\n\\n'))")
 
 
 def _latest_before(messages: DataFrame, value: Column, name: str) -> DataFrame:
