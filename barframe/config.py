@@ -86,10 +86,16 @@ INDEX_BUCKET = "month"
 def session(master: str | None = None, shuffle_partitions: int | None = None,
             app: str = "barframe") -> SparkSession:
     """Build (or get) a session with the settings the library is tuned for."""
-    master = master or os.environ.get("BARFRAME_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("BARFRAME_SHUFFLE_PARTITIONS", "8"))
+    builder = SparkSession.builder.appName(app)
+    master = master or os.environ.get("BARFRAME_MASTER")
+    if master:  # else spark-submit's, or Spark's own default
+        builder = builder.master(master)
+    parts = shuffle_partitions or int(os.environ.get("BARFRAME_SHUFFLE_PARTITIONS", "2000"))
+    shared = os.environ.get("BARFRAME_SHARED_DIR")
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = (
-        SparkSession.builder.master(master).appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
@@ -98,7 +104,8 @@ def session(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BARFRAME_DRIVER_MEMORY", "16g"))
-        # Cluster sizing: start wide and let AQE coalesce to ~128 MB partitions;
+        # Cluster sizing: start wide (adaptive execution merges partitions but never adds any) and let it
+        # coalesce to ~128 MB partitions;
         # scan splits of 256 MB keep task counts sane on 100 TB inputs.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", os.environ.get("BARFRAME_MAX_PARTITION_BYTES", "256m"))
@@ -111,13 +118,16 @@ def session(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a folder under the system temp dir is configured.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a session
+    that runs in this process alone (local mode) gets a temporary folder of its
+    own; on a cluster that would be one machine's disk, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="barframe-ckpt-")

@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BLOCK_ROWS, FEATURES, HORIZON, MINI_BATCH, WINDOW
-from .series import norm_sql
+from ..config import BLOCK_ROWS, FEATURES, HORIZON, MINI_BATCH, SERIES_SPLIT, WINDOW
+from .series import norm_sql, split_sql
 
 BOUNDS = tuple(f"mn_{f}" for f in FEATURES) + tuple(f"mx_{f}" for f in FEATURES)
 BLOCK_WINDOW = "PARTITION BY symbol, part, _blk ORDER BY part_idx"
@@ -62,8 +62,14 @@ def _starts(df: DataFrame, L: int, H: int, drop_last: bool) -> DataFrame:
     return df.filter(f"_blk = _own_blk AND part_idx {op} part_n - {L + H}")
 
 
+def _missing_sql(L: int) -> str:
+    nulls = " + ".join(f"CAST({f} IS NULL AS INT)" for f in FEATURES)
+    return f"sum({nulls}) OVER ({BLOCK_WINDOW} ROWS BETWEEN CURRENT ROW AND {L - 1} FOLLOWING) AS missing"
+
+
 def test_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H: int = HORIZON,
-                 drop_last: bool = True, block_rows: int = BLOCK_ROWS, part: str = "test") -> DataFrame:
+                 drop_last: bool = True, block_rows: int = BLOCK_ROWS, part: str = "test",
+                 count_missing: bool = False) -> DataFrame:
     """L normalised bars per start; label = raw target(s) of bar start+L.
 
     Result: symbol, start_idx, start_date, window ARRAY<STRUCT<open..volume>>,
@@ -76,18 +82,21 @@ def test_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H
     out = rows.selectExpr(
         "symbol", "part_idx", "part_n", "_blk", "_own_blk", "date", *BOUNDS,
         f"collect_list({bar_struct_sql()}) OVER ({BLOCK_WINDOW} ROWS BETWEEN CURRENT ROW AND {L - 1} FOLLOWING) AS window",
-        f"lead({label_of}, {L}) OVER ({BLOCK_WINDOW}) AS label",
+        f"lead({label_of}, {L}) OVER ({BLOCK_WINDOW}) AS label", _missing_sql(L),
     )
     return _starts(out, L, H, drop_last).selectExpr(
-        "symbol", "part_idx AS start_idx", "date AS start_date", *BOUNDS, "window", "label"
+        "symbol", "part_idx AS start_idx", "date AS start_date", *BOUNDS, "window", "label",
+        *(["missing"] if count_missing else []),
     )
 
 
 def train_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW, H: int = HORIZON,
-                  drop_last: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  drop_last: bool = True, block_rows: int = BLOCK_ROWS, count_missing: bool = False) -> DataFrame:
     """L normalised bars per start; labels = normalised target(s) of bars start+1..start+L.
 
-    For ALL every feature is normalised with its own bounds.
+    For ALL every feature is normalised with its own bounds. ``count_missing``
+    adds how many of the window's prices are NULL (a constant feature is not
+    missing, though its normalised value is NULL too).
     """
     targets = target_columns(category)
     rows = _blocked(indexed.filter("part = 'train'"), L + H, block_rows)
@@ -95,13 +104,31 @@ def train_windows(indexed: DataFrame, category: str = "close", L: int = WINDOW,
     out = rows.selectExpr(
         "symbol", "part_idx", "part_n", "_blk", "_own_blk", "date",
         f"collect_list({bar_struct_sql()}) OVER ({BLOCK_WINDOW} ROWS BETWEEN CURRENT ROW AND {L - 1} FOLLOWING) AS window",
-        f"collect_list({lab}) OVER ({BLOCK_WINDOW} ROWS BETWEEN 1 FOLLOWING AND {L} FOLLOWING) AS labels",
+        # A struct is never NULL, so a missing label keeps its place in the list.
+        f"transform(collect_list(named_struct('v', {lab})) OVER ({BLOCK_WINDOW} ROWS BETWEEN 1 FOLLOWING AND "
+        f"{L} FOLLOWING), x -> x.v) AS labels", _missing_sql(L),
     )
     return _starts(out, L, H, drop_last).selectExpr(
-        "symbol", "part_idx AS start_idx", "date AS start_date", "window", "labels"
+        "symbol", "part_idx AS start_idx", "date AS start_date", "window", "labels",
+        *(["missing"] if count_missing else []),
     )
 
 
+def last_and_next(indexed: DataFrame, targets: list[str], L: int = WINDOW, H: int = HORIZON,
+                  drop_last: bool = True, block_rows: int = BLOCK_ROWS, part: str = "test") -> DataFrame:
+    """Of every window its newest target value and the one after: (symbol, start_idx, last_<f>, actual_<f>).
+
+    The same starts as :func:`test_windows`, without building the windows.
+    """
+    rows = _blocked(indexed.filter(f"part = '{part}'"), L + H, block_rows)
+    out = rows.selectExpr(
+        "symbol", "part_idx", "part_n", "_blk", "_own_blk",
+        *[f"lead({f}, {k}) OVER ({BLOCK_WINDOW}) AS {name}_{f}" for f in targets
+          for name, k in (("last", L - 1), ("actual", L))])
+    return _starts(out, L, H, drop_last).selectExpr(
+        "symbol", "CAST(part_idx AS BIGINT) AS start_idx", *[f"{n}_{f}" for f in targets for n in ("last", "actual")])
+
+
 def windows_long(windows: DataFrame) -> DataFrame:
     """One row per (symbol, start_idx, step): the five window values and the step label."""
     struct_label = windows.schema["labels"].dataType.elementType.typeName() == "struct"
@@ -173,9 +200,13 @@ def export_training_windows(windows: DataFrame, path: str, batch: int = MINI_BAT
     )
 
 
-def window_counts(indexed: DataFrame, L: int = WINDOW, H: int = HORIZON) -> DataFrame:
-    """Training examples per symbol, n_train - L - H, clamped at 0 (reference can go negative)."""
-    return indexed.groupBy("symbol").agg(F.max("split").alias("n_train"), F.max("n").alias("n")).selectExpr(
+def window_counts(bars: DataFrame, L: int = WINDOW, H: int = HORIZON, ratio: float = SERIES_SPLIT) -> DataFrame:
+    """Training examples per symbol, n_train - L - H, clamped at 0 (the plain difference can go negative).
+
+    A count per symbol and arithmetic; the series is not indexed for it.
+    """
+    counted = bars.filter("symbol IS NOT NULL AND date IS NOT NULL").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return counted.selectExpr("symbol", "n", f"{split_sql('n', ratio)} AS n_train").selectExpr(
         "symbol", "CAST(n_train AS BIGINT) AS n_train",
         f"CAST(greatest(n_train - {L + H}, 0) AS BIGINT) AS n_train_windows",
         f"CAST(greatest(n - n_train - {L + H}, 0) AS BIGINT) AS n_test_windows",

@@ -31,7 +31,8 @@ DOC_OLD = "6.55"
 DOC_NEW = "0"
 BAD_JSON = "{bad"
 CLASS_WIDTH = 5000.0
-CLASS_COUNT = 100
+CLASS_COUNT = 120
+LIBSVM_DIM = 64
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,7 +104,7 @@ def q_bounds_by_category(spark, sf_dir):
 
 
 def q_window_counts(spark, sf_dir):
-    return W.window_counts(indexed_bars(spark, sf_dir))
+    return W.window_counts(B.load_bars(spark, sf_dir))
 
 
 # ---- normalisation, splits -------------------------------------------------
@@ -154,6 +155,15 @@ def q_train_windows_all(spark, sf_dir):
     return W.windows_long(W.train_windows(indexed_bars(spark, sf_dir), "all"))
 
 
+def _gappy_bars(spark, sf_dir):
+    """Bars with the close of every seventh day of a month missing."""
+    return B.load_bars(spark, sf_dir).withColumn("close", F.expr("CASE WHEN day(date) % 7 <> 0 THEN close END"))
+
+
+def q_train_windows_nulls(spark, sf_dir):
+    return W.windows_long(W.train_windows(index_series(_gappy_bars(spark, sf_dir)), "close"))
+
+
 def q_latest_window(spark, sf_dir):
     lw = W.latest_window(indexed_bars(spark, sf_dir))
     return lw.select("symbol", F.posexplode("window").alias("step", "bar")).select(
@@ -236,6 +246,15 @@ def q_next_value(spark, sf_dir):
     return FC.next_value(indexed_bars(spark, sf_dir), "close").select("symbol", "as_of", r("prediction", 2))
 
 
+def q_next_value_all(spark, sf_dir):
+    return FC.next_value(indexed_bars(spark, sf_dir), "all").select("symbol", "as_of", "category", r("prediction", 2))
+
+
+def q_recursive_forecast_all(spark, sf_dir):
+    fc = FC.recursive_forecast(indexed_bars(spark, sf_dir), "all")
+    return FC.forecast_long(fc).select("symbol", "category", "step", "date", r("prediction", 2))
+
+
 def _forecast(spark, sf_dir):
     return FC.recursive_forecast(indexed_bars(spark, sf_dir), "close")
 
@@ -277,8 +296,51 @@ def q_price_class_labels(spark, sf_dir):
 def q_accuracy(spark, sf_dir):
     from . import models as M
 
-    scored = M.previous_class_predictor(indexed_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT)
-    return stats.accuracy(scored)
+    return stats.accuracy(M.previous_class_predictor(indexed_bars(spark, sf_dir), CLASS_WIDTH))
+
+
+def q_price_class_rejects(spark, sf_dir):
+    from . import models as M
+
+    # A narrower ladder than the classifier's, so that it has an end within the prices.
+    return M.price_class_rejects(_gappy_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT // 2)
+
+
+def q_price_class_split(spark, sf_dir):
+    from . import models as M
+    from ..config import RANDOM_SPLIT, SEED
+
+    frame = M.price_class_frame(B.load_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT)
+    key = F.concat_ws("|", F.col("symbol"), F.col("date").cast("string"))
+    return splits.hash_split(frame, key, RANDOM_SPLIT, SEED).select("symbol", "date", "label", "part")
+
+
+def q_window_regressor_frame(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    from . import models as M
+
+    frame = M.window_training_frame(index_series(_gappy_bars(spark, sf_dir)), "close")
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return frame.select("symbol", F.col("start_idx").cast("long").alias("start_idx"), r("label", 9),
+                        F.round(total, 6).alias("feature_sum"))
+
+
+def q_model_forecast_keys(spark, sf_dir):
+    return q_model_forecast(spark, sf_dir).select("symbol", "step", "date", F.col("prediction").isNotNull().alias("scored"))
+
+
+def _classifier_report(scored):
+    return stats.accuracy(scored.withColumn("symbol", F.lit("all"))).selectExpr(
+        "n", "accuracy BETWEEN 0 AND 1 AS in_range")
+
+
+def q_price_class_accuracy(spark, sf_dir):
+    return _classifier_report(q_price_class_mlp(spark, sf_dir))
+
+
+def q_vector_classifier_accuracy(spark, sf_dir):
+    return _classifier_report(q_vector_classifier(spark, sf_dir))
 
 
 def q_price_class_mlp(spark, sf_dir):
@@ -311,7 +373,7 @@ def q_libsvm_roundtrip(spark, sf_dir):
     from . import models as M
 
     emb = _t(spark, sf_dir, "embeddings")
-    dim = emb.agg(F.max(F.size("embedding"))).first()[0]
+    dim = LIBSVM_DIM
     path = shared_dir(spark, "libsvm")
     M.write_libsvm(M.embedding_vectors(emb), path)
     back = M.read_libsvm(spark, path, dim).select("label", vector_to_array("features").alias("_v"))
@@ -333,10 +395,30 @@ def q_docs_scan(spark, sf_dir):
 def q_json_insert(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select(F.col("event_id"), F.col("props").alias("text"))
     bad = ev.groupBy().agg((F.max("event_id") + 1).alias("event_id")).select("event_id", F.lit(BAD_JSON).alias("text"))
-    accepted, rejected = D.insert_json(ev.unionByName(bad), "text")
-    return accepted.select("event_id", "k", F.lit("inserted").alias("status")).unionByName(
-        rejected.select("event_id", F.lit(None).cast("long").alias("k"), F.lit("rejected").alias("status"))
-    )
+    return D.insert_json(ev.unionByName(bad), "text").selectExpr(
+        "event_id", "try_cast(fields['k'] AS BIGINT) AS k", "status")
+
+
+def q_json_store(spark, sf_dir):
+    """The collection after an insert: the stored event documents and the objects appended to them."""
+    path, rejects = shared_dir(spark, "docs"), shared_dir(spark, "doc-rejects")
+    D.write_collection(_docs(spark, sf_dir), path)
+    text = _docs(spark, sf_dir).select(F.to_json(F.struct("open", F.concat(F.lit("new-"), F.col("id")).alias("id"))).alias("text"))
+    D.store_json(text.unionByName(spark.range(1).select(F.lit(BAD_JSON).alias("text"))), path, rejects)
+    return D.read_collection(spark, path)
+
+
+def q_bar_rejects(spark, sf_dir):
+    """CSV lines that hold no bar: the orders' bars with every seventh day of a month cut short or undated."""
+    path = shared_dir(spark, "bars-csv-bad")
+    bars = B.load_bars(spark, sf_dir)
+    line = F.expr("CASE WHEN day(date) % 14 = 7 THEN concat_ws(',', date, symbol)"
+                  " WHEN day(date) % 14 = 0 THEN concat_ws(',', 'someday', symbol, 1, 2, 3, 4, 5)"
+                  " ELSE concat_ws(',', date, symbol, open, close, low, high, volume) END")
+    bars.select(line.alias("value")).write.text(path)
+    good, bad = B.read_bars_csv_checked(spark, path, header=False)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        good.agg(F.lit("bar").alias("reason"), F.count(F.lit(1)).alias("n")))
 
 
 def q_record_append(spark, sf_dir):
@@ -410,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "test_windows_all": q_test_windows_all,
     "train_windows_long": q_train_windows_long,
     "train_windows_all": q_train_windows_all,
+    "train_windows_nulls": q_train_windows_nulls,
     "latest_window": q_latest_window,
     "batch_assignment": q_batch_assignment,
     "holiday_flag": q_holiday_flag,
@@ -423,11 +506,19 @@ QUERIES: dict[str, Query] = {
     "chart_bounds": q_chart_bounds,
     "forecast_mse": q_forecast_mse,
     "next_value": q_next_value,
+    "next_value_all": q_next_value_all,
     "recursive_forecast": q_recursive_forecast,
+    "recursive_forecast_all": q_recursive_forecast_all,
     "forecast_payload": q_forecast_payload,
     "forecast_horizons": q_forecast_horizons,
     "price_class_labels": q_price_class_labels,
+    "price_class_rejects": q_price_class_rejects,
+    "price_class_split": q_price_class_split,
     "accuracy": q_accuracy,
+    "price_class_accuracy": q_price_class_accuracy,
+    "vector_classifier_accuracy": q_vector_classifier_accuracy,
+    "window_regressor_frame": q_window_regressor_frame,
+    "model_forecast_keys": q_model_forecast_keys,
     "price_class_mlp": q_price_class_mlp,
     "vector_classifier": q_vector_classifier,
     "window_regressor": q_window_regressor,
@@ -435,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "docs_scan": q_docs_scan,
     "json_insert": q_json_insert,
+    "json_store": q_json_store,
+    "bar_rejects": q_bar_rejects,
     "record_append": q_record_append,
     "update_first_match": q_update_first_match,
     "update_all_matches": q_update_all_matches,

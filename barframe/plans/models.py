@@ -37,28 +37,43 @@ def _fit(estimator, frame: DataFrame):
         cached.unpersist()
 
 
+def price_step(price: Column, width: float = PRICE_CLASS_WIDTH) -> Column:
+    """Index of the price step a price lies on, of any sign and size."""
+    return F.floor(price / F.lit(float(width))).cast("double")
+
+
 def price_class(price: Column, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES) -> Column:
-    """Price to a class index in [0, classes-1]; MLlib needs integral, in-range labels."""
-    return F.least(F.greatest(F.floor(price / F.lit(float(width))), F.lit(0)), F.lit(classes - 1)).cast("double")
+    """Price to a class index in [0, classes-1], as MLlib needs it; NULL for a price beyond the classes."""
+    step = price_step(price, width)
+    return F.when((step >= 0) & (step < classes), step)
 
 
 def price_class_frame(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES) -> DataFrame:
-    """M2 input: feature = open (1-vector), label = class of close; rows with a NULL price dropped."""
-    clean = bars.na.drop(how="any", subset=["open", "close"])
-    return clean.select(
+    """M2 input: feature = open (1-vector), label = class of close.
+
+    Rows that have no class are in :func:`price_class_rejects`, the rest of the bars.
+    """
+    return bars.select(
         "symbol", "date", "open",
-        array_to_vector(F.array(F.col("open"))).alias("features"),
+        F.when(F.col("open").isNotNull(), array_to_vector(F.array(F.coalesce("open", F.lit(0.0))))).alias("features"),
         price_class(F.col("close"), width, classes).alias("label"),
-    )
+    ).filter("features IS NOT NULL AND label IS NOT NULL")
+
 
+def price_class_rejects(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES) -> DataFrame:
+    """Bars that :func:`price_class_frame` leaves out: (symbol, date, open, close, reason)."""
+    reason = (F.when(F.col("open").isNull() | F.col("close").isNull(), "no price")
+              .when(price_class(F.col("close"), width, classes).isNull(), "beyond the classes"))
+    return bars.select("symbol", "date", "open", "close", reason.alias("reason")).filter("reason IS NOT NULL")
 
-def previous_class_predictor(indexed: DataFrame, width: float, classes: int) -> DataFrame:
-    """An exact reference predictor for A6: today's class predicted as yesterday's (test part)."""
+
+def previous_class_predictor(indexed: DataFrame, width: float) -> DataFrame:
+    """An exact reference predictor for A6: today's price step predicted as yesterday's (test part)."""
     pairs = indexed.filter("part = 'test' AND idx + 1 < n AND next_close IS NOT NULL")
     return pairs.select(
         "symbol", "date",
-        price_class(F.col("close"), width, classes).alias("prediction"),
-        price_class(F.col("next_close"), width, classes).alias("label"),
+        price_step(F.col("close"), width).alias("prediction"),
+        price_step(F.col("next_close"), width).alias("label"),
     )
 
 
@@ -112,7 +127,10 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
 
 
 def flat_window_sql(col: str = "window", feats=FEATURES) -> str:
-    """Step-major flattening of an ARRAY<STRUCT<features>> window; a NULL (constant feature) counts as 0."""
+    """Step-major flattening of an ARRAY<STRUCT<features>> window; a constant feature (normalised: NULL) is 0.
+
+    A missing price is NULL too: callers set windows that have one apart by their ``missing`` count.
+    """
     return f"flatten(transform({col}, b -> array({', '.join(f'coalesce(b.{f}, 0D)' for f in feats)})))"
 
 
@@ -122,11 +140,44 @@ def flat_window(col: str = "window", feats=FEATURES) -> Column:
 
 
 def window_training_frame(indexed: DataFrame, category: str = "close", L: int = WINDOW) -> DataFrame:
-    """M5 input: flattened train windows, label = normalised target of the day after the window."""
-    f = target_columns(category)[0]
-    tw = train_windows(indexed, f, L=L)
+    """M5 input: flattened train windows, label = normalised target of the day after the window.
+
+    A window with a missing price, or without a label (missing, or a constant
+    target), is not trained on; :func:`window_training_rejects` lists those.
+    """
+    return _window_rows(indexed, category, L).filter("missing = 0 AND label IS NOT NULL").drop("missing")
+
+
+def _window_rows(indexed: DataFrame, category: str, L: int) -> DataFrame:
+    (f,) = _one_target(category)
+    tw = train_windows(indexed, f, L=L, count_missing=True)
     return tw.select("symbol", "start_idx", flat_window().alias("features"),
-                     F.element_at("labels", -1).alias("label")).na.drop(subset=["label"])
+                     F.expr("try_element_at(labels, -1)").alias("label"), "missing")
+
+
+def window_training_rejects(indexed: DataFrame, category: str = "close", L: int = WINDOW) -> DataFrame:
+    """(symbol, start_idx, reason) of train windows that are not trained on."""
+    return _window_rows(indexed, category, L).filter("missing > 0 OR label IS NULL").selectExpr(
+        "symbol", "start_idx", "CASE WHEN missing > 0 THEN 'missing price' ELSE 'no label' END AS reason")
+
+
+def _one_target(category: str) -> list[str]:
+    cols = target_columns(category)
+    if len(cols) != 1:
+        raise ValueError("one target at a time; see window_regressor and model_forecast for ALL")
+    return cols
+
+
+def _each_target(category: str, one) -> DataFrame:
+    """``one(feature)`` for a single target, or for ALL the union over the five with a ``category`` column."""
+    cols = target_columns(category)
+    if len(cols) == 1:
+        return one(cols[0])
+    out = None
+    for f in cols:
+        part = one(f).withColumn("category", F.lit(f))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def fit_window_regressor(train: DataFrame, kind: str = "linear", max_iter: int = EPOCHS):
@@ -162,20 +213,27 @@ def load_model(path: str) -> PipelineModel:
 
 def window_regressor(indexed: DataFrame, category: str = "close", model_dir: str | None = None,
                      kind: str = "linear", L: int = WINDOW) -> DataFrame:
-    """M5 + M6: fit on train windows, save/load, score test windows, denormalise next to the actual."""
-    f = target_columns(category)[0]
-    model = fit_window_regressor(window_training_frame(indexed, f, L), kind)
-    if model_dir:
-        save_model(model, model_dir)
-        model = load_model(model_dir)
-    tw = test_windows(indexed, f, L=L).select(
-        "symbol", "start_idx", F.col(f"mn_{f}"), F.col(f"mx_{f}"), F.col("label").alias("actual"),
-        flat_window().alias("features"),
-    )
-    return model.transform(tw).select(
-        "symbol", F.col("start_idx").cast("long").alias("start_idx"),
-        denorm(F.col("prediction"), f).alias("prediction"), "actual",
-    )
+    """M5 + M6: fit on train windows, save/load, score test windows, denormalise next to the actual.
+
+    ALL fits one model per feature and adds a ``category`` column. A window with
+    a missing price keeps its row, with a NULL prediction.
+    """
+    def one(f: str) -> DataFrame:
+        model = fit_window_regressor(window_training_frame(indexed, f, L), kind)
+        if model_dir:
+            path = model_dir if category.lower() != "all" else f"{model_dir}/{f}"
+            save_model(model, path)
+            model = load_model(path)
+        tw = test_windows(indexed, f, L=L, count_missing=True).select(
+            "symbol", "start_idx", F.col(f"mn_{f}"), F.col(f"mx_{f}"), F.col("label").alias("actual"),
+            flat_window().alias("features"), "missing",
+        )
+        return model.transform(tw).select(
+            "symbol", F.col("start_idx").cast("long").alias("start_idx"),
+            F.when(F.col("missing") == 0, denorm(F.col("prediction"), f)).alias("prediction"), "actual",
+        )
+
+    return _each_target(category, one)
 
 
 def _dlit(x: float) -> str:
@@ -192,12 +250,19 @@ def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 120
     model's L*5 coefficients, a model-sized literal), drops the oldest bar and
     appends it again with the target replaced by the prediction. One fold per
     symbol, bounded by ``steps``; symbols run in parallel.
-    Result: (symbol, step, date, prediction) in price units.
+    Result: (symbol, step, date, prediction) in price units; ALL fits one model
+    per feature and adds a ``category`` column. A symbol with fewer than ``L``
+    bars, or with a price missing in its latest window, keeps its steps with
+    NULL predictions.
     """
     from ..functions.calendar import next_trading_days_sql
     from ..operators.windows import latest_window
 
-    f = target_columns(category)[0]
+    if len(target_columns(category)) > 1:
+        if model is not None:
+            raise ValueError("a given model has one target")
+        return _each_target(category, lambda f: model_forecast(indexed, f, steps, L))
+    (f,) = target_columns(category)
     model = model or fit_window_regressor(window_training_frame(indexed, f, L))
     lr = model.stages[-1]
     weights = "array(" + ", ".join(_dlit(w) for w in lr.coefficients.toArray()) + ")"
@@ -218,8 +283,12 @@ def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 120
         f"(p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), 'date', p.d, "
         f"'prediction', p.y * (mx_{f} - mn_{f}) + mn_{f}))"
     )
-    lw = latest_window(indexed, L).filter(f"size(window) = {L}")
-    return lw.selectExpr("symbol", f"inline({points})")
+    no_gap = " AND ".join(f"b.{g} IS NOT NULL" for g in FEATURES)
+    lw = latest_window(indexed, L).withColumn("whole", F.expr(
+        f"size(window) = {L} AND forall(transform(raw_window, b -> {no_gap}), x -> x)"))
+    none = (f"transform({next_trading_days_sql('as_of', steps)}, (d, i) -> named_struct('step', CAST(i + 1 AS BIGINT), "
+            f"'date', d, 'prediction', CAST(NULL AS DOUBLE)))")
+    return lw.selectExpr("symbol", f"inline(CASE WHEN whole THEN {points} ELSE {none} END)")
 
 
 def rformula_features(bars: DataFrame, formula: str = "close ~ open") -> DataFrame:
@@ -233,7 +302,7 @@ def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
 
 
 __all__ = [
-    "price_class", "price_class_frame", "previous_class_predictor", "price_class_mlp", "embedding_vectors",
+    "price_step", "price_class", "price_class_frame", "price_class_rejects", "window_training_rejects", "previous_class_predictor", "price_class_mlp", "embedding_vectors",
     "vector_classifier", "write_libsvm", "read_libsvm", "flat_window", "window_training_frame",
     "fit_window_regressor", "save_model", "model_exists", "load_model", "window_regressor",
     "rformula_features", "assemble", "model_forecast",

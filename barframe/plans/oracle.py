@@ -151,7 +151,10 @@ def build(filter_symbol: str, doc_field: str, doc_old: str, doc_new: str, bad_js
     from ..config import CHART_HIGH, CHART_LOW, HORIZONS, SERIES_NAMES
 
     n_max = HORIZONS[-1][1]
-    cls = lambda a: f"CAST(least(greatest(floor({a}.close / {class_width!r}), 0), {class_count - 1}) AS DOUBLE)"
+    cls = lambda a: f"CAST(floor({a}.close / {class_width!r}) AS DOUBLE)"
+    in_range = lambda k: f"floor(close / {class_width!r}) BETWEEN 0 AND {k - 1}"
+    gappy = f"""raw AS ({BARS[BARS.index('(') + 1:-1]}),
+bars AS (SELECT symbol, date, open, CASE WHEN day(date) % 7 <> 0 THEN close END AS close, low, high, volume FROM raw)"""
     one_all = " UNION ALL ".join(_one_ahead_rows(f) for f in F5)
     names = " ".join(f"WHEN '{f}' THEN '{SERIES_NAMES[f]}'" for f in F5)
     horizons = ", ".join(f"('{name}', {n})" for name, n in HORIZONS)
@@ -238,6 +241,25 @@ SELECT symbol, start_idx, category, CASE category {names} END AS series_name,
 SELECT p.symbol, p.date AS as_of,
        round((co.intercept + co.slope * {nz('p', 'close')}) * (p.mx_close - p.mn_close) + p.mn_close, 2) AS prediction
 FROM pt p JOIN co ON co.symbol = p.symbol AND co.category = 'close' WHERE p.idx = p.n - 1"""
+    q["next_value_all"] = f"""WITH {indexed()}, {ar1(F5)}, nv AS (""" + " UNION ALL ".join(
+        f"SELECT p.symbol, p.date AS as_of, '{f}' AS category, (co.intercept + co.slope * {nz('p', f)}) "
+        f"* (p.mx_{f} - p.mn_{f}) + p.mn_{f} AS prediction FROM pt p JOIN co ON co.symbol = p.symbol "
+        f"AND co.category = '{f}' WHERE p.idx = p.n - 1" for f in F5
+    ) + ") SELECT symbol, as_of, category, round(prediction, 2) AS prediction FROM nv"
+    starts = " UNION ALL ".join(
+        f"SELECT p.symbol, '{f}' AS category, p.date AS as_of, {nz('p', f)} AS z0, co.intercept AS a, co.slope AS b, "
+        f"p.mn_{f} AS mn, p.mx_{f} AS mx FROM pt p JOIN co ON co.symbol = p.symbol AND co.category = '{f}' "
+        f"WHERE p.idx = p.n - 1" for f in F5)
+    q["recursive_forecast_all"] = f"""WITH RECURSIVE {indexed()}, {ar1(F5)}, st5 AS ({starts}),
+rec AS (SELECT symbol, category, 1 AS step, a + b * z0 AS z FROM st5
+        UNION ALL
+        SELECT rec.symbol, rec.category, rec.step + 1, st5.a + st5.b * rec.z FROM rec
+        JOIN st5 ON st5.symbol = rec.symbol AND st5.category = rec.category WHERE rec.step < {n_max}),
+last AS (SELECT DISTINCT symbol, as_of FROM st5),
+{calendar('last', n_max)}
+SELECT rec.symbol, rec.category, CAST(rec.step AS BIGINT) AS step, cal.date, round(rec.z * (st5.mx - st5.mn) + st5.mn, 2) AS prediction
+FROM rec JOIN st5 ON st5.symbol = rec.symbol AND st5.category = rec.category
+JOIN cal ON cal.symbol = rec.symbol AND cal.step = rec.step"""
     rec = f"WITH RECURSIVE {forecast_ctes(n_max)}"
     q["recursive_forecast"] = f"{rec} SELECT symbol, step, date, round(prediction, 2) AS prediction FROM fc"
     q["forecast_payload"] = f"""{rec}
@@ -248,7 +270,31 @@ FROM fc GROUP BY symbol"""
     q["forecast_horizons"] = f"""{rec}, hz(horizon, len) AS (VALUES {horizons})
 SELECT fc.symbol, hz.horizon, fc.step, {stamp.format(d='fc.date')} AS date, round(fc.prediction, 2) AS prediction
 FROM fc JOIN hz ON fc.step <= hz.len"""
-    q["price_class_labels"] = f"WITH {BARS} SELECT symbol, date, open, {cls('bars')} AS label FROM bars"
+    q["price_class_labels"] = (f"WITH {BARS} SELECT symbol, date, open, {cls('bars')} AS label FROM bars "
+                               f"WHERE {in_range(class_count)}")
+    q["price_class_rejects"] = f"""WITH {gappy}
+SELECT symbol, date, open, close, CASE WHEN open IS NULL OR close IS NULL THEN 'no price' ELSE 'beyond the classes' END AS reason
+FROM bars WHERE open IS NULL OR close IS NULL OR NOT {in_range(class_count // 2)}"""
+    split = f"""h AS (SELECT symbol, date, close, CAST(('0x' || substr(md5(symbol || '|' || CAST(date AS VARCHAR) || '|1234'), 1, 8)) AS BIGINT) % 100 AS bucket
+  FROM bars WHERE {in_range(class_count)})"""
+    q["price_class_split"] = f"""WITH {BARS}, {split}
+SELECT symbol, date, {cls('h')} AS label, CASE WHEN bucket < 60 THEN 'train' ELSE 'test' END AS part FROM h"""
+    q["price_class_accuracy"] = f"WITH {BARS}, {split} SELECT count(*) AS n, true AS in_range FROM h WHERE bucket >= 60"
+    q["vector_classifier_accuracy"] = """SELECT count(*) AS n, true AS in_range FROM embeddings
+WHERE CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|1234'), 1, 8)) AS BIGINT) % 100 >= 60"""
+    q["train_windows_nulls"] = train_windows_long("close").replace(BARS, gappy)
+    q["window_regressor_frame"] = f"""WITH {indexed().replace(BARS, gappy)}
+SELECT a.symbol, CAST(a.part_idx AS BIGINT) AS start_idx, round(any_value({nz('c', 'close')}), 9) AS label,
+       round(sum({' + '.join(f'coalesce({nz("b", f)}, 0)' for f in F5)}), 6) AS feature_sum
+FROM pt a
+JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx BETWEEN a.part_idx AND a.part_idx + {L - 1}
+JOIN pt c ON c.symbol = a.symbol AND c.part = a.part AND c.part_idx = a.part_idx + {L}
+WHERE a.part = 'train' AND a.part_idx < a.part_n - {L + H}
+GROUP BY a.symbol, a.part_idx
+HAVING count(b.close) = {L} AND any_value({nz('c', 'close')}) IS NOT NULL"""
+    q["model_forecast_keys"] = f"""WITH {indexed()}, st AS (SELECT symbol, date AS as_of, n FROM pt WHERE idx = n - 1),
+{calendar('st', n_max)}
+SELECT cal.symbol, cal.step, cal.date, st.n >= {L} AS scored FROM cal JOIN st ON st.symbol = cal.symbol"""
     q["accuracy"] = f"""WITH {indexed()}
 SELECT a.symbol, avg(CASE WHEN {cls('a')} = {cls('b')} THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n
 FROM pt a JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx = a.part_idx + 1
@@ -259,6 +305,11 @@ WHERE a.part = 'test' GROUP BY a.symbol"""
 SELECT event_id, CASE WHEN json_valid(text) THEN CAST(json_extract(text, '$.k') AS BIGINT) END AS k,
        CASE WHEN json_valid(text) THEN 'inserted' ELSE 'rejected' END AS status
 FROM ev"""
+    q["json_store"] = f"""WITH {docs()}
+SELECT {doc_cols} FROM docs
+UNION ALL SELECT NULL, open, NULL, NULL, NULL, NULL, 'new-' || id FROM docs"""
+    q["bar_rejects"] = f"""WITH {BARS}
+SELECT CASE day(date) % 14 WHEN 7 THEN 'fields' WHEN 0 THEN 'date' ELSE 'bar' END AS reason, count(*) AS n FROM bars GROUP BY 1"""
     q["record_append"] = f"""WITH {docs()}, {BARS}
 SELECT {doc_cols} FROM docs
 UNION ALL

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from ..config import FEATURES, LAYOUT_1, LAYOUT_2
 
 BAR_STRINGS = T.StructType([T.StructField(c, T.StringType(), True) for c in LAYOUT_1])
-ALT_STRINGS = T.StructType([T.StructField(c, T.StringType(), True) for c in LAYOUT_2])
 
 BAR_SCHEMA = T.StructType(
     [T.StructField("symbol", T.StringType(), True), T.StructField("date", T.DateType(), True)]
@@ -38,12 +37,35 @@ def read_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed_bars(raw)
 
 
+def read_bars_csv_checked(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Layout 1 with a reject output: (bars, rejects).
+
+    A line with too few or too many fields, without a symbol, or with a date
+    that is not one is rejected: (line, reason). Every line but the header is in
+    one of the two. A price that is no number is NULL, as in :func:`read_bars_csv`.
+    """
+    schema = T.StructType([*BAR_STRINGS.fields, T.StructField("_line", T.StringType(), True)])
+    # With pruned columns a line would be counted against the columns read, not those it should have.
+    raw = spark.read.option("columnPruning", False).csv(path, header=header, schema=schema, enforceSchema=True, mode="PERMISSIVE",
+                         columnNameOfCorruptRecord="_line")
+    reason = (F.when(F.col("_line").isNotNull(), "fields")
+              .when(F.expr("try_cast(date AS DATE)").isNull(), "date")
+              .when(F.col("symbol").isNull(), "symbol"))
+    line = F.coalesce("_line", F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in LAYOUT_1]))
+    checked = raw.withColumn("reason", reason)
+    return (typed_bars(checked.filter("reason IS NULL")),
+            checked.filter("reason IS NOT NULL").select(line.alias("line"), "reason"))
+
+
 def read_alt_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     """Layout 2 (symbol, date, open, high, low, close, volume), UTF-8, header (S3).
 
-    Columns are bound by name, so the permuted high/low/close land in bar order.
+    Columns are bound by the names in the header, in whatever order the file has them.
     """
-    raw = spark.read.csv(path, header=True, schema=ALT_STRINGS, enforceSchema=True, encoding="UTF-8")
+    raw = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8")
+    missing = [c for c in LAYOUT_2 if c not in raw.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
     return typed_bars(raw)
 
 
@@ -113,10 +135,3 @@ def bars_as_text(bars: DataFrame) -> DataFrame:
     """Bars rendered the way a CSV file holds them: every column a string."""
     return bars.select(*[F.col(c).cast("string").alias(c) for c in LAYOUT_1])
 
-
-BARS_SQL = """
-SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
-       arg_min(o_totalprice, o_orderkey) AS open, arg_max(o_totalprice, o_orderkey) AS close,
-       min(o_totalprice) AS low, max(o_totalprice) AS high, CAST(count(*) AS DOUBLE) AS volume
-FROM orders GROUP BY 1, 2
-"""

@@ -15,13 +15,6 @@ from ..config import RECORD_FIELDS
 
 DOC_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RECORD_FIELDS])
 
-# JSON text of an inserted document: any object; the corrupt-record column catches bad text.
-INSERT_SCHEMA = T.StructType([
-    T.StructField("k", T.LongType(), True),
-    T.StructField("_bad", T.StringType(), True),
-])
-
-
 def documents_from_events(events: DataFrame) -> DataFrame:
     """Fixture adapter: each event stored as a one-trade bar document (all text)."""
     v = F.col("value").cast("string")
@@ -42,20 +35,45 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DOC_SCHEMA).json(path)
 
 
-def parse_json_documents(text: DataFrame, col: str = "text", schema: T.StructType = INSERT_SCHEMA) -> DataFrame:
-    """Parse JSON text; malformed text is kept in ``_bad`` instead of failing the job."""
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    return text.withColumn("_doc", F.from_json(F.col(col), schema, opts))
+def insert_json(text: DataFrame, col: str = "text") -> DataFrame:
+    """The rows with ``fields`` MAP<STRING, STRING> and ``status``, in one pass.
+
+    Any JSON object is a document, whatever its fields; its values are kept as
+    text. Anything else (bad text, NULL, a JSON value that is no object) is
+    'rejected' and keeps its raw text.
+    """
+    parsed = text.withColumn("fields", F.from_json(F.col(col), "MAP<STRING, STRING>", {"mode": "PERMISSIVE"}))
+    return parsed.withColumn("status", F.when(F.col("fields").isNull(), "rejected").otherwise("inserted"))
+
+
+def store_json(text: DataFrame, path: str, rejects_path: str, col: str = "text") -> None:
+    """Append the accepted objects to the JSON-lines collection at ``path``, the raw text of the others to
+    ``rejects_path``."""
+    rows = insert_json(text, col)
+    rows.filter("status = 'inserted'").select(F.to_json("fields").alias("value")).write.mode("append").text(path)
+    rows.filter("status = 'rejected'").select(F.coalesce(F.col(col), F.lit("")).alias("value")) \
+        .write.mode("append").text(rejects_path)
+
+
+def with_sequence(docs: DataFrame, name: str = "seq") -> DataFrame:
+    """A unique number per document that follows the order of the collection's files and lines."""
+    return docs.withColumn(name, F.monotonically_increasing_id())
+
 
+def write_version(docs: DataFrame, path: str) -> str:
+    """Write a mutated collection next to the versions before it; returns the new version's directory.
 
-def insert_json(text: DataFrame, col: str = "text", schema: T.StructType = INSERT_SCHEMA):
-    """(accepted, rejected) DataFrames; rejected rows carry the raw text."""
-    parsed = parse_json_documents(text, col, schema)
-    bad = F.col("_doc._bad").isNotNull() | F.col("_doc").isNull()
-    fields = [f.name for f in schema.fields if f.name != "_bad"]
-    accepted = parsed.filter(~bad).select(*[c for c in text.columns], *[F.col(f"_doc.{f}").alias(f) for f in fields])
-    rejected = parsed.filter(bad).select(*text.columns)
-    return accepted, rejected
+    ``path`` holds directories v=0, v=1, ...; a reader of an older version is not disturbed.
+    """
+    spark = docs.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    have = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    last = max([int(n[2:]) for n in have if n.startswith("v=") and n[2:].isdigit()], default=-1)
+    out = f"{path.rstrip('/')}/v={last + 1}"
+    write_collection(docs, out, mode="error")
+    return out
 
 
 def records_to_documents(records: DataFrame, col: str = "record") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import shared_dir
+from ..operators.joins import salted_join
 
 REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType(), False),
@@ -37,7 +38,7 @@ def answer(requests: DataFrame, payload: DataFrame) -> DataFrame:
         F.element_at(pts, 1)["prediction"].alias("first_prediction"),
         F.size(pts).alias("n_points"),
     )
-    return requests.join(fc, "symbol", "left").select(
+    return salted_join(requests, fc, "symbol", "xxhash64(request_id)").select(
         "request_id", "symbol", "first_date", "first_prediction", "n_points", F.col("payload").alias("response")
     )
 
@@ -50,8 +51,16 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def size_bytes(spark: SparkSession, text: str) -> int:
+    """A size setting in bytes, read as Spark reads it ('10MB', '10485760b', '-1')."""
+    text = str(text).strip()
+    if text.lstrip("-").isdigit():
+        return int(text)
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+
+
 def sized_join(spark: SparkSession, stream: DataFrame, static: DataFrame, static_path: str, key: str = "symbol",
-               salts: int = 16, max_broadcast_bytes: int | None = None) -> DataFrame:
+               salts: int | None = None, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Stream-static left join with the strategy chosen from the static table's measured size.
 
     Micro-batches run without adaptive execution, so there is no runtime
@@ -59,16 +68,14 @@ def sized_join(spark: SparkSession, stream: DataFrame, static: DataFrame, static
     are under the limit (default: ``spark.sql.autoBroadcastJoinThreshold``);
     beyond it the join is salted: each static row is copied to ``salts``
     buckets and each request goes to one bucket chosen by its id, so a symbol
-    holding a third of the requests is spread over ``salts`` tasks.
+    holding a third of the requests is spread over ``salts`` tasks (default: the
+    session's shuffle partitions).
     """
     if max_broadcast_bytes is None:
-        conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        max_broadcast_bytes = int(str(conf).rstrip("bB") or 0)
+        max_broadcast_bytes = size_bytes(spark, spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
     if 0 < path_bytes(spark, static_path) <= max_broadcast_bytes:
         return stream.join(F.broadcast(static), key, "left")
-    salted_static = static.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
-    salted_stream = stream.selectExpr("*", f"pmod(xxhash64(request_id), {salts}) AS _salt")
-    return salted_stream.join(salted_static, [key, "_salt"], "left").drop("_salt")
+    return salted_join(stream, static, key, "xxhash64(request_id)", salts)
 
 
 def start_request_stream(spark: SparkSession, requests_dir: str, forecast_dir: str, sink_dir: str,
