@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, INDEX_BUCKET, SERIES_SPLIT
+from .joins import salted_join
 
 ORDER = ("date",) + FEATURES
 
@@ -116,7 +117,8 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
     )
     if bounds_on == "train":
         tb = out.filter("part = 'train'").groupBy("symbol").agg(*[F.expr(e) for e in _mnmx("", "")])
-        out = out.drop(*[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES]).join(tb, "symbol", "left")
+        out = out.drop(*[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES])
+        out = salted_join(out, tb, "symbol", "idx")
     return out
 
 

@@ -21,15 +21,19 @@ from ..operators.splits import hash_split
 from ..operators.windows import target_columns, test_windows, train_windows
 
 
-def _fit(estimator, frame: DataFrame):
-    """Fit with the training frame persisted for the estimator's passes, then release it.
+def _fit(estimator, frame: DataFrame, passes: bool = True):
+    """Fit; with ``passes`` the training frame is persisted for the fit, then released.
 
-    MLlib makes several passes (sizing, statistics, optimiser iterations,
-    summary); without this each pass recomputes the whole upstream plan.
-    MEMORY_AND_DISK keeps it spill-safe; lost blocks are recomputed from lineage.
+    Iterative estimators make many passes, and without this each would recompute
+    the whole upstream plan. MEMORY_AND_DISK keeps it spill-safe; lost blocks are
+    recomputed from lineage. A closed-form fit reads its input about once and
+    does not pay for a copy.
     """
     from pyspark import StorageLevel
 
+    if not passes:
+        return estimator.fit(frame)
+
     cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(cached)
@@ -190,7 +194,7 @@ def fit_window_regressor(train: DataFrame, kind: str = "linear", max_iter: int =
         est = GBTRegressor(maxIter=max_iter, seed=SEED)
     else:
         raise ValueError(kind)
-    return _fit(Pipeline(stages=[est]), train.select("features", "label"))
+    return _fit(Pipeline(stages=[est]), train.select("features", "label"), passes=kind != "linear")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
