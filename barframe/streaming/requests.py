@@ -79,9 +79,16 @@ def sized_join(spark: SparkSession, stream: DataFrame, static: DataFrame, static
 
 
 def start_request_stream(spark: SparkSession, requests_dir: str, forecast_dir: str, sink_dir: str,
-                         checkpoint_dir: str, max_broadcast_bytes: int | None = None):
-    """Start the streaming query; returns the StreamingQuery (trigger: all available, then stop)."""
-    reqs = spark.readStream.schema(REQUEST_SCHEMA).parquet(requests_dir)
+                         checkpoint_dir: str, max_broadcast_bytes: int | None = None,
+                         max_files: int | None = None):
+    """Start the streaming query; returns the StreamingQuery (trigger: all available, then stop).
+
+    ``max_files`` bounds the request files of a micro-batch.
+    """
+    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    reqs = reader.parquet(requests_dir)
     fc = spark.read.parquet(forecast_dir).select("symbol", "payload")
     out = sized_join(spark, reqs, fc, forecast_dir, max_broadcast_bytes=max_broadcast_bytes).select(
         "request_id", "symbol", F.col("payload").alias("response")

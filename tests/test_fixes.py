@@ -164,3 +164,23 @@ def test_shared_dir_needs_the_setting_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session(), "x")
+
+
+def test_stream_stopped_with_files_pending_resumes_exactly_once(spark, sf_small):
+    import time
+
+    base = shared_dir(spark, "cut-stream")
+    req_dir, fc_dir, sink, ckpt = f"{base}/in", f"{base}/fc", f"{base}/out", f"{base}/ckpt"
+    ix = index_series(B.load_bars(spark, sf_small))
+    FC.forecast_payload(FC.recursive_forecast(ix, "close", steps=3)).select("symbol", "payload").write.parquet(fc_dir)
+    reqs = K.requests_from_events(spark.read.parquet(f"{sf_small}/events.parquet"), spark.read.parquet(f"{sf_small}/orders.parquet"))
+    reqs.repartition(12).write.parquet(req_dir)
+    q = K.start_request_stream(spark, req_dir, fc_dir, sink, ckpt, max_files=1)
+    while q.isActive and not q.recentProgress:
+        time.sleep(0.05)
+    q.stop()
+    done = spark.read.parquet(sink).count()
+    K.start_request_stream(spark, req_dir, fc_dir, sink, ckpt, max_files=4).awaitTermination()
+    out = spark.read.parquet(sink)
+    assert 0 < done < reqs.count()
+    assert out.count() == reqs.count() == out.select("request_id").distinct().count()
