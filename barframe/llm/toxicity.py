@@ -9,7 +9,8 @@ slowly growing function of the text's length, and turned into a probability.
 The lexicon is learned: of the labelled rows (at most ``MAX_ROWS``, by the hash of their id) every word is counted by
 the documents of either label that hold it, words that are surely over-represented in toxic ones are candidates, and
 candidates are counted again by the distinct neighbourhoods they stand in, so that the words of one text copied a
-thousand times count once. Beginnings that many candidates share stand for all words that begin so, and are counted
+thousand times count once. A short base lexicon of common insults stands in where the sample is too small to know
+them. Beginnings that many candidates share stand for all words that begin so, and are counted
 like a word ("stem*"): inflected forms the sample lacks are found by them. What an entry weighs is the logarithm of
 its odds.
 """
@@ -41,6 +42,16 @@ MIN_STEM_WEIGHT = 6.0
 # Words per unit of length in the normalisation.
 LENGTH_UNIT = 200.0
 
+# Common insults, listed from the start with this weight; a sample that knows a word gives it the sample's weight, and
+# takes it off the list where it is not over-represented in toxic documents.
+BASE_WEIGHT = 4.0
+BASE_KNOWN = 5
+BASE_LEXICON = ("asshole", "bastard", "bitch", "bullshit", "clown", "coward", "creep", "cretin", "crap", "degenerate",
+                "dickhead", "disgusting", "dumb", "dumbass", "fool", "freak", "fuck", "fucking", "idiot", "idiotic", "imbecile",
+                "jerk", "liar", "loser", "lunatic", "moron", "moronic", "parasite", "pathetic", "pig", "prick", "retard",
+                "scum", "scumbag", "shit", "shut up", "slut", "stupid", "subhuman", "trash", "twat", "vermin", "whore",
+                "worthless")
+
 # Phrases in which a listed word is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "class clown", "circus clown", "clown fish",
               "scum line", "pond scum")
@@ -152,12 +163,13 @@ def _contexts(text: str | None) -> list[tuple[str, int]]:
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Lexicon of a labelled sample (text, y 0/1). Words are counted by Spark with partial aggregation; the entries,
-    at most ``MAX_ENTRIES``, reach the driver."""
+    """Lexicon of a labelled sample (text, y 0/1), on top of the base lexicon. Words are counted by Spark with partial
+    aggregation; the entries, at most ``MAX_ENTRIES`` and the base words, reach the driver."""
+    base = dict.fromkeys(BASE_LEXICON, BASE_WEIGHT)
     totals = sample.groupBy("y").count().collect()
     toxic, clean = (sum(r["count"] for r in totals if r["y"] == v) for v in (1, 0))
     if not toxic or not clean:
-        return {}
+        return base
 
     def words(batches):
         for b in batches:
@@ -182,9 +194,17 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
                 .where(f"t > 0 and weight >= if(w like '%*', {MIN_STEM_WEIGHT!r}D, {MIN_WEIGHT!r}D) and evidence >= {tested}")
                 .orderBy(F.col("evidence").desc(), "w").limit(MAX_ENTRIES))
 
+    counts = materialise(counts, "toxic-words")
+    known = counts.where(F.col("w").isin(list(base))).withColumn("weight", F.expr(weight)).collect()
+    for r in known:
+        if r["t"] + r["c"] >= BASE_KNOWN:
+            if r["weight"] < MIN_WEIGHT:
+                del base[r["w"]]
+            else:
+                base[r["w"]] = r["weight"]
     candidates = {r["w"] for r in strong(counts).select("w").collect()}
     if not candidates:
-        return {}
+        return base
     stems = shared_beginnings(candidates)
 
     def entries(word: str) -> list[str]:
@@ -206,7 +226,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
              .mapInArrow(contexts, "w string, y bigint, h bigint").distinct()
              .groupBy("w").agg(F.least(F.sum("y"), F.lit(toxic)).alias("t"),
                                F.least(F.sum(1 - F.col("y")), F.lit(clean)).alias("c")))
-    return {r["w"]: r["weight"] for r in strong(again).select("w", "weight").collect()}
+    return base | {r["w"]: r["weight"] for r in strong(again).select("w", "weight").collect()}
 
 
 def shared_beginnings(words: set[str]) -> set[str]:
@@ -260,7 +280,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, .
 
     Learns from labelled documents whose id's crc32 leaves a remainder other than 2 by 4. Null and empty texts have no
     match and the lowest score. Repeated rows get equal scores; columns other than id and text are not read; without
-    labels there is no lexicon and all scores are equal and low; an empty table gives an empty result.
+    labels the base lexicon alone decides; an empty table gives an empty result.
     """
     lexicon, slope, offset = fit(docs, labels, exceptions, max_rows)
 
