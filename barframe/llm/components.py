@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise
+from barframe.llm.common import discard, materialise
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -31,23 +31,24 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
                          .select("node", F.least("node", "low").alias("root")), "hooks")
         while True:
             over = up.select(F.col("node").alias("via"), F.col("root").alias("top"))
-            up = materialise(up.join(over, up["root"] == over["via"])
-                             .select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")),
-                             "jumps")
-            moved = not up.where("moved").isEmpty()
-            up = up.drop("moved")
-            if not moved:
+            last, up = up, materialise(
+                up.join(over, up["root"] == over["via"])
+                .select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")), "jumps")
+            discard(last)
+            if up.where("moved").isEmpty():
                 break
         if found is None:
-            found = up
+            found = materialise(up.select("node", "root"), "roots")
         else:
             over = up.select(F.col("node").alias("via"), F.col("root").alias("top"))
-            found = materialise(found.join(over, found["root"] == over["via"], "left")
-                                .select("node", F.coalesce("top", "root").alias("root")), "roots")
+            last, found = found, materialise(found.join(over, found["root"] == over["via"], "left")
+                                             .select("node", F.coalesce("top", "root").alias("root")), "roots")
+            discard(last)
         ends = up.select(F.col("node").alias("via"), F.col("root").alias("top"))
         one = links.join(ends, links["a"] == ends["via"]).select(F.col("top").alias("a"), "b")
-        links = materialise(one.join(ends, one["b"] == ends["via"]).select("a", F.col("top").alias("b"))
-                            .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                            .distinct(), "links")
+        last, links = links, materialise(
+            one.join(ends, one["b"] == ends["via"]).select("a", F.col("top").alias("b"))
+            .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        discard(last, up)
         if links.isEmpty():
             return found

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise
+from barframe.llm.common import discard, materialise
 
 # Turns in a range.
 RANGE_TURNS = 4_096
@@ -120,10 +120,11 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
         # Each way takes on the way of the chain it hangs under, which doubles in reach every time.
         over = chains.select(F.col("conv_id").alias("c"), F.col("chain").alias("k"), F.col("under").alias("next"),
                              F.col("way").alias("head"))
-        chains = materialise(
+        last, chains = chains, materialise(
             chains.join(over, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("under") == F.col("k")), "left")
             .select("conv_id", "chain", F.col("next").alias("under"),
                     F.expr("if(head is null, way, concat(head, way))").alias("way")), "quote-ways")
+        discard(last)
     ways = chains.select(F.col("conv_id").alias("c"), F.col("chain").alias("k"), "way")
     found = (chained.join(ways, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("chain") == F.col("k")), "left")
              .select(F.col("msg").alias("m"), "parent_turn", "quoted_lines", "linked_lines", "chain",
