@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise
+from barframe.llm.common import discard, materialise
 from barframe.llm.components import connected_components
 
 MIN_COSINE = 0.9
@@ -31,7 +31,7 @@ TABLES, CODE_BITS, REACH = 4, 48, 6
 REFINEMENTS, QUIET = 2, 0.05
 # Members of a node's neighbourhood compared at once, and candidates each of them takes from there.
 MEETING, TAKEN = 64, 4
-BLOCK = 512
+BLOCK = 128
 # Audit: nodes compared with all, share of their links that must be found, and rounds at most.
 AUDITED, RECALL, ROUNDS = 256, 0.98, 4
 
@@ -249,10 +249,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     for k in range(ROUNDS):
         first = projected_neighbours(classes, dim, 1 + k).withColumn("fresh", F.lit(True))
         seen = first if lists is None else first.union(lists.withColumn("fresh", F.lit(False)))
-        lists = materialise(best_lists(seen, neighbours), "lists")
+        last, lists = lists, materialise(best_lists(seen, neighbours), "lists")
+        if last is not None:
+            discard(last)
         for _ in range(REFINEMENTS):
             new = introduced(lists, classes, dim, neighbours).withColumn("fresh", F.lit(True))
-            lists = materialise(best_lists(new.union(lists.withColumn("fresh", F.lit(False))), neighbours), "lists")
+            last, lists = lists, materialise(
+                best_lists(new.union(lists.withColumn("fresh", F.lit(False))), neighbours), "lists")
+            discard(last)
             state = lists.agg(F.avg(F.col("fresh").cast("double")).alias("new")).first()
             if (state["new"] or 0.0) < QUIET:
                 break
