@@ -39,12 +39,12 @@ def test_one_ahead_moves_no_windows_and_no_whole_symbol(spark, sf_small):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("one_ahead", "one_ahead_all", "prediction_series", "chart_bounds", "forecast_mse", "request_forecasts"):
+        for name in ("one_ahead", "one_ahead_all", "prediction_series", "chart_bounds", "forecast_mse", "request_forecasts",
+                     "normalized_bars_train_bounds"):
             plan = _formatted(E.queries()[name](spark, sf_small))
-            bare = re.findall(r"Left keys \[1\]: \[symbol#\d+\]", plan)
-            assert not any("SortMergeJoin LeftOuter" in plan[m.start() - 120:m.start()] and "as_of" not in plan[m.start():m.start() + 200]
-                           for m in re.finditer(r"Left keys \[1\]: \[symbol#\d+\]", plan)) or name == "request_forecasts", (name, bare)
-            assert "_salt" in plan, name
+            # The join that bars or requests meet is on (symbol, salt), and no window array is built for scoring.
+            assert re.search(r"Left keys \[2\]: \[symbol#\d+, _salt#\d+\]", plan), name
+            assert name == "request_forecasts" or "collect_list" not in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
