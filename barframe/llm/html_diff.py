@@ -10,17 +10,18 @@ differencing alone decides about everything not marked as page furniture.
 
 The order is found on keys alone: a range partition of (host, path) numbers the pages, and every page sends its line
 hashes to the numbers beside it, so that any host, however large, is spread and no group has more than three members.
-Only hashes travel for the alignment; the HTML moves once, to meet the numbers of its kept lines.
+Only hashes travel for the alignment; the lines move once, packed, to meet the numbers of those kept.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barframe.llm.common import materialise
@@ -50,10 +51,22 @@ FURNITURE_WORDS = frozenset(
     "signup login search widget pagination pager contentinfo complementary".split())
 
 
-def _is_furniture(tag: str, attrs: str, in_content: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_content):
-        return True
-    return any(w in FURNITURE_WORDS for m in _NAMED.finditer(attrs) for w in _PARTS.findall(m[1].lower())) if attrs else False
+# How surely an element is page furniture. An article or main element inside a SOFT one (a wrapper "with-sidebar", a form
+# around the whole page) is content all the same; inside a HARD one (a navigation, reader comments) it is not.
+SOFT, HARD = 1, 2
+HARD_TAGS = FURNITURE_TAGS - {"form"}
+COMMENT_WORDS = frozenset("comment comments disqus respond".split())
+
+
+def _furniture(tag: str, attrs: str, in_content: bool) -> int:
+    if tag in ("html", "body"):
+        return 0
+    named = {w for m in _NAMED.finditer(attrs) for w in _PARTS.findall(m[1].lower())} if attrs else frozenset()
+    if tag in CONTENT_TAGS:
+        return HARD if named & COMMENT_WORDS and named <= COMMENT_WORDS | {"list", "item", "reply", "body"} else 0
+    if tag in HARD_TAGS or (tag == "header" and not in_content) or named & COMMENT_WORDS:
+        return HARD
+    return SOFT if tag in FURNITURE_TAGS or named & FURNITURE_WORDS else 0
 
 
 def page_lines(html: str | None) -> tuple[list[str], list[int]]:
@@ -61,7 +74,7 @@ def page_lines(html: str | None) -> tuple[list[str], list[int]]:
     furniture, article content, or neither."""
     lines: list[str] = []
     kinds: list[int] = []
-    stack: list[tuple[str, bool, bool]] = []  # open holders: tag, furniture, content
+    stack: list[tuple[str, int, bool]] = []  # open holders: tag, furniture, content
     piece: list[str] = []
     kind = NEUTRAL
 
@@ -98,16 +111,17 @@ def page_lines(html: str | None) -> tuple[list[str], list[int]]:
                     del stack[k:]
                     break
         else:
-            top = stack[-1] if stack else ("", False, False)
-            furniture = _is_furniture(tag, m[4], top[2])
+            top = stack[-1] if stack else ("", 0, False)
+            furniture = _furniture(tag, m[4], top[2])
             if tag not in INLINE:
                 close()
                 if stack and stack[-1][0] == tag and tag in ("p", "li", "td", "tr", "dd", "dt"):
                     stack.pop()
-                    top = stack[-1] if stack else ("", False, False)
+                    top = stack[-1] if stack else ("", 0, False)
             if tag not in VOID and (tag in HOLDERS or furniture) and not m[4].rstrip().endswith("/"):
-                stack.append((tag, top[1] or furniture, top[2] or tag in CONTENT_TAGS))
-        top = stack[-1] if stack else ("", False, False)
+                around = 0 if tag in CONTENT_TAGS and top[1] == SOFT else top[1]
+                stack.append((tag, max(around, furniture), top[2] or tag in CONTENT_TAGS))
+        top = stack[-1] if stack else ("", 0, False)
         if tag in INLINE and (FURNITURE if top[1] else CONTENT if top[2] else NEUTRAL) != kind:
             close()
         kind = FURNITURE if top[1] else CONTENT if top[2] else NEUTRAL
@@ -212,19 +226,19 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     ordered = materialise(
         lines.where("host <> ''").select(*order).distinct().repartitionByRange(n, *order).sortWithinPartitions(*order)
         .mapInArrow(numbered, f"host string, path string, id {id_kind}, hash bigint, part int, pos bigint"), "page-order")
-    # A row per range partition: this side is broadcast.
-    sizes = ordered.groupBy("part").count()
-    bases = (sizes.select("part").join(F.broadcast(sizes.selectExpr("part as p", "count as c")), F.expr("p < part"), "left")
-             .groupBy("part").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("base")))
+    # A row per range partition: their running sum is one small window, and that side is broadcast.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ordered.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     placed = ordered.join(F.broadcast(bases), "part").select(
         F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), (F.col("base") + F.col("pos")).alias("at"))
     once = lines.dropDuplicates(["id", "hash"])
-    sent = (once.join(placed, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
+    sent = (once.join(placed.hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
             .select(F.explode(F.expr("array(at - 1, at, at + 1)")).alias("to"), "at", "host", "id", "hash", "lines",
                     "kinds"))
-    met = sent.groupBy("to").agg(
-        F.max(F.expr("if(at = to, struct(id, hash, host, lines, kinds), null)")).alias("own"),
-        F.collect_list(F.expr("if(at <> to, struct(host, lines), null)")).alias("near")).where("own is not null")
+    met = sent.select("to", F.expr("if(at = to, struct(id, hash, host, lines, kinds), null)").alias("own"),
+                      F.expr("if(at <> to, struct(host, lines), null)").alias("other")).groupBy("to").agg(
+        F.max("own").alias("own"), F.collect_list("other").alias("near")).where("own is not null")
     alone = once.where("host = '' or host is null").select(
         "id", "hash", "lines", "kinds", F.expr("cast(array() as array<array<bigint>>)").alias("near"))
     cases = met.select("own.id", "own.hash", "own.lines", "own.kinds",
@@ -239,17 +253,27 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     verdicts = materialise(cases.mapInArrow(settle, f"id {id_kind}, hash bigint, kept array<int>"), "page-verdicts")
     verdicts = verdicts.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), "kept")
 
+    def packed(batches):
+        for b in batches:
+            lines = [zlib.compress("\n".join(page_lines(h)[0]).encode("utf-8", "surrogatepass"), 1)
+                     for h in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(5), pa.array(lines, pa.binary())],
+                                             names=["id", "url", "hash", "packed"])
+
     def texts(batches):
         for b in batches:
             out = []
-            for html, kept in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                found = page_lines(html)[0]
+            for lines, kept in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                found = zlib.decompress(lines).decode("utf-8", "surrogatepass").split("\n")
                 out.append(" ".join([found[i] for i in kept]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())],
                 names=["id", "url", "text", "n_chars"])
 
-    whole = keyed.join(verdicts, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
-    return (whole.select("id", "url", "html", "kept")
+    # The plan is the same at every size: the pages' lines are dealt out once, packed, whether or not the verdicts are
+    # few. A line holds no line break (its white space is single blanks), so line breaks part them.
+    bodies = keyed.mapInArrow(packed, f"id {id_kind}, url string, hash bigint, packed binary")
+    whole = bodies.join(verdicts.hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
+    return (whole.select("id", "url", "packed", "kept")
             .mapInArrow(texts, f"id {id_kind}, url string, text string, n_chars bigint")
             .withColumnsRenamed({"id": id_col, "url": url_col}))

@@ -44,6 +44,18 @@ def test_article_pages():
     assert H.page_lines(f"<article><p>{text}</article>")[0] == [text.strip()]
 
 
+def test_wrappers_named_after_furniture():
+    def kept(html):
+        lines, kinds = H.page_lines(html)
+        return [lines[i] for i in H.kept_lines(list(range(len(lines))), kinds, [])]
+
+    assert kept('<body class="has-sidebar"><div id="page-with-sidebar"><form><article class="post comments-open"><p>Text'
+                '</article></form></div><div class="sidebar">Side</div>') == ["Text"]
+    assert kept('<article>Story</article><div class="comments"><article>One</article></div><article class="comment">Two'
+                '</article><nav><main>Three</main></nav>') == ["Story"]
+    assert kept('<body class="ad-free"><div>No article here</div><div class="cookie">Cookies</div>') == ["No article here"]
+
+
 def test_pages_without_an_article_are_differenced(spark):
     page = "<body><div>Top story list</div><div>Own words of {n}</div><div>More of {n}</div><div>All rights {h}</div></body>"
     rows = [(i, f"http://{h}.example/a/{i:03d}?x=1#y", page.replace("{n}", f"{h}{i}").replace("{h}", h))
