@@ -8,19 +8,25 @@ computed once. A token ending at a node is that state exactly if it is *compatib
 it begins, that is, if merging by rank would leave the border between the two alone.
 
 Python workers encode; Spark splits the documents. There is no shuffle. A worker's word table is bounded
-(``MAX_WORDS``) and is started afresh when full, which changes the time taken and never the ids.
+(``MAX_WORDS``, ``MAX_PIECES``) and forgets what has not been used for long, which changes the time taken and never the ids.
 """
 
 from __future__ import annotations
 
+import gc
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Words remembered by a worker before it starts a new table.
-MAX_WORDS = 400_000
+# Words and pieces that a worker remembers in each of two generations.
+MAX_WORDS = 350_000
+MAX_PIECES = 350_000
+# Characters of texts whose words share one trie, and rows that a task returns at once.
+RUN_CHARS = 1_000_000
+BATCH_ROWS = 500
 WORD_END = "</w>"
 
 
@@ -129,52 +135,165 @@ class TrieBpe:
         return out
 
     def pieces(self, word: str) -> list[str]:
-        """The byte-level pieces of a word, by the vocabulary file's own normaliser and splitter."""
+        """The byte-level pieces of any word, by the vocabulary file's own normaliser and splitter."""
         return [p for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(word))]
 
-    def encode_words(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Ids of distinct words (no plain white space inside)."""
+
+def _byte_units() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself where it is printable
+    Latin-1, else the next free one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+
+
+_UNIT = _byte_units()
+
+# The splitter's pattern, fixed by the vocabulary file, on lower-case ASCII and Latin-1 letters; and the words that
+# hold nothing else, on which the file's normaliser does no more than lower-casing.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+
+
+def plain_pieces(word: str) -> list[str] | None:
+    """The pieces of a word of ASCII signs and Latin-1 letters without special tokens; None for any other word."""
+    return _PIECE.findall(word.lower()) if _PLAIN.fullmatch(word) and "<|" not in word else None
+
+
+def split_words(text: str) -> list[str]:
+    """Cut at the plain white space that the normaliser turns to blanks anyway; rarer space stays inside a word."""
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
+class Memory(dict):
+    """What a worker has computed, by key. When it is full the entries become the old generation, from which those
+    still used are taken back; the generation before is forgotten."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.old: dict = {}
+        self.limit = limit
+
+    def new_keys(self, keys: set) -> list:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        out, old = [], self.old
+        for k in keys.difference(self):
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                self[k] = v
+        return out
+
+
+class WordMemory:
+    """Turns texts into values by words and pieces that it remembers. Subclasses say what a value is, and how many
+    words and pieces a generation may hold."""
+
+    limits = (MAX_WORDS, MAX_PIECES)
+
+    def __init__(self):
+        self.words, self.known = Memory(self.limits[0]), Memory(self.limits[1])
+
+    def of_pieces(self, pieces: list[str]):
+        raise NotImplementedError
+
+    def of_odd_words(self, words: list[str]):
+        raise NotImplementedError
+
+    def joined(self, values: list):
+        raise NotImplementedError
+
+    def learn(self, words: set[str]) -> None:
+        cut, odd = {}, []
+        new = self.words.new_keys(words)
+        self.words[""] = self.joined([])
+        for w in new:
+            ps = plain_pieces(w)
+            if ps is None:
+                odd.append(w)
+            else:
+                cut[w] = ps
+        known = self.known
+        known.update(self.of_pieces(known.new_keys({p for ps in cut.values() for p in ps})))
+        self.words.update(self.of_odd_words(odd))
+        for w, ps in cut.items():
+            self.words[w] = known[ps[0]] if len(ps) == 1 else self.joined([known[p] for p in ps])
+
+    def encode(self, texts: list[str]) -> Iterator:
+        """The value of each text. The words of a run of texts are learned together."""
+        for run in _runs(texts):
+            # Encoding makes no cycles; looking for them in the large tables would cost more than it does.
+            gc.disable()
+            try:
+                parts = [split_words(t) for t in run]
+                words = set().union(*parts)
+                words.discard("")
+                self.learn(words)
+                value = self.words.__getitem__
+                out = [self.joined(list(map(value, ws))) for ws in parts]
+            finally:
+                gc.enable()
+            yield from out
+
+
+class TrieWorker(WordMemory):
+    """Values are (ids as little-endian 32-bit integers, the text they decode to), by the trie; they are larger than
+    ids alone, so fewer are held."""
+
+    limits = (150_000, 100_000)
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.bpe = TrieBpe(path)
+        self.raw = {i: i.to_bytes(4, "little") for i in self.bpe.text}
+
+    def _value(self, ids: list[int]) -> tuple[bytes, str]:
+        return b"".join([self.raw[i] for i in ids]), " ".join([self.bpe.text[i] for i in ids])
+
+    def of_pieces(self, pieces: list[str]):
+        units = {"".join([_UNIT[b] for b in p.encode()]): p for p in pieces}
+        return ((units[u], self._value(ids)) for u, ids in self.bpe.encode_pieces(list(units)).items())
+
+    def of_odd_words(self, words: list[str]):
         cut = {}
         for w in words:
-            if "<|" in w and any(s in w for s in self.special):
-                yield w, self.lib.encode(w, add_special_tokens=False).ids
+            if "<|" in w and any(s in w for s in self.bpe.special):
+                yield w, self._value(self.bpe.lib.encode(w, add_special_tokens=False).ids)
             else:
-                cut[w] = self.pieces(w)
-        known = self.encode_pieces(list({p for ps in cut.values() for p in ps}))
+                cut[w] = self.bpe.pieces(w)
+        known = self.bpe.encode_pieces(list({p for ps in cut.values() for p in ps}))
         for w, ps in cut.items():
-            yield w, [i for p in ps for i in known[p]]
+            yield w, self._value([i for p in ps for i in known[p]])
 
+    def joined(self, values: list) -> tuple[bytes, str]:
+        return b"".join([x for x, _ in values]), " ".join([y for _, y in values if y])
 
-def split_words(text: str) -> list[str]:
-    """Cut at the plain white space that the normaliser turns to blanks anyway; rarer space stays inside a word."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+def _runs(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of about ``RUN_CHARS`` characters together."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t)
+        size += len(t)
+        if size >= RUN_CHARS:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 _WORKER: dict = {}
 
 
-def _state(path: str) -> dict:
-    if _WORKER.get("path") != path:
+def worker(kind, path: str):
+    """This process's encoder of a kind for a vocabulary file; one used before is dropped."""
+    if (kind, path) not in _WORKER:
         _WORKER.clear()
-        _WORKER.update(path=path, bpe=TrieBpe(path), ids={"": b""}, words={"": b""})
-    elif len(_WORKER["ids"]) > MAX_WORDS:
-        _WORKER.update(ids={"": b""}, words={"": b""})
-    return _WORKER
-
-
-def encode_text(text: str, path: str) -> tuple[bytes, str]:
-    """A text's ids as little-endian 32-bit integers, and the text those ids decode to."""
-    w = _state(path)
-    ids, parts = w["ids"], split_words(text)
-    new = [x for x in set(parts) if x not in ids]
-    if new:
-        bpe, shown = w["bpe"], w["words"]
-        for word, found in bpe.encode_words(new):
-            ids[word] = b"".join(i.to_bytes(4, "little") for i in found)
-            if found:
-                shown[word] = " ".join(bpe.text[i] for i in found)
-    shown = w["words"]
-    return (b"".join([ids[x] for x in parts]), " ".join([shown[x] for x in parts if ids[x]]))
+        _WORKER[kind, path] = kind(path)
+    return _WORKER[kind, path]
 
 
 def default_path() -> str:
@@ -195,14 +314,12 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
 
     def run(batches):
         for b in batches:
-            ids, shown = [], []
-            for text in b.column(1).to_pylist():
-                x, y = encode_text(text or "", path)
-                ids.append(x)
-                shown.append(y)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary()), pa.array(shown, pa.string())],
-                names=["id", "ids_le", "decoded"])
+            for k in range(0, b.num_rows, BATCH_ROWS):
+                part = b.slice(k, BATCH_ROWS)
+                found = list(worker(TrieWorker, path).encode([t or "" for t in part.column(1).to_pylist()]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([x for x, _ in found], pa.binary()),
+                     pa.array([y for _, y in found], pa.string())], names=["id", "ids_le", "decoded"])
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
