@@ -15,40 +15,49 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.config import shared_dir
-from barframe.llm.bpe_trie import default_path, split_words
+from barframe.llm.bpe_trie import BATCH_ROWS, WORD_END, WordMemory, default_path, worker
 
-# Ids of words remembered by a worker before it starts a new table.
-MAX_WORDS = 600_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 
-_WORKER: dict = {}
+# Pieces handed to the library as one text.
+TOGETHER = 1_000
 
 
-def _ids(text: str, path: str) -> bytes:
-    """A text's ids by the tokenizers library, as little-endian 32-bit integers. The library's splitter never joins
-    what plain white space parts, so each distinct word is encoded once and remembered."""
-    if _WORKER.get("path") != path:
+class LibraryWorker(WordMemory):
+    """Values are ids as little-endian 32-bit integers, by the tokenizers library. The library's splitter never joins
+    what white space parts and every piece ends in a word-end token, so many pieces are encoded as one text and their
+    ids are told apart by these tokens."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        lib = Tokenizer.from_file(path)
-        lib.no_truncation()
-        lib.no_padding()
-        _WORKER.clear()
-        _WORKER.update(path=path, lib=lib, ids={"": b""})
-    elif len(_WORKER["ids"]) > MAX_WORDS:
-        _WORKER["ids"] = {"": b""}
-    known, parts = _WORKER["ids"], split_words(text)
-    new = [w for w in set(parts) if w not in known]
-    if new:
-        for w, e in zip(new, _WORKER["lib"].encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-    return b"".join([known[w] for w in parts])
+        super().__init__()
+        self.lib = Tokenizer.from_file(path)
+        self.lib.no_truncation()
+        self.lib.no_padding()
+        self.ends = np.zeros(self.lib.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith(WORD_END)]] = True
+
+    def of_pieces(self, pieces: list[str]):
+        runs = [pieces[k:k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
+        for run, found in zip(runs, self.lib.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+            raw = ids.tobytes()
+            yield from zip(run, [raw[s:e] for s, e in zip(cuts, cuts[1:])], strict=True)
+
+    def of_odd_words(self, words: list[str]):
+        for w, found in zip(words, self.lib.encode_batch_fast(words, add_special_tokens=False)):
+            yield w, np.array(found.ids, "<u4").tobytes()
+
+    def joined(self, values: list) -> bytes:
+        return b"".join(values)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int | None = 2,
@@ -68,8 +77,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        for b in batches:
-            found = [_ids(t or "", tokenizer) + tail for t in b.column(1).to_pylist()]
+        for b in (b.slice(k, BATCH_ROWS) for b in batches for k in range(0, b.num_rows, BATCH_ROWS)):
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            found = [x + tail for x in worker(LibraryWorker, tokenizer).encode(texts)]
             sizes = np.array([len(x) // 4 for x in found], np.int64)
             ends = np.cumsum(sizes)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()),
@@ -93,14 +103,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """The files' rows with ``start``, the number of ids in all documents before. Only the columns asked for are read.
 
-    The partitions' sizes are one row per partition that was written (at most the shuffle partitions), so that
-    side is broadcast; it is made from the two narrow columns alone.
+    The partitions' sizes are one row per partition that was written (at most the shuffle partitions), so their
+    running sum is one small window and that side is broadcast; it is made from the two narrow columns alone.
     """
     rows = spark.read.parquet(path)
-    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
-    before = F.broadcast(sums.selectExpr("part as of_part", "part_tokens"))
-    bases = (sums.select("part").join(before, F.col("of_part") < F.col("part"), "left")
-             .groupBy("part").agg(F.coalesce(F.sum("part_tokens"), F.lit(0)).alias("base")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (rows.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
+             .select("part", F.coalesce(F.sum("part_tokens").over(before), F.lit(0)).alias("base")))
     return (rows.join(F.broadcast(bases), "part")
             .select(id_col, "ids", "n_tokens", (F.col("base") + F.col("part_start")).alias("start")))
 

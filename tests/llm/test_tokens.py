@@ -41,7 +41,7 @@ def test_trie_and_library_workers_equal_the_library(lib):
 
 
 def test_full_memory_changes_nothing(lib, monkeypatch):
-    monkeypatch.setattr(B, "MAX_WORDS", 20)
+    monkeypatch.setattr(B.TrieWorker, "limits", (20, 15))
     monkeypatch.setattr(B, "RUN_CHARS", 300)
     texts = random_texts(80) * 2
     for text, (raw, _) in zip(texts, B.TrieWorker(PATH).encode(texts)):
