@@ -91,7 +91,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    (rows.repartitionByRange(n, F.col("id").asc_nulls_first(), F.col("text"))
+    # The ranges are cut from a sample of keys that the driver sees. Of a text only its beginning is part of the key, which
+    # orders as the text does: equal keys share a partition, and the sort puts them in order of the whole text.
+    (rows.repartitionByRange(n, F.col("id").asc_nulls_first(), F.substring("text", 1, 32))
      .sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text"))
      .mapInArrow(run, f"id {kind}, ids array<int>, n_tokens bigint, part int, part_start bigint")
      .withColumnRenamed("id", id_col)
