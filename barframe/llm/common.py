@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from barframe.config import shared_dir
@@ -11,6 +13,10 @@ SPACE_CLASS = r"[\\x20\\x09-\\x0D]"  # as written inside a Spark SQL string lite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers are told where this package lies, as it may be imported from anywhere; where
+    executors have it elsewhere, their own path (or --py-files) comes into play as usual."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
