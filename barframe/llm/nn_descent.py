@@ -3,11 +3,14 @@
 Equal vectors are one node with a count. Nodes get first neighbours from sorted random projections (the sign code of a
 few random hyperplanes; rows next to each other in code order), and then lists of ``NEIGHBOURS`` best are refined: the
 neighbours of a node, in either direction, are introduced to each other, and who is better than the worst of a list
-enters it. A round compares only pairs of which one is new. Pairs of cosine ``MIN_COSINE`` and more are links.
+enters it. A round compares only pairs of which one is new. Pairs of cosine ``MIN_COSINE`` and more are links, whether
+or not they enter a list: lists are cut, links are not. Of the links met in one place a spanning forest is passed on,
+which joins the same nodes in fewer rows than there are nodes.
 
 A list that holds nothing but links is saturated: the node may have more. Saturated lists are enlarged to all they can
-hold, the nodes of their component, by block products of at most ``BLOCK`` x ``BLOCK`` vectors, which return counts
-and never pairs. The search is audited: a bounded sample of nodes is compared with all nodes, and as long as the share
+hold. Inside their component that is every node, by block products of at most ``BLOCK`` x ``BLOCK`` vectors, which
+return counts and never pairs. Outside it, saturated nodes search again with lists in which nodes of their own
+component take no place, until none of them gains a link. The search is audited: a bounded sample of nodes is compared with all nodes, and as long as the share
 of its links that lie inside the components found is under ``RECALL``, another round with new projections follows.
 """
 
@@ -76,6 +79,23 @@ def _edges(a, b, sim) -> pa.RecordBatch:
                                       names=["u", "v", "sim"])
 
 
+def forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Pairs of a spanning forest of the graph of a symmetric truth table."""
+    left, right = [], []
+    open_ = near.any(1)
+    while open_.any():
+        stack = [int(np.argmax(open_))]
+        open_[stack[0]] = False
+        while stack:
+            i = stack.pop()
+            new = np.flatnonzero(near[i] & open_)
+            open_[new] = False
+            left.extend([i] * len(new))
+            right.extend(new.tolist())
+            stack.extend(new.tolist())
+    return left, right
+
+
 def projected_neighbours(nodes: DataFrame, dim: int, seed: int) -> DataFrame:
     """First candidates (u, v, sim), both ways."""
 
@@ -115,41 +135,100 @@ def projected_neighbours(nodes: DataFrame, dim: int, seed: int) -> DataFrame:
             .mapInArrow(met, "u bigint, v bigint, sim double"))
 
 
-def best_lists(candidates: DataFrame, size: int) -> DataFrame:
-    """The best ``size`` of each node's candidates (u, v, sim, fresh); a pair seen before is not fresh."""
+def outside_neighbours(nodes: DataFrame, dim: int, seed: int) -> DataFrame:
+    """First candidates (u, v, sim), both ways, among nodes of different components: each node (id, vec, root) meets the
+    ``REACH`` rows in code order that lie before the run of its own component. Runs may end where a range of codes does,
+    where nobody meets, so the order is cut into ranges in two ways."""
+
+    def coded(batches):
+        planes = np.random.default_rng(seed).standard_normal((TABLES, CODE_BITS, dim))
+        place = (1 << np.arange(CODE_BITS, dtype=np.int64))[::-1]
+        for b in batches:
+            x = matrix(b.column(1), dim)
+            for t in range(TABLES):
+                code = ((x @ planes[t].T) > 0) @ place
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), t, np.int32)), pa.array(code), b.column(0), b.column(1), b.column(2)],
+                    names=["tab", "code", "id", "vec", "root"])
+
+    def met(batches):
+        before = None  # tab, id, root and vector of the last rows of the run that is open, and of those before it
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = matrix(b.column(3), dim)
+            t, i, r = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 4))
+            done = 0
+            if before is not None:
+                done = len(before[0])
+                t, i, r, x = np.append(before[0], t), np.append(before[1], i), np.append(before[2], r), np.vstack([before[3], x])
+            starts = np.append(True, (t[1:] != t[:-1]) | (r[1:] != r[:-1]))
+            start = np.maximum.accumulate(np.where(starts, np.arange(len(t)), 0))
+            for d in range(1, REACH + 1):
+                q = np.arange(done, len(t))
+                p = start[q] - d
+                q, p = q[p >= 0], p[p >= 0]
+                ok = (t[p] == t[q]) & (r[p] != r[q])
+                p, q = p[ok], q[ok]
+                sim = np.einsum("ij,ij->i", x[p], x[q])
+                yield _edges(np.append(i[p], i[q]), np.append(i[q], i[p]), np.append(sim, sim))
+            keep = np.unique(np.concatenate([np.arange(max(start[-1] - REACH, 0), start[-1]),
+                                             np.arange(max(len(t) - REACH, start[-1]), len(t))]))
+            before = (t[keep], i[keep], r[keep], x[keep])
+
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = nodes.schema["vec"].dataType.simpleString()
+    rows = nodes.select("id", "vec", "root").mapInArrow(coded, f"tab int, code bigint, id bigint, vec {kind}, root bigint")
+    one, two = (rows.repartitionByRange(k, "tab", "code", "id").sortWithinPartitions("tab", "code", "id")
+                .mapInArrow(met, "u bigint, v bigint, sim double") for k in (n, n + 1))
+    return one.union(two)
+
+
+def best_lists(candidates: DataFrame, size: int, min_cosine: float) -> DataFrame:
+    """Each node's candidates (u, v, sim, fresh) with their place, cut to the best ``size`` and all links; a pair seen
+    before is not fresh."""
     each = candidates.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     best = Window.partitionBy("u").orderBy(F.col("sim").desc(), "v")
-    return each.withColumn("place", F.row_number().over(best)).where(F.col("place") <= size).drop("place")
+    return each.withColumn("place", F.row_number().over(best)).where(
+        (F.col("place") <= size) | (F.col("sim") >= min_cosine))
 
 
-def introduced(lists: DataFrame, nodes: DataFrame, dim: int, size: int) -> DataFrame:
-    """Candidates (u, v, sim) from letting the neighbours of every node meet."""
-    worst = lists.groupBy(F.col("u").alias("of")).agg(
+def introduced(lists: DataFrame, nodes: DataFrame, dim: int, size: int, min_cosine: float,
+               apart: DataFrame | None = None) -> DataFrame:
+    """Candidates (u, v, sim) from letting the neighbours of every node (id, vec, root) meet; nodes of one root do not.
+    They are those better than the worst of a list, and a spanning forest of the links. The worst are those of the
+    lists ``apart``, if given."""
+    worst = (lists if apart is None else apart).groupBy(F.col("u").alias("of")).agg(
         F.when(F.count(F.lit(1)) >= size, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
     members = (lists.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh")
                .union(lists.select("v", "u", "fresh")).groupBy("centre", "member")
                .agg(F.max("fresh").alias("fresh")))
     known = nodes.join(worst, F.col("id") == F.col("of"), "left").select(
-        "id", "vec", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
+        "id", "vec", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "root")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(batches):
-        for _, ids, fresh, vec, worst in groups_of(batches, MEETING):
+        for _, ids, fresh, vec, worst, root in groups_of(batches, MEETING):
             fresh = fresh.to_numpy(zero_copy_only=False)
             if len(ids) < 2 or not fresh.any():
                 continue
-            ids, worst = ids.to_numpy(), worst.to_numpy()
+            ids, worst, root = ids.to_numpy(), worst.to_numpy(), root.to_numpy()
+            dims = vec.value_lengths().to_numpy()
             x = matrix(vec, dim)
             sim = x @ x.T
             sim[~(fresh[:, None] | fresh[None, :])] = -2.0
-            np.fill_diagonal(sim, -2.0)
+            sim[root[:, None] == root[None, :]] = -2.0
+            linked = (sim >= min_cosine) & (dims[:, None] == dims[None, :])
+            if linked.any():
+                i, j = forest(linked)
+                yield _edges(ids[i], ids[j], sim[i, j])
             k = min(TAKEN, len(ids) - 1)
             top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
             value = np.take_along_axis(sim, top, 1)
             row, col = np.nonzero(value > worst[:, None])
             yield _edges(ids[row], ids[top[row, col]], value[row, col])
 
-    rows = members.join(known, F.col("member") == F.col("id")).select("centre", "member", "fresh", "vec", "worst")
+    rows = members.join(known, F.col("member") == F.col("id")).select("centre", "member", "fresh", "vec", "worst", "root")
     return (rows.repartition(n, "centre").sortWithinPartitions("centre")
             .mapInArrow(meet, "u bigint, v bigint, sim double"))
 
@@ -201,6 +280,39 @@ def link_counts(members: DataFrame, dim: int, min_cosine: float) -> DataFrame:
             .groupBy("id").agg(F.sum("links").alias("links")))
 
 
+def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int, size: int, min_cosine: float,
+                  seed: int) -> DataFrame | None:
+    """Links (u, v) that saturated nodes gain outside their components, found with lists of nodes of other components;
+    None where all saturated nodes are of one component. ``lists`` are the nodes' own, cut to ``size``."""
+    full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least")).where(
+        (F.col("n") >= size) & (F.col("least") >= min_cosine))
+    known = (nodes.select("id", "vec", "dims").join(full.select("u"), F.col("id") == F.col("u"))
+             .join(roots, F.col("id") == F.col("node")).select("id", "vec", "dims", "root"))
+    if known.select("root").distinct().limit(2).count() < 2:
+        return None
+    known = materialise(known, "saturated")
+    own = lists.select("u", "v").withColumn("fresh", F.lit(False))
+    first = outside_neighbours(known, dim, seed).withColumn("fresh", F.lit(True))
+    apart = materialise(best_lists(first, size, min_cosine), "outside")
+    while True:
+        cut = apart.where(F.col("place") <= size)
+        met = own.union(cut.select("u", "v", "fresh"))
+        new = introduced(met, known, dim, size, min_cosine, cut).withColumn("fresh", F.lit(True))
+        last, apart = apart, materialise(best_lists(
+            new.union(apart.select("u", "v", "sim").withColumn("fresh", F.lit(False))), size, min_cosine), "outside")
+        discard(last)
+        state = apart.where(F.col("place") <= size).agg(F.avg(F.col("fresh").cast("double")).alias("new")).first()
+        if (state["new"] or 0.0) < QUIET:
+            break
+    ends = known.select(F.col("id").alias("of"), F.col("dims").alias("of_dims"))
+    gained = materialise(
+        apart.where(F.col("sim") >= min_cosine).select("u", "v").join(ends, F.col("u") == F.col("of"))
+        .withColumnRenamed("of_dims", "u_dims").drop("of").join(ends, F.col("v") == F.col("of"))
+        .where("u_dims = of_dims").select("u", "v"), "gained")
+    discard(apart, known)
+    return gained
+
+
 def audit(nodes: DataFrame, roots: DataFrame, dim: int, min_cosine: float) -> float:
     """Share of the links of ``AUDITED`` nodes (those of the smallest hash) that lie inside a component."""
     sample = (nodes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "vec", "dims").toArrow())
@@ -222,6 +334,10 @@ def audit(nodes: DataFrame, roots: DataFrame, dim: int, min_cosine: float) -> fl
     return found["k"] / found["n"] if found["n"] else 1.0
 
 
+def _old(lists: DataFrame) -> DataFrame:
+    return lists.select("u", "v", "sim").withColumn("fresh", F.lit(False))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     min_cosine: float = MIN_COSINE, neighbours: int = NEIGHBOURS) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per input row.
@@ -245,19 +361,20 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     if dim is None:
         return rows.select(out_id, F.lit(0).cast("bigint").alias("n_links"), F.col("id").cast("bigint").alias("component_id"),
                            F.lit(True).alias("kept"))
-    lists, roots = None, None
+    lists, roots, gained = None, None, []
+    each = classes.select("id", "vec", F.col("id").alias("root"))
     for k in range(ROUNDS):
         first = projected_neighbours(classes, dim, 1 + k).withColumn("fresh", F.lit(True))
-        seen = first if lists is None else first.union(lists.withColumn("fresh", F.lit(False)))
-        last, lists = lists, materialise(best_lists(seen, neighbours), "lists")
+        seen = first if lists is None else first.union(_old(lists))
+        last, lists = lists, materialise(best_lists(seen, neighbours, min_cosine), "lists")
         if last is not None:
             discard(last)
         for _ in range(REFINEMENTS):
-            new = introduced(lists, classes, dim, neighbours).withColumn("fresh", F.lit(True))
-            last, lists = lists, materialise(
-                best_lists(new.union(lists.withColumn("fresh", F.lit(False))), neighbours), "lists")
+            cut = lists.where(F.col("place") <= neighbours)
+            new = introduced(cut, each, dim, neighbours, min_cosine).withColumn("fresh", F.lit(True))
+            last, lists = lists, materialise(best_lists(new.union(_old(lists)), neighbours, min_cosine), "lists")
             discard(last)
-            state = lists.agg(F.avg(F.col("fresh").cast("double")).alias("new")).first()
+            state = lists.where(F.col("place") <= neighbours).agg(F.avg(F.col("fresh").cast("double")).alias("new")).first()
             if (state["new"] or 0.0) < QUIET:
                 break
         same = classes.select(F.col("id").alias("of"), F.col("dims").alias("of_dims"))
@@ -265,7 +382,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         if classes.select("dims").distinct().count() > 1:
             close = (close.join(same, F.col("u") == F.col("of")).withColumnRenamed("of_dims", "u_dims").drop("of")
                      .join(same, F.col("v") == F.col("of")).where("u_dims = of_dims").select("u", "v"))
+        for g in gained:
+            close = close.union(g)
         roots = connected_components(close, "u", "v")
+        cut = lists.where(F.col("place") <= neighbours)
+        while True:
+            new = links_outside(cut, classes, roots, dim, neighbours, min_cosine, ROUNDS + 1 + k + ROUNDS * len(gained))
+            if new is None or new.isEmpty():
+                break
+            gained.append(new)
+            close = close.union(new)
+            roots = connected_components(close, "u", "v")
         if audit(classes, roots, dim, min_cosine) >= RECALL:
             break
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))

@@ -143,3 +143,27 @@ def test_block_counts_are_whole(spark, monkeypatch):
     want = ((x @ x.T >= 0.9).sum(1) - 1).tolist()
     got = {r["vec_id"]: r["n_links"] for r in N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert [got[i] for i in range(100)] == want
+
+
+def two_dense_groups(size=40, dim=32, border=1):
+    """Two groups of close vectors whose only links to each other are between ``border`` vectors of each."""
+    rng = np.random.default_rng(11)
+
+    def at(degrees):
+        noise = np.append([0.0, 0.0], rng.standard_normal(dim - 2)) * 0.002
+        return np.append([np.cos(np.radians(degrees)), np.sin(np.radians(degrees))], np.zeros(dim - 2)) + noise
+
+    angles = [0.0] * (size - border) + [1.0] * border + [27.5] * (size - border) + [26.5] * border
+    x = np.array([at(a) for a in angles])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cross = x[:size] @ x[size:].T >= 0.9
+    assert cross.sum() == border * border and cross[size - border:, size - border:].all()
+    return [(i, v.tolist()) for i, v in enumerate(x)]
+
+
+def test_border_links_join_dense_groups(spark, monkeypatch):
+    monkeypatch.setattr(N, "audit", lambda *a: 1.0)  # the search alone
+    df = spark.createDataFrame(two_dense_groups(), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in N.near_duplicates(df).collect()}
+    assert {r["component_id"] for r in got.values()} == {0} and sum(r["kept"] for r in got.values()) == 1
+    assert got[39]["n_links"] == 40 and got[79]["n_links"] == 40 and got[0]["n_links"] == 39
