@@ -10,8 +10,11 @@ which joins the same nodes in fewer rows than there are nodes.
 A list that holds nothing but links is saturated: the node may have more. Saturated lists are enlarged to all they can
 hold. Inside their component that is every node, by block products of at most ``BLOCK`` x ``BLOCK`` vectors, which
 return counts and never pairs. Outside it, saturated nodes search again with lists in which nodes of their own
-component take no place, until none of them gains a link. The search is audited: a bounded sample of nodes is compared with all nodes, and as long as the share
-of its links that lie inside the components found is under ``RECALL``, another round with new projections follows.
+component take no place, until none of them gains a link. The search is audited: sampled nodes are compared with all nodes, in samples that grow until
+``LINKED`` nodes that have links are among them or every node was sampled. What is judged is the mean over these nodes
+of the share of a node's links that lie inside its component; links that the audit finds join the rest. As long as the
+mean is under ``RECALL``, another round with new projections follows, and after ``ROUNDS`` of them all nodes are
+compared with all in blocks.
 """
 
 from __future__ import annotations
@@ -35,8 +38,11 @@ REFINEMENTS, QUIET = 2, 0.05
 # Members of a node's neighbourhood compared at once, and candidates each of them takes from there.
 MEETING, TAKEN = 64, 4
 BLOCK = 128
-# Audit: nodes compared with all, share of their links that must be found, and rounds at most.
-AUDITED, RECALL, ROUNDS = 256, 0.98, 4
+# Audit: nodes of the first sample and of the largest, sampled nodes that must have links, share of a node's links that
+# must be found on average, and rounds before all nodes are compared with all.
+AUDITED, AUDITED_MOST, LINKED, RECALL, ROUNDS = 256, 4_096, 128, 0.98, 4
+# Rows compared with a sample at once.
+SLICE = 1_024
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -248,24 +254,31 @@ def link_counts(members: DataFrame, dim: int, min_cosine: float) -> DataFrame:
             if not (side == 0).any():  # two blocks, not a block with itself
                 yield _count(ids[two], near.T @ weight[one])
 
-    def _whole_groups(batches):
-        held = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = (t if held is None else pa.concat_tables([held, t])).combine_chunks()
-            if not t.num_rows:
-                continue
-            key = t.column(0).chunk(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
-            for s, e in zip(cuts, cuts[1:]):
-                yield t.slice(s, e - s).combine_chunks().to_batches()[0]
-            held = t.slice(cuts[-1])
-        if held is not None and held.num_rows:
-            yield held.combine_chunks().to_batches()[0]
-
     def _count(ids, n):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n.astype(np.int64))], names=["id", "links"])
 
+    return (_block_pairs(members).mapInArrow(count, "id bigint, links bigint")
+            .groupBy("id").agg(F.sum("links").alias("links")))
+
+
+def _whole_groups(batches):
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = (t if held is None else pa.concat_tables([held, t])).combine_chunks()
+        if not t.num_rows:
+            continue
+        key = t.column(0).chunk(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
+        for s, e in zip(cuts, cuts[1:]):
+            yield t.slice(s, e - s).combine_chunks().to_batches()[0]
+        held = t.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held.combine_chunks().to_batches()[0]
+
+
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """Rows (pair, id, side, vec, dims, weight), those of a pair of blocks together."""
     # Each member goes to every pair of its own block with a block of its component; side 0: the pair is the block
     # with itself, 1 and 2: the first and the second of two blocks.
     blocks = f"cast(ceil(size / {BLOCK}D) as int)"
@@ -276,8 +289,36 @@ def link_counts(members: DataFrame, dim: int, min_cosine: float) -> DataFrame:
              .withColumn("side", F.expr("if(mine = other, 0, if(mine < other, 1, 2))")))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (dealt.select("pair", "id", "side", "vec", "dims", "weight").repartition(n, "pair")
-            .sortWithinPartitions("pair").mapInArrow(count, "id bigint, links bigint")
-            .groupBy("id").agg(F.sum("links").alias("links")))
+            .sortWithinPartitions("pair"))
+
+
+def _between(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a truth table, one for each two different components (``left`` of its rows, ``right`` of its columns)
+    that it joins."""
+    i, j = np.nonzero(near & (left[:, None] != right[None, :]))
+    if not len(i):
+        return i, j
+    _, first = np.unique(np.stack([left[i], right[j]]), axis=1, return_index=True)
+    return i[first], j[first]
+
+
+def all_links(nodes: DataFrame, dim: int, min_cosine: float) -> DataFrame:
+    """Links (u, v) between the components of all nodes (id, vec, dims, root), each compared with each in blocks: one
+    link at most for two components and a pair of blocks."""
+
+    def links(batches):
+        for g in _whole_groups(batches):
+            ids, side, dims, root = (g.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 4, 5))
+            x = matrix(g.column(3), dim)
+            one, two = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
+            near = (x[one] @ x[two].T >= min_cosine) & (dims[one][:, None] == dims[two][None, :])
+            i, j = _between(near, root[one], root[two])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one][i], pa.int64()), pa.array(ids[two][j], pa.int64())],
+                                             names=["u", "v"])
+
+    members = nodes.select("id", "vec", "dims", F.col("root").alias("weight"), F.lit(0).cast("bigint").alias("root"),
+                           F.lit(nodes.count()).alias("size"))
+    return _block_pairs(members).mapInArrow(links, "u bigint, v bigint")
 
 
 def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int, size: int, min_cosine: float,
@@ -313,25 +354,56 @@ def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int
     return gained
 
 
-def audit(nodes: DataFrame, roots: DataFrame, dim: int, min_cosine: float) -> float:
-    """Share of the links of ``AUDITED`` nodes (those of the smallest hash) that lie inside a component."""
-    sample = (nodes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "vec", "dims").toArrow())
-    ids, dims = (sample.column(k).to_numpy() for k in ("id", "dims"))
+def audit(nodes: DataFrame, dim: int, min_cosine: float) -> tuple[float, list[DataFrame]]:
+    """Mean share of a node's links that lie inside its component, over sampled nodes (id, vec, dims, root) that have
+    links (1 if no node has), and tables of links (u, v) that lie outside. Nodes are sampled in the order of their hash."""
+    place = nodes.withColumn("h", F.xxhash64("id"))
+    size, last, judged, recall, missed = AUDITED, None, 0, 0.0, []
+    while judged < LINKED:
+        left = place if last is None else place.where(
+            (F.col("h") > last[0]) | ((F.col("h") == last[0]) & (F.col("id") > last[1])))
+        sample = left.orderBy("h", "id").limit(size).select("id", "vec", "dims", "root", "h").toArrow()
+        if not sample.num_rows:
+            break
+        last = sample.column("h")[-1].as_py(), sample.column("id")[-1].as_py()
+        found = materialise(_compared(nodes, sample, dim, min_cosine), "audit")
+        state = (found.groupBy("u").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).where("n > 0")
+                 .agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("k") / F.col("n")).alias("share")).first())
+        judged, recall = judged + state["nodes"], recall + (state["share"] or 0.0)
+        missed.append(found.where("v is not null").select("u", "v"))
+        size = min(2 * size, AUDITED_MOST)
+    return (recall / judged if judged else 1.0), missed
+
+
+def _compared(nodes: DataFrame, sample: pa.Table, dim: int, min_cosine: float) -> DataFrame:
+    """Rows (u, v, n, k) of the sampled nodes u: so many links were met, so many of them inside the component; or v is
+    the other end of a link outside."""
+    ids, dims, roots = (sample.column(k).to_numpy() for k in ("id", "dims", "root"))
     x = matrix(sample.column("vec").combine_chunks(), dim)
 
     def compared(batches):
-        for b in batches:
-            own, size = b.column(0).to_numpy(), b.column(2).to_numpy()
-            near = (matrix(b.column(1), dim) @ x.T >= min_cosine) & (size[:, None] == dims[None, :])
-            near &= own[:, None] != ids[None, :]
-            i, j = np.nonzero(near)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[j], pa.int64()), pa.array(own[i], pa.int64())], names=["a", "b"])
-
-    links = nodes.select("id", "vec", "dims").mapInArrow(compared, "a bigint, b bigint")
-    left, right = (roots.select(F.col("node").alias(f"{k}_node"), F.col("root").alias(f"{k}_root")) for k in "ab")
-    found = (links.join(left, F.col("a") == F.col("a_node"), "left").join(right, F.col("b") == F.col("b_node"), "left")
-             .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("a_root") == F.col("b_root"), 1)).alias("k")).first())
-    return found["k"] / found["n"] if found["n"] else 1.0
+        for whole in batches:
+            total, inside = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            u, v = [], []
+            for k in range(0, whole.num_rows, SLICE):
+                b = whole.slice(k, SLICE)
+                own, size, root = (b.column(c).to_numpy() for c in (0, 2, 3))
+                near = (matrix(b.column(1), dim) @ x.T >= min_cosine) & (size[:, None] == dims[None, :])
+                near &= own[:, None] != ids[None, :]
+                total += near.sum(0)
+                same = near & (root[:, None] == roots[None, :])
+                inside += same.sum(0)
+                i, j = _between(near, root, roots)
+                u.extend(ids[j].tolist())
+                v.extend(own[i].tolist())
+            some = np.flatnonzero(total)
+            none = [0] * len(u)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[some].tolist() + u, pa.int64()), pa.array([None] * len(some) + v, pa.int64()),
+                 pa.array(total[some].tolist() + none, pa.int64()), pa.array(inside[some].tolist() + none, pa.int64())],
+                names=["u", "v", "n", "k"])
+
+    return nodes.select("id", "vec", "dims", "root").mapInArrow(compared, "u bigint, v bigint, n bigint, k bigint")
 
 
 def _old(lists: DataFrame) -> DataFrame:
@@ -363,6 +435,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                            F.lit(True).alias("kept"))
     lists, roots, gained = None, None, []
     each = classes.select("id", "vec", F.col("id").alias("root"))
+
+    def with_roots(roots: DataFrame) -> DataFrame:
+        return (classes.join(roots, F.col("id") == F.col("node"), "left")
+                .select("id", "vec", "dims", F.coalesce("root", "id").alias("root")))
+
     for k in range(ROUNDS):
         first = projected_neighbours(classes, dim, 1 + k).withColumn("fresh", F.lit(True))
         seen = first if lists is None else first.union(_old(lists))
@@ -393,7 +470,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             gained.append(new)
             close = close.union(new)
             roots = connected_components(close, "u", "v")
-        if audit(classes, roots, dim, min_cosine) >= RECALL:
+        recall, missed = audit(with_roots(roots), dim, min_cosine)
+        if recall < RECALL and k == ROUNDS - 1:
+            missed.append(materialise(all_links(with_roots(roots), dim, min_cosine), "all-links"))
+        missed = [m for m in missed if not m.isEmpty()]
+        if missed:
+            gained += missed
+            for m in missed:
+                close = close.union(m)
+            roots = connected_components(close, "u", "v")
+        if recall >= RECALL:
             break
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     members = (classes.join(roots.join(sizes, "root"), F.col("id") == F.col("node"))

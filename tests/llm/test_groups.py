@@ -162,8 +162,39 @@ def two_dense_groups(size=40, dim=32, border=1):
 
 
 def test_border_links_join_dense_groups(spark, monkeypatch):
-    monkeypatch.setattr(N, "audit", lambda *a: 1.0)  # the search alone
+    monkeypatch.setattr(N, "audit", lambda *a: (1.0, []))  # the search alone
     df = spark.createDataFrame(two_dense_groups(), "vec_id long, embedding array<double>")
     got = {r["vec_id"]: r for r in N.near_duplicates(df).collect()}
     assert {r["component_id"] for r in got.values()} == {0} and sum(r["kept"] for r in got.values()) == 1
     assert got[39]["n_links"] == 40 and got[79]["n_links"] == 40 and got[0]["n_links"] == 39
+
+
+def test_a_failed_audit_ends_in_a_whole_comparison(spark, monkeypatch):
+    monkeypatch.setattr(N, "REACH", 0)  # a search that meets nobody
+    monkeypatch.setattr(N, "ROUNDS", 1)
+    monkeypatch.setattr(N, "AUDITED", 4)
+    monkeypatch.setattr(N, "LINKED", 3)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(24).tolist()) for i in range(60)]
+    rows += [(60 + i, (np.array(rows[2 * i][1]) + rng.standard_normal(24) * 0.01).tolist()) for i in range(10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in N.near_duplicates(df).collect()}
+    assert all(got[2 * i] == (1, 2 * i) == got[60 + i] for i in range(10))
+    assert sum(n for n, _ in got.values()) == 20
+
+
+def test_audit_judges_nodes_and_samples_until_some_have_links(spark, monkeypatch):
+    monkeypatch.setattr(N, "AUDITED", 8)
+    rng = np.random.default_rng(9)
+    hot = rng.standard_normal(24)
+    rows = [(i, (hot + rng.standard_normal(24) * 0.01).tolist(), 24, 0) for i in range(60)]
+    for i in range(60, 100, 2):
+        x = rng.standard_normal(24)
+        rows += [(i, x.tolist(), 24, i), (i + 1, (x + rng.standard_normal(24) * 0.01).tolist(), 24, i + 1)]
+    rows += [(i, rng.standard_normal(24).tolist(), 24, i) for i in range(100, 300)]
+    nodes = spark.createDataFrame(rows, "id long, vec array<double>, dims int, root long")
+    recall, missed = N.audit(nodes, 24, 0.9)
+    assert recall == 0.6  # of 100 nodes with links the 40 outside the hot group miss theirs, by links it is 0.989
+    assert {(r["u"], r["v"]) for m in missed for r in m.collect()} == {
+        p for i in range(60, 100, 2) for p in ((i, i + 1), (i + 1, i))}
