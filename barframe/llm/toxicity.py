@@ -1,9 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text, with exception phrases.
 
 Folding lower-cases a text, maps look-alike letters of other scripts and styles to Latin ones, and white space to
-blanks, one character for one. Digits and signs that stand for letters are folded in further readings of the same
-text, so that a reading without them is never lost. The automaton holds the lexicon and the exception phrases; a match
-counts if no letter or digit touches it and no exception phrase covers it. The weights found are summed, divided by a
+blanks, one character for one. A digit or sign may be itself or any letter it stands for, each by itself: the automaton
+runs over a text in which all these are one letter, and what it finds is compared sign by sign. The automaton holds the
+lexicon and the exception phrases; a match counts if no letter or digit touches it and no exception phrase covers it. The weights found are summed, divided by a
 slowly growing function of the text's length, and turned into a probability.
 
 The lexicon is learned: of the labelled rows (at most ``MAX_ROWS``, by the hash of their id) every word is counted by
@@ -66,7 +66,9 @@ LOOK_ALIKES = {
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
          "!": "i", "+": "t", "|": "l"}
 SIGNS_2 = SIGNS | {"1": "l", "!": "l"}
-_AS_SIGNS = [str.maketrans(SIGNS), str.maketrans(SIGNS_2)]
+# Texts and entries are compared with all that a sign may stand for made one letter; then each sign is looked at by itself.
+_AS_ONE = str.maketrans(SIGNS | {"|": "i", "l": "i"})
+_STANDS_FOR = {c: {SIGNS[c], SIGNS_2[c]} for c in SIGNS}
 _SIGNED = re.compile(r"[a-z][013457894@$!+|]|[013457894@$!+|][a-z]")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -102,12 +104,9 @@ _SPACE = str.maketrans("\t\n\r\x0b\x0c", "     ")
 _HIDDEN = re.compile("[̀-ͯ­​-‏⁠﻿]")
 
 
-def readings(folded: str) -> list[str]:
-    """The folded text, and its readings with signs as letters if any sign touches a letter."""
-    if not _SIGNED.search(folded):
-        return [folded]
-    first = folded.translate(_AS_SIGNS[0])
-    return [folded, first] + ([folded.translate(_AS_SIGNS[1])] if "1" in folded or "!" in folded else [])
+def reads_as(folded: str, entry: str, signed: bool) -> bool:
+    """Whether a folded text of the entry's length is the entry, each sign being itself or (``signed``) a letter."""
+    return folded == entry or signed and all(a == b or b in _STANDS_FOR.get(a, ()) for a, b in zip(folded, entry))
 
 
 class Matcher:
@@ -116,15 +115,18 @@ class Matcher:
     def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         import ahocorasick
 
-        self.auto = ahocorasick.Automaton()
-        for phrase in exceptions:
-            phrase = fold(phrase)
-            self.auto.add_word(phrase, (len(phrase), None, True))
+        entries: dict[str, tuple[float | None, bool]] = {fold(phrase): (None, True) for phrase in exceptions}
         # A word goes before a stem of the same letters.
         for word, weight in sorted(lexicon.items(), key=lambda x: x[0].endswith("*")):
             text = fold(word.rstrip("*"))
-            if text and text not in self.auto:
-                self.auto.add_word(text, (len(text), weight, not word.endswith("*")))
+            if text and text not in entries:
+                entries[text] = (weight, not word.endswith("*"))
+        alike: dict[str, list[tuple[str, float | None, bool]]] = {}
+        for text, (weight, whole) in entries.items():
+            alike.setdefault(text.translate(_AS_ONE), []).append((text, weight, whole))
+        self.auto = ahocorasick.Automaton()
+        for text, same in alike.items():
+            self.auto.add_word(text, (len(text), same))
         self.any = len(self.auto) > 0
         if self.any:
             self.auto.make_automaton()
@@ -134,17 +136,22 @@ class Matcher:
         out: dict[int, float] = {}
         if not self.any:
             return out
-        for reading in readings(fold(text)):
-            found, harmless = [], []
-            for end, (size, weight, whole) in self.auto.iter(reading):
-                start = end + 1 - size
-                if (start and reading[start - 1].isalnum()) or (whole and reading[end + 1:end + 2].isalnum()):
+        folded = fold(text)
+        signed = bool(_SIGNED.search(folded))
+        found, harmless = [], []
+        for end, (size, same) in self.auto.iter(folded.translate(_AS_ONE)):
+            start = end + 1 - size
+            # A sign beside a word ends it, whatever letter it may stand for elsewhere.
+            if start and folded[start - 1].isalnum():
+                continue
+            for entry, weight, whole in same:
+                if (whole and folded[end + 1:end + 2].isalnum()) or not reads_as(folded[start:end + 1], entry, signed):
                     continue
                 (harmless if weight is None else found).append((start, end + 1, weight))
-            for s, e, weight in found:
-                if not any(a <= s and e <= b for a, b, _ in harmless):
-                    # A word and the stems it begins with are one match, of the largest weight.
-                    out[s] = max(weight, out.get(s, 0.0))
+        for s, e, weight in found:
+            if not any(a <= s and e <= b for a, b, _ in harmless):
+                # A word and the stems it begins with are one match, of the largest weight.
+                out[s] = max(weight, out.get(s, 0.0))
         return out
 
     def strength(self, text: str | None) -> float:

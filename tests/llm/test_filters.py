@@ -153,6 +153,14 @@ def test_folding_and_exceptions():
     assert m.strength("idiot") > m.strength("idiot " + "word " * 4000) > 0
 
 
+def test_signs_are_letters_and_word_ends():
+    m = X.Matcher({"moron": 2.0, "idiot": 3.0, "imbecile": 5.0, "loser": 7.0})
+    found = lambda t: sum(m.matches(t).values())
+    assert found("m0ron!") == 2 and found("you m0r0n!!") == 2 and found("1d10t!") == 3 and found("+m0ron+") == 2
+    assert found("1mbec1le!!") == 5 and found("!mbec1le") == 5 and found("1mbec!le") == 5 and found("|0ser|") == 7
+    assert found("moron!") == 2 and found("m0rons") == 0 and found("xm0ron!") == 0 and found("m0ron1") == 0
+
+
 def test_toxicity_scores(spark, make_docs, odd_docs, no_docs, no_labels):
     rng = random.Random(3)
     bad = ["blarg", "snurf", "quonk"]
