@@ -12,11 +12,16 @@ from barframe.config import shared_dir
 SPACE_CLASS = r"[\\x20\\x09-\\x0D]"  # as written inside a Spark SQL string literal
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Python workers are told where this package lies, as it may be imported from anywhere; where
-    executors have it elsewhere, their own path (or --py-files) comes into play as usual."""
+def ship_package(spark: SparkSession) -> None:
+    """Python workers are told where this package lies, as it may be imported from anywhere; where executors have it
+    elsewhere, their own path (or --py-files) comes into play as usual."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, for a session whose Python workers find this package."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +29,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there, so a lost executor costs a
     re-read, not a recomputation, and several readers share one computation."""
     spark = df.sparkSession
+    ship_package(spark)
     path = shared_dir(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barframe.llm import (bpe_trie, gam, html_diff, mixing, nn_descent, quality_rules, quotes, simhash, token_files,
-                          toxicity)
+from barframe.llm import (bpe_trie, gam, html_diff, mixing, nn_descent, quality_rules, quotes, simhash, suffix_dedup,
+                          token_files, toxicity)
 from barframe.llm.common import read_table
 
 
@@ -52,6 +52,10 @@ def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "array_join(reply_path, ' ') as reply_path", "chat")
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_quality_gam": op8_quality_gam,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_quote_links": op10_quote_links,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 SQL = {
