@@ -95,7 +95,8 @@ class Geometry:
             if size < self.width:
                 m = np.minimum(m[:size - self.width], m[self.width - size:])
             p = np.arange(s, s + len(m))
-            doc = np.searchsorted(ends, p, "right")
+            near = slice(np.searchsorted(ends, s, "right"), np.searchsorted(ends, s + len(m) - 1, "right") + 1)
+            doc = np.repeat(np.arange(near.start, near.stop), np.diff(np.clip(ends[near], s, s + len(m)), prepend=s))
             fit = p + self.length <= ends[doc]
             if not fit.any():
                 continue
