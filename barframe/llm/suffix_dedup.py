@@ -44,8 +44,10 @@ SAMPLE_PIECES = 16
 FREQUENT = 1 / 128
 # Strings of a bucket that are sorted at once, but for one piece with more.
 STRINGS = 1 << 20
+# Rows whose bytes are gathered at once.
+_ROWS = 1 << 14
 # Positions hashed at once; they have to fit the low bits of a sliding minimum.
-_STRIP = 1 << 20
+_STRIP = 1 << 18
 _LOW = np.uint64((1 << 21) - 1)
 _HASH_BITS = 48
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -119,9 +121,12 @@ class Geometry:
         """The bytes of each anchor's strings, the anchor always in the same column, zero elsewhere, and how far
         before the anchor its first and last string begin: (n, padded)."""
         cols = np.arange(self.padded) - self.side
-        at = a[:, None] + cols
-        own = (at >= lo[:, None]) & (at < hi[:, None] + self.length)
-        out = np.where(own, buf[np.clip(at, 0, len(buf) - 1)], 0).astype(np.uint8)
+        out = np.empty((len(a), self.padded), np.uint8)
+        for s in range(0, len(a), _ROWS):
+            part = slice(s, s + _ROWS)
+            at = a[part, None] + cols
+            own = (at >= lo[part, None]) & (at < hi[part, None] + self.length)
+            out[part] = np.where(own, buf[np.clip(at, 0, len(buf) - 1)], np.uint8(0))
         out[:, -2], out[:, -1] = a - lo, a - hi
         return out
 
@@ -385,8 +390,10 @@ def _single_strings(geo: Geometry, rows, begin, stop, first, number, buckets: in
     row = np.repeat(np.arange(len(rows)), n)
     off = np.repeat(begin, n) - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
     cols = np.arange(geo.padded)
-    own = (cols >= geo.side - off[:, None]) & (cols < geo.side - off[:, None] + geo.length)
-    cut = np.where(own, rows[row], 0).astype(np.uint8)
+    cut = np.empty((len(row), geo.padded), np.uint8)
+    for s in range(0, len(row), _ROWS):
+        begins = geo.side - off[s:s + _ROWS, None]
+        cut[s:s + _ROWS] = np.where((cols >= begins) & (cols < begins + geo.length), rows[row[s:s + _ROWS]], np.uint8(0))
     cut[:, -2] = cut[:, -1] = off
     mixed = (np.ascontiguousarray(cut).view("<u8") * _MIX[0]) >> np.uint64(17)
     weights = np.array([pow(0x9E3779B1, k + 1, 1 << 61) | 1 for k in range(mixed.shape[1])], np.uint64)
@@ -459,10 +466,10 @@ def _within(geo, rows, begin, stop, first, number, origin, same, least, cut, kin
     keys = np.zeros((len(row), 8 + width), np.uint8)
     keys[:, :8] = ((kin[row] << 8) | off).astype(">u8").view(np.uint8).reshape(-1, 8)
     around = rows[cut][:, side]
-    for s in range(0, len(row), 1 << 18):
-        r, o = row[s:s + (1 << 18)], off[s:s + (1 << 18)]
+    for s in range(0, len(row), _ROWS):
+        r, o = row[s:s + _ROWS], off[s:s + _ROWS]
         at = np.arange(geo.side)[None, :] + geo.side - o[:, None]
-        keys[s:s + (1 << 18), 8:8 + geo.side] = np.take_along_axis(around[r], at, 1)
+        keys[s:s + _ROWS, 8:8 + geo.side] = np.take_along_axis(around[r], at, 1)
     _, group = ranks(keys)
     best = np.full(len(row), _NO_ID)
     np.minimum.at(best, group, least[same[cut]][row])
@@ -511,23 +518,29 @@ def _cut(batches, geo: Geometry):
             _, same = ranks(geo.surroundings(buf, a[left], lo[left], hi[left]))
             # Documents ascend with their anchors, so a group's first anchor is in its smallest document.
             lead = _first_of(same, np.arange(len(left)), len(left))
-            first = np.repeat(ids[doc[left[lead]]][:, None], geo.width, 1)
-            place = np.searchsorted(left, number)
-            group_best = np.full((len(left), geo.width), _NO_ID)
-            for off in range(geo.width):
-                on = (mask >> np.uint32(off)) & 1 == 1
-                np.minimum.at(group_best[:, off], place[on], best[on])
-            least = np.minimum(first, group_best[lead])
+            first, own = ids[doc[left[lead]]], ids[doc[left]]
+            # Answers by the first anchor of their suffix; the row after them stands for suffixes without any.
+            answered, row = np.unique(np.searchsorted(left, number), return_inverse=True)
+            table = np.full((len(answered) + 1, geo.width), _NO_ID)
+            slot = np.full(len(left), len(answered))
+            slot[answered] = np.arange(len(answered))
             off = np.arange(geo.width)
-            inside = (off <= (a - lo)[left][:, None]) & (off >= (a - hi)[left][:, None])
-            hit = inside & (least < ids[doc[left]][:, None])
-            r, o = np.nonzero(hit)
-            p = a[left[r]] - o
-            gone[p] += 1
-            gone[p + geo.length] -= 1
+            for k in off:
+                on = (mask >> np.uint32(k)) & 1 == 1
+                np.minimum.at(table[:, k], row[on], best[on])
+            for s in range(0, len(left), _ROWS):
+                part = slice(s, s + _ROWS)
+                at = a[left[part]]
+                inside = (off <= (at - lo[left[part]])[:, None]) & (off >= (at - hi[left[part]])[:, None])
+                least = np.minimum(first[part, None], table[slot[lead[part]]])
+                r, o = np.nonzero(inside & (least < own[part, None]))
+                gone[at[r] - o] += 1
+                gone[at[r] - o + geo.length] -= 1
     gone = np.cumsum(gone[:-1], dtype=np.int8) > 0
     kept = buf[~gone]
-    ends = np.concatenate([[0], np.cumsum(~gone, dtype=np.int64)])[starts]
+    ends = np.zeros(len(buf) + 1, np.int32)
+    np.cumsum(~gone, out=ends[1:])
+    ends = ends[starts]
     # Runs of removed bytes; one that goes on over a document's end is two.
     edge = np.zeros(len(buf) + 1, bool)
     edge[starts] = True
