@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barframe.llm import (bpe_trie, gam, html_diff, mixing, nn_descent, quality_rules, quotes, simhash, suffix_dedup,
-                          token_files, toxicity)
+from barframe.llm import (bpe_trie, gam, html_diff, mixing, nn_descent, quality_rules, quotes, simhash, spelling,
+                          suffix_dedup, token_files, toxicity)
 from barframe.llm.common import read_table
 
 
@@ -56,6 +56,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -68,6 +72,7 @@ QUERIES = {
     "op9_bpe_trie": op9_bpe_trie,
     "op10_quote_links": op10_quote_links,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL = {
