@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barframe.llm import (bpe_trie, gam, html_diff, mixing, nn_descent, quality_rules, quotes, simhash, spelling,
-                          suffix_dedup, token_files, toxicity)
+from barframe.llm import (bpe_trie, conversation_repair, gam, html_diff, mixing, nn_descent, quality_rules, quotes,
+                          simhash, spelling, suffix_dedup, token_files, toxicity)
 from barframe.llm.common import read_table
 
 
@@ -52,6 +52,11 @@ def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "array_join(reply_path, ' ') as reply_path", "chat")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(rows)
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_quality_gam": op8_quality_gam,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_quote_links": op10_quote_links,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_spelling_variants": op13_spelling_variants,
 }
