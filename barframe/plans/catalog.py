@@ -30,6 +30,9 @@ DOC_FIELD = "open"
 DOC_OLD = "6.55"
 DOC_NEW = "0"
 BAD_JSON = "{bad"
+STORE_FIRST = "click"
+STORE_ALL = "error"
+STORE_GONE = "signup"
 CLASS_WIDTH = 5000.0
 CLASS_COUNT = 120
 LIBSVM_DIM = 64
@@ -442,6 +445,50 @@ def q_delete_by_field(spark, sf_dir):
     return mutate.remove_by(_docs(spark, sf_dir), DOC_FIELD, DOC_OLD)
 
 
+def _typed_text(spark, sf_dir) -> DataFrame:
+    """(k, text): every event as a JSON object of text fields, a number and a nested object; last a text that is none."""
+    ev = _t(spark, sf_dir, "events").select(
+        F.col("event_id").alias("k"),
+        F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("value").cast("string").alias("open"),
+                           F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("kind"),
+                           F.struct(F.col("user_id").alias("user"), (F.col("user_id") % 2 == 0).alias("even")).alias("by")
+                           )).alias("text"))
+    return ev.unionByName(ev.groupBy().agg((F.max("k") + 1).alias("k")).select("k", F.lit(BAD_JSON).alias("text")))
+
+
+def q_store_typed(spark, sf_dir):
+    """Objects as they went into the store, read by typed paths, and how many texts were no objects."""
+    from ..sources import store as S
+
+    store = S.DocumentStore(spark, shared_dir(spark, "store"))
+    store.insert_json(_typed_text(spark, sf_dir), order="k")
+    docs = store.read().select(S.field("id", "bigint").alias("id"), S.field("open", "double").alias("price"),
+                               S.field("by.user", "bigint").alias("user"), S.field("by.even", "boolean").alias("even"),
+                               S.field("by.no").alias("missing"), F.to_json("doc").alias("text"))
+    rejected = store.rejects().select(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("double").alias("price"),
+                                      F.lit(None).cast("bigint").alias("user"), F.lit(None).cast("boolean").alias("even"),
+                                      F.lit(None).cast("string").alias("missing"), F.col("raw").alias("text"))
+    return docs.unionByName(rejected)
+
+
+def q_store_chain(spark, sf_dir):
+    """Insert JSON, append records, update the first match, update all, delete: the store's last version."""
+    from ..sources import store as S
+
+    store = S.DocumentStore(spark, shared_dir(spark, "store"))
+    store.insert_json(_typed_text(spark, sf_dir), order="k")
+    recs = B.load_bars(spark, sf_dir).select("symbol", "date", F.array(
+        F.col("date").cast("string"), *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")],
+        F.concat(F.lit("bar-"), F.col("symbol"))).alias("record"))
+    store.insert(S.records(recs), order=["symbol", "date"])
+    store.update("kind", STORE_FIRST, "first")
+    store.update("kind", STORE_ALL, "all", multi=True)
+    store.remove_by("kind", STORE_GONE)
+    store.remove(DOC_OLD)
+    return store.read().select(*[S.field(c).alias(c) for c in ("date", "open", "high", "id", "kind")],
+                               S.field("by.user", "bigint").alias("user"))
+
+
 # ---- requests -------------------------------------------------------------------
 
 def q_request_forecasts(spark, sf_dir):
@@ -527,6 +574,8 @@ QUERIES: dict[str, Query] = {
     "docs_scan": q_docs_scan,
     "json_insert": q_json_insert,
     "json_store": q_json_store,
+    "store_typed": q_store_typed,
+    "store_chain": q_store_chain,
     "bar_rejects": q_bar_rejects,
     "record_append": q_record_append,
     "update_first_match": q_update_first_match,
@@ -538,5 +587,6 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = O.build(
     filter_symbol=FILTER_SYMBOL, doc_field=DOC_FIELD, doc_old=DOC_OLD, doc_new=DOC_NEW, bad_json=BAD_JSON,
-    class_width=CLASS_WIDTH, class_count=CLASS_COUNT,
+    class_width=CLASS_WIDTH, class_count=CLASS_COUNT, store_first=STORE_FIRST, store_all=STORE_ALL,
+    store_gone=STORE_GONE,
 )

@@ -147,7 +147,7 @@ def docs() -> str:
 
 
 def build(filter_symbol: str, doc_field: str, doc_old: str, doc_new: str, bad_json: str,
-          class_width: float, class_count: int) -> dict[str, str]:
+          class_width: float, class_count: int, store_first: str, store_all: str, store_gone: str) -> dict[str, str]:
     from ..config import CHART_HIGH, CHART_LOW, HORIZONS, SERIES_NAMES
 
     n_max = HORIZONS[-1][1]
@@ -308,6 +308,20 @@ FROM ev"""
     q["json_store"] = f"""WITH {docs()}
 SELECT {doc_cols} FROM docs
 UNION ALL SELECT NULL, open, NULL, NULL, NULL, NULL, 'new-' || id FROM docs"""
+    q["store_typed"] = f"""SELECT event_id AS id, value AS price, user_id AS "user", user_id % 2 = 0 AS even,
+       CAST(NULL AS VARCHAR) AS missing,
+       CAST(to_json({{"by": {{"even": user_id % 2 = 0, "user": user_id}}, date: strftime(ts, '%Y-%m-%d'),
+                id: CAST(event_id AS VARCHAR), kind: event_type, open: CAST(value AS VARCHAR)}}) AS VARCHAR) AS text FROM events
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '{bad_json}'"""
+    q["store_chain"] = f"""WITH {BARS}, ev AS (
+  SELECT *, event_id = (SELECT min(event_id) FROM events WHERE event_type = '{store_first}') AS hit FROM events)
+SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(value AS VARCHAR) AS open, CAST(NULL AS VARCHAR) AS high,
+       CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN hit THEN 'first' WHEN event_type = '{store_all}' THEN 'all' ELSE event_type END AS kind, user_id AS "user"
+FROM ev WHERE event_type <> '{store_gone}' AND CAST(value AS VARCHAR) <> '{doc_old}'
+UNION ALL
+SELECT CAST(date AS VARCHAR), CAST(open AS VARCHAR), CAST(high AS VARCHAR), 'bar-' || symbol, NULL, NULL FROM bars
+WHERE CAST(open AS VARCHAR) <> '{doc_old}'"""
     q["bar_rejects"] = f"""WITH {BARS}
 SELECT CASE day(date) % 14 WHEN 7 THEN 'fields' WHEN 0 THEN 'date' ELSE 'bar' END AS reason, count(*) AS n FROM bars GROUP BY 1"""
     q["record_append"] = f"""WITH {docs()}, {BARS}

@@ -55,8 +55,20 @@ def store_json(text: DataFrame, path: str, rejects_path: str, col: str = "text")
         .write.mode("append").text(rejects_path)
 
 
+def read_sequenced(spark: SparkSession, path: str, name: str = "seq") -> DataFrame:
+    """The collection with each document's place in it: file, start of the split it was read in, and line.
+
+    Splits are dealt to tasks by size, so a task's rows do not follow the order of files, but within a split they do:
+    the three together order the documents by file and line whatever the size of the splits.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                  F.monotonically_increasing_id().alias("line"))
+    return read_collection(spark, path).select("*", at.alias(name))
+
+
 def with_sequence(docs: DataFrame, name: str = "seq") -> DataFrame:
-    """A unique number per document that follows the order of the collection's files and lines."""
+    """A unique number per row of ``docs`` in the order of its partitions. That is the order in which a frame was made,
+    but not the order of files: see :func:`read_sequenced`, and ``DocumentStore`` for a collection that is changed."""
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
