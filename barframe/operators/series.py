@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, INDEX_BUCKET, SERIES_SPLIT
-from .joins import salted_join
+from .joins import block_join
 
 ORDER = ("date",) + FEATURES
 
@@ -116,9 +116,9 @@ def index_series(bars: DataFrame, ratio: float = SERIES_SPLIT, bucket: str = IND
                     "CASE WHEN idx < split THEN split ELSE n - split END AS part_n")
     )
     if bounds_on == "train":
-        tb = out.filter("part = 'train'").groupBy("symbol").agg(*[F.expr(e) for e in _mnmx("", "")])
+        tb = out.filter("part = 'train'").groupBy("symbol").agg(F.max("n").alias("_n"), *[F.expr(e) for e in _mnmx("", "")])
         out = out.drop(*[f"mn_{f}" for f in FEATURES], *[f"mx_{f}" for f in FEATURES])
-        out = salted_join(out, tb, "symbol", "idx")
+        out = block_join(out, tb, "symbol", "idx", "_n").drop("_n")
     return out
 
 

@@ -495,7 +495,9 @@ def q_request_forecasts(spark, sf_dir):
     from ..streaming import requests as K
 
     req = K.requests_from_events(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "orders"))
-    return K.answer(req, FC.forecast_payload(_forecast(spark, sf_dir))).select(
+    path = shared_dir(spark, "forecasts")
+    FC.forecast_payload(_forecast(spark, sf_dir)).write.parquet(path)
+    return K.answer(req, spark.read.parquet(path)).select(
         "request_id", "symbol", "first_date", r("first_prediction", 2), "n_points"
     )
 
@@ -503,17 +505,15 @@ def q_request_forecasts(spark, sf_dir):
 def q_stream_forecast_responses(spark, sf_dir):
     from ..streaming import requests as K
 
-    out = K.run_request_stream(spark, sf_dir)
-    # Read the emitted JSON back: the same columns as the batch twin.
-    # Parse each response once (a referenced-twice parse is not inlined by the optimiser).
-    parsed = out.selectExpr(
-        "request_id", "symbol",
-        "from_json(response, 'max ARRAY<STRUCT<prediction: DOUBLE, date: STRING>>').max AS pts",
-    )
-    return parsed.selectExpr(
-        "request_id", "symbol", "pts[0].date AS first_date", "round(pts[0].prediction, 2) AS first_prediction",
-        "size(pts) AS n_points",
-    )
+    sink, fc_dir = K.run_request_stream(spark, sf_dir)
+    # Each stored payload is read back as JSON once, whatever the number of requests that it answers.
+    parsed = K.forecasts(spark, fc_dir).selectExpr(
+        "symbol", "version",
+        "from_json(payload, 'max ARRAY<STRUCT<prediction: DOUBLE, date: STRING>>').max AS pts",
+    ).selectExpr("symbol", "version", "pts[0].date AS first_date",
+                 "round(pts[0].prediction, 2) AS first_prediction", "size(pts) AS n_points")
+    return K.references(spark, sink).join(parsed, ["symbol", "version"], "left").select(
+        "request_id", "symbol", "first_date", "first_prediction", "n_points")
 
 
 QUERIES: dict[str, Query] = {

@@ -3,7 +3,7 @@
 AR(1): next = a + b * current on the normalised target, fitted per symbol by
 ``regr_slope`` / ``regr_intercept`` over training pairs (both bars in train).
 The coefficient table has one row per symbol, with the symbol's bounds. Bars
-meet it in a salted join, so no task holds a whole symbol. A symbol without
+meet it by blocks of a series, so no task holds a long one whole. A symbol without
 coefficients (too few bars) keeps its rows, with a NULL prediction.
 """
 
@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from ..config import (ACTUAL_SERIES, HORIZONS, PREDICT_SERIES, SERIES_NAMES, WINDOW)
 from ..functions.calendar import next_trading_days_sql
-from ..operators.joins import salted_join
+from ..operators.joins import block_join
 from ..operators.series import norm_sql
 from ..operators.windows import last_and_next, latest_window, target_columns
 
 
 def ar1_coefficients(indexed: DataFrame, category: str = "close") -> DataFrame:
-    """One row per symbol: <f>_a (intercept), <f>_b (slope), <f>_n (pairs), c_mn_<f>, c_mx_<f> for each target.
+    """One row per symbol: c_bars (length of its series) and, for each target, <f>_a (intercept), <f>_b (slope), <f>_n (pairs), c_mn_<f>, c_mx_<f>.
 
     A single partial/final aggregate per symbol over the training pairs
     (both bars in train), so the fit moves one small row per symbol and task;
@@ -29,10 +29,10 @@ def ar1_coefficients(indexed: DataFrame, category: str = "close") -> DataFrame:
     cols = target_columns(category)
     # Pairs with both bars in train; the successor comes with the index (no extra shuffle).
     xs = indexed.filter("idx + 1 < split").selectExpr(
-        "symbol", *[f"{m}_{f}" for f in cols for m in ("mn", "mx")], *[f"{norm_sql(f)} AS _x_{f}" for f in cols],
+        "symbol", "n", *[f"{m}_{f}" for f in cols for m in ("mn", "mx")], *[f"{norm_sql(f)} AS _x_{f}" for f in cols],
         *[f"try_divide(next_{f} - mn_{f}, mx_{f} - mn_{f}) AS _y_{f}" for f in cols],
     )
-    return xs.groupBy("symbol").agg(*[
+    return xs.groupBy("symbol").agg(F.max("n").alias("c_bars"), *[
         e for f in cols for e in (
             F.regr_intercept(f"_y_{f}", f"_x_{f}").alias(f"{f}_a"),
             F.regr_slope(f"_y_{f}", f"_x_{f}").alias(f"{f}_b"),
@@ -79,7 +79,8 @@ def one_ahead(indexed: DataFrame, category: str = "close", coef: DataFrame | Non
     """
     cols = target_columns(category)
     coef = coef if coef is not None else ar1_coefficients(indexed, category)
-    j = salted_join(last_and_next(indexed, cols, L=L), coef, "symbol", "start_idx")
+    # A window's number is below its series' length, which comes with the coefficients.
+    j = block_join(last_and_next(indexed, cols, L=L), coef, "symbol", "start_idx", "c_bars")
     if len(cols) == 1:
         f = cols[0]
         return j.selectExpr("symbol", "start_idx", f"{_one_ahead_sql(f)} AS prediction", f"actual_{f} AS actual")

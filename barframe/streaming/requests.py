@@ -1,11 +1,16 @@
 """Forecast requests answered by Structured Streaming (K1).
 
 Requests arrive as files (any file source; a message bus is a ``format`` swap).
-Each micro-batch is joined stream-static with the per-symbol forecast table,
-rendered to JSON and appended to a file sink. The checkpoint plus the file
-sink's commit log make every request answered exactly once across restarts.
-The forecast table is materialised once per run (written to the shared
-folder), so micro-batches never recompute it.
+Each micro-batch is joined stream-static with the per-symbol forecast table
+and appended to a file sink. The checkpoint plus the file sink's commit log
+make every request answered exactly once across restarts. The forecast table
+is written once per version, so micro-batches never recompute it.
+
+A forecast is long (1,200 points) and there is one per symbol, so the stream
+answers with a reference, (request, symbol, version), and
+:func:`delivered` gives the text with it: a payload is stored once however
+many requests ask for it. :func:`start_request_stream` is the form that writes
+the text beside every request.
 """
 
 from __future__ import annotations
@@ -30,7 +35,11 @@ def requests_from_events(events: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def answer(requests: DataFrame, payload: DataFrame) -> DataFrame:
-    """Batch twin: every request with its symbol's forecast (NULL when the symbol has none)."""
+    """Batch twin: every request with its symbol's forecast (NULL when the symbol has none).
+
+    Give ``payload`` as a written table: adaptive execution splits the requests of a symbol that measures skewed only
+    where the other side of the join is shuffled for the join itself, and then copies no payload but that symbol's.
+    """
     pts = F.col("forecast.max")
     fc = payload.select(
         "symbol", "payload",
@@ -38,7 +47,7 @@ def answer(requests: DataFrame, payload: DataFrame) -> DataFrame:
         F.element_at(pts, 1)["prediction"].alias("first_prediction"),
         F.size(pts).alias("n_points"),
     )
-    return salted_join(requests, fc, "symbol", "xxhash64(request_id)").select(
+    return requests.join(fc, "symbol", "left").select(
         "request_id", "symbol", "first_date", "first_prediction", "n_points", F.col("payload").alias("response")
     )
 
@@ -101,8 +110,52 @@ def start_request_stream(spark: SparkSession, requests_dir: str, forecast_dir: s
     )
 
 
-def run_request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered form: requests derived from events, answered by the stream, sink read back."""
+def write_forecasts(payload: DataFrame, forecast_dir: str, version: int) -> None:
+    """The forecasts of one version, one row per symbol; earlier versions stay for the requests they answered."""
+    payload.select("symbol", "payload").write.mode("error").parquet(f"{forecast_dir}/version={int(version)}")
+
+
+def start_reference_stream(spark: SparkSession, requests_dir: str, forecast_dir: str, version: int, sink_dir: str,
+                           checkpoint_dir: str, max_broadcast_bytes: int | None = None, max_files: int | None = None):
+    """Answer requests with (request_id, symbol, version) of the forecasts; version is NULL for a symbol without one.
+
+    Only symbols meet the requests, so the static side is broadcast unless their table itself is over the limit, and
+    the salted join beyond it copies symbols, never payloads.
+    """
+    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    known_dir = f"{forecast_dir}/symbols-{int(version)}"
+    spark.read.parquet(f"{forecast_dir}/version={int(version)}").select("symbol", F.lit(int(version)).alias("version")) \
+        .write.mode("overwrite").parquet(known_dir)
+    out = sized_join(spark, reader.parquet(requests_dir), spark.read.parquet(known_dir), known_dir,
+                     max_broadcast_bytes=max_broadcast_bytes).select("request_id", "symbol", "version")
+    return (
+        out.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start(sink_dir)
+    )
+
+
+def references(spark: SparkSession, sink_dir: str) -> DataFrame:
+    return spark.read.schema("request_id BIGINT, symbol STRING, version INT").parquet(sink_dir)
+
+
+def forecasts(spark: SparkSession, forecast_dir: str) -> DataFrame:
+    """(symbol, version, payload) of every version written."""
+    return spark.read.schema("symbol STRING, payload STRING, version INT").option("basePath", forecast_dir) \
+        .parquet(f"{forecast_dir}/version=*")
+
+
+def delivered(spark: SparkSession, sink_dir: str, forecast_dir: str) -> DataFrame:
+    """(request_id, symbol, response): every answered request with the text of the forecast it refers to."""
+    return references(spark, sink_dir).join(forecasts(spark, forecast_dir), ["symbol", "version"], "left").select(
+        "request_id", "symbol", F.col("payload").alias("response"))
+
+
+def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Registered form: requests derived from events, answered by the stream; the sink and the forecasts' folder."""
     from ..operators.series import index_series
     from ..plans.forecast import forecast_payload, recursive_forecast
     from ..sources.bars import load_bars
@@ -114,10 +167,6 @@ def run_request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Requests land as many files (one per writer task), as they would from many producers.
     parts = spark.sparkContext.defaultParallelism
     requests_from_events(events, orders).repartition(parts, "request_id").write.mode("overwrite").parquet(req_dir)
-    payload = forecast_payload(recursive_forecast(index_series(load_bars(spark, sf_dir)), "close"))
-    payload.select("symbol", "payload").write.mode("overwrite").parquet(fc_dir)
-    q = start_request_stream(spark, req_dir, fc_dir, sink, ckpt)
-    q.awaitTermination()
-    return spark.read.schema(
-        "request_id BIGINT, symbol STRING, response STRING"
-    ).parquet(sink)
+    write_forecasts(forecast_payload(recursive_forecast(index_series(load_bars(spark, sf_dir)), "close")), fc_dir, 1)
+    start_reference_stream(spark, req_dir, fc_dir, 1, sink, ckpt).awaitTermination()
+    return sink, fc_dir

@@ -285,3 +285,27 @@ def test_gbt_window_regressor_runs(spark, sf_small):
     assert len(out) == tw.count() and all(r["prediction"] == r["prediction"] for r in out)
     with pytest.raises(ValueError):
         M.fit_window_regressor(M.window_training_frame(ix, "close"), kind="lstm")
+
+
+def test_every_delivered_response_is_the_stored_payload(spark, sf_small):
+    sink, fc_dir = K.run_request_stream(spark, sf_small)
+    want = {r["symbol"]: r["payload"] for r in K.forecasts(spark, fc_dir).collect()}
+    got = K.delivered(spark, sink, fc_dir).collect()
+    events = spark.read.parquet(f"{sf_small}/events.parquet").count()
+    assert len(got) == events == len({r["request_id"] for r in got})
+    assert all(r["response"] == want.get(r["symbol"]) for r in got) and len(want) == 5
+    assert K.references(spark, sink).select("symbol", "version").distinct().count() <= 6
+
+
+def test_a_request_keeps_the_version_that_answered_it(spark, tmp_path):
+    rows = lambda k: spark.createDataFrame([("a", f"old{k}"), ("b", f"b{k}")], "symbol string, payload string")
+    base = str(tmp_path)
+    req = lambda ids: spark.createDataFrame([(i, s) for i, s in ids], K.REQUEST_SCHEMA).write.mode("append").parquet(f"{base}/in")
+    K.write_forecasts(rows(1), f"{base}/fc", 1)
+    req([(1, "a"), (2, "none")])
+    K.start_reference_stream(spark, f"{base}/in", f"{base}/fc", 1, f"{base}/out", f"{base}/ck").awaitTermination()
+    K.write_forecasts(rows(2), f"{base}/fc", 2)
+    req([(3, "a"), (4, None)])
+    K.start_reference_stream(spark, f"{base}/in", f"{base}/fc", 2, f"{base}/out", f"{base}/ck", max_broadcast_bytes=0).awaitTermination()
+    got = {r["request_id"]: r["response"] for r in K.delivered(spark, f"{base}/out", f"{base}/fc").collect()}
+    assert got == {1: "old1", 2: None, 3: "old2", 4: None}

@@ -39,12 +39,12 @@ def test_one_ahead_moves_no_windows_and_no_whole_symbol(spark, sf_small):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("one_ahead", "one_ahead_all", "prediction_series", "chart_bounds", "forecast_mse", "request_forecasts",
+        for name in ("one_ahead", "one_ahead_all", "prediction_series", "chart_bounds", "forecast_mse",
                      "normalized_bars_train_bounds"):
             plan = _formatted(E.queries()[name](spark, sf_small))
-            # The join that bars or requests meet is on (symbol, salt), and no window array is built for scoring.
-            assert re.search(r"Left keys \[2\]: \[symbol#\d+, _salt#\d+\]", plan), name
-            assert name == "request_forecasts" or "collect_list" not in plan, name
+            # The join that bars meet is on (symbol, block), and no window array is built for scoring.
+            assert re.search(r"Left keys \[2\]: \[symbol#\d+, _blk#\d+L\]", plan), name
+            assert "collect_list" not in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -67,3 +67,39 @@ def test_no_python_udf_in_sql_queries(spark, sf_small):
         plan = _formatted(E.queries()[name](spark, sf_small))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_light_keys_are_not_copied_and_heavy_ones_are_cut(spark):
+    from barframe.operators.joins import block_join
+
+    rows = spark.range(1000).selectExpr("IF(id < 900, 'hot', concat('s', id)) AS symbol", "IF(id < 900, id, 0L) AS i")
+    small = rows.groupBy("symbol").count()
+    out = block_join(rows, small, "symbol", "i", "count", block_rows=100)
+    assert out.columns == ["symbol", "i", "count"]
+    assert sorted(map(tuple, out.collect())) == sorted((f"s{k}", 0, 1) if k >= 900 else ("hot", k, 900) for k in range(1000))
+    copies = small.selectExpr("symbol", "explode(sequence(0L, (count - 1) DIV 100)) AS b").groupBy("symbol").count()
+    assert {r["symbol"]: r["count"] for r in copies.collect()} == {"hot": 9, **{f"s{k}": 1 for k in range(900, 1000)}}
+
+
+def test_requests_of_a_hot_symbol_are_split_at_run_time(spark, sf_small):
+    from barframe.streaming import requests as K
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        req = spark.range(20_000).selectExpr("id AS request_id", "IF(id % 3 > 0, 'hot', concat('s', id % 40)) AS symbol")
+        req = req.repartition(8)
+        fc = spark.range(41).selectExpr("IF(id = 40, 'hot', concat('s', id)) AS symbol").selectExpr(
+            "symbol", "concat('{', symbol, '}') AS payload",
+            "named_struct('max', array(named_struct('prediction', 1D, 'date', '2020-01-01'))) AS forecast")
+        out = K.answer(req, fc)
+        assert "skew=true" in _final_plan(out)
+        assert out.where("response = concat('{', symbol, '}') AND n_points = 1").count() == 20_000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
