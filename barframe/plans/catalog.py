@@ -33,6 +33,7 @@ BAD_JSON = "{bad"
 STORE_FIRST = "click"
 STORE_ALL = "error"
 STORE_GONE = "signup"
+SMALL_L2 = 1e-4
 CLASS_WIDTH = 5000.0
 CLASS_COUNT = 120
 LIBSVM_DIM = 64
@@ -346,6 +347,36 @@ def q_vector_classifier_accuracy(spark, sf_dir):
     return _classifier_report(q_vector_classifier(spark, sf_dir))
 
 
+def _small_models(spark, sf_dir):
+    """Each symbol's own model of the next close on the last two closes (small enough to be solved in SQL too)."""
+    from . import per_symbol as P
+
+    ix = indexed_bars(spark, sf_dir)
+    return ix, P.fit_per_symbol(ix, "close", L=2, feats=("close",), l2=SMALL_L2)
+
+
+def q_symbol_regressor_fit(spark, sf_dir):
+    _, coef = _small_models(spark, sf_dir)
+    return coef.selectExpr("symbol", "n_windows", "round(intercept, 7) AS intercept", "round(weights[0], 7) AS w0",
+                           "round(weights[1], 7) AS w1")
+
+
+def q_symbol_regressor_scores(spark, sf_dir):
+    from . import per_symbol as P
+
+    ix, coef = _small_models(spark, sf_dir)
+    return P.score_per_symbol(ix, coef, "close", L=2, feats=("close",)).select(
+        "symbol", "start_idx", r("prediction", 2), "actual")
+
+
+def q_symbol_regressor(spark, sf_dir):
+    """Each symbol's own model over whole windows of 22 days and five features."""
+    from . import per_symbol as P
+
+    ix = indexed_bars(spark, sf_dir)
+    return P.score_per_symbol(ix, P.fit_per_symbol(ix, "close"), "close")
+
+
 def q_price_class_mlp(spark, sf_dir):
     from . import models as M
 
@@ -569,6 +600,9 @@ QUERIES: dict[str, Query] = {
     "price_class_mlp": q_price_class_mlp,
     "vector_classifier": q_vector_classifier,
     "window_regressor": q_window_regressor,
+    "symbol_regressor_fit": q_symbol_regressor_fit,
+    "symbol_regressor_scores": q_symbol_regressor_scores,
+    "symbol_regressor": q_symbol_regressor,
     "model_forecast": q_model_forecast,
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "docs_scan": q_docs_scan,
@@ -588,5 +622,5 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = O.build(
     filter_symbol=FILTER_SYMBOL, doc_field=DOC_FIELD, doc_old=DOC_OLD, doc_new=DOC_NEW, bad_json=BAD_JSON,
     class_width=CLASS_WIDTH, class_count=CLASS_COUNT, store_first=STORE_FIRST, store_all=STORE_ALL,
-    store_gone=STORE_GONE,
+    store_gone=STORE_GONE, small_l2=SMALL_L2,
 )

@@ -19,6 +19,7 @@ from ..config import (EPOCHS, FEATURES, L2, MLP_BLOCK, MLP_MAX_ITER, PRICE_CLASS
 from ..operators.series import denorm
 from ..operators.splits import hash_split
 from ..operators.windows import target_columns, test_windows, train_windows
+from .per_symbol import flat_window_sql, rolled
 
 
 def _fit(estimator, frame: DataFrame, passes: bool = True):
@@ -87,12 +88,17 @@ def _mlp(layers: list[int], max_iter: int, seed: int = SEED) -> MultilayerPercep
 
 def price_class_mlp(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES,
                     max_iter: int = MLP_MAX_ITER) -> DataFrame:
-    """M2: 1-64-32-16-K perceptron on open -> class of close, 60/40 hash split; scored test rows."""
+    """M2: 1-64-32-16-K perceptron on open -> class of close, 60/40 hash split; scored test rows.
+
+    K is one more than the largest class that occurs (at most ``classes``): outputs for classes that no bar has would
+    only cost iterations. No bar is lost by it.
+    """
     frame = price_class_frame(bars, width, classes)
+    classes = int(frame.agg(F.max("label")).first()[0] or 0) + 1
     split = hash_split(frame, F.concat_ws("|", F.col("symbol"), F.col("date").cast("string")), RANDOM_SPLIT, SEED)
     train = split.filter(F.col("part") == "train")
     test = split.filter(F.col("part") == "test")
-    model = _fit(_mlp([1, *PRICE_MLP_HIDDEN, classes], max_iter), train.select("features", "label"))
+    model = _fit(_mlp([1, *PRICE_MLP_HIDDEN, max(classes, 2)], max_iter), train.select("features", "label"))
     return model.transform(test).select("symbol", "date", "label", "prediction")
 
 
@@ -130,14 +136,6 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
     return r.load(path)
 
 
-def flat_window_sql(col: str = "window", feats=FEATURES) -> str:
-    """Step-major flattening of an ARRAY<STRUCT<features>> window; a constant feature (normalised: NULL) is 0.
-
-    A missing price is NULL too: callers set windows that have one apart by their ``missing`` count.
-    """
-    return f"flatten(transform({col}, b -> array({', '.join(f'coalesce(b.{f}, 0D)' for f in feats)})))"
-
-
 def flat_window(col: str = "window", feats=FEATURES) -> Column:
     """Flatten an ARRAY<STRUCT<features>> window into one vector (step-major)."""
     return array_to_vector(F.expr(flat_window_sql(col, feats)))
@@ -247,52 +245,39 @@ def _dlit(x: float) -> str:
 
 
 def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 1200, L: int = WINDOW,
-                   model: PipelineModel | None = None) -> DataFrame:
-    """M10 with the fitted window regressor: roll each symbol's latest window forward ``steps`` times.
+                   model: PipelineModel | None = None, coef: DataFrame | None = None) -> DataFrame:
+    """M10 with fitted window regressors: roll each symbol's latest window forward ``steps`` times.
 
-    Each step scores the flattened window (intercept + dot product with the
-    model's L*5 coefficients, a model-sized literal), drops the oldest bar and
-    appends it again with the target replaced by the prediction. One fold per
-    symbol, bounded by ``steps``; symbols run in parallel.
+    Each step scores the window, drops its oldest bar and appends it again with the target replaced by the prediction;
+    its cost does not grow with the steps before (:func:`.per_symbol.roll_forward`). The weights are those of one pooled
+    linear ``model`` (fitted here unless given), or each symbol's own where ``coef`` is the table of
+    :func:`.per_symbol.fit_per_symbol`. Symbols run in parallel.
     Result: (symbol, step, date, prediction) in price units; ALL fits one model
     per feature and adds a ``category`` column. A symbol with fewer than ``L``
-    bars, or with a price missing in its latest window, keeps its steps with
-    NULL predictions.
+    bars, with a price missing in its latest window, or without a model, keeps its steps with NULL predictions.
     """
     from ..functions.calendar import next_trading_days_sql
     from ..operators.windows import latest_window
 
     if len(target_columns(category)) > 1:
-        if model is not None:
+        if model is not None or coef is not None:
             raise ValueError("a given model has one target")
         return _each_target(category, lambda f: model_forecast(indexed, f, steps, L))
     (f,) = target_columns(category)
-    model = model or fit_window_regressor(window_training_frame(indexed, f, L))
-    lr = model.stages[-1]
-    weights = "array(" + ", ".join(_dlit(w) for w in lr.coefficients.toArray()) + ")"
-    score = (f"{_dlit(lr.intercept)} + aggregate(zip_with({flat_window_sql('acc.win')}, {weights}, (x, w) -> x * w), "
-             f"0D, (s, v) -> s + v)")
-    old = "acc.win[0]"
-    appended = "named_struct(" + ", ".join(f"'{g}', {'y' if g == f else f'{old}.{g}'}" for g in FEATURES) + ")"
-    fold = (
-        f"aggregate(sequence(1, {steps}), "
-        f"named_struct('win', window, 'ys', CAST(array() AS ARRAY<DOUBLE>)), "
-        f"(acc, k) -> transform(array({score}), y -> named_struct("
-        f"'win', concat(slice(acc.win, 2, {L - 1}), array({appended})), "
-        f"'ys', concat(acc.ys, array(y))))[0]).ys"
-    )
-    # Predictions accumulate as a primitive array; dates are attached once with zip_with.
-    points = (
-        f"transform(zip_with({fold}, {next_trading_days_sql('as_of', steps)}, (y, d) -> named_struct('y', y, 'd', d)), "
-        f"(p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), 'date', p.d, "
-        f"'prediction', p.y * (mx_{f} - mn_{f}) + mn_{f}))"
-    )
     no_gap = " AND ".join(f"b.{g} IS NOT NULL" for g in FEATURES)
-    lw = latest_window(indexed, L).withColumn("whole", F.expr(
+    latest = latest_window(indexed, L).withColumn("whole", F.expr(
         f"size(window) = {L} AND forall(transform(raw_window, b -> {no_gap}), x -> x)"))
-    none = (f"transform({next_trading_days_sql('as_of', steps)}, (d, i) -> named_struct('step', CAST(i + 1 AS BIGINT), "
-            f"'date', d, 'prediction', CAST(NULL AS DOUBLE)))")
-    return lw.selectExpr("symbol", f"inline(CASE WHEN whole THEN {points} ELSE {none} END)")
+    latest = latest.selectExpr("symbol", "as_of", "window", "whole", f"mn_{f} AS mn", f"mx_{f} AS mx")
+    if coef is not None:
+        latest = latest.join(coef.select("symbol", "intercept", "weights"), "symbol", "left")
+        sql = "coalesce(intercept, 0D)", "weights"
+    else:
+        lr = (model or fit_window_regressor(window_training_frame(indexed, f, L))).stages[-1]
+        sql = _dlit(lr.intercept), "array(" + ", ".join(_dlit(w) for w in lr.coefficients.toArray()) + ")"
+    points = (f"transform(zip_with(coalesce(ys, array()), {next_trading_days_sql('as_of', steps)}, "
+              "(y, d) -> named_struct('y', y, 'd', d)), (p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), "
+              "'date', p.d, 'prediction', p.y * (mx - mn) + mn))")
+    return rolled(latest, sql, FEATURES.index(f), steps, L).selectExpr("symbol", f"inline({points})")
 
 
 def rformula_features(bars: DataFrame, formula: str = "close ~ open") -> DataFrame:

@@ -147,7 +147,8 @@ def docs() -> str:
 
 
 def build(filter_symbol: str, doc_field: str, doc_old: str, doc_new: str, bad_json: str,
-          class_width: float, class_count: int, store_first: str, store_all: str, store_gone: str) -> dict[str, str]:
+          class_width: float, class_count: int, store_first: str, store_all: str, store_gone: str,
+          small_l2: float) -> dict[str, str]:
     from ..config import CHART_HIGH, CHART_LOW, HORIZONS, SERIES_NAMES
 
     n_max = HORIZONS[-1][1]
@@ -292,6 +293,24 @@ JOIN pt c ON c.symbol = a.symbol AND c.part = a.part AND c.part_idx = a.part_idx
 WHERE a.part = 'train' AND a.part_idx < a.part_n - {L + H}
 GROUP BY a.symbol, a.part_idx
 HAVING count(b.close) = {L} AND any_value({nz('c', 'close')}) IS NOT NULL"""
+    c = lambda a: nz(a, "close")
+    small = f"""{indexed()},
+two AS (SELECT a.symbol, a.part, a.part_idx, a.part_n, {c('a')} AS x0, {c('b')} AS x1, {c('d')} AS y, d.close AS actual,
+               a.mn_close AS mn, a.mx_close AS mx
+        FROM pt a JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx = a.part_idx + 1
+        JOIN pt d ON d.symbol = a.symbol AND d.part = a.part AND d.part_idx = a.part_idx + 2
+        WHERE a.part_idx < a.part_n - 3),
+mo AS (SELECT symbol, count(*) AS n, avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my,
+              covar_pop(x0, x0) + {small_l2!r} AS s00, covar_pop(x1, x1) + {small_l2!r} AS s11, covar_pop(x0, x1) AS s01,
+              covar_pop(x0, y) AS t0, covar_pop(x1, y) AS t1 FROM two WHERE part = 'train' GROUP BY symbol),
+sv AS (SELECT *, (t0 * s11 - t1 * s01) / (s00 * s11 - s01 * s01) AS w0,
+              (t1 * s00 - t0 * s01) / (s00 * s11 - s01 * s01) AS w1 FROM mo)"""
+    q["symbol_regressor_fit"] = f"""WITH {small}
+SELECT symbol, n AS n_windows, round(my - w0 * m0 - w1 * m1, 7) AS intercept, round(w0, 7) AS w0, round(w1, 7) AS w1 FROM sv"""
+    q["symbol_regressor_scores"] = f"""WITH {small}
+SELECT two.symbol, CAST(part_idx AS BIGINT) AS start_idx,
+       round((my - w0 * m0 - w1 * m1 + w0 * x0 + w1 * x1) * (mx - mn) + mn, 2) AS prediction, actual
+FROM two LEFT JOIN sv ON sv.symbol = two.symbol WHERE part = 'test'"""
     q["model_forecast_keys"] = f"""WITH {indexed()}, st AS (SELECT symbol, date AS as_of, n FROM pt WHERE idx = n - 1),
 {calendar('st', n_max)}
 SELECT cal.symbol, cal.step, cal.date, st.n >= {L} AS scored FROM cal JOIN st ON st.symbol = cal.symbol"""

@@ -42,5 +42,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_model_or_stream():
-    allowed = {"price_class_mlp", "vector_classifier", "window_regressor", "model_forecast"}
+    allowed = {"price_class_mlp", "vector_classifier", "window_regressor", "model_forecast", "symbol_regressor"}
     assert set(ROWS_ONLY) <= allowed
