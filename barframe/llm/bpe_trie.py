@@ -21,9 +21,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Words and pieces that a worker remembers in each of two generations.
-MAX_WORDS = 350_000
-MAX_PIECES = 350_000
+# Words (of texts with odd characters) and pieces that a worker remembers in each of two generations.
+MAX_WORDS = 100_000
+MAX_PIECES = 450_000
 # Characters of texts whose words share one trie, and rows that a task returns at once.
 RUN_CHARS = 1_000_000
 BATCH_ROWS = 500
@@ -153,6 +153,7 @@ _UNIT = _byte_units()
 # hold nothing else, on which the file's normaliser does no more than lower-casing.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_TEXT = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]*")
 
 
 def plain_pieces(word: str) -> list[str] | None:
@@ -160,6 +161,11 @@ def plain_pieces(word: str) -> list[str] | None:
     return _PIECE.findall(word.lower()) if _PLAIN.fullmatch(word) and "<|" not in word else None
 
 
+def text_pieces(text: str) -> list[str] | None:
+    """The pieces of a whole text of such words between plain white space, which no piece crosses; None for any other."""
+    return _PIECE.findall(text.lower()) if _PLAIN_TEXT.fullmatch(text) and "<|" not in text else None
+
+
 def split_words(text: str) -> list[str]:
     """Cut at the plain white space that the normaliser turns to blanks anyway; rarer space stays inside a word."""
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
@@ -174,12 +180,20 @@ class Memory(dict):
         self.old: dict = {}
         self.limit = limit
 
-    def new_keys(self, keys: set) -> list:
+    def rotate(self) -> None:
+        """Make the entries the old generation if there are too many of them."""
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+
+    def new_keys(self, keys: set) -> list:
+        """The keys that neither generation has; those of the old one are taken back."""
+        self.rotate()
+        return self.unknown(keys.difference(self))
+
+    def unknown(self, keys) -> list:
         out, old = [], self.old
-        for k in keys.difference(self):
+        for k in keys:
             v = old.get(k)
             if v is None:
                 out.append(k)
@@ -223,17 +237,41 @@ class WordMemory:
             self.words[w] = known[ps[0]] if len(ps) == 1 else self.joined([known[p] for p in ps])
 
     def encode(self, texts: list[str]) -> Iterator:
-        """The value of each text. The words of a run of texts are learned together."""
+        """The value of each text. What a run of texts has of new pieces (or words, in texts with odd characters) is
+        learned together; every occurrence of a piece is looked up once, and what was new once more."""
         for run in _runs(texts):
             # Encoding makes no cycles; looking for them in the large tables would cost more than it does.
             gc.disable()
             try:
-                parts = [split_words(t) for t in run]
-                words = set().union(*parts)
-                words.discard("")
-                self.learn(words)
-                value = self.words.__getitem__
-                out = [self.joined(list(map(value, ws))) for ws in parts]
+                out, again, new = [None] * len(run), [], set()
+                self.known.rotate()
+                get = self.known.get
+                odd = []
+                for i, t in enumerate(run):
+                    pieces = text_pieces(t)
+                    if pieces is None:
+                        odd.append(i)
+                        continue
+                    values = list(map(get, pieces))
+                    try:
+                        out[i] = self.joined(values)
+                    except TypeError:  # a piece not known
+                        gaps = [(k, pieces[k]) for k, v in enumerate(values) if v is None]
+                        again.append((i, values, gaps))
+                        new.update([p for _, p in gaps])
+                self.known.update(self.of_pieces(self.known.unknown(new)))
+                for i, values, gaps in again:
+                    for k, p in gaps:
+                        values[k] = get(p)
+                    out[i] = self.joined(values)
+                if odd:
+                    parts = [split_words(run[i]) for i in odd]
+                    words = set().union(*parts)
+                    words.discard("")
+                    self.learn(words)
+                    value = self.words.__getitem__
+                    for i, ws in zip(odd, parts):
+                        out[i] = self.joined(list(map(value, ws)))
             finally:
                 gc.enable()
             yield from out
@@ -243,7 +281,7 @@ class TrieWorker(WordMemory):
     """Values are (ids as little-endian 32-bit integers, the text they decode to), by the trie; they are larger than
     ids alone, so fewer are held."""
 
-    limits = (150_000, 100_000)
+    limits = (50_000, 200_000)
 
     def __init__(self, path: str):
         super().__init__()
