@@ -34,6 +34,7 @@ STORE_FIRST = "click"
 STORE_ALL = "error"
 STORE_GONE = "signup"
 SMALL_L2 = 1e-4
+BUCKETS = 8
 CLASS_WIDTH = 5000.0
 CLASS_COUNT = 120
 LIBSVM_DIM = 64
@@ -476,6 +477,42 @@ def q_delete_by_field(spark, sf_dir):
     return mutate.remove_by(_docs(spark, sf_dir), DOC_FIELD, DOC_OLD)
 
 
+def q_nth_trading_day(spark, sf_dir):
+    """For every event the (user_id % 250 + 1)-th trading day after it, in one of two calendars."""
+    from ..functions import trading_days as TD
+
+    holidays = TD.fixed_holidays(spark, "fixed").unionByName(
+        spark.sql("SELECT 'none' AS calendar, CAST(NULL AS STRING) AS month_day, CAST(NULL AS DATE) AS date"))
+    days = TD.trading_days(holidays, "2023-12-01", "2026-01-31")
+    ev = _t(spark, sf_dir, "events").selectExpr("event_id", "CAST(ts AS DATE) AS as_of", "user_id % 250 + 1 AS n",
+                                                "IF(user_id % 2 = 0, 'fixed', 'none') AS calendar")
+    return TD.nth_trading_day(ev, days, "as_of", "n")
+
+
+def q_maintained_stats(spark, sf_dir):
+    """Bounds, length and split of each series, kept up to date over three arrivals of bar files."""
+    from ..streaming import maintained as MT
+
+    base = shared_dir(spark, "maintained")
+    bars = B.load_bars(spark, sf_dir)
+    for cond in ("year(date) < 1994", "year(date) BETWEEN 1994 AND 1996", "year(date) > 1996"):
+        bars.where(cond).write.mode("append").parquet(f"{base}/bars")
+        MT.update(spark, f"{base}/bars", f"{base}/stats", f"{base}/checkpoint")
+    return MT.symbol_stats(MT.merged(spark, f"{base}/stats"))
+
+
+def q_bucketed_bars(spark, sf_dir):
+    """Bars and their symbol's bounds from two bucketed tables, joined where they lie."""
+    base = shared_dir(spark, "bucketed")
+    names = [f"bars_{base.rsplit('-', 1)[1]}", f"bounds_{base.rsplit('-', 1)[1]}"]
+    B.write_bucketed_bars(B.load_bars(spark, sf_dir), names[0], f"{base}/bars", BUCKETS)
+    bars = B.read_bucketed_bars(spark, names[0])
+    highest = bars.groupBy("symbol").agg(F.max("high").alias("top"), F.max("date").alias("date"))
+    B.write_bucketed_bars(highest, names[1], f"{base}/bounds", BUCKETS)
+    tops = B.read_bucketed_bars(spark, names[1]).select("symbol", "top")
+    return bars.join(tops, "symbol").selectExpr("symbol", "date", "close", "top", "high = top AS is_top")
+
+
 def _typed_text(spark, sf_dir) -> DataFrame:
     """(k, text): every event as a JSON object of text fields, a number and a nested object; last a text that is none."""
     ev = _t(spark, sf_dir, "events").select(
@@ -608,6 +645,9 @@ QUERIES: dict[str, Query] = {
     "docs_scan": q_docs_scan,
     "json_insert": q_json_insert,
     "json_store": q_json_store,
+    "nth_trading_day": q_nth_trading_day,
+    "maintained_stats": q_maintained_stats,
+    "bucketed_bars": q_bucketed_bars,
     "store_typed": q_store_typed,
     "store_chain": q_store_chain,
     "bar_rejects": q_bar_rejects,

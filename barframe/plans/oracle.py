@@ -327,6 +327,22 @@ FROM ev"""
     q["json_store"] = f"""WITH {docs()}
 SELECT {doc_cols} FROM docs
 UNION ALL SELECT NULL, open, NULL, NULL, NULL, NULL, 'new-' || id FROM docs"""
+    q["nth_trading_day"] = f"""WITH cal AS (SELECT unnest(['fixed', 'none']) AS calendar),
+days AS (SELECT calendar, CAST(unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2026-01-31', INTERVAL '1 day')) AS DATE) AS date FROM cal),
+td AS (SELECT calendar, date, row_number() OVER (PARTITION BY calendar ORDER BY date) AS rank FROM days
+       WHERE isodow(date) < 6 AND NOT (calendar = 'fixed' AND strftime(date, '%m-%d') IN ({_holidays()}))),
+ev AS (SELECT event_id, CAST(ts AS DATE) AS as_of, user_id % 250 + 1 AS n,
+              CASE WHEN user_id % 2 = 0 THEN 'fixed' ELSE 'none' END AS calendar FROM events),
+b AS (SELECT ev.event_id, max(td.rank) AS rank FROM ev JOIN td ON td.calendar = ev.calendar AND td.date <= ev.as_of + 1 GROUP BY 1)
+SELECT ev.event_id, ev.as_of, ev.n, ev.calendar, td.date AS day FROM ev JOIN b ON b.event_id = ev.event_id
+LEFT JOIN td ON td.calendar = ev.calendar AND td.rank = b.rank + ev.n"""
+    q["maintained_stats"] = f"""WITH {BARS}
+SELECT symbol, count(*) AS n, CAST(floor(count(*) * CAST({SERIES_SPLIT!r} AS DOUBLE) + 0.5) AS BIGINT) AS split,
+       {', '.join(f'min({f}) AS mn_{f}, max({f}) AS mx_{f}' for f in F5)}
+FROM bars GROUP BY symbol"""
+    q["bucketed_bars"] = f"""WITH {BARS}
+SELECT symbol, date, close, max(high) OVER (PARTITION BY symbol) AS top,
+       high = max(high) OVER (PARTITION BY symbol) AS is_top FROM bars"""
     q["store_typed"] = f"""SELECT event_id AS id, value AS price, user_id AS "user", user_id % 2 = 0 AS even,
        CAST(NULL AS VARCHAR) AS missing,
        CAST(to_json({{"by": {{"even": user_id % 2 = 0, "user": user_id}}, date: strftime(ts, '%Y-%m-%d'),
