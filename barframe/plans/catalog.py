@@ -370,6 +370,18 @@ def q_symbol_regressor_scores(spark, sf_dir):
         "symbol", "start_idx", r("prediction", 2), "actual")
 
 
+def q_training_losses(spark, sf_dir):
+    """Losses of 30 and, from the saved state, 20 more iterations of the next close on the last one. (Once near the least
+    loss, steps of a fixed rate turn around it, and rounding decides where they are.)"""
+    from . import training as TR
+
+    gram = TR.window_gram(indexed_bars(spark, sf_dir), "close", L=1, feats=("close",))
+    path = shared_dir(spark, "training")
+    TR.save_state(spark, TR.train(gram, TR.start("close", 1, ("close",)), 30, report_every=10), path)
+    state = TR.train(gram, TR.load_state(spark, path), 20, report_every=10)
+    return spark.createDataFrame([(k, round(x, 7)) for k, x in state.losses], "iteration long, loss double")
+
+
 def q_symbol_regressor(spark, sf_dir):
     """Each symbol's own model over whole windows of 22 days and five features."""
     from . import per_symbol as P
@@ -640,6 +652,7 @@ QUERIES: dict[str, Query] = {
     "symbol_regressor_fit": q_symbol_regressor_fit,
     "symbol_regressor_scores": q_symbol_regressor_scores,
     "symbol_regressor": q_symbol_regressor,
+    "training_losses": q_training_losses,
     "model_forecast": q_model_forecast,
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "docs_scan": q_docs_scan,

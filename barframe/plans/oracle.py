@@ -311,6 +311,25 @@ SELECT symbol, n AS n_windows, round(my - w0 * m0 - w1 * m1, 7) AS intercept, ro
 SELECT two.symbol, CAST(part_idx AS BIGINT) AS start_idx,
        round((my - w0 * m0 - w1 * m1 + w0 * x0 + w1 * x1) * (mx - mn) + mn, 2) AS prediction, actual
 FROM two LEFT JOIN sv ON sv.symbol = two.symbol WHERE part = 'test'"""
+    from .training import DECAY, EPSILON, LEARNING_RATE
+
+    def rms(k: int) -> str:  # one parameter's step
+        return f"w{k} - {LEARNING_RATE!r} * g{k} / (sqrt({DECAY!r} * c{k} + {1 - DECAY!r} * g{k} * g{k}) + {EPSILON!r}) AS w{k}, " \
+               f"{DECAY!r} * c{k} + {1 - DECAY!r} * g{k} * g{k} AS c{k}"
+
+    q["training_losses"] = f"""WITH RECURSIVE {indexed()},
+p AS (SELECT {c('a')} AS x, {c('b')} AS y FROM pt a
+      JOIN pt b ON b.symbol = a.symbol AND b.part = a.part AND b.part_idx = a.part_idx + 1
+      WHERE a.part = 'train' AND a.part_idx < a.part_n - 2),
+m AS (SELECT avg(x) AS x1, avg(x * x) AS x2, avg(y) AS y1, avg(x * y) AS xy, avg(y * y) AS y2 FROM p),
+it AS (SELECT 0 AS k, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS c0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS c1
+       UNION ALL
+       SELECT k + 1, {rms(0)}, {rms(1)}
+       FROM (SELECT it.*, 2 * (w0 + w1 * x1 - y1) AS g0, 2 * (w0 * x1 + w1 * x2 - xy) + {small_l2!r} * w1 AS g1
+             FROM it, m WHERE k < 50) t)
+SELECT CAST(k AS BIGINT) AS iteration,
+       round(y2 - 2 * (w0 * y1 + w1 * xy) + w0 * w0 + 2 * w0 * w1 * x1 + w1 * w1 * x2 + {small_l2!r} / 2 * w1 * w1, 7) AS loss
+FROM it, m WHERE k % 10 = 0"""
     q["model_forecast_keys"] = f"""WITH {indexed()}, st AS (SELECT symbol, date AS as_of, n FROM pt WHERE idx = n - 1),
 {calendar('st', n_max)}
 SELECT cal.symbol, cal.step, cal.date, st.n >= {L} AS scored FROM cal JOIN st ON st.symbol = cal.symbol"""
