@@ -5,11 +5,13 @@ Pages of a host are ordered by URL path; neighbours in that order are pages made
 and lines that align are the template's: they are deleted. Two kinds of line are settled by their markup, because
 differencing must get them wrong: prose inside the article element is kept though it aligns (copies, quotations and
 shared passages are content, not template), and what stands in menus, footers, forms, adverts and the like is deleted
-though it does not align (their wording may differ from page to page). Where a page has no article or main element,
-differencing alone decides about everything not marked as page furniture.
+though it does not align (their wording may differ from page to page). Differencing decides about every other line: all
+that is not page furniture where a page has no article or main element, and beside one where it has.
 
-The order is found on keys alone: a range partition of (host, path) numbers the pages, and every page sends its line
-hashes to the numbers beside it, so that any host, however large, is spread and no group has more than three members.
+Pages of a host with the same lines are one page in the order, the first of them, and all get its verdict: copies have
+the same neighbours, and never delete each other. The order is found on keys alone: a range partition of (host, path)
+numbers the pages, and every page sends its line hashes to the numbers beside it, so that any host, however large, is
+spread and no group has more than three members.
 Only hashes travel for the alignment; the lines move once, packed, to meet the numbers of those kept.
 """
 
@@ -30,20 +32,22 @@ NEUTRAL, CONTENT, FURNITURE = 0, 1, 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|head|title|textarea|select|button)\b"
+    r"|<(script|style|noscript|template|iframe|svg|object|head|title|textarea|select|button)\b"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img picture source input".split())
+                   "small span strike strong sub sup time tt u var wbr img picture source input "
+                   "math semantics mrow mi mo mn mtext msup msub msubsup mfrac msqrt mroot mover munder".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HOLDERS = frozenset("div section nav header footer aside form article main ul ol dl table body details dialog fieldset "
                     "figure menu center".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog".split())
 CONTENT_TAGS = frozenset(("article", "main"))
-# Words that name page furniture in class, id and role.
+# Words that name page furniture in class, id and role; inside an article only in class and role of a block.
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored banner promo cookie cookies consent notice "
     "notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar "
@@ -61,7 +65,10 @@ COMMENT_WORDS = frozenset("comment comments disqus respond".split())
 def _furniture(tag: str, attrs: str, in_content: bool) -> int:
     if tag in ("html", "body"):
         return 0
-    named = {w for m in _NAMED.finditer(attrs) for w in _PARTS.findall(m[1].lower())} if attrs else frozenset()
+    if in_content and (tag in INLINE or tag in HEADINGS):
+        return 0
+    named = {w for m in _NAMED.finditer(attrs) if not (in_content and m[0][:2].lower() == "id")
+             for w in _PARTS.findall(m[1].lower())} if attrs else frozenset()
     if tag in CONTENT_TAGS:
         return HARD if named & COMMENT_WORDS and named <= COMMENT_WORDS | {"list", "item", "reply", "body"} else 0
     if tag in HARD_TAGS or (tag == "header" and not in_content) or named & COMMENT_WORDS:
@@ -165,46 +172,55 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
 
 
 def kept_lines(lines: list[int], kinds: list[int], partners: list[list[int]]) -> list[int]:
-    """Indices of the lines of the main text."""
+    """Indices of the lines of the main text: the article's, and the neutral ones that no partner shares. On a page with
+    an article and without a partner nothing speaks for the neutral ones."""
     shared: set[int] = set()
     for p in partners:
         shared |= common_lines(lines, p)
     has_article = CONTENT in kinds
-    return [i for i, k in enumerate(kinds) if k == CONTENT or (k == NEUTRAL and not has_article and i not in shared)]
+    judged = bool(partners) or not has_article
+    return [i for i, k in enumerate(kinds) if k == CONTENT or (k == NEUTRAL and judged and i not in shared)]
+
+
+def line_hashes(lines: list[str], kinds: list[int]) -> tuple[list[int], int]:
+    """A hash of each line, and one of all lines and kinds in order."""
+    from xxhash import xxh64_intdigest
+
+    each = [xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines]
+    return each, xxh64_intdigest(np.array([*each, *kinds], "<i8").tobytes(), len(each)) - (1 << 63)
 
 
 def _keys(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """Pages with host and path of their URL (scheme, query, fragment and letter case of the host set aside)."""
     return pages.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-        F.expr(f"lower(regexp_extract(`{url_col}`, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1))").alias("host"),
-        F.expr(f"regexp_extract(`{url_col}`, '^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)', 1)").alias("path"),
-        F.xxhash64(F.col(url_col), F.col(html_col)).alias("hash"))
+        F.expr(f"lower(regexp_extract(coalesce(`{url_col}`, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1))").alias("host"),
+        F.expr(f"regexp_extract(coalesce(`{url_col}`, ''), '^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)', 1)").alias("path"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars), one row per input row.
 
     Null html is an empty page with an empty text. A null URL, or one without a host, has no neighbours, and a host's
-    only page none either: their lines are settled by markup. Rows equal in id, URL and html are one page in the order
-    and all get its text; ties in the path are ordered by id and content. Other columns are not read; an empty table
-    gives an empty result.
+    only page none either: their lines are settled by markup. Pages of a host with equal lines are one page in the
+    order, that of the first path and id, and all get its text; ties in the path are ordered by id and content. Other
+    columns are not read; an empty table gives an empty result.
     """
-    from xxhash import xxh64_intdigest
-
     spark = pages.sparkSession
     keyed = _keys(pages, id_col, url_col, html_col)
     id_kind = keyed.schema["id"].dataType.simpleString()
 
     def hashes(batches):
         for b in batches:
-            lines, kinds = [], []
+            lines, kinds, keys = [], [], []
             for html in b.column(2).to_pylist():
                 found, of = page_lines(html)
-                lines.append([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in found])
+                each, key = line_hashes(found, of)
+                lines.append(each)
                 kinds.append(of)
+                keys.append(key)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(3), b.column(4), b.column(5), pa.array(lines, pa.list_(pa.int64())),
+                [b.column(0), b.column(3), b.column(4), pa.array(keys, pa.int64()), pa.array(lines, pa.list_(pa.int64())),
                  pa.array(kinds, pa.list_(pa.int32()))], names=["id", "host", "path", "hash", "lines", "kinds"])
 
     lines = materialise(
@@ -223,42 +239,46 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "id", "hash"]
+    firsts = (lines.where("host <> ''").groupBy("host", "hash").agg(F.min(F.struct("path", "id")).alias("first"))
+              .select("host", "first.path", "first.id", "hash"))
     ordered = materialise(
-        lines.where("host <> ''").select(*order).distinct().repartitionByRange(n, *order).sortWithinPartitions(*order)
+        firsts.repartitionByRange(n, *order).sortWithinPartitions(*order)
         .mapInArrow(numbered, f"host string, path string, id {id_kind}, hash bigint, part int, pos bigint"), "page-order")
     # A row per range partition: their running sum is one small window, and that side is broadcast.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = ordered.groupBy("part").count().select(
         "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     placed = ordered.join(F.broadcast(bases), "part").select(
-        F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), (F.col("base") + F.col("pos")).alias("at"))
-    once = lines.dropDuplicates(["id", "hash"])
-    sent = (once.join(placed.hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
-            .select(F.explode(F.expr("array(at - 1, at, at + 1)")).alias("to"), "at", "host", "id", "hash", "lines",
-                    "kinds"))
-    met = sent.select("to", F.expr("if(at = to, struct(id, hash, host, lines, kinds), null)").alias("own"),
+        F.col("host").alias("of_host"), F.col("hash").alias("of_hash"), (F.col("base") + F.col("pos")).alias("at"))
+    once = lines.select("host", "hash", "lines", "kinds").dropDuplicates(["host", "hash"])
+    sent = (once.join(placed.hint("merge"), (F.col("host") == F.col("of_host")) & (F.col("hash") == F.col("of_hash")))
+            .select(F.explode(F.expr("array(at - 1, at, at + 1)")).alias("to"), "at", "host", "hash", "lines", "kinds"))
+    met = sent.select("to", F.expr("if(at = to, struct(hash, host, lines, kinds), null)").alias("own"),
                       F.expr("if(at <> to, struct(host, lines), null)").alias("other")).groupBy("to").agg(
         F.max("own").alias("own"), F.collect_list("other").alias("near")).where("own is not null")
-    alone = once.where("host = '' or host is null").select(
-        "id", "hash", "lines", "kinds", F.expr("cast(array() as array<array<bigint>>)").alias("near"))
-    cases = met.select("own.id", "own.hash", "own.lines", "own.kinds",
+    alone = once.where("host = ''").select(
+        "host", "hash", "lines", "kinds", F.expr("cast(array() as array<array<bigint>>)").alias("near"))
+    cases = met.select("own.host", "own.hash", "own.lines", "own.kinds",
                        F.expr("transform(filter(near, x -> x.host = own.host), x -> x.lines)").alias("near")).union(alone)
 
     def settle(batches):
         for b in batches:
             kept = [kept_lines(x, k, p) for x, k, p in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(kept, pa.list_(pa.int32()))],
-                                             names=["id", "hash", "kept"])
+                                             names=["host", "hash", "kept"])
 
-    verdicts = materialise(cases.mapInArrow(settle, f"id {id_kind}, hash bigint, kept array<int>"), "page-verdicts")
-    verdicts = verdicts.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), "kept")
+    verdicts = materialise(cases.mapInArrow(settle, "host string, hash bigint, kept array<int>"), "page-verdicts")
+    verdicts = verdicts.select(F.col("host").alias("of_host"), F.col("hash").alias("of_hash"), "kept")
 
     def packed(batches):
         for b in batches:
-            lines = [zlib.compress("\n".join(page_lines(h)[0]).encode("utf-8", "surrogatepass"), 1)
-                     for h in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(5), pa.array(lines, pa.binary())],
-                                             names=["id", "url", "hash", "packed"])
+            lines, keys = [], []
+            for h in b.column(2).to_pylist():
+                found, of = page_lines(h)
+                keys.append(line_hashes(found, of)[1])
+                lines.append(zlib.compress("\n".join(found).encode("utf-8", "surrogatepass"), 1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(keys, pa.int64()),
+                                              pa.array(lines, pa.binary())], names=["id", "url", "host", "hash", "packed"])
 
     def texts(batches):
         for b in batches:
@@ -272,8 +292,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     # The plan is the same at every size: the pages' lines are dealt out once, packed, whether or not the verdicts are
     # few. A line holds no line break (its white space is single blanks), so line breaks part them.
-    bodies = keyed.mapInArrow(packed, f"id {id_kind}, url string, hash bigint, packed binary")
-    whole = bodies.join(verdicts.hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")))
+    # The lines of a page with very many copies meet one verdict; adaptive execution splits such a key.
+    bodies = keyed.mapInArrow(packed, f"id {id_kind}, url string, host string, hash bigint, packed binary")
+    whole = bodies.join(verdicts.hint("merge"), (F.col("host") == F.col("of_host")) & (F.col("hash") == F.col("of_hash")))
     return (whole.select("id", "url", "packed", "kept")
             .mapInArrow(texts, f"id {id_kind}, url string, text string, n_chars bigint")
             .withColumnsRenamed({"id": id_col, "url": url_col}))

@@ -56,6 +56,69 @@ def test_wrappers_named_after_furniture():
     assert kept('<body class="ad-free"><div>No article here</div><div class="cookie">Cookies</div>') == ["No article here"]
 
 
+def test_words_of_furniture_inside_an_article():
+    def kept(html):
+        lines, kinds = H.page_lines(html)
+        return " ".join(lines[i] for i in H.kept_lines(list(range(len(lines))), kinds, []))
+
+    assert kept('<article><h2 id="related-work">Related work</h2><section id="notice-period"><p>Three months</p></section>'
+                '<p>See <span class="share">my share</span>, <em class="alert">now</em>: <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p>'
+                '<div class="ad">Buy</div><ul class="share-links"><li>Share</li></ul></article>'
+                ) == "Related work Three months See my share, now: x=1."
+
+
+def slow_main(pages):
+    """Neighbours and verdicts page by page: the nearest pages of the host in URL order with other lines."""
+    import re
+
+    out, hosts = {}, {}
+    for i, url, html in pages:
+        m = re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        hosts.setdefault(host, []).append((path, i, H.page_lines(html)))
+    for host, of in hosts.items():
+        of.sort(key=lambda x: x[:2])
+        order = []
+        for _, _, found in of:
+            if found not in order:
+                order.append(found)
+        for _, i, (lines, kinds) in of:
+            at = order.index((lines, kinds))
+            near = [order[k][0] for k in (at - 1, at + 1) if host and 0 <= k < len(order)]
+            shared = set()
+            for p in near:
+                want = slow_common(lines, p)
+                found = H.common_lines([hash(x) for x in lines], [hash(x) for x in p])
+                assert len(found) == want
+                shared |= found
+            article = H.CONTENT in kinds
+            out[i] = " ".join(x for k, x in enumerate(lines) if kinds[k] == H.CONTENT or (
+                kinds[k] == H.NEUTRAL and (near or not article) and k not in shared))
+    return out
+
+
+def test_neighbours_and_verdicts_equal_a_page_by_page_run(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        body = "".join(f"<div>{rng.choice(['Top', 'Home', 'Legal', f'own {rng.randrange(60)}', f'words {i}'])}</div>"
+                       for _ in range(rng.randrange(6)))
+        teaser = f"<article><p>Teaser {rng.randrange(40)}</p></article>" if rng.random() < .4 else ""
+        html = rng.choice([rows[-1][2] if rows else None, f"<body><nav>Menu</nav>{teaser}{body}</body>", f"<body>{body}</body>"])
+        url = rng.choice([f"http://{rng.choice('ab')}.example/{rng.randrange(50):02d}", f"https://B.example/x/{i}?q", None])
+        rows.append((i, url, html))
+    got = {r["page_id"]: r["text"] for r in H.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert got == slow_main(rows)
+
+
+def test_copies_do_not_delete_each_other_and_a_story_beside_a_teaser_stays(spark):
+    rows = [(1, "http://h.example/a", "<div>Top</div><div>One story</div>"), (2, "http://h.example/b", "<div>Top</div><div>One story</div>"),
+            (3, "http://h.example/c", "<div>Top</div><article>Teaser</article><div>Long story</div>")]
+    got = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "One story", 2: "One story", 3: "Teaser Long story"}
+
+
 def test_pages_without_an_article_are_differenced(spark):
     page = "<body><div>Top story list</div><div>Own words of {n}</div><div>More of {n}</div><div>All rights {h}</div></body>"
     rows = [(i, f"http://{h}.example/a/{i:03d}?x=1#y", page.replace("{n}", f"{h}{i}").replace("{h}", h))
