@@ -4,19 +4,20 @@ Folding lower-cases a text, maps look-alike letters of other scripts and styles
 blanks, one character for one. A digit or sign may be itself or any letter it stands for, each by itself: the automaton
 runs over a text in which all these are one letter, and what it finds is compared sign by sign. The automaton holds the
 lexicon and the exception phrases; a match counts if no letter or digit touches it and no exception phrase covers it. The weights found are summed, divided by a
-slowly growing function of the text's length, and turned into a probability.
-
-The lexicon is learned: of the labelled rows (at most ``MAX_ROWS``, by the hash of their id) every word is counted by
-the documents of either label that hold it, words that are surely over-represented in toxic ones are candidates, and
-candidates are counted again by the distinct neighbourhoods they stand in, so that the words of one text copied a
-thousand times count once. A short base lexicon of common insults stands in where the sample is too small to know
-them. Beginnings that many candidates share stand for all words that begin so, and are counted
-like a word ("stem*"): inflected forms the sample lacks are found by them. What an entry weighs is the logarithm of
-its odds.
+function that grows with the square root of the text's length, and turned into a probability.
+
+The lexicon is learned: of the labelled rows (at most ``MAX_ROWS``, by the hash of their id) words that are surely
+over-represented in the texts of toxic documents are entries. A short base lexicon of common insults stands in where
+the sample is too small to know them. Beginnings that words share stand for all words that begin so ("stem*"), so that
+inflected forms the sample lacks are found; they are judged by the distinct neighbourhoods their words stand in, so that
+a text copied a thousand times counts once and a language of few documents is not drowned, and must hold in either half
+of the sample. What an entry weighs is the logarithm of how much more often it stands in toxic text than in clean text:
+an entry that clean texts hold now and then weighs little, and a text must hold several of it for its length.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 
@@ -29,16 +30,15 @@ from barframe.llm.common import materialise
 from barframe.llm.gam import CUT, is_held_out, labelled_sample
 
 MAX_ROWS = 20_000
-# Entries of a learned lexicon at most, by weight of evidence.
-MAX_ENTRIES = 2_000
 # A word must weigh this much, and chance alone must make as strong a word with a probability under this, all words
 # tested taken together.
 MIN_WEIGHT = 2.0
 CHANCE = 0.01
-# Letters of the beginnings that may stand for a family of words, and how many strong words must share one.
-STEM_SIZES, STEM_WORDS = (4, 5, 6, 7), 5
-# A beginning must weigh this much: it also stands for words that were never seen.
-MIN_STEM_WEIGHT = 6.0
+# Letters of the beginnings that may stand for a family of words; how many words of toxic texts must share one, and
+# how many toxic texts of either half must hold such words.
+STEM_SIZES, STEM_WORDS, STEM_TEXTS = (4, 5, 6, 7), 5, 3
+# A beginning must weigh this much in either half.
+MIN_STEM_WEIGHT = 2.0
 # Words per unit of length in the normalisation.
 LENGTH_UNIT = 200.0
 
@@ -157,7 +157,7 @@ class Matcher:
     def strength(self, text: str | None) -> float:
         """Sum of the weights found, normalised by length."""
         found = self.matches(text or "")
-        return sum(found.values()) / (1 + np.log1p(len(text.split()) / LENGTH_UNIT)) if found else 0.0
+        return sum(found.values()) / math.sqrt(1 + len(text.split()) / LENGTH_UNIT) if found else 0.0
 
 
 def _contexts(text: str | None) -> list[tuple[str, int]]:
@@ -170,82 +170,89 @@ def _contexts(text: str | None) -> list[tuple[str, int]]:
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Lexicon of a labelled sample (text, y 0/1), on top of the base lexicon. Words are counted by Spark with partial
-    aggregation; the entries, at most ``MAX_ENTRIES`` and the base words, reach the driver."""
+    """Lexicon of a labelled sample (text, y 0/1), on top of the base lexicon.
+
+    Spark counts, per word, half of the sample and label, the texts that hold it and the distinct neighbourhoods it
+    stands in; beginnings are sums over the words that begin so. Only entries that pass reach the driver.
+    """
     base = dict.fromkeys(BASE_LEXICON, BASE_WEIGHT)
     totals = sample.groupBy("y").count().collect()
     toxic, clean = (sum(r["count"] for r in totals if r["y"] == v) for v in (1, 0))
     if not toxic or not clean:
         return base
+    # Equal texts are in one half.
+    halved = sample.select("text", F.col("y").cast("bigint").alias("y"),
+                           (F.xxhash64(F.coalesce("text", F.lit(""))) % 2 == 0).cast("bigint").alias("half"))
 
     def words(batches):
         for b in batches:
-            found, y = [], []
-            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                new = set(_WORD.findall(fold(text or "")))
-                found.extend(new)
-                y.extend([label] * len(new))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(y, pa.int64())], names=["w", "y"])
-
-    counts = (sample.select("text", F.col("y").cast("bigint").alias("y")).mapInArrow(words, "w string, y bigint")
-              .groupBy("w").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")))
-    # Probability that a word without a bias stands in so many toxic documents, bounded by Chernoff.
-    p0 = toxic / (toxic + clean)
-    share = "(t / (t + c))"
-    evidence = (f"t * ln({share} / {p0!r}D) + if(c = 0, 0D, c * ln((1 - {share}) / {1 - p0!r}D))")
-    weight = (f"ln((t + 0.5D) / ({toxic} - t + 0.5D)) - ln((c + 0.5D) / ({clean} - c + 0.5D))")
-    tested = f"ln({sum(r['count'] for r in totals)} * 50D / {CHANCE!r}D)"
-
-    def strong(df: DataFrame) -> DataFrame:
-        return (df.withColumn("weight", F.expr(weight)).withColumn("evidence", F.expr(evidence))
-                .where(f"t > 0 and weight >= if(w like '%*', {MIN_STEM_WEIGHT!r}D, {MIN_WEIGHT!r}D) and evidence >= {tested}")
-                .orderBy(F.col("evidence").desc(), "w").limit(MAX_ENTRIES))
-
-    counts = materialise(counts, "toxic-words")
-    known = counts.where(F.col("w").isin(list(base))).withColumn("weight", F.expr(weight)).collect()
-    for r in known:
-        if r["t"] + r["c"] >= BASE_KNOWN:
-            if r["weight"] < MIN_WEIGHT:
+            w, y, half, h = [], [], [], []
+            for text, label, side in zip(*(b.column(k).to_pylist() for k in range(3))):
+                found = _contexts(text)
+                new = {x for x, _ in found}
+                # A row of no neighbourhood stands for the text itself.
+                w += [x for x, _ in found] + list(new)
+                h += [a for _, a in found] + [None] * len(new)
+                y += [label] * (len(found) + len(new))
+                half += [side] * (len(found) + len(new))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w, pa.string()), pa.array(y, pa.int64()), pa.array(half, pa.int64()), pa.array(h, pa.int64())],
+                names=["w", "y", "half", "h"])
+
+    places = (halved.mapInArrow(words, "w string, y bigint, half bigint, h bigint")
+              .groupBy("w", "y", "half", "h").agg(F.count(F.lit(1)).alias("n")))
+    told = {f"{what}{y}{half}": F.sum(F.expr(f"if(y = {y} and half = {half}, {value}, 0L)"))
+            for what, value in (("texts", "if(h is null, n, 0L)"), ("places", "if(h is null, 0L, 1L)"))
+            for y in (0, 1) for half in (0, 1)}
+    counts = materialise(places.groupBy("w").agg(*[v.alias(k) for k, v in told.items()]), "toxic-words")
+    all_places = counts.agg(*[F.sum(k).alias(k) for k in told]).first()
+    tested = math.log(max(sum(r["count"] for r in totals), 1) * 250 / CHANCE)
+
+    def strength(t: str, c: str, of_t: int, of_c: int) -> tuple[str, str]:
+        """SQL: logarithm of the rates' ratio, and of the probability that chance makes so strong a one (Chernoff)."""
+        p0 = of_t / (of_t + of_c)
+        share = f"(({t}) / (({t}) + ({c})))"
+        weight = f"ln((({t}) + 0.5D) / {of_t + 1}D) - ln((({c}) + 0.5D) / {of_c + 1}D)"
+        evidence = (f"if(({t}) = 0, 0D, ({t}) * ln({share} / {p0!r}D)"
+                    f" + if(({c}) = 0, 0D, ({c}) * ln((1 - {share}) / {1 - p0!r}D)))")
+        return weight, evidence
+
+    both = {k: all_places[f"places{k}0"] + all_places[f"places{k}1"] for k in (0, 1)}
+    if not both[0] or not both[1]:
+        return base
+    by_place, place_evidence = strength("places10 + places11", "places00 + places01", both[1], both[0])
+    by_text, text_evidence = strength("texts10 + texts11", "texts00 + texts01", toxic, clean)
+    whole = (counts.withColumn("weight", F.expr(by_place)).withColumn("by_text", F.expr(by_text))
+             .withColumn("evidence", F.expr(f"least({text_evidence}, {place_evidence})")))
+    for r in (whole.where(F.col("w").isin(list(base)))
+              .select("w", "weight", "by_text", F.expr("texts10 + texts11 + texts00 + texts01").alias("n")).collect()):
+        if r["n"] >= BASE_KNOWN:
+            if r["by_text"] < MIN_WEIGHT:
                 del base[r["w"]]
             else:
-                base[r["w"]] = r["weight"]
-    candidates = {r["w"] for r in strong(counts).select("w").collect()}
-    if not candidates:
-        return base
-    stems = shared_beginnings(candidates)
-
-    def entries(word: str) -> list[str]:
-        return ([word] if word in candidates else []) + [f"{word[:k]}*" for k in STEM_SIZES if word[:k] in stems]
-
-    def contexts(batches):
-        for b in batches:
-            w, y, h = [], [], []
-            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for word, around in _contexts(text):
-                    for entry in entries(word):
-                        w.append(entry)
-                        y.append(label)
-                        h.append(around)
-            yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(y, pa.int64()), pa.array(h, pa.int64())],
-                                             names=["w", "y", "h"])
-
-    again = (sample.select("text", F.col("y").cast("bigint").alias("y"))
-             .mapInArrow(contexts, "w string, y bigint, h bigint").distinct()
-             .groupBy("w").agg(F.least(F.sum("y"), F.lit(toxic)).alias("t"),
-                               F.least(F.sum(1 - F.col("y")), F.lit(clean)).alias("c")))
-    return base | {r["w"]: r["weight"] for r in strong(again).select("w", "weight").collect()}
-
-
-def shared_beginnings(words: set[str]) -> set[str]:
-    """Beginnings of ``STEM_SIZES`` letters that ``STEM_WORDS`` words or more share; of nested ones that stand for the
-    same words, the longest."""
-    of: dict[str, frozenset[str]] = {}
-    for size in STEM_SIZES:
-        for w in words:
-            if len(w) > size:
-                of.setdefault(w[:size], frozenset(x for x in words if x.startswith(w[:size])))
-    kept = {s: ws for s, ws in of.items() if len(ws) >= STEM_WORDS}
-    return {s for s, ws in kept.items() if not any(t != s and t.startswith(s) and v == ws for t, v in kept.items())}
+                base[r["w"]] = max(r["weight"], MIN_WEIGHT)
+    strong = whole.where(f"weight >= {MIN_WEIGHT!r}D and by_text >= {MIN_WEIGHT!r}D and evidence >= {tested!r}D")
+    entries = {r["w"]: r["weight"] for r in strong.select("w", "weight").collect()}
+
+    # A beginning must hold in either half by itself: it also stands for words that were never seen.
+    sizes = ", ".join(f"if(char_length(w) > {k}, substr(w, 1, {k}), null)" for k in STEM_SIZES)
+    stems = (counts.withColumn("stem", F.explode(F.expr(f"array({sizes})"))).where("stem is not null")
+             .groupBy("stem").agg(*[F.sum(k).alias(k) for k in told], F.sum(F.expr(
+                 "if(places10 + places11 > 0, 1L, 0L)")).alias("toxic_words")))
+    holds = [f"toxic_words >= {STEM_WORDS}"]
+    for half in (0, 1):
+        of_t, of_c = all_places[f"places1{half}"], all_places[f"places0{half}"]
+        if not of_t or not of_c:
+            return base | entries
+        weight, evidence = strength(f"places1{half}", f"places0{half}", of_t, of_c)
+        holds += [f"texts1{half} >= {STEM_TEXTS}", f"({weight}) >= {MIN_STEM_WEIGHT!r}D", f"({evidence}) >= {tested!r}D"]
+    found = (stems.where(" and ".join(holds))
+             .select("stem", F.expr(by_place).alias("weight"), F.expr("places10 + places11").alias("t"),
+                     F.expr("places00 + places01").alias("c")).collect())
+    kept = {r["stem"]: (r["t"], r["c"], r["weight"]) for r in found}
+    longest = {f"{s}*": v[2] for s, v in kept.items()
+               if not any(o != s and o.startswith(s) and x[:2] == v[:2] for o, x in kept.items())}
+    return base | longest | entries
 
 
 def calibrate(strength: np.ndarray, y: np.ndarray) -> tuple[float, float]:
