@@ -1,12 +1,14 @@
 """Quality rules with risk-controlled cutoffs.
 
 Only DataFrame operations. One pass over the texts makes a narrow table of counts; everything after reads that table.
-For each rule (a ratio that is high in bad documents) and each stratum (a band of document lengths) a cutoff is chosen
-from a ladder: the labelled documents tell how many good ones a cutoff would reject, and an exact binomial test tells
-whether the rejection rate of good documents is proven to stay under the rule's share of the risk. The ladder is gone
-down from its most lenient end and left at the first cutoff that fails, so cutoffs need no correction among themselves;
-rules and strata share the error probability by Bonferroni. Among the proven cutoffs the one is taken that pays best,
-a good document lost costing as much as ``LOSS`` bad ones caught; where none pays, the rule rejects nothing.
+A rule (a ratio that is high in bad documents) has a ladder of cutoffs, and a stratum (a band of document lengths) its
+own plan: per rule the cutoff that pays best, a good document lost costing as much as ``LOSS`` bad ones caught, and the
+rules in the order of what they pay. Plans are made from the labelled bad documents and one in ``PLAN_SHARE`` of the good
+ones. The other good ones, the holdout, have no say in the plan and test it as a fixed sequence: rule after rule is put in
+force, and an exact binomial test tells whether the share of good documents that all rules so far reject *together* is
+proven to stay under the whole risk. The sequence ends at the first test that fails, so its tests need no correction
+among themselves; the strata share the error probability by Bonferroni. About 204 good documents of the holdout, none
+of them rejected, prove a rule. Of the proven steps the best paying one is taken.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import SPACE_CLASS, materialise, words_sql
+from barframe.llm.common import materialise, words_sql
 
 # Base rules.
 MIN_WORDS = 50
@@ -23,6 +25,8 @@ MAX_REPEAT_PERCENT = 50
 RISK = 0.02
 ERROR = 0.05
 LOSS = 20
+# One in so many labelled good documents plans, by the hash of its id (below these leading digits); the others test.
+PLAN_SHARE, PLAN_BELOW = 8, "2"
 # Lower ends of the length bands that are the strata.
 BANDS = (50, 200, 1000)
 # Rule -> its ratio in SQL, its ladder of cutoffs in ascending order (a document above the cutoff is rejected).
@@ -99,38 +103,59 @@ def binomial_tail_sql(n: str, k: str, p: float) -> str:
     return f"case when {k} > {n} * {p!r}D then 1.0D when {k} = 0 then exp({first}) else {total} end"
 
 
+def _planning() -> str:
+    """SQL text: whether a labelled document serves to plan the rules and not to test them."""
+    return f"md5(cast(doc_id as string)) < '{PLAN_BELOW}'"
+
+
 def proven_cutoffs(counts: DataFrame, labels: DataFrame) -> DataFrame:
     """(band, rule, cutoff) of each rule that is in force; at most one row per band and rule.
 
     ``labels`` has (doc_id, good boolean), one row per document. Only labelled documents that the base rules pass
-    count. The labelled rows are counted per band, rule and rung with partial aggregation; what is left is a table of
-    bands x rules x rungs, whatever the number of documents.
+    count. The labelled rows are counted per band, rule and rung, and per band and place in the plan, with partial
+    aggregation; what is left are tables of bands x rules x rungs, whatever the number of documents.
     """
     from pyspark.sql import Window
 
+    known = (counts.where("not base_failed").join(labels, "doc_id").withColumn("band", F.expr(_band()))
+             .withColumn("planning", F.expr(_planning())))
     rungs = ", ".join(f"named_struct('rule', '{r}', 'rung', size(filter(array({', '.join(f'{c!r}D' for c in cuts)}),"
                       f" c -> cast({ratio} as double) > c)))" for r, (ratio, cuts) in RULES.items())
-    seen = (counts.where("not base_failed").join(labels, "doc_id")
-            .select(F.expr(_band()).alias("band"), "good", F.explode(F.expr(f"array({rungs})")).alias("r"))
+    seen = (known.where("planning or not good").select("band", "good", F.explode(F.expr(f"array({rungs})")).alias("r"))
             .groupBy("band", "r.rule", "r.rung").agg(
                 F.sum(F.expr("cast(good as bigint)")).alias("good"),
                 F.sum(F.expr("cast(not good as bigint)")).alias("bad")))
     ladder = ", ".join(f"named_struct('at_rule', '{r}', 'at_rung', {k}, 'cutoff', {c!r}D)"
                        for r, (_, cuts) in RULES.items() for k, c in enumerate(cuts))
     # A document on rung g stands above the cutoffs 0 .. g - 1.
-    tests = (seen.select("*", F.explode(F.expr(f"array({ladder})")).alias("c")).select("*", "c.*")
-             .where("rule = at_rule").groupBy("band", "rule", "at_rung", "cutoff").agg(
-                 F.sum("good").alias("n"), F.sum(F.expr("if(rung > at_rung, good, 0L)")).alias("k"),
-                 F.sum(F.expr("if(rung > at_rung, bad, 0L)")).alias("caught")))
-    rate, error = RISK / len(RULES), ERROR / (len(RULES) * len(BANDS))
-    down = Window.partitionBy("band", "rule").orderBy(F.col("at_rung").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     best = Window.partitionBy("band", "rule").orderBy(F.col("pays").desc(), F.col("at_rung").desc())
-    return (tests.withColumn("tail", F.expr(binomial_tail_sql("n", "k", rate)))
-            .withColumn("proven", F.max(F.expr(f"tail > {error!r}D")).over(down) == F.lit(False))
-            .withColumn("pays", F.expr(f"caught - {LOSS} * k"))
-            .where("proven and pays > 0")
-            .withColumn("place", F.row_number().over(best)).where("place = 1")
+    plan = materialise(
+        seen.select("*", F.explode(F.expr(f"array({ladder})")).alias("c")).select("*", "c.*").where("rule = at_rule")
+        .groupBy("band", "rule", "at_rung", "cutoff").agg(
+            F.sum(F.expr(f"if(rung > at_rung, bad - {LOSS * PLAN_SHARE} * good, 0L)")).alias("pays"))
+        .where("pays > 0").withColumn("rank", F.row_number().over(best)).where("rank = 1")
+        .withColumn("place", F.row_number().over(Window.partitionBy("band").orderBy(F.col("pays").desc(), "rule")))
+        .select("band", "rule", "cutoff", "place"), "quality-plan")
+    # A row per band at most, so this side is broadcast.
+    wide = plan.groupBy(F.col("band").alias("of_band")).pivot("rule", list(RULES)).agg(
+        F.first(F.struct("cutoff", "place")))
+    first = ", ".join(f"if(cast({ratio} as double) > `{r}`.cutoff, `{r}`.place, null)" for r, (ratio, _) in RULES.items())
+    # The first rule of the plan that rejects a document; 99 if none does.
+    hit = (known.join(F.broadcast(wide), F.col("band") == F.col("of_band"))
+           .select("band", "good", "planning", F.expr(f"coalesce(array_min(array({first})), 99)").alias("by"))
+           .groupBy(F.col("band").alias("h_band"), "by").agg(
+               F.sum(F.expr("cast(good and not planning as bigint)")).alias("tested"),
+               F.sum(F.expr("cast(good as bigint)")).alias("good"), F.sum(F.expr("cast(not good as bigint)")).alias("bad")))
+    upto = Window.partitionBy("band").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = (plan.join(hit, F.col("band") == F.col("h_band")).groupBy("band", "rule", "cutoff", "place").agg(
+        F.sum("tested").alias("n"), F.sum(F.expr("if(by <= place, tested, 0L)")).alias("k"),
+        F.sum(F.expr(f"if(by <= place, bad - {LOSS} * good, 0L)")).alias("pays"))
+        .withColumn("tail", F.expr(binomial_tail_sql("n", "k", RISK)))
+        .where("n > 0").withColumn("proven", F.max(F.expr(f"tail > {ERROR / len(BANDS)!r}D")).over(upto) == F.lit(False)))
+    # The best paying of the proven steps, the first of equals, and the rules up to it.
+    top = Window.partitionBy("band")
+    paying = steps.where("proven").withColumn("most", F.max("pays").over(top)).where("most > 0")
+    return (paying.withColumn("last", F.min(F.expr("if(pays = most, place, null)")).over(top)).where("place <= last")
             .select("band", "rule", "cutoff"))
 
 
@@ -166,7 +191,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    rate, error = RISK / len(RULES), ERROR / (len(RULES) * len(BANDS))
+    error = ERROR / len(BANDS)
     ladder = ", ".join(f"('{r}', {k}, {c!r}::DOUBLE)" for r, (_, cuts) in RULES.items() for k, c in enumerate(cuts))
     ratios = " UNION ALL ".join(f"SELECT rid, doc_id, {_band()} AS band, '{r}' AS rule, ({ratio})::DOUBLE AS v"
                                 " FROM counts WHERE NOT base_failed" for r, (ratio, _) in RULES.items())
@@ -192,20 +217,31 @@ ratio AS ({ratios}),
 known AS (SELECT doc_id, min(quality) = 1 AS good FROM labels
           WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
 ladder(rule, rung, cutoff) AS (VALUES {ladder}),
-tests AS (
-  SELECT r.band, r.rule, rung, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND v > cutoff) AS k,
-         count(*) FILTER (NOT good AND v > cutoff) AS caught
-  FROM ratio r JOIN known USING (doc_id) JOIN ladder c ON c.rule = r.rule GROUP BY ALL),
+labelled AS (SELECT r.*, good, md5(doc_id::VARCHAR) < '{PLAN_BELOW}' AS planning FROM ratio r JOIN known USING (doc_id)),
+picks AS (
+  SELECT r.band, r.rule, rung, cutoff,
+         coalesce(sum(CASE WHEN v <= cutoff THEN 0 WHEN NOT good THEN 1 WHEN planning THEN {-LOSS * PLAN_SHARE} ELSE 0 END), 0) AS pays
+  FROM labelled r JOIN ladder c ON c.rule = r.rule GROUP BY ALL),
+chosen AS (
+  SELECT * FROM picks WHERE pays > 0 QUALIFY row_number() OVER (PARTITION BY band, rule ORDER BY pays DESC, rung DESC) = 1),
+plan AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY pays DESC, rule) AS place FROM chosen),
+firsts AS (
+  SELECT r.rid, r.band, good, planning, coalesce(min(place) FILTER (v > cutoff), 99) AS by_place
+  FROM labelled r LEFT JOIN plan p ON p.band = r.band AND p.rule = r.rule GROUP BY ALL),
+steps AS (
+  SELECT p.band, p.rule, p.cutoff, place, count(*) FILTER (good AND NOT planning) AS n,
+         count(*) FILTER (good AND NOT planning AND by_place <= place) AS k,
+         count(*) FILTER (NOT good AND by_place <= place) - {LOSS} * count(*) FILTER (good AND by_place <= place) AS gain
+  FROM plan p JOIN firsts f ON f.band = p.band GROUP BY ALL),
 tails AS (
-  SELECT *, CASE WHEN k > n * {rate!r}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
-         exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate!r}::DOUBLE)
-             + (n - j) * ln(1 - {rate!r}::DOUBLE)))) END AS tail FROM tests),
-proven AS (
-  SELECT *, max(tail) OVER (PARTITION BY band, rule ORDER BY rung DESC) <= {error!r}::DOUBLE AS ok,
-         caught - {LOSS} * k AS pays FROM tails),
+  SELECT *, CASE WHEN k > n * {RISK!r}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
+         exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK!r}::DOUBLE)
+             + (n - j) * ln(1 - {RISK!r}::DOUBLE)))) END AS tail FROM steps WHERE n > 0),
+proven AS (SELECT * FROM tails QUALIFY max(tail) OVER (PARTITION BY band ORDER BY place) <= {error!r}::DOUBLE),
+paying AS (SELECT *, max(gain) OVER (PARTITION BY band) AS most FROM proven),
 cutoffs AS (
-  SELECT band, rule, cutoff FROM proven WHERE ok AND pays > 0
-  QUALIFY row_number() OVER (PARTITION BY band, rule ORDER BY pays DESC, rung DESC) = 1),
+  SELECT band, rule, cutoff FROM paying WHERE most > 0
+  QUALIFY place <= min(place) FILTER (gain = most) OVER (PARTITION BY band)),
 hit AS (SELECT DISTINCT rid FROM ratio r JOIN cutoffs c ON r.band = c.band AND r.rule = c.rule AND r.v > c.cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM hit) AS kept
