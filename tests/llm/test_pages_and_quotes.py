@@ -183,7 +183,7 @@ def test_odd_messages(spark, monkeypatch):
     got = {(r["conv_id"], r["turn"]): r for r in out}
     assert all(got[1, i]["parent_turn"] == i - 1 for i in range(1, 23))
     assert got[1, 23]["parent_turn"] == 2 and got[1, 24]["parent_turn"] == 23 and got[1, 24]["chain"] == 23
-    assert got[5, 0]["reply"] == "" and got[5, 2]["quoted_lines"] == 0 and got[6, 2]["parent_turn"] == 0
+    assert got[5, 0]["reply"] == "" and got[5, 2]["quoted_lines"] == 0 and got[6, 2]["parent_turn"] == 1
     assert got[None, 0]["reply"] == "" and got[None, 0]["quoted_lines"] == 1
     assert K.link_quotations(df.where("false")).count() == 0
 
@@ -201,3 +201,87 @@ def test_nested_branches_keep_their_order(spark):
         below[parents[t]] |= below[t]
     for t, s in below.items():  # every subtree is one run that starts with its root
         assert sorted(place[x] for x in s) == list(range(place[t], place[t] + len(s)))
+
+
+def test_passages_refolded_partial_and_said_again(spark):
+    said = "The quick brown fox jumps over the lazy dog while the old cat sleeps in the warm sun all day"
+    w = said.split()
+    rows = [(1, 0, "u", f"Hello.\n{said}\nBye."), (1, 1, "a", "something else entirely is said in this one"),
+            (1, 2, "u", "> " + " ".join(w[:7]) + "\n> " + " ".join(w[7:]) + "\nrefolded"),
+            (1, 3, "u", "> " + " ".join(w[3:11]).upper() + "\npartial"),
+            (1, 4, "a", f"{said}"), (1, 5, "u", "> " + " ".join(w[:9]) + "\n>  " + " ".join(w[9:]) + "\nlatest wins"),
+            (2, 0, "u", "Thanks."), (2, 1, "a", "x"), (2, 2, "u", "Thanks."), (2, 3, "a", "y"), (2, 4, "u", "> Thanks.\nz"),
+            (2, 5, "a", ">> Thanks.\n> z\n>\n> nobody said it\nlast")]
+    out = by_turn(spark, rows)
+    assert [out[1, t]["parent_turn"] for t in (2, 3, 5)] == [0, 0, 4]
+    assert [(out[1, t]["quoted_lines"], out[1, t]["linked_lines"]) for t in (2, 3, 5)] == [(2, 2), (1, 1), (2, 2)]
+    assert out[2, 4]["parent_turn"] == 2 and out[2, 5]["parent_turn"] == 4
+    assert (out[2, 5]["quoted_lines"], out[2, 5]["linked_lines"]) == (3, 2)
+
+
+def parents_by_hand(rows):
+    """Parent turn and linked lines of each (conv, turn), message by message."""
+    import itertools
+    import re
+
+    def passages(text):
+        out = []
+        for i, line in enumerate(re.split("\\r?\\n", text)):
+            signs = re.match(r"[ \t]*(?:>[ \t]*)*", line).group()
+            body = " ".join(line[len(signs):].lower().split())
+            out.append((signs.count(">"), body))
+        runs = [(k, list(g)) for k, g in itertools.groupby(out, key=lambda x: (x[0], x[1] != ""))]
+        return [(level, [b for _, b in g]) for (level, full), g in runs if full]
+
+    def keys(lines):
+        words = " ".join(lines).split(" ")
+        return [(" ".join(words), max(1, len(words) - 4))] + [
+            (tuple(words[i:i + 5]), 1) for i in range(len(words) - 4)]
+
+    want, by_conv = {}, {}
+    for conv, turn, _, text in rows:
+        by_conv.setdefault(conv, []).append((turn, passages(text)))
+    for conv, messages in by_conv.items():
+        own, before = {}, None
+        for turn, parts in sorted(messages):
+            votes, linked = {}, 0
+            for level, lines in parts:
+                if level:
+                    hits = {}
+                    for key, weight in keys(lines):
+                        if key in own:
+                            hits[own[key]] = hits.get(own[key], 0) + weight
+                    if hits:
+                        n, source = max((n, t) for t, n in hits.items())
+                        votes[level, source] = votes.get((level, source), 0) + n
+                        linked += len(lines)
+            best = min(((level, -n, -t) for (level, t), n in votes.items()), default=None)
+            want[conv, turn] = (-best[2] if best else before, linked)
+            for level, lines in parts:
+                if not level:
+                    own.update({k: turn for k, _ in keys(lines)} | {x: turn for x in lines})
+            before = turn
+    return want
+
+
+def test_random_threads_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(K, "RANGE_TURNS", 8)
+    rng = random.Random(12)
+    rows = []
+    for conv in range(12):
+        texts = []
+        for turn in range(rng.randrange(1, 40)):
+            parts = []
+            for _ in range(rng.randrange(0, 3)):
+                if texts:
+                    words = rng.choice(texts[-8:]).replace(">", " ").split()
+                    a = rng.randrange(len(words) + 1)
+                    part = words[a:a + rng.randrange(1, 15)] or ["none"]
+                    cut, depth = rng.randrange(1, 9), "> " * rng.randrange(1, 4)
+                    parts += [depth + " ".join(part[i:i + cut]) for i in range(0, len(part), cut)] + [""] * rng.randrange(2)
+            parts += [" ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 4))]
+            texts.append("\n".join(parts))
+            rows.append((conv, turn, "user", texts[-1]))
+    want = parents_by_hand(rows)
+    got = {k: (r["parent_turn"], r["linked_lines"]) for k, r in by_turn(spark, rows).items()}
+    assert got == want and sum(n > 0 for _, n in got.values()) > 50
