@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise, word_count_sql, words_sql
+from barframe.llm.common import materialise, word_count_sql
 
 # Source weights by rank, repeating.
 WEIGHTS = (5, 2, 1)
@@ -107,24 +107,20 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each epoch that takes a document; the one document at a
-    source's cut keeps the words it gives, joined by blanks. Documents without words are kept once: they weigh
-    nothing in any budget."""
-    plan = mix(docs, carry=True)
-    cut = f"array_join(slice({words_sql('row.text')}, 1, cast(part as int)), ' ')"
-    times = ("if(size = 0, array(false), concat(array_repeat(false, cast(epochs as int)),"
-             " array_repeat(part < size, if(part > 0, 1, 0))))")
-    out = plan.withColumn("is_cut", F.explode(F.expr(times)))
-    special = {"text": f"if(is_cut, {cut}, row.text)",
-               "n_chars": f"if(is_cut, char_length({cut}), row.n_chars)"}
-    return out.select(*[
-        (F.expr(special[c]) if c in special else F.col("row").getField(c)).cast(docs.schema[c].dataType).alias(c)
-        for c in docs.columns])
+    """The mix itself, with the columns of ``docs``: a row for each epoch that takes a document. The one document at a
+    source's cut is taken whole if half of its words or more fit the budget, else not at all, so no text is cut and a
+    source ends as near its budget as whole documents allow. Documents without words are kept once: they weigh nothing
+    in any budget. Null ids, texts and sources are kept like others, equal rows each for itself; an empty table gives an
+    empty result."""
+    times = "if(size = 0, 1, epochs + if(part > 0 and 2 * part >= size, 1, 0))"
+    out = mix(docs, carry=True).withColumn("copy", F.explode(F.expr(f"array_repeat(0, cast({times} as int))")))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size,
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size,
          md5(concat_ws(':', '{SEED}', CAST(doc_id AS VARCHAR))) AS rand, md5(coalesce(text, '')) AS tie
   FROM documents),
 s AS (

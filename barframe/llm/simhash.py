@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise
+from barframe.llm.common import fresh, materialise
 from barframe.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -394,9 +394,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, the one of the smallest id, with the columns of ``docs``. Of rows with that id the
     one with the smallest hash of its whole content stays; of equal rows, one."""
     content = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)])
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__hash": content})
-    groups = near_duplicate_groups(keyed, ["__id", "__hash"])
-    kept = groups.where("`__id` <=> rep.`__id` and `__hash` <=> rep.`__hash`").select(
-        F.col("__id").alias("kept_id"), F.col("__hash").alias("kept_hash")).distinct()
-    return (keyed.join(kept, F.col("__id").eqNullSafe(F.col("kept_id")) & (F.col("__hash") == F.col("kept_hash")),
-                       "left_semi").dropDuplicates(["__id", "__hash"]).drop("__id", "__hash"))
+    key, tie = fresh(docs, "keep_id"), fresh(docs, "keep_hash")
+    keyed = docs.withColumns({key: F.col("doc_id"), tie: content})
+    groups = near_duplicate_groups(keyed, [key, tie])
+    kept = groups.where(f"`{key}` <=> rep.`{key}` and `{tie}` <=> rep.`{tie}`").select(
+        F.col(key).alias(fresh(keyed, "kept_id")), F.col(tie).alias(fresh(keyed, "kept_hash"))).distinct()
+    same = [F.col(key).eqNullSafe(F.col(kept.columns[0])), F.col(tie) == F.col(kept.columns[1])]
+    return keyed.join(kept, same, "left_semi").dropDuplicates([key, tie]).drop(key, tie)

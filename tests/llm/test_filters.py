@@ -107,10 +107,14 @@ def test_mix_meets_budgets_exactly(spark, make_docs, odd_docs, no_docs):
     again = M.mix(docs.repartition(7)).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
     mixed = M.mixed_documents(docs)
-    words = {}
+    words, largest, whole = {}, {}, {i: t for i, t, _ in rows}
+    for i, t, s in rows:
+        largest[s] = max(largest.get(s, 0), len(t.split()))
     for r in mixed.collect():
+        assert r["text"] == whole[r["doc_id"]]
         words[r["source"]] = words.get(r["source"], 0) + len(r["text"].split())
-    assert words == taken and mixed.columns == docs.columns
+    assert all(abs(words[s] - taken[s]) <= largest[s] / 2 for s in order) and mixed.columns == docs.columns
+    assert {r["doc_id"] for r in out if r["size"] == 0} <= {r["doc_id"] for r in mixed.collect()}
     assert M.mix(odd_docs).count() == odd_docs.count() and M.mix(no_docs).count() == 0
     assert M.mixed_documents(odd_docs).columns == odd_docs.columns and M.mixed_documents(no_docs).count() == 0
 
