@@ -8,18 +8,25 @@ or not they enter a list: lists are cut, links are not. Of the links met in one
 which joins the same nodes in fewer rows than there are nodes.
 
 A list that holds nothing but links is saturated: the node may have more. Saturated lists are enlarged to all they can
-hold. Inside their component that is every node, by block products of at most ``BLOCK`` x ``BLOCK`` vectors, which
-return counts and never pairs. Outside it, saturated nodes search again with lists in which nodes of their own
-component take no place, until none of them gains a link. The search is audited: sampled nodes are compared with all nodes, in samples that grow until
-``LINKED`` nodes that have links are among them or every node was sampled. What is judged is the mean over these nodes
-of the share of a node's links that lie inside its component; links that the audit finds join the rest. As long as the
-mean is under ``RECALL``, another round with new projections follows, and after ``ROUNDS`` of them all nodes are
-compared with all in blocks.
+hold. Inside their component that is every node, by block products, which return counts and never pairs; a block grows
+with its component, up to what a task can hold. Outside it, saturated nodes search again with lists in which nodes of
+their own component take no place, until none of them gains a link.
+
+The search is audited: sampled nodes, other ones each round, are compared with all nodes, in samples that grow until
+``LINKED`` nodes that have links are among them, or until so many nodes were sampled (a sixteenth of all, within
+``AUDIT_LEAST`` and ``AUDIT_MOST``) that the exact binomial bound on the share of nodes that miss a link says enough. What
+is judged is the mean over the sampled nodes that have links of the share of a node's links that lie inside its
+component; links that the audit finds join the rest. As long as the mean is under ``RECALL``, another round with new
+projections follows, and after ``ROUNDS`` of them all nodes are compared with all in blocks.
+
+The members of a hub's neighbourhood meet in runs dealt by hash over many tasks, so none reads them all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +42,16 @@ NEIGHBOURS = 10
 TABLES, CODE_BITS, REACH = 4, 48, 6
 # Refinements per round at most; they end when under this share of list entries is new.
 REFINEMENTS, QUIET = 2, 0.05
-# Members of a node's neighbourhood compared at once, and candidates each of them takes from there.
-MEETING, TAKEN = 64, 4
-BLOCK = 128
+# Members of a node's neighbourhood compared at once, candidates each of them takes from there, and keys that a hub's
+# rows are spread over while its members are counted out into runs.
+MEETING, TAKEN, SALTS = 64, 4, 16
+# Vectors in a block at least and at most, blocks of a component between these bounds, and numbers in a block at most.
+BLOCK, BLOCK_MOST, BLOCKS, CELLS = 128, 2_048, 16, 1 << 21
 # Audit: nodes of the first sample and of the largest, sampled nodes that must have links, share of a node's links that
 # must be found on average, and rounds before all nodes are compared with all.
 AUDITED, AUDITED_MOST, LINKED, RECALL, ROUNDS = 256, 4_096, 128, 0.98, 4
+# Nodes that are sampled at least and at most where few have links, and the chance that the bound is too low.
+AUDIT_LEAST, AUDIT_MOST, ERROR = 1_024, 6_144, 0.01
 # Rows compared with a sample at once.
 SLICE = 1_024
 
@@ -199,22 +210,37 @@ def best_lists(candidates: DataFrame, size: int, min_cosine: float) -> DataFrame
         (F.col("place") <= size) | (F.col("sim") >= min_cosine))
 
 
-def introduced(lists: DataFrame, nodes: DataFrame, dim: int, size: int, min_cosine: float,
+def meetings(lists: DataFrame, seed: int) -> DataFrame:
+    """Rows (meeting, turn, member, fresh): the neighbours of a node (lists u, v, fresh; either direction) meet at one
+    meeting, those of a hub at several of about half of ``MEETING`` to ``MEETING`` members, dealt by hash anew for every
+    seed. ``turn`` orders a meeting's members whatever the order of the input."""
+    members = (lists.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh")
+               .union(lists.select("v", "u", "fresh")).groupBy("centre", "member")
+               .agg(F.max("fresh").alias("fresh")))
+    hubs = (lists.select(F.col("u").alias("hub")).union(lists.select("v")).groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > MEETING).select("hub", F.expr(f"cast(ceil(n / {MEETING}D) as bigint)").alias("runs"),
+                                                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("hub_salt")))
+    salt = F.pmod(F.xxhash64("member"), F.lit(SALTS)).cast("int")
+    return (members.withColumn("salt", salt)
+            .join(hubs, (F.col("centre") == F.col("hub")) & (F.col("salt") == F.col("hub_salt")), "left")
+            .withColumn("turn", F.xxhash64("member", F.lit(seed)))
+            .withColumn("meeting", F.expr("xxhash64(centre, pmod(turn, coalesce(runs, 1L)))"))
+            .select("meeting", "turn", "member", "fresh"))
+
+
+def introduced(lists: DataFrame, nodes: DataFrame, dim: int, size: int, min_cosine: float, seed: int,
                apart: DataFrame | None = None) -> DataFrame:
     """Candidates (u, v, sim) from letting the neighbours of every node (id, vec, root) meet; nodes of one root do not.
     They are those better than the worst of a list, and a spanning forest of the links. The worst are those of the
     lists ``apart``, if given."""
     worst = (lists if apart is None else apart).groupBy(F.col("u").alias("of")).agg(
         F.when(F.count(F.lit(1)) >= size, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
-    members = (lists.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh")
-               .union(lists.select("v", "u", "fresh")).groupBy("centre", "member")
-               .agg(F.max("fresh").alias("fresh")))
     known = nodes.join(worst, F.col("id") == F.col("of"), "left").select(
         "id", "vec", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "root")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(batches):
-        for _, ids, fresh, vec, worst, root in groups_of(batches, MEETING):
+        for _, _, ids, fresh, vec, worst, root in groups_of(batches, 2 * MEETING):
             fresh = fresh.to_numpy(zero_copy_only=False)
             if len(ids) < 2 or not fresh.any():
                 continue
@@ -234,14 +260,15 @@ def introduced(lists: DataFrame, nodes: DataFrame, dim: int, size: int, min_cosi
             row, col = np.nonzero(value > worst[:, None])
             yield _edges(ids[row], ids[top[row, col]], value[row, col])
 
-    rows = members.join(known, F.col("member") == F.col("id")).select("centre", "member", "fresh", "vec", "worst", "root")
-    return (rows.repartition(n, "centre").sortWithinPartitions("centre")
+    rows = (meetings(lists, seed).join(known, F.col("member") == F.col("id"))
+            .select("meeting", "turn", "member", "fresh", "vec", "worst", "root"))
+    return (rows.repartition(n, "meeting").sortWithinPartitions("meeting", "turn", "member")
             .mapInArrow(meet, "u bigint, v bigint, sim double"))
 
 
 def link_counts(members: DataFrame, dim: int, min_cosine: float) -> DataFrame:
     """(id, links): for each member (id, vec, dims, weight, root, size) of a component the weights of the others it
-    links to, summed. Components are compared whole, in pairs of blocks of about ``BLOCK`` vectors."""
+    links to, summed. Components are compared whole, in pairs of blocks."""
 
     def count(batches):
         for g in _whole_groups(batches):
@@ -257,7 +284,7 @@ def link_counts(members: DataFrame, dim: int, min_cosine: float) -> DataFrame:
     def _count(ids, n):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n.astype(np.int64))], names=["id", "links"])
 
-    return (_block_pairs(members).mapInArrow(count, "id bigint, links bigint")
+    return (_block_pairs(members, dim).mapInArrow(count, "id bigint, links bigint")
             .groupBy("id").agg(F.sum("links").alias("links")))
 
 
@@ -277,11 +304,18 @@ def _whole_groups(batches):
         yield held.combine_chunks().to_batches()[0]
 
 
-def _block_pairs(members: DataFrame) -> DataFrame:
+def block_sql(dim: int) -> str:
+    """SQL text: the vectors in a block of a component of ``size`` nodes. A row is moved once per block, so blocks grow
+    with the component once it has ``BLOCKS`` of the least, as far as a task holds two of them and their products."""
+    most = max(BLOCK, min(BLOCK_MOST, CELLS // dim))
+    return f"least({most}D, greatest({BLOCK}D, size / {BLOCKS}D))"
+
+
+def _block_pairs(members: DataFrame, dim: int) -> DataFrame:
     """Rows (pair, id, side, vec, dims, weight), those of a pair of blocks together."""
     # Each member goes to every pair of its own block with a block of its component; side 0: the pair is the block
     # with itself, 1 and 2: the first and the second of two blocks.
-    blocks = f"cast(ceil(size / {BLOCK}D) as int)"
+    blocks = f"cast(ceil(size / {block_sql(dim)}) as int)"
     dealt = (members.withColumn("blocks", F.expr(blocks))
              .withColumn("mine", F.expr("pmod(xxhash64(id), blocks)"))
              .select("id", "vec", "dims", "weight", "root", "mine", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
@@ -318,7 +352,7 @@ def all_links(nodes: DataFrame, dim: int, min_cosine: float) -> DataFrame:
 
     members = nodes.select("id", "vec", "dims", F.col("root").alias("weight"), F.lit(0).cast("bigint").alias("root"),
                            F.lit(nodes.count()).alias("size"))
-    return _block_pairs(members).mapInArrow(links, "u bigint, v bigint")
+    return _block_pairs(members, dim).mapInArrow(links, "u bigint, v bigint")
 
 
 def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int, size: int, min_cosine: float,
@@ -338,7 +372,8 @@ def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int
     while True:
         cut = apart.where(F.col("place") <= size)
         met = own.union(cut.select("u", "v", "fresh"))
-        new = introduced(met, known, dim, size, min_cosine, cut).withColumn("fresh", F.lit(True))
+        seed += 1
+        new = introduced(met, known, dim, size, min_cosine, seed, cut).withColumn("fresh", F.lit(True))
         last, apart = apart, materialise(best_lists(
             new.union(apart.select("u", "v", "sim").withColumn("fresh", F.lit(False))), size, min_cosine), "outside")
         discard(last)
@@ -354,25 +389,55 @@ def links_outside(lists: DataFrame, nodes: DataFrame, roots: DataFrame, dim: int
     return gained
 
 
-def audit(nodes: DataFrame, dim: int, min_cosine: float) -> tuple[float, list[DataFrame]]:
-    """Mean share of a node's links that lie inside its component, over sampled nodes (id, vec, dims, root) that have
-    links (1 if no node has), and tables of links (u, v) that lie outside. Nodes are sampled in the order of their hash."""
-    place = nodes.withColumn("h", F.xxhash64("id"))
-    size, last, judged, recall, missed = AUDITED, None, 0, 0.0, []
-    while judged < LINKED:
+class Audit(NamedTuple):
+    """What an audit found: the mean share of a node's links that lie inside its component, over sampled nodes that have
+    links (1 if none has); tables of links (u, v) that lie outside; and the share of nodes that had such a link at most,
+    with a chance of ``ERROR`` to be wrong (0 if every node was sampled, as what they miss is then known)."""
+
+    recall: float
+    missed: list[DataFrame]
+    missing_at_most: float
+
+
+def missing_at_most(missing: int, sampled: int, error: float = ERROR) -> float:
+    """Exact upper confidence bound on a share of which a sample of ``sampled`` nodes holds ``missing``."""
+    if missing >= sampled:
+        return 1.0
+    ways = [math.lgamma(sampled + 1) - math.lgamma(k + 1) - math.lgamma(sampled - k + 1) for k in range(missing + 1)]
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        p = (low + high) / 2
+        so_few = sum(math.exp(w + k * math.log(p) + (sampled - k) * math.log1p(-p)) for k, w in enumerate(ways))
+        low, high = (p, high) if so_few > error else (low, p)
+    return high
+
+
+def audit(nodes: DataFrame, dim: int, min_cosine: float, seed: int = 0) -> Audit:
+    """Compares sampled nodes (id, vec, dims, root) with all nodes. They are taken in the order of their hash, other nodes
+    for every seed: links that an audit finds are joined, so a later one must not judge the same nodes. The work grows
+    with the table and a sample of bounded size, whether or not links are rare."""
+    place = nodes.withColumn("h", F.xxhash64("id", F.lit(seed)))
+    count = nodes.count()
+    most = min(AUDIT_MOST, max(AUDIT_LEAST, count // 16))
+    size, last, sampled, judged, recall, missing, missed = AUDITED, None, 0, 0, 0.0, 0, []
+    while judged < LINKED and sampled < most:
         left = place if last is None else place.where(
             (F.col("h") > last[0]) | ((F.col("h") == last[0]) & (F.col("id") > last[1])))
-        sample = left.orderBy("h", "id").limit(size).select("id", "vec", "dims", "root", "h").toArrow()
+        sample = (left.orderBy("h", "id").limit(min(size, most - sampled))
+                  .select("id", "vec", "dims", "root", "h").toArrow())
         if not sample.num_rows:
             break
+        sampled += sample.num_rows
         last = sample.column("h")[-1].as_py(), sample.column("id")[-1].as_py()
         found = materialise(_compared(nodes, sample, dim, min_cosine), "audit")
         state = (found.groupBy("u").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).where("n > 0")
-                 .agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("k") / F.col("n")).alias("share")).first())
-        judged, recall = judged + state["nodes"], recall + (state["share"] or 0.0)
+                 .agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("k") / F.col("n")).alias("share"),
+                      F.count_if(F.col("k") < F.col("n")).alias("missing")).first())
+        judged, recall, missing = judged + state["nodes"], recall + (state["share"] or 0.0), missing + state["missing"]
         missed.append(found.where("v is not null").select("u", "v"))
         size = min(2 * size, AUDITED_MOST)
-    return (recall / judged if judged else 1.0), missed
+    return Audit(recall / judged if judged else 1.0, missed,
+                 0.0 if sampled == count else missing_at_most(missing, sampled))
 
 
 def _compared(nodes: DataFrame, sample: pa.Table, dim: int, min_cosine: float) -> DataFrame:
@@ -411,8 +476,11 @@ def _old(lists: DataFrame) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                    min_cosine: float = MIN_COSINE, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row per input row.
+                    min_cosine: float = MIN_COSINE, neighbours: int = NEIGHBOURS,
+                    with_audit: bool = False) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row per input row; with ``with_audit`` also audit_recall and
+    missing_at_most, the same in all rows: what the last audit measured before the links it found were joined (1 and 0
+    where there was nothing to search, and 0 after a comparison of all nodes with all).
 
     Vectors that are null, empty, zero, or hold null or non-finite parts, and rows without an id, link with nothing.
     Vectors of different lengths never link. Equal vectors (repeated rows too) link with each other as with all their
@@ -430,9 +498,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                           .withColumn("dims", F.size("vec")), "vector-classes")
     dim = classes.agg(F.max("dims")).first()[0]
     out_id = F.col("id").alias(id_col)
+
+    def audited(out: DataFrame, recall: float, missing: float) -> DataFrame:
+        if not with_audit:
+            return out
+        return out.withColumns({"audit_recall": F.lit(float(recall)), "missing_at_most": F.lit(float(missing))})
+
     if dim is None:
-        return rows.select(out_id, F.lit(0).cast("bigint").alias("n_links"), F.col("id").cast("bigint").alias("component_id"),
-                           F.lit(True).alias("kept"))
+        return audited(rows.select(out_id, F.lit(0).cast("bigint").alias("n_links"), F.col("id").cast("bigint").alias("component_id"),
+                                   F.lit(True).alias("kept")), 1.0, 0.0)
     lists, roots, gained = None, None, []
     each = classes.select("id", "vec", F.col("id").alias("root"))
 
@@ -446,9 +520,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         last, lists = lists, materialise(best_lists(seen, neighbours, min_cosine), "lists")
         if last is not None:
             discard(last)
-        for _ in range(REFINEMENTS):
+        for r in range(REFINEMENTS):
             cut = lists.where(F.col("place") <= neighbours)
-            new = introduced(cut, each, dim, neighbours, min_cosine).withColumn("fresh", F.lit(True))
+            new = introduced(cut, each, dim, neighbours, min_cosine, 1 + k * REFINEMENTS + r).withColumn("fresh", F.lit(True))
             last, lists = lists, materialise(best_lists(new.union(_old(lists)), neighbours, min_cosine), "lists")
             discard(last)
             state = lists.where(F.col("place") <= neighbours).agg(F.avg(F.col("fresh").cast("double")).alias("new")).first()
@@ -470,8 +544,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             gained.append(new)
             close = close.union(new)
             roots = connected_components(close, "u", "v")
-        recall, missed = audit(with_roots(roots), dim, min_cosine)
+        recall, missed, missing = audit(with_roots(roots), dim, min_cosine, k)
         if recall < RECALL and k == ROUNDS - 1:
+            missing = 0.0
             missed.append(materialise(all_links(with_roots(roots), dim, min_cosine), "all-links"))
         missed = [m for m in missed if not m.isEmpty()]
         if missed:
@@ -494,5 +569,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
               .select("id", F.col("links").alias("n_links"), F.col("root").alias("component_id")))
     rest = rows.where("not ok").select("id", F.lit(0).cast("bigint").alias("n_links"),
                                        F.col("id").cast("bigint").alias("component_id"))
-    return linked.union(rest).select(out_id, "n_links", "component_id",
-                                     F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = linked.union(rest).select(out_id, "n_links", "component_id",
+                                    F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return audited(out, recall, missing)

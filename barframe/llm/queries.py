@@ -35,7 +35,7 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nn_descent.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+    return nn_descent.near_duplicates(read_table(spark, sf_dir, "embeddings"), with_audit=True)
 
 
 def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

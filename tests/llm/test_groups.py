@@ -1,9 +1,12 @@
 """SimHash groups, components and embedding groups against brute force."""
 import itertools
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barframe.llm import components as C
 from barframe.llm import nn_descent as N
@@ -164,7 +167,7 @@ def two_dense_groups(size=40, dim=32, border=1):
 
 
 def test_border_links_join_dense_groups(spark, monkeypatch):
-    monkeypatch.setattr(N, "audit", lambda *a: (1.0, []))  # the search alone
+    monkeypatch.setattr(N, "audit", lambda *a: N.Audit(1.0, [], 0.0))  # the search alone
     df = spark.createDataFrame(two_dense_groups(), "vec_id long, embedding array<double>")
     got = {r["vec_id"]: r for r in N.near_duplicates(df).collect()}
     assert {r["component_id"] for r in got.values()} == {0} and sum(r["kept"] for r in got.values()) == 1
@@ -196,7 +199,72 @@ def test_audit_judges_nodes_and_samples_until_some_have_links(spark, monkeypatch
         rows += [(i, x.tolist(), 24, i), (i + 1, (x + rng.standard_normal(24) * 0.01).tolist(), 24, i + 1)]
     rows += [(i, rng.standard_normal(24).tolist(), 24, i) for i in range(100, 300)]
     nodes = spark.createDataFrame(rows, "id long, vec array<double>, dims int, root long")
-    recall, missed = N.audit(nodes, 24, 0.9)
+    recall, missed, missing = N.audit(nodes, 24, 0.9)
+    assert missing == 0.0  # all 300 were sampled
     assert recall == 0.6  # of 100 nodes with links the 40 outside the hot group miss theirs, by links it is 0.989
     assert {(r["u"], r["v"]) for m in missed for r in m.collect()} == {
         p for i in range(60, 100, 2) for p in ((i, i + 1), (i + 1, i))}
+
+
+def test_audit_ends_by_a_bound_where_links_are_rare(spark, monkeypatch):
+    monkeypatch.setattr(N, "AUDITED", 16)
+    monkeypatch.setattr(N, "AUDIT_LEAST", 40)
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(24).tolist(), 24, i) for i in range(400)]
+    nodes = spark.createDataFrame(rows, "id long, vec array<double>, dims int, root long")
+    seen = []
+    compared = N._compared
+    monkeypatch.setattr(N, "_compared", lambda n, sample, *a: seen.append(sample["id"].to_pylist()) or compared(n, sample, *a))
+    found = N.audit(nodes, 24, 0.9)
+    assert found.recall == 1.0 and [len(s) for s in seen] == [16, 24]
+    assert abs(found.missing_at_most - (1 - N.ERROR ** (1 / 40))) < 1e-9
+    assert all(m.count() == 0 for m in found.missed)
+    first = set(seen[0] + seen[1])
+    seen.clear()
+    N.audit(nodes, 24, 0.9, 1)
+    assert set(seen[0] + seen[1]) != first  # another round judges other nodes
+
+
+@pytest.mark.parametrize("missing,sampled", [(0, 1), (0, 300), (3, 50), (50, 50), (49, 50), (12, 6_144)])
+def test_bound_on_missing_nodes_is_exact(missing, sampled):
+    p = N.missing_at_most(missing, sampled)
+    if missing == sampled:
+        assert p == 1.0
+        return
+    exact = sum(Fraction(math.comb(sampled, k)) * Fraction(p) ** k * (1 - Fraction(p)) ** (sampled - k)
+                for k in range(missing + 1)) if sampled < 400 else None
+    if exact is not None:
+        assert abs(float(exact) - N.ERROR) < 1e-9
+    assert missing / sampled < p
+
+
+def test_a_hub_meets_in_runs_over_many_keys(spark):
+    rows = [(i, 0, True) for i in range(1, 1_500)] + [(i, i + 1, False) for i in range(2_000, 2_050)]
+    lists = spark.createDataFrame(rows, "u long, v long, fresh boolean")
+    got = N.meetings(lists, 5).collect()
+    runs = {}
+    for r in got:
+        runs.setdefault(r["meeting"], set()).add(r["member"])
+    hub = [m for m in runs.values() if len(m) > 2 and max(m) < 2_000]
+    assert set().union(*hub) | {0} == set(range(1_500)) and max(map(len, hub)) <= 2 * N.MEETING and len(hub) == 24
+    assert {frozenset(m) for m in runs.values() if max(m) >= 2_000 and len(m) == 2} == {
+        frozenset((i, i + 2)) for i in range(2_000, 2_049)}
+    again = N.meetings(lists.repartition(7), 5).collect()
+    assert sorted(got) == sorted(again)
+
+
+def test_blocks_grow_with_their_component(spark):
+    sizes = spark.range(1).selectExpr("explode(array(1, 128, 2048, 20000, 1000000)) as size")
+    assert [r[0] for r in sizes.selectExpr(N.block_sql(64)).collect()] == [128, 128, 128, 1_250, 2_048]
+    assert [r[0] for r in sizes.selectExpr(N.block_sql(4_096)).collect()] == [128, 128, 128, 512, 512]
+
+
+def test_embedding_groups_do_not_depend_on_the_run(spark):
+    rng = np.random.default_rng(21)
+    rows = [(i, (c + rng.standard_normal(16) * 0.11).tolist())
+            for i, c in enumerate(np.repeat(rng.standard_normal((40, 16)), 30, axis=0))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = N.near_duplicates(df, with_audit=True).collect()
+    two = N.near_duplicates(df.repartition(5).orderBy(F.desc("vec_id")), with_audit=True).collect()
+    assert sorted(one) == sorted(two)
+    assert one[0]["audit_recall"] >= N.RECALL and 0.0 <= one[0]["missing_at_most"] < 0.1
