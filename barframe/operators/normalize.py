@@ -38,15 +38,20 @@ def global_minmax(bars: DataFrame, cols: tuple[str, ...] = PROFILE_ORDER, lo: fl
                   hi: float = 1.0) -> DataFrame:
     """MinMaxScaler over one assembled vector across all symbols.
 
-    Fitting is a single distributed summary (min/max per slot); rows with a NULL
-    feature are skipped rather than failing the assembler. Date and symbol are
-    kept and the vector is also exposed as scalar columns.
+    Fitting is a single distributed summary (min/max per slot) over the rows that
+    have all features. Every row is kept: a missing feature (NULL or NaN) is NULL,
+    the others of its row are scaled by the same bounds. Without a complete row
+    there are no bounds and all features are NULL. The vector is exposed as
+    scalar columns beside date and symbol.
     """
-    assembled = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(
-        bars.select("symbol", "date", *cols)
-    )
-    model = MinMaxScaler(min=lo, max=hi, inputCol="features", outputCol="normalizedFeatures").fit(assembled)
+    rows = bars.select("symbol", "date", *cols)
+    complete = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(rows)
+    if complete.isEmpty():
+        return rows.select("symbol", "date", *[F.lit(None).cast("double").alias(c) for c in cols])
+    model = MinMaxScaler(min=lo, max=hi, inputCol="features", outputCol="normalizedFeatures").fit(complete)
+    assembled = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(rows)
     scaled = model.transform(assembled).select(
         "symbol", "date", vector_to_array("normalizedFeatures").alias("_v")
     )
-    return scaled.select("symbol", "date", *[F.col("_v")[i].alias(c) for i, c in enumerate(cols)])
+    value = F.col("_v")
+    return scaled.select("symbol", "date", *[F.when(~F.isnan(value[i]), value[i]).alias(c) for i, c in enumerate(cols)])

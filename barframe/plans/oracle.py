@@ -264,9 +264,11 @@ JOIN cal ON cal.symbol = rec.symbol AND cal.step = rec.step"""
     rec = f"WITH RECURSIVE {forecast_ctes(n_max)}"
     q["recursive_forecast"] = f"{rec} SELECT symbol, step, date, round(prediction, 2) AS prediction FROM fc"
     q["forecast_payload"] = f"""{rec}
-SELECT symbol, {', '.join(f'CAST({n} AS BIGINT) AS {name}_n' for name, n in HORIZONS)},
+SELECT symbol, {', '.join(f'count(*) FILTER (step <= {n}) AS {name}_n' for name, n in HORIZONS)},
        {stamp.format(d='min(date)')} AS first_date, {stamp.format(d='max(date)')} AS last_date,
-       true AS prefix_ok, round(sum(prediction), 0) AS sum_max, symbol AS json_symbol
+       {' AND '.join(f"list(prediction ORDER BY step) FILTER (step <= {n}) = list(prediction ORDER BY step)[1:{n}]"
+                     f" AND list(date ORDER BY step) FILTER (step <= {n}) = list(date ORDER BY step)[1:{n}]"
+                     for _, n in HORIZONS[:-1])} AS prefix_ok, round(sum(prediction), 0) AS sum_max, symbol AS json_symbol
 FROM fc GROUP BY symbol"""
     q["forecast_horizons"] = f"""{rec}, hz(horizon, len) AS (VALUES {horizons})
 SELECT fc.symbol, hz.horizon, fc.step, {stamp.format(d='fc.date')} AS date, round(fc.prediction, 2) AS prediction

@@ -57,18 +57,41 @@ def read_bars_csv_checked(spark: SparkSession, path: str, header: bool = True) -
             checked.filter("reason IS NOT NULL").select(line.alias("line"), "reason"))
 
 
-def read_alt_bars_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_alt_bars_csv(spark: SparkSession, path: str, mixed_headers: bool = False) -> DataFrame:
     """Layout 2 (symbol, date, open, high, low, close, volume), UTF-8, header (S3).
 
-    Columns are bound by the names in the header, in whatever order the file has them.
+    Columns are bound by the names in the header, in whatever order the file has them. In a folder all files must have
+    the header of one: another one fails the read. With ``mixed_headers`` each file's columns are bound by its own
+    header, in a second scan that looks for the headers; a file without all names in a header fails the read.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8")
+    if mixed_headers:
+        return typed_bars(_by_own_header(spark, path))
+    # Headers are compared with the columns read: all of them, whatever a query selects.
+    raw = spark.read.option("columnPruning", False).csv(path, header=True, inferSchema=False, encoding="UTF-8",
+                                                        enforceSchema=False)
     missing = [c for c in LAYOUT_2 if c not in raw.columns]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
     return typed_bars(raw)
 
 
+def _by_own_header(spark: SparkSession, path: str) -> DataFrame:
+    """Text rows (LAYOUT_2) of files whose headers may differ: the header is a row that holds all the names."""
+    line = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    width = line.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    cells = [f"c{i}" for i in range(width)]
+    rows = spark.read.csv(path, header=False, encoding="UTF-8", schema=", ".join(f"{c} string" for c in cells)).select(
+        F.array(*cells).alias("cells"), F.col("_metadata.file_path").alias("file"))
+    is_header = F.lit(True)
+    for name in LAYOUT_2:
+        is_header &= F.coalesce(F.array_contains("cells", name), F.lit(False))
+    # One row per file, in a join that is a broadcast only where it measures small.
+    heads = rows.where(is_header).groupBy(F.col("file").alias("of")).agg(F.min("cells").alias("names"))
+    names = F.expr("coalesce(names, raise_error(concat('no header with all columns in ', file)))")
+    bound = rows.where(~is_header).join(heads, F.col("file") == F.col("of"), "left").select("cells", names.alias("names"))
+    return bound.select(*[F.expr(f"cells[array_position(names, '{c}') - 1]").alias(c) for c in LAYOUT_2])
+
+
 def counted(df: DataFrame, name: str = "rows"):
     """Attach a row-count observation; read ``obs.get["n"]`` after the first action (no extra job)."""
     from pyspark.sql import Observation

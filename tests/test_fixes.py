@@ -8,6 +8,7 @@ from barframe.config import shared_dir
 from barframe.operators import mutate
 from barframe.operators import windows as W
 from barframe.operators.joins import salted_join
+from barframe.operators.normalize import global_minmax
 from barframe.operators.series import index_series
 from barframe.plans import forecast as FC
 from barframe.plans import models as M
@@ -128,6 +129,32 @@ def test_second_layout_is_bound_by_name(spark, tmp_path):
         B.read_alt_bars_csv(spark, str(tmp_path))
 
 
+def test_second_layout_with_headers_of_several_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("symbol,date,open,high,low,close,volume\nA,2020-01-02,1,2,3,4,5\nA,2020-01-03,,2,3,4,5\n")
+    (tmp_path / "b.csv").write_text('date,symbol,note,volume,close,low,high,open\n2020-01-02,B,"x,y",50,40,30,20,10\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        B.read_alt_bars_csv(spark, str(tmp_path)).select("symbol").collect()
+    got = {(r["symbol"], str(r["date"])): (r["open"], r["high"], r["low"], r["close"], r["volume"])
+           for r in B.read_alt_bars_csv(spark, str(tmp_path), mixed_headers=True).collect()}
+    assert got == {("A", "2020-01-02"): (1, 2, 3, 4, 5), ("A", "2020-01-03"): (None, 2, 3, 4, 5),
+                   ("B", "2020-01-02"): (10, 20, 30, 40, 50)}
+    (tmp_path / "c.csv").write_text("C,2020-01-02,1,2,3,4,5\n")
+    with pytest.raises(Exception, match="no header with all columns"):
+        B.read_alt_bars_csv(spark, str(tmp_path), mixed_headers=True).collect()
+
+
+def test_global_scaling_keeps_rows_without_a_feature(spark):
+    nan = float("nan")
+    rows = [("A", D0, 0.0, 10.0, 1.0, 2.0, 5.0), ("A", D0 + dt.timedelta(1), 10.0, 20.0, 3.0, 4.0, 15.0),
+            ("B", D0, None, 15.0, 2.0, 3.0, 10.0), ("B", D0 + dt.timedelta(1), 5.0, nan, 5.0, 3.0, None)]
+    df = spark.createDataFrame(rows, "symbol string, date date, open double, close double, low double, high double, volume double")
+    got = {(r["symbol"], (r["date"] - D0).days): tuple(r)[2:] for r in global_minmax(df, ("open", "close", "low", "high", "volume")).collect()}
+    assert got == {("A", 0): (0, 0, 0, 0, 0), ("A", 1): (1, 1, 1, 1, 1), ("B", 0): (None, 0.5, 0.5, 0.5, 0.5),
+                   ("B", 1): (0.5, None, 2.0, 0.5, None)}
+    alone = global_minmax(df.where("symbol = 'B'")).collect()
+    assert len(alone) == 2 and all(v is None for r in alone for v in tuple(r)[2:])
+
+
 def test_bad_csv_lines_are_rejected(spark, tmp_path):
     (tmp_path / "b.csv").write_text("date,symbol,open,close,low,high,volume\n2020-01-02,A,1,2,3,4,5\n2020-01-03,A,1\n"
                                     "2020-01-03,A,1,2,3,4,5,6\nnever,A,1,2,3,4,5\n2020-01-06,A,x,2,3,4,5\n")
