@@ -3,6 +3,7 @@ import hashlib
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -98,3 +99,29 @@ def test_empty_pipeline(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+CLASHES = ("kept_id", "keep_id", "keep_hash", "kept_hash", "source_size", "target", "taken", "copy", "predicted", "rep",
+           "component_id", "epochs", "band", "words", "label", "Node", "root", "budget")
+
+
+def test_stages_on_odd_rows_with_clashing_columns(spark, odd_docs):
+    docs = odd_docs.select("*", *[F.lit("clash").alias(c) for c in CLASHES])
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        rows = out.collect()
+        assert all(r[c] == "clash" for r in rows for c in CLASHES)
+        given = {(r["doc_id"], r["text"], r["source"]) for r in docs.select("doc_id", "text", "source").collect()}
+        assert {(r["doc_id"], r["text"], r["source"]) for r in rows} <= given
+        again = stage(spark, docs.repartition(3), SF).select("doc_id", "text", "source").collect()
+        assert sorted(map(str, again)) == sorted(str(r) for r in out.select("doc_id", "text", "source").collect())
+    assert P.quality_filter(spark, docs, SF).count() == 0  # fifty words or more that do not repeat: none has them
+    ids = [r["doc_id"] for r in P.near_dedup(spark, docs, SF).select("doc_id").collect()]
+    assert sorted(map(str, ids)) == ["1", "1", "2", "5", "7", "None"]  # id 1 has two texts; 2, 3 and 4 have no words
+    mixed = [str(r["doc_id"]) for r in P.mix_sources(spark, docs, SF).collect()]
+    assert [mixed.count(i) for i in "234"] == [1, 1, 1]
+    digests = P.encode(spark, docs, SF).collect()
+    assert len(digests) == docs.count()
+    nothing = [r["ids_sha256"] for r in digests if r["doc_id"] in (2, 3)]
+    assert nothing == [hashlib.sha256(b"").hexdigest()] * 2
