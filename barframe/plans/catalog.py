@@ -37,6 +37,8 @@ SMALL_L2 = 1e-4
 BUCKETS = 8
 CLASS_WIDTH = 5000.0
 CLASS_COUNT = 120
+# Perceptrons of given weights: hidden units, input and output units, and a scale that brings prices to order one.
+SCORE_HIDDEN, VECTOR_DIM, VECTOR_CLASSES, PRICE_SCALE = 8, 64, 16, 1e-5
 LIBSVM_DIM = 64
 
 
@@ -390,6 +392,30 @@ def q_symbol_regressor(spark, sf_dir):
     return P.score_per_symbol(ix, P.fit_per_symbol(ix, "close"), "close")
 
 
+def _ruled_weights(inputs: int, classes: int, scale: float) -> list[float]:
+    """Weights of a rule that SQL can follow, those on the inputs times ``scale``."""
+    n = (inputs + 1) * SCORE_HIDDEN + (SCORE_HIDDEN + 1) * classes
+    return [(i * 7919 % 2003 / 1001.5 - 1.0) * (scale if i < inputs * SCORE_HIDDEN else 1.0) for i in range(n)]
+
+
+def q_price_class_scores(spark, sf_dir):
+    """M2: every bar scored by a perceptron of given weights."""
+    from . import models as M
+
+    model = M.perceptron(spark, [1, SCORE_HIDDEN, CLASS_COUNT], _ruled_weights(1, CLASS_COUNT, PRICE_SCALE))
+    frame = M.price_class_frame(B.load_bars(spark, sf_dir), CLASS_WIDTH, CLASS_COUNT)
+    return M.perceptron_scores(model, frame).select("symbol", "date", "label", "prediction", "top")
+
+
+def q_vector_classifier_scores(spark, sf_dir):
+    """M3: every vector scored by a perceptron of given weights."""
+    from . import models as M
+
+    vectors = M.embedding_vectors(_t(spark, sf_dir, "embeddings"))
+    model = M.perceptron(spark, [VECTOR_DIM, SCORE_HIDDEN, VECTOR_CLASSES], _ruled_weights(VECTOR_DIM, VECTOR_CLASSES, 1.0))
+    return M.perceptron_scores(model, vectors).select("vec_id", "label", "prediction", "top")
+
+
 def q_price_class_mlp(spark, sf_dir):
     from . import models as M
 
@@ -643,6 +669,8 @@ QUERIES: dict[str, Query] = {
     "price_class_split": q_price_class_split,
     "accuracy": q_accuracy,
     "price_class_accuracy": q_price_class_accuracy,
+    "price_class_scores": q_price_class_scores,
+    "vector_classifier_scores": q_vector_classifier_scores,
     "vector_classifier_accuracy": q_vector_classifier_accuracy,
     "window_regressor_frame": q_window_regressor_frame,
     "model_forecast_keys": q_model_forecast_keys,
@@ -674,6 +702,6 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = O.build(
     filter_symbol=FILTER_SYMBOL, doc_field=DOC_FIELD, doc_old=DOC_OLD, doc_new=DOC_NEW, bad_json=BAD_JSON,
-    class_width=CLASS_WIDTH, class_count=CLASS_COUNT, store_first=STORE_FIRST, store_all=STORE_ALL,
+    class_width=CLASS_WIDTH, class_count=CLASS_COUNT, score_sizes=(SCORE_HIDDEN, VECTOR_DIM, VECTOR_CLASSES, PRICE_SCALE), store_first=STORE_FIRST, store_all=STORE_ALL,
     store_gone=STORE_GONE, small_l2=SMALL_L2,
 )

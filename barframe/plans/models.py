@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import RFormula, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,23 @@ def _mlp(layers: list[int], max_iter: int, seed: int = SEED) -> MultilayerPercep
     return MultilayerPerceptronClassifier(layers=layers, blockSize=MLP_BLOCK, seed=seed, maxIter=max_iter)
 
 
+def perceptron(spark: SparkSession, layers: list[int], weights):
+    """M2/M3: the perceptron of the given weights, in the order of a fitted model's ``weights``: layer by layer, for each
+    input the weights to all outputs, then the outputs' biases. Nothing is trained."""
+    sizes = sum((a + 1) * b for a, b in zip(layers, layers[1:]))
+    if len(weights) != sizes:
+        raise ValueError(f"{len(weights)} weights for layers that take {sizes}")
+    row = spark.createDataFrame([(Vectors.dense([0.0] * layers[0]), 0.0)], ["features", "label"])
+    untrained = _mlp(layers, 0).setInitialWeights(Vectors.dense([float(w) for w in weights]))
+    return untrained.fit(row)
+
+
+def perceptron_scores(model, frame: DataFrame, digits: int = 6) -> DataFrame:
+    """Rows of ``frame`` (features, label) with their predicted class and its probability."""
+    top = F.round(F.array_max(vector_to_array("probability")), digits)
+    return model.transform(frame).withColumn("top", top).drop("features", "rawPrediction", "probability")
+
+
 def price_class_mlp(bars: DataFrame, width: float = PRICE_CLASS_WIDTH, classes: int = PRICE_CLASSES,
                     max_iter: int = MLP_MAX_ITER) -> DataFrame:
     """M2: 1-64-32-16-K perceptron on open -> class of close, 60/40 hash split; scored test rows.

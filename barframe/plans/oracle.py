@@ -146,8 +146,20 @@ def docs() -> str:
   FROM events)"""
 
 
+def perceptron_ctes(key: str, inputs: int, hidden: int, classes: int, scale: float) -> str:
+    """CTE ``top`` (key, prediction, top) from ``x`` (key, i, v): a perceptron with one hidden layer and ruled weights."""
+    w = lambda i: f"((({i}) * 7919) % 2003 / 1001.5 - 1.0)"
+    bias, after = inputs * hidden, (inputs + 1) * hidden
+    return f"""h AS (SELECT {key}, o.o, 1 / (1 + exp(-(sum(x.v * {w(f'x.i * {hidden} + o.o')} * {scale!r}) + {w(f'{bias} + o.o')}))) AS v
+  FROM x, range({hidden}) AS o(o) GROUP BY {key}, o.o),
+z AS (SELECT {key}, c.c, sum(h.v * {w(f'{after} + h.o * {classes} + c.c')}) + {w(f'{after + hidden * classes} + c.c')} AS z
+  FROM h, range({classes}) AS c(c) GROUP BY {key}, c.c),
+top AS (SELECT {key}, CAST(arg_max(c, z) AS DOUBLE) AS prediction, round(1 / sum(exp(z - m)), 6) AS top
+  FROM (SELECT *, max(z) OVER (PARTITION BY {key}) AS m FROM z) GROUP BY {key})"""
+
+
 def build(filter_symbol: str, doc_field: str, doc_old: str, doc_new: str, bad_json: str,
-          class_width: float, class_count: int, store_first: str, store_all: str, store_gone: str,
+          class_width: float, class_count: int, score_sizes: tuple[int, int, int, float], store_first: str, store_all: str, store_gone: str,
           small_l2: float) -> dict[str, str]:
     from ..config import CHART_HIGH, CHART_LOW, HORIZONS, SERIES_NAMES
 
@@ -285,6 +297,16 @@ SELECT symbol, date, {cls('h')} AS label, CASE WHEN bucket < 60 THEN 'train' ELS
     q["price_class_accuracy"] = f"WITH {BARS}, {split} SELECT count(*) AS n, true AS in_range FROM h WHERE bucket >= 60"
     q["vector_classifier_accuracy"] = """SELECT count(*) AS n, true AS in_range FROM embeddings
 WHERE CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|1234'), 1, 8)) AS BIGINT) % 100 >= 60"""
+    hidden, dim, vector_classes, price_scale = score_sizes
+    q["price_class_scores"] = f"""WITH {BARS}, ids AS (SELECT symbol, date, {cls('bars')} AS label, open FROM bars
+  WHERE {in_range(class_count)}),
+x AS (SELECT symbol, date, 0 AS i, open AS v FROM ids),
+{perceptron_ctes("symbol, date", 1, hidden, class_count, price_scale)}
+SELECT ids.symbol, ids.date, ids.label, top.prediction, top.top FROM ids JOIN top USING (symbol, date)"""
+    q["vector_classifier_scores"] = f"""WITH x AS (
+  SELECT vec_id, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+{perceptron_ctes("vec_id", dim, hidden, vector_classes, 1.0)}
+SELECT e.vec_id, CAST(e.label AS DOUBLE) AS label, top.prediction, top.top FROM embeddings e JOIN top USING (vec_id)"""
     q["train_windows_nulls"] = train_windows_long("close").replace(BARS, gappy)
     q["window_regressor_frame"] = f"""WITH {indexed().replace(BARS, gappy)}
 SELECT a.symbol, CAST(a.part_idx AS BIGINT) AS start_idx, round(any_value({nz('c', 'close')}), 9) AS label,

@@ -50,3 +50,18 @@ def test_training_comes_near_the_least_loss_and_scores(ix):
         T.train(gram, T.start(L=6), 1)
     with pytest.raises(ValueError):
         T.train(np.zeros((27, 27)), T.start(L=5), 1)
+
+
+def test_perceptron_of_given_weights_is_the_fitted_one(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from barframe.plans import models as M
+
+    rows = [(Vectors.dense([float(i % 7), float(i % 3)]), float(i % 3)) for i in range(60)]
+    frame = spark.createDataFrame(rows, ["features", "label"])
+    fitted = M._mlp([2, 4, 3], 30).fit(frame)
+    again = M.perceptron(spark, [2, 4, 3], fitted.weights.toArray())
+    assert np.array_equal(again.weights.toArray(), fitted.weights.toArray())
+    assert M.perceptron_scores(again, frame).collect() == M.perceptron_scores(fitted, frame).collect()
+    with pytest.raises(ValueError):
+        M.perceptron(spark, [2, 4, 3], [0.0])
