@@ -372,6 +372,15 @@ def q_symbol_regressor_scores(spark, sf_dir):
         "symbol", "start_idx", r("prediction", 2), "actual")
 
 
+def q_symbol_forecast(spark, sf_dir):
+    """Every symbol's latest window rolled forward by the symbol's own model."""
+    from . import models as M
+
+    ix, coef = _small_models(spark, sf_dir)
+    return M.model_forecast(ix, "close", L=2, coef=coef, feats=("close",)).select(
+        "symbol", "step", "date", r("prediction", 2))
+
+
 def q_training_losses(spark, sf_dir):
     """Losses of 30 and, from the saved state, 20 more iterations of the next close on the last one. (Once near the least
     loss, steps of a fixed rate turn around it, and rounding decides where they are.)"""
@@ -679,6 +688,7 @@ QUERIES: dict[str, Query] = {
     "window_regressor": q_window_regressor,
     "symbol_regressor_fit": q_symbol_regressor_fit,
     "symbol_regressor_scores": q_symbol_regressor_scores,
+    "symbol_forecast": q_symbol_forecast,
     "symbol_regressor": q_symbol_regressor,
     "training_losses": q_training_losses,
     "model_forecast": q_model_forecast,

@@ -263,13 +263,13 @@ def _dlit(x: float) -> str:
 
 
 def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 1200, L: int = WINDOW,
-                   model: PipelineModel | None = None, coef: DataFrame | None = None) -> DataFrame:
+                   model: PipelineModel | None = None, coef: DataFrame | None = None, feats=FEATURES) -> DataFrame:
     """M10 with fitted window regressors: roll each symbol's latest window forward ``steps`` times.
 
     Each step scores the window, drops its oldest bar and appends it again with the target replaced by the prediction;
     its cost does not grow with the steps before (:func:`.per_symbol.roll_forward`). The weights are those of one pooled
     linear ``model`` (fitted here unless given), or each symbol's own where ``coef`` is the table of
-    :func:`.per_symbol.fit_per_symbol`. Symbols run in parallel.
+    :func:`.per_symbol.fit_per_symbol` on ``feats``. Symbols run in parallel.
     Result: (symbol, step, date, prediction) in price units; ALL fits one model
     per feature and adds a ``category`` column. A symbol with fewer than ``L``
     bars, with a price missing in its latest window, or without a model, keeps its steps with NULL predictions.
@@ -282,7 +282,9 @@ def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 120
             raise ValueError("a given model has one target")
         return _each_target(category, lambda f: model_forecast(indexed, f, steps, L))
     (f,) = target_columns(category)
-    no_gap = " AND ".join(f"b.{g} IS NOT NULL" for g in FEATURES)
+    if coef is None and tuple(feats) != tuple(FEATURES):
+        raise ValueError("the pooled model reads all features")
+    no_gap = " AND ".join(f"b.{g} IS NOT NULL" for g in feats)
     latest = latest_window(indexed, L).withColumn("whole", F.expr(
         f"size(window) = {L} AND forall(transform(raw_window, b -> {no_gap}), x -> x)"))
     latest = latest.selectExpr("symbol", "as_of", "window", "whole", f"mn_{f} AS mn", f"mx_{f} AS mx")
@@ -295,7 +297,7 @@ def model_forecast(indexed: DataFrame, category: str = "close", steps: int = 120
     points = (f"transform(zip_with(coalesce(ys, array()), {next_trading_days_sql('as_of', steps)}, "
               "(y, d) -> named_struct('y', y, 'd', d)), (p, i) -> named_struct('step', CAST(i + 1 AS BIGINT), "
               "'date', p.d, 'prediction', p.y * (mx - mn) + mn))")
-    return rolled(latest, sql, FEATURES.index(f), steps, L).selectExpr("symbol", f"inline({points})")
+    return rolled(latest, sql, list(feats).index(f), steps, L, feats).selectExpr("symbol", f"inline({points})")
 
 
 def rformula_features(bars: DataFrame, formula: str = "close ~ open") -> DataFrame:

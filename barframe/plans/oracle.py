@@ -335,6 +335,17 @@ SELECT symbol, n AS n_windows, round(my - w0 * m0 - w1 * m1, 7) AS intercept, ro
 SELECT two.symbol, CAST(part_idx AS BIGINT) AS start_idx,
        round((my - w0 * m0 - w1 * m1 + w0 * x0 + w1 * x1) * (mx - mn) + mn, 2) AS prediction, actual
 FROM two LEFT JOIN sv ON sv.symbol = two.symbol WHERE part = 'test'"""
+    q["symbol_forecast"] = f"""WITH RECURSIVE {small},
+st AS (SELECT l.symbol, l.date AS as_of, {c('k')} AS z0, {c('l')} AS z1, l.mn_close AS mn, l.mx_close AS mx, w0, w1,
+              my - w0 * m0 - w1 * m1 AS b
+       FROM pt l JOIN pt k ON k.symbol = l.symbol AND k.idx = l.idx - 1 JOIN sv ON sv.symbol = l.symbol WHERE l.idx = l.n - 1),
+rec AS (SELECT symbol, 1 AS step, z1 AS before, b + w0 * z0 + w1 * z1 AS z FROM st
+        UNION ALL
+        SELECT rec.symbol, rec.step + 1, rec.z, st.b + st.w0 * rec.before + st.w1 * rec.z
+        FROM rec JOIN st ON st.symbol = rec.symbol WHERE rec.step < {n_max}),
+{calendar('st', n_max)}
+SELECT rec.symbol, CAST(rec.step AS BIGINT) AS step, cal.date, round(rec.z * (st.mx - st.mn) + st.mn, 2) AS prediction
+FROM rec JOIN st ON st.symbol = rec.symbol JOIN cal ON cal.symbol = rec.symbol AND cal.step = rec.step"""
     from .training import DECAY, EPSILON, LEARNING_RATE
 
     def rms(k: int) -> str:  # one parameter's step

@@ -9,6 +9,7 @@ from barframe.config import FEATURES
 from barframe.operators.series import index_series
 from barframe.plans import models as M
 from barframe.plans import per_symbol as P
+from barframe.sources.bars import load_bars
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +119,8 @@ def test_the_roll_forward_is_linear_in_the_steps():
 
     seconds(100)
     assert min(seconds(10_000) for _ in range(3)) < 16 * min(seconds(1_200) for _ in range(3))
+
+
+def test_pooled_forecast_needs_all_features(spark, sf_small):
+    with pytest.raises(ValueError):
+        M.model_forecast(index_series(load_bars(spark, sf_small)), "close", steps=3, L=2, feats=("close",))
