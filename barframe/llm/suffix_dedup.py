@@ -7,6 +7,7 @@ about 15 bytes of text.
 
 1. *Filter.* Each task sorts the hashes of its anchors' pieces and sends each once to a range of hashes, with the
    document it is in, or a mark that several of the task's documents hold it. What only one document holds can't repeat.
+   Ranges are of the hash's lower bits, which are spread evenly; the high bits of anchors are small by choice.
 2. *Sort.* Groups of documents (texts packed and compressed) send the suffixes left, with as many bytes before and
    after the anchor as strings have it as theirs. Splitters sampled from anchors cut the leading pieces into ranges. A
    bucket sorts by multikey quicksort: one word of eight bytes after the other, and only among suffixes still equal.
@@ -232,12 +233,25 @@ _ROW = "part int, kind int, blob binary"
 _HASHES, _REPLY, _TEXT, _ITEMS = 0, 1, 2, 3
 
 
+def _dealt(h: np.ndarray) -> np.ndarray:
+    """The bits of a hash that are kept, the highest ones last. An anchor has the smallest hash around it, so its highest
+    bits are mostly zero: ranges of plain hashes would give a quarter of all anchors to the lowest sixtieth."""
+    high = np.uint64(_HASH_BITS - 32)
+    h = h >> np.uint64(64 - _HASH_BITS)
+    return ((h & np.uint64(0xFFFFFFFF)) << high) | (h >> np.uint64(32))
+
+
+def _low(dealt: np.ndarray) -> np.ndarray:
+    """The 32 of these bits that are spread evenly."""
+    return (dealt >> np.uint64(_HASH_BITS - 32)).astype("<u4")
+
+
 def _suspects(batches, geo: Geometry, groups: int, ranges: int):
     """Hashes of a task's anchors to their range, and what several of its documents hold straight to their groups."""
     for ids, texts in _runs(batches, RUN_BYTES):
         buf, starts = _joined(texts)
         _, doc, _, _, h = geo.anchors(buf, starts)
-        h48 = h >> np.uint64(64 - _HASH_BITS)
+        h48 = _dealt(h)
         g = _group_of(ids, texts, groups)
         o = np.lexsort((doc, h48))
         h48, doc = h48[o], doc[o]
@@ -251,7 +265,7 @@ def _suspects(batches, geo: Geometry, groups: int, ranges: int):
         for k, at in _by(g[doc[shared]]):
             out.append((0, int(k), _reply(ids[doc[shared][at]], h48[shared][at])))
         one, where = h48[begin], np.where(sizes > 1, -1, doc[begin])
-        home = ((one >> np.uint64(_HASH_BITS - 32)) * np.uint64(ranges)) >> np.uint64(32)
+        home = (_low(one).astype(np.uint64) * np.uint64(ranges)) >> np.uint64(32)
         for k, at in _by(home.astype(np.int64)):
             used, place = np.unique(where[at], return_inverse=True)  # -1 first where some hash is shared
             if len(used) and used[0] < 0:
@@ -265,7 +279,7 @@ def _suspects(batches, geo: Geometry, groups: int, ranges: int):
 
 def _reply(ids: np.ndarray, h48: np.ndarray) -> bytes:
     o = np.lexsort((h48, ids))
-    return _pack(ids[o], (h48[o] & np.uint64(0xFFFFFFFF)).astype("<u4"))
+    return _pack(ids[o], _low(h48[o]))
 
 
 def _repeated(batches):
@@ -353,7 +367,7 @@ def _items(batches, geo: Geometry, buckets: int, splitters: np.ndarray, frequent
         return
     rid, rh = (np.concatenate(x) for x in zip(*(_unpack(b) for b in replies)))
     held = np.unique(_pair(rid, rh))
-    mine = _pair(ids[doc], ((h >> np.uint64(64 - _HASH_BITS)) & np.uint64(0xFFFFFFFF)).astype("<u4"))
+    mine = _pair(ids[doc], _low(_dealt(h)))
     at = np.minimum(np.searchsorted(held, mine), len(held) - 1)
     left = np.flatnonzero(held[at] == mine)
     if not len(left):

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barframe.llm import suffix_dedup as S
@@ -98,6 +99,20 @@ def test_long_text_over_several_strips(spark, monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, geo.anchors(raw, starts)))
 
 
+def test_hashes_of_anchors_are_dealt_evenly():
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(50, 900))) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    ranges = 16
+    sizes = np.zeros(ranges, int)
+    for out in S._suspects([batch], S.Geometry(), 4, ranges):
+        for part, kind, blob in zip(*(out.column(i).to_pylist() for i in range(3))):
+            if kind < 0:
+                sizes[part] += len(S._unpack(blob)[0])
+    assert sizes.sum() > 10_000
+    assert sizes.max() < 1.25 * sizes.mean() and sizes.min() > 0.75 * sizes.mean()
+
+
 def test_multikey_quicksort_equals_sorted():
     rng = random.Random(4)
     rows = [bytes(rng.choice(b"ab\0") for _ in range(4)) * 6 if rng.random() < .5 else bytes(rng.choice(b"ab") for _ in range(24))
